@@ -46,8 +46,12 @@ def frequency_encode(
     unknown: float = 0.0,
     hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
-    """How often the value occurred in the fitted table."""
-    joined = lookup_join(df, counts.withColumnRenamed("frequency", out), [column], hot_rows)
+    """How often the value occurred in the fitted table.
+
+    A value that is frequent there is taken to be frequent here, so nothing is counted again.
+    """
+    hot = None if hot_rows is None else counts.where(F.col("frequency") > hot_rows).select(column)
+    joined = lookup_join(df, counts.withColumnRenamed("frequency", out), [column], hot_rows, hot)
     return joined.withColumn(out, F.coalesce(F.col(out).cast("float"), F.lit(float(unknown)).cast("float")))
 
 

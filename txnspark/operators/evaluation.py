@@ -208,7 +208,7 @@ def profile(df: DataFrame) -> DataFrame:
         F.col("__top.text").alias("top_value"),
         F.col("__top.n").alias("top_rows"),
         mean.alias("mean_value"),
-        F.sqrt(F.greatest(F.try_divide(spread, F.col("__n") - 1), F.lit(0.0))).alias("deviation"),
+        F.sqrt(F.try_divide(F.when(spread > 0, spread).when(spread <= 0, 0.0), F.col("__n") - 1)).alias("deviation"),
         "min_number",
         "max_number",
     )

@@ -7,20 +7,27 @@ from pyspark.sql import functions as F
 
 from txnspark import schemas as S
 from txnspark.functions import scalars as X
-from txnspark.operators.hot_keys import HOT_ROWS, lookup_join, rolling_count_and_sum
+from txnspark.operators.hot_keys import HOT_ROWS, hot_keys, lookup_join, rolling_count_and_sum
 
 
 def mark_members(
-    df: DataFrame, members: DataFrame, key: str, out: str, hot_rows: int | None = HOT_ROWS
+    df: DataFrame,
+    members: DataFrame,
+    key: str,
+    out: str,
+    hot_rows: int | None = HOT_ROWS,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """True where ``key`` is in the single-column table ``members``."""
     listed = members.select(F.col(members.columns[0]).alias(key)).distinct().withColumn(out, F.lit(True))
-    return lookup_join(df, listed, [key], hot_rows).withColumn(out, F.coalesce(F.col(out), F.lit(False)))
+    return lookup_join(df, listed, [key], hot_rows, hot).withColumn(out, F.coalesce(F.col(out), F.lit(False)))
 
 
-def label_fraud(events: DataFrame, bots: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+def label_fraud(
+    events: DataFrame, bots: DataFrame, hot_rows: int | None = HOT_ROWS, hot: DataFrame | None = None
+) -> DataFrame:
     """``is_fraud`` = 1 for events of listed users and from risky addresses."""
-    marked = mark_members(events, bots, "user_id", "__bot", hot_rows)
+    marked = mark_members(events, bots, "user_id", "__bot", hot_rows, hot)
     return marked.withColumn("is_fraud", (F.col("__bot") | X.is_risky_ip()).cast("int")).drop("__bot")
 
 
@@ -29,6 +36,7 @@ def rolling_features(
     seconds: int = 3600,
     zero_average: float = 0.0,
     hot_rows: int | None = HOT_ROWS,
+    hot: DataFrame | None = None,
     slice_seconds: int = 60,
 ) -> DataFrame:
     """Count, mean amount and amount over mean of the same user's last ``seconds``.
@@ -37,7 +45,16 @@ def rolling_features(
     each other.
     """
     rolled = rolling_count_and_sum(
-        events, ["user_id"], "event_timestamp", "amount", seconds, "tx_count_1h", "__sum", hot_rows, slice_seconds
+        events,
+        ["user_id"],
+        "event_timestamp",
+        "amount",
+        seconds,
+        "tx_count_1h",
+        "__sum",
+        hot_rows,
+        hot,
+        slice_seconds,
     )
     mean = (F.col("__sum").cast("decimal(25,2)") / F.col("tx_count_1h").cast("decimal(10,0)")).cast("decimal(22,6)")
     return rolled.withColumn("amount_avg_1h", mean).drop("__sum").withColumn(
@@ -61,5 +78,16 @@ def drop_leaks(features: DataFrame) -> DataFrame:
 def training_features(
     events: DataFrame, bots: DataFrame, seconds: int = 3600, hot_rows: int | None = HOT_ROWS
 ) -> DataFrame:
-    """Events to a table that a model may see: labels, rolling features, no identifiers."""
-    return drop_leaks(rolling_features(label_fraud(events, bots, hot_rows), seconds, hot_rows=hot_rows))
+    """Events to a table that a model may see: labels, rolling features, no identifiers.
+
+    The windows run first, on the table as it is read; the label joins what they give.
+    """
+    return drop_leaks(labelled_features(events, bots, seconds, hot_rows))
+
+
+def labelled_features(
+    events: DataFrame, bots: DataFrame, seconds: int = 3600, hot_rows: int | None = HOT_ROWS
+) -> DataFrame:
+    """Rolling features and labels with identifiers kept; hot users are counted once."""
+    hot = hot_keys(events, ["user_id"], hot_rows)
+    return label_fraud(rolling_features(events, seconds, hot_rows=hot_rows, hot=hot), bots, hot_rows, hot)

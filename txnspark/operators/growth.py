@@ -55,7 +55,8 @@ def date_lists(events: DataFrame, reference_day: date | Column, user: str = "use
     """
     end = reference_day if isinstance(reference_day, Column) else F.lit(reference_day)
     age = F.datediff(end, F.to_date("event_timestamp"))
-    bit = F.shiftleft(F.lit(1).cast("bigint"), (F.lit(DATE_LIST_DAYS - 1) - age).cast("int"))
+    place = (F.lit(DATE_LIST_DAYS - 1) - age).cast("int")
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), place)
     lists = (
         events.where((age >= 0) & (age < DATE_LIST_DAYS)).groupBy(user).agg(F.bit_or(bit).alias("datelist_int"))
     )

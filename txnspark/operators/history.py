@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from txnspark import schemas as S
 from txnspark.operators.cleaning import require_columns, with_optional
-from txnspark.operators.hot_keys import HOT_ROWS, split_hot
+from txnspark.operators.hot_keys import HOT_ROWS, hot_keys, slices_of, with_slice_facts
 
 SNAPSHOT_COLUMNS = ("account_id", "user_id", "balance", "account_status")
 
@@ -113,52 +113,43 @@ def versions_from_history(
     """
     require_columns(rows, (key, time, tracked), "tier history")
     rows = rows.select(key, time, tracked)
-
-    def starts(frame: DataFrame, partition: Sequence[str], before: Column | None = None) -> DataFrame:
-        window = Window.partitionBy(*partition).orderBy(time)
-        previous = F.lag(tracked).over(window)
-        if before is not None:
-            previous = F.when(F.row_number().over(window) == 1, before).otherwise(previous)
-        differs = F.coalesce(F.col("__previous") != F.col(tracked), F.lit(True))
-        return frame.withColumn("__previous", previous).where(differs).drop("__previous")
-
-    def ends(partition: Sequence[str]) -> Column:
-        return F.lead(time).over(Window.partitionBy(*partition).orderBy(time))
-
-    def shaped(frame: DataFrame) -> DataFrame:
-        return frame.select(
-            key,
-            tracked,
-            F.col(time).alias("start_date"),
-            F.col("end_date"),
-            F.col("end_date").isNull().alias("is_current"),
+    hot = hot_keys(rows, [key], hot_rows)
+    differs = F.coalesce(F.col("__previous") != F.col(tracked), F.lit(True))
+
+    if hot is None:
+        order = Window.partitionBy(key).orderBy(time)
+        begun = rows.withColumn("__previous", F.lag(tracked).over(order)).where(differs)
+        end = F.lead(time).over(order)
+    else:
+        rows = slices_of(rows, [key], F.floor(F.col(time) / 100) if slice_by is None else slice_by, hot)
+        order = Window.partitionBy(key, "__slice").orderBy(time)
+        slices = Window.partitionBy(key).orderBy("__slice")
+        last_values = (
+            rows.where("__hot")
+            .groupBy(key, "__slice")
+            .agg(F.max_by(F.struct(tracked), time).alias("__last"))
+            .select(key, "__slice", F.lag(f"__last.{tracked}").over(slices).alias("__before"))
         )
+        known = with_slice_facts(
+            rows.withColumns({"__previous": F.lag(tracked).over(order), "__place": F.row_number().over(order)}),
+            last_values,
+            [key],
+        )
+        previous = F.when(F.col("__place") == 1, F.col("__before")).otherwise(F.col("__previous"))
+        begun = known.withColumn("__previous", previous).where(differs).select(*rows.columns)
+        next_starts = (
+            begun.where("__hot")
+            .groupBy(key, "__slice")
+            .agg(F.min(time).alias("__first"))
+            .select(key, "__slice", F.lead("__first").over(slices).alias("__next_start"))
+        )
+        ended = begun.withColumn("__within", F.lead(time).over(order))
+        begun = with_slice_facts(ended, next_starts, [key])
+        end = F.coalesce("__within", "__next_start")
 
-    def plain(frame: DataFrame) -> DataFrame:
-        return shaped(starts(frame, [key]).withColumn("end_date", ends([key])))
-
-    if hot_rows is None:
-        return plain(rows)
-
-    ordinary, hot = split_hot(rows, [key], hot_rows)
-    sliced = [key, "__slice"]
-    hot = hot.withColumn("__slice", F.floor(F.col(time) / 100) if slice_by is None else slice_by)
-    by_slice = Window.partitionBy(key).orderBy("__slice")
-    last_values = (
-        hot.groupBy(*sliced)
-        .agg(F.max_by(F.struct(tracked), time).alias("__last"))
-        .select(*sliced, F.lag(f"__last.{tracked}").over(by_slice).alias("__before"))
-    )
-    begun = starts(hot.join(last_values, sliced), sliced, F.col("__before")).drop("__before")
-    next_starts = (
-        begun.groupBy(*sliced)
-        .agg(F.min(time).alias("__first"))
-        .select(*sliced, F.lead("__first").over(by_slice).alias("__next_start"))
-    )
-    ended = begun.join(next_starts, sliced).withColumn(
-        "end_date", F.coalesce(ends(sliced), F.col("__next_start"))
+    return begun.withColumn("end_date", end).select(
+        key, tracked, F.col(time).alias("start_date"), "end_date", F.col("end_date").isNull().alias("is_current")
     )
-    return plain(ordinary).unionByName(shaped(ended))
 
 
 def current_versions(history: DataFrame) -> DataFrame:

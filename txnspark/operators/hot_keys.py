@@ -7,8 +7,10 @@ are cut into time slices, every slice is worked on by itself, and what one slice
 about the others travels as one pre-aggregated row per slice.
 
 A table of N rows has fewer than ``N / hot_rows`` hot keys, which bounds what is broadcast.
-Nothing is dropped or sampled, so results equal those of the plain form.
-``hot_rows=None`` skips the count where keys are known to be even.
+Nothing is dropped or sampled, so results equal those of the plain form. Where a table has no
+hot key, adaptive execution removes the extra branches once the count is known.
+``hot_rows=None`` skips the count where keys are known to be even, and ``hot`` takes keys
+counted on an earlier table with the same rows, which saves counting on a derived one.
 """
 
 from __future__ import annotations
@@ -20,18 +22,28 @@ from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
 NO_SLICE = -(1 << 60)
+SALTS = 4096
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None = HOT_ROWS) -> DataFrame | None:
     """Keys with more than ``hot_rows`` rows."""
+    if hot_rows is None:
+        return None
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
     return counted.where(F.col("__rows") > hot_rows).select(*keys)
 
 
-def split_hot(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
-    """The rows of ordinary keys and the rows of hot keys."""
-    hot = F.broadcast(hot_keys(df, keys, hot_rows))
-    return df.join(hot, list(keys), "left_anti"), df.join(hot, list(keys), "left_semi")
+def tag_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
+    """Adds ``__hot``; extra columns of ``hot`` come along. NULL keys count as a key."""
+    named = hot.select(
+        *(F.col(name).alias(f"__key_{name}" if name in keys else name) for name in hot.columns),
+        F.lit(True).alias("__hot"),
+    )
+    matches = F.lit(True)
+    for name in keys:
+        matches = matches & F.col(name).eqNullSafe(F.col(f"__key_{name}"))
+    tagged = df.join(F.broadcast(named), matches, "left").drop(*(f"__key_{name}" for name in keys))
+    return tagged.withColumn("__hot", F.coalesce("__hot", F.lit(False)))
 
 
 def time_slice(time_col: str, seconds: int) -> Column:
@@ -39,21 +51,44 @@ def time_slice(time_col: str, seconds: int) -> Column:
     return F.coalesce(F.floor(F.unix_seconds(time_col) / F.lit(seconds)), F.lit(NO_SLICE))
 
 
+def slices_of(df: DataFrame, keys: Sequence[str], slice_by: Column, hot: DataFrame) -> DataFrame:
+    """Adds ``__hot`` and ``__slice``, which is the same for all rows of an ordinary key."""
+    tagged = tag_hot(df, keys, hot)
+    return tagged.withColumn("__slice", F.when(F.col("__hot"), slice_by.cast("bigint")).otherwise(F.lit(0)))
+
+
 def lookup_join(
-    df: DataFrame, lookup: DataFrame, keys: Sequence[str], hot_rows: int | None = HOT_ROWS
+    df: DataFrame,
+    lookup: DataFrame,
+    keys: Sequence[str],
+    hot_rows: int | None = HOT_ROWS,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Left join to a table with unique keys.
 
-    Rows of hot keys meet the few lookup rows they need by broadcast. The others go through
-    an ordinary join, where Spark broadcasts the lookup if its size allows and shuffles if not.
+    Rows of hot keys get the few lookup rows they need by broadcast. They still pass through
+    the ordinary join, where Spark broadcasts the lookup if its size allows and shuffles if
+    not, but under a salt that spreads them over all tasks and matches nothing there.
     """
     keys = list(keys)
-    if hot_rows is None:
+    values = [name for name in lookup.columns if name not in keys]
+    hot = hot_keys(df, keys, hot_rows) if hot is None else hot
+    if hot is None:
         return df.join(lookup, keys, "left")
-    hot = F.broadcast(hot_keys(df, keys, hot_rows))
-    needed = F.broadcast(lookup.join(hot, keys, "left_semi"))
-    ordinary = df.join(hot, keys, "left_anti").join(lookup, keys, "left")
-    return ordinary.unionByName(df.join(hot, keys, "left_semi").join(needed, keys, "left"))
+
+    needed = lookup.join(F.broadcast(hot), keys, "left_semi")
+    renamed = needed.select(*keys, *(F.col(name).alias(f"__hot_{name}") for name in values))
+    tagged = tag_hot(df, keys, hot.join(renamed, keys, "left"))
+    salt = F.when(F.col("__hot"), F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)) + 1).otherwise(F.lit(0))
+    # Always zero, but not a constant: as one it would leave the keys of the join.
+    zero = F.pmod(F.xxhash64(*keys), F.lit(1).cast("bigint"))
+    joined = tagged.withColumn("__salt", salt.cast("bigint")).join(
+        lookup.withColumn("__salt", zero), [*keys, "__salt"], "left"
+    )
+    return joined.select(
+        *df.columns,
+        *(F.when(F.col("__hot"), F.col(f"__hot_{name}")).otherwise(F.col(name)).alias(name) for name in values),
+    )
 
 
 def running_total(
@@ -64,36 +99,34 @@ def running_total(
     out: str,
     slice_by: Column,
     hot_rows: int | None = HOT_ROWS,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Sum of ``value`` over the rows of the same key up to and including the current one.
 
     ``slice_by`` must not decrease along ``order``.
     """
 
-    def total(frame: DataFrame, partition: Sequence[str]) -> DataFrame:
+    def total(partition: Sequence[str]) -> Column:
         window = Window.partitionBy(*partition).orderBy(*order)
-        up_to_here = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return frame.withColumn(out, F.sum(value).over(up_to_here))
+        return F.sum(value).over(window.rowsBetween(Window.unboundedPreceding, Window.currentRow))
 
-    if hot_rows is None:
-        return total(df, keys)
+    hot = hot_keys(df, keys, hot_rows) if hot is None else hot
+    if hot is None:
+        return df.withColumn(out, total(keys))
 
-    ordinary, hot = split_hot(df, keys, hot_rows)
-    hot = hot.withColumn("__slice", slice_by)
+    rows = slices_of(df, keys, slice_by, hot)
     sliced = [*keys, "__slice"]
     earlier = Window.partitionBy(*keys).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
     carried = (
-        hot.groupBy(*sliced)
+        rows.where("__hot")
+        .groupBy(*sliced)
         .agg(F.sum(value).alias("__total"))
         .select(*sliced, F.sum("__total").over(earlier).alias("__carried"))
     )
-    hot = (
-        total(hot, sliced)
-        .join(carried, sliced)
-        .withColumn(out, F.col(out) + F.coalesce(F.col("__carried"), F.lit(0)))
-        .drop("__carried", "__slice")
+    summed = rows.withColumn(out, total(sliced))
+    return with_slice_facts(summed, carried, keys).select(
+        *df.columns, (F.col(out) + F.coalesce("__carried", F.lit(0))).alias(out)
     )
-    return total(ordinary, keys).unionByName(hot)
 
 
 def rolling_count_and_sum(
@@ -105,6 +138,7 @@ def rolling_count_and_sum(
     count_out: str,
     sum_out: str,
     hot_rows: int | None = HOT_ROWS,
+    hot: DataFrame | None = None,
     slice_seconds: int = 60,
 ) -> DataFrame:
     """Rows and sum of ``value`` of the same key in the last ``seconds``, current second included.
@@ -116,48 +150,54 @@ def rolling_count_and_sum(
 
     def rolled(frame: DataFrame, partition: Sequence[str]) -> DataFrame:
         window = Window.partitionBy(*partition).orderBy("__second").rangeBetween(-seconds, Window.currentRow)
-        return frame.withColumn(count_out, F.count(F.lit(1)).over(window)).withColumn(
-            sum_out, F.sum(value).over(window)
+        return frame.withColumns(
+            {count_out: F.count(F.lit(1)).over(window), sum_out: F.sum(value).over(window)}
         )
 
     timed = df.withColumn("__second", F.unix_seconds(time_col))
-    if hot_rows is None:
+    hot = hot_keys(df, keys, hot_rows) if hot is None else hot
+    if hot is None:
         return rolled(timed, keys).drop("__second")
 
     span, rest = divmod(seconds, slice_seconds)
     if rest or span < 2:
         raise ValueError("seconds must be a multiple, at least twice, of slice_seconds")
 
-    ordinary, hot = split_hot(df, keys, hot_rows)
-    hot = hot.withColumn("__second", F.unix_seconds(time_col)).withColumn(
-        "__slice", time_slice(time_col, slice_seconds)
-    )
+    rows = slices_of(timed, keys, time_slice(time_col, slice_seconds), hot)
     sliced = [*keys, "__slice"]
     middle = Window.partitionBy(*keys).orderBy("__slice").rangeBetween(-(span - 1), -1)
     totals = (
-        hot.groupBy(*sliced)
+        rows.where("__hot")
+        .groupBy(*sliced)
         .agg(F.count(F.lit(1)).alias("__n"), F.sum(value).alias("__v"))
         .select(
-            *sliced,
-            F.coalesce(F.sum("__n").over(middle), F.lit(0)).alias("__middle_n"),
-            F.sum("__v").over(middle).alias("__middle_v"),
+            *sliced, F.sum("__n").over(middle).alias("__middle_n"), F.sum("__v").over(middle).alias("__middle_v")
         )
     )
-    edge = hot.select(
+    edges = rows.where("__hot").select(
         *keys, (F.col("__slice") + span).alias("__slice"), "__second", value, F.lit(False).alias("__own")
     )
-    both = hot.withColumn("__own", F.lit(True)).unionByName(edge, allowMissingColumns=True)
+    both = rows.withColumn("__own", F.lit(True)).unionByName(edges, allowMissingColumns=True)
+    found = with_slice_facts(rolled(both, sliced).where("__own"), totals, keys)
     whole = F.when(
         F.col(sum_out).isNotNull() | F.col("__middle_v").isNotNull(),
-        F.coalesce(F.col(sum_out), F.lit(0)) + F.coalesce(F.col("__middle_v"), F.lit(0)),
+        F.coalesce(F.col(sum_out), F.lit(0)) + F.coalesce("__middle_v", F.lit(0)),
     )
-    hot = (
-        rolled(both, sliced)
-        .where("__own")
-        .join(totals, sliced)
-        .withColumn(count_out, F.col(count_out) + F.col("__middle_n"))
-        .withColumn(sum_out, whole)
-        .drop("__own", "__slice", "__middle_n", "__middle_v")
+    return found.select(
+        *df.columns,
+        (F.col(count_out) + F.coalesce("__middle_n", F.lit(0))).alias(count_out),
+        whole.alias(sum_out),
     )
-    ordinary = rolled(ordinary.withColumn("__second", F.unix_seconds(time_col)), keys)
-    return ordinary.unionByName(hot).drop("__second")
+
+
+def with_slice_facts(rows: DataFrame, facts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join of one row per key and slice, NULL keys included."""
+    sliced = [*keys, "__slice"]
+    renamed = facts.select(
+        *(F.col(name).alias(f"__at_{name}") if name in sliced else F.col(name) for name in facts.columns)
+    )
+    matches = F.lit(True)
+    for name in sliced:
+        matches = matches & F.col(name).eqNullSafe(F.col(f"__at_{name}"))
+    return rows.join(renamed, matches, "left")
+

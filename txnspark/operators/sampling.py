@@ -17,19 +17,33 @@ def random_subset(df: DataFrame, n: int, id_col: str, salt: str = "subset") -> D
     return df.orderBy(hash_of(id_col, salt), id_col).limit(n)
 
 
-def stratified_rank(df: DataFrame, label: str, id_col: str, salt: str, digits: int = HASH_DIGITS) -> DataFrame:
+def stratified_rank(
+    df: DataFrame,
+    label: str,
+    id_col: str,
+    salt: str,
+    digits: int = HASH_DIGITS,
+    counted: DataFrame | None = None,
+) -> DataFrame:
     """Adds ``rank`` (1..n in hash order within each label) and ``label_rows`` (n).
 
     One window per label would be one task per label. Rows are ranked within label and hash
     prefix instead, and the prefix sizes (at most ``16 ** digits`` per label) add up to what
-    comes before. Hashes of unique ids spread evenly, so no prefix is hot.
+    comes before. Hashes of unique ids spread evenly, so no prefix is hot. ``counted`` may name
+    a table with the same ids and labels that is cheaper to read for the sizes.
     """
-    hashed = df.withColumn("__hash", hash_of(id_col, salt)).withColumn("__part", F.substring("__hash", 1, digits))
+
+    def hashed(frame: DataFrame) -> DataFrame:
+        return frame.withColumn("__hash", hash_of(id_col, salt)).withColumn(
+            "__part", F.substring("__hash", 1, digits)
+        )
+
     parts = [label, "__part"]
     within = Window.partitionBy(*parts).orderBy("__hash", id_col)
     before = Window.partitionBy(label).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     sizes = (
-        hashed.groupBy(*parts)
+        hashed(df if counted is None else counted)
+        .groupBy(*parts)
         .agg(F.count(F.lit(1)).alias("__n"))
         .select(
             *parts,
@@ -38,7 +52,8 @@ def stratified_rank(df: DataFrame, label: str, id_col: str, salt: str, digits: i
         )
     )
     return (
-        hashed.withColumn("__rank", F.row_number().over(within))
+        hashed(df)
+        .withColumn("__rank", F.row_number().over(within))
         .join(sizes, parts)
         .withColumn("rank", F.col("__before") + F.col("__rank"))
         .drop("__hash", "__part", "__before", "__rank")
@@ -46,10 +61,15 @@ def stratified_rank(df: DataFrame, label: str, id_col: str, salt: str, digits: i
 
 
 def stratified_split(
-    df: DataFrame, label: str, id_col: str, test_share: float = 0.2, salt: str = "split"
+    df: DataFrame,
+    label: str,
+    id_col: str,
+    test_share: float = 0.2,
+    salt: str = "split",
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Adds ``is_test`` for exactly ``test_share`` of each label, rounded to whole rows."""
-    ranked = stratified_rank(df, label, id_col, salt)
+    ranked = stratified_rank(df, label, id_col, salt, counted=counted)
     test_rows = F.floor(F.col("label_rows") * F.lit(test_share) + F.lit(0.5))
     return ranked.withColumn("is_test", F.col("rank") <= test_rows).drop("rank", "label_rows")
 

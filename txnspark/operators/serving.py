@@ -156,8 +156,9 @@ def daily_model_scores(alerts: DataFrame, as_of: datetime | Column | None = None
         anchor = alerts.sparkSession.range(1).select(F.to_date(now).alias("d"))
 
     def mean(total: str, n: str, scale: int) -> Column:
-        value = F.try_divide(F.col(total).cast("double") * scale, F.col(n))
-        return F.round(F.coalesce(value, F.lit(0.0)), 2)
+        scaled = (F.col(total) * scale).cast("decimal(24,4)")
+        value = F.try_divide(scaled, F.col(n).cast("decimal(12,0)")).cast("decimal(7,2)")
+        return F.coalesce(value, F.lit(0).cast("decimal(7,2)"))
 
     return (
         day_grid(anchor, days)

@@ -423,12 +423,13 @@ SQL = {
               count(*) FILTER (detected_at >= (SELECT max(detected_at) FROM alerts) - INTERVAL 24 HOURS)
                 AS recent_alerts_24h FROM alerts)""",
     "daily_model_scores": """SELECT alert_date, strftime(alert_date, '%d/%m') AS label,
-        coalesce(champion, 0) AS champion_score, coalesce(challenger, 0) AS challenger_score
+        CAST(coalesce(champion, 0) AS DECIMAL(7,2)) AS champion_score,
+        CAST(coalesce(challenger, 0) AS DECIMAL(7,2)) AS challenger_score
       FROM (SELECT CAST(unnest(range(m - INTERVAL 6 DAY, m + INTERVAL 1 DAY, INTERVAL 1 DAY)) AS DATE) AS alert_date
             FROM (SELECT CAST(max(detected_at) AS DATE) AS m FROM alerts)) g
       LEFT JOIN (SELECT CAST(detected_at AS DATE) AS alert_date,
-              round(sum(risk_score)::DOUBLE * 100 / count(*), 2) AS champion,
-              round(sum(challenger_score)::DOUBLE / count(*), 2) AS challenger
+              ((sum(risk_score) * 10000)::HUGEINT * 2 + count(*)) // (2 * count(*)) / 100.0 AS champion,
+              ((sum(challenger_score) * 100)::HUGEINT * 2 + count(*)) // (2 * count(*)) / 100.0 AS challenger
             FROM alerts WHERE detected_at >= (SELECT max(detected_at) - INTERVAL 7 DAYS FROM alerts) GROUP BY 1) d
         USING (alert_date)""",
     "heatmap_grid": """SELECT CAST(w AS INT) AS weekday, CAST(h AS INT) AS hour_bucket, h || 'h' AS label,

@@ -193,10 +193,9 @@ def training_features(spark, sf):
 
 
 def _split(spark, sf):
-    featured = features.rolling_features(_labelled(spark, sf)).withColumn(
-        "hour_of_day", F.hour("event_timestamp").cast("int")
-    )
-    return sampling.stratified_split(featured, "is_fraud", "event_id")
+    events, bots = V.bank_events(spark, sf), V.bot_users(spark, sf)
+    featured = features.labelled_features(events, bots).withColumn("hour_of_day", F.hour("event_timestamp"))
+    return sampling.stratified_split(featured, "is_fraud", "event_id", counted=features.label_fraud(events, bots))
 
 
 def encoded_features(spark, sf):
