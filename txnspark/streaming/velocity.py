@@ -40,7 +40,7 @@ class RecentHistory(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
         new = pd.concat(list(rows), ignore_index=True)
         added = pd.DataFrame(
-            {"micros": new["__micros"], "event_id": new["event_id"], "cents": new["__cents"], "row": new.index}
+            {"micros": new["event_micros"], "event_id": new["event_id"], "cents": new["event_cents"], "row": new.index}
         )
         known = pd.DataFrame([tuple(entry) for entry in self.history.get()], columns=["micros", "event_id", "cents"])
         known["row"] = -1
@@ -58,8 +58,8 @@ class RecentHistory(StatefulProcessor):
         cents[place] = (summed[end] - summed[begin])[fresh]
 
         self.history.appendList(list(added[["micros", "event_id", "cents"]].itertuples(index=False, name=None)))
-        new["__count"], new["__sum"] = counts, cents
-        yield new.loc[new["__own"].astype(bool), self.names]
+        new["history_count"], new["history_cents"] = counts, cents
+        yield new.loc[new["is_own"].astype(bool), self.names]
 
     def close(self) -> None:
         pass
@@ -75,8 +75,8 @@ def with_history(
     own = F.floor(F.unix_micros("event_timestamp") / F.lit(seconds * 1_000_000))
     spread = events.withColumns(
         {
-            "__micros": F.unix_micros("event_timestamp"),
-            "__cents": (F.col("amount") * 100).cast("bigint"),
+            "event_micros": F.unix_micros("event_timestamp"),
+            "event_cents": (F.col("amount") * 100).cast("bigint"),
             "__slot": F.explode(
                 F.array(
                     F.struct(own.alias("slice"), F.lit(True).alias("own")),
@@ -84,24 +84,24 @@ def with_history(
                 )
             ),
         }
-    ).select("*", F.col("__slot.slice").alias("__slice"), F.col("__slot.own").alias("__own")).drop("__slot")
+    ).select("*", F.col("__slot.slice").alias("time_slice"), F.col("__slot.own").alias("is_own")).drop("__slot")
 
-    fields = [*events.schema.fields, T.StructField("__count", T.LongType()), T.StructField("__sum", T.LongType())]
+    fields = [*events.schema.fields, T.StructField("history_count", T.LongType()), T.StructField("history_cents", T.LongType())]
     names = [field.name for field in fields]
-    counted = spread.groupBy("user_id", "__slice").transformWithStateInPandas(
+    counted = spread.groupBy("user_id", "time_slice").transformWithStateInPandas(
         RecentHistory(seconds, ttl_ms, names), T.StructType(fields), "Append", "ProcessingTime"
     )
-    mean = F.col("__sum").cast("double") / 100 / F.col("__count")
+    mean = F.col("history_cents").cast("double") / 100 / F.col("history_count")
     return counted.withColumns(
         {
-            "tx_count_1h": F.col("__count").cast("double"),
+            "tx_count_1h": F.col("history_count").cast("double"),
             "amount_avg_1h": mean,
             "amount_vs_avg": F.when(mean > 0, F.col("amount").cast("double") / mean).otherwise(
                 F.lit(float(zero_average))
             ),
             "hour_of_day": F.hour("event_timestamp").cast("int"),
         }
-    ).drop("__count", "__sum")
+    ).drop("history_count", "history_cents")
 
 
 def scored_alerts(
