@@ -530,5 +530,42 @@ SQL["gold_protected_assets"] = f"""SELECT CAST(event_timestamp AS DATE) AS day_b
       WHERE event_timestamp >= (SELECT max(event_timestamp) - INTERVAL 7 DAY FROM silver) GROUP BY 1"""
 
 
+# A stream's history counts in exact time and in order of time and id.
+CTES["stream_history"] = """
+      SELECT *, CASE WHEN mean > 0 THEN amount::DOUBLE / mean ELSE 1.0 END AS ratio
+      FROM (SELECT e.*, h.n_rows, h.total::DOUBLE / h.n_rows AS mean
+            FROM bank_events e JOIN (
+              SELECT a.event_id, count(*) AS n_rows, sum(b.amount) AS total
+              FROM bank_events a JOIN bank_events b ON b.user_id = a.user_id
+                AND b.event_timestamp >= a.event_timestamp - INTERVAL 300 SECONDS
+                AND (b.event_timestamp, b.event_id) <= (a.event_timestamp, a.event_id)
+              GROUP BY 1) h USING (event_id))"""
+
+STREAM_SQL = {
+    "stream_bronze_ingest": """SELECT event_id, event_timestamp, user_id, event_type,
+        CASE WHEN n % 11 = 0 THEN CAST(0 AS DECIMAL(18,2)) ELSE amount END AS amount,
+        CASE WHEN n % 13 = 0 THEN '0.0.0.0' ELSE ip_address END AS ip_address, event_date
+      FROM messages WHERE NOT is_cut AND NOT lacks_user""",
+    "stream_tumbling_counts": """SELECT time_bucket(INTERVAL 5 MINUTES, event_timestamp) AS window_start,
+        time_bucket(INTERVAL 5 MINUTES, event_timestamp) + INTERVAL 5 MINUTES AS window_end, count(*) AS events,
+        CAST(sum(amount) AS DECIMAL(18,2)) AS amount,
+        count(*) FILTER (event_type = 'LOGIN_FAILED') AS failed_logins
+      FROM bank_events GROUP BY 1, 2
+      HAVING window_end <= (SELECT max(event_timestamp) - INTERVAL 60 SECONDS FROM bank_events)""",
+    "stream_silver": f"""SELECT event_id, user_id, event_type, amount, event_date
+      FROM bank_events WHERE event_type IN ({MOVES})""",
+    "stream_velocity": """SELECT event_id, n_rows::DOUBLE AS tx_count_1h, round(mean, 6) AS amount_avg_1h,
+        round(ratio, 6) AS amount_vs_avg, CAST(hour(event_timestamp) AS INT) AS hour_of_day FROM stream_history""",
+    "stream_alerts": SQL["stateful_alerts"],
+    "stream_late_routing": "SELECT event_id, event_timestamp, 'on_time' AS route FROM bank_events",
+    "stream_alert_feed": """SELECT alert_id, user_id, risk_score, rule_name, alert_message, detected_at
+      FROM alerts WHERE risk_score > 0.8""",
+}
+
+
 def batch_sql() -> dict[str, str]:
     return {name: with_ctes(select) for name, select in SQL.items()}
+
+
+def stream_sql() -> dict[str, str]:
+    return {name: with_ctes(select) for name, select in STREAM_SQL.items()}

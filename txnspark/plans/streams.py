@@ -23,11 +23,16 @@ def event_stream(spark: SparkSession, sf_dir: str, files_per_trigger: int | None
     return V.as_bank_events(files.event_files(spark, path, rows.schema, files_per_trigger))
 
 
-def drained(stream: DataFrame, name: str, partitioned_by: tuple[str, ...] = ()) -> DataFrame:
+def drained(
+    stream: DataFrame, name: str, partitioned_by: tuple[str, ...] = (), idle_batches: bool = True
+) -> DataFrame:
     """Run the stream over everything there is and read the result back."""
     spark = stream.sparkSession
     folder = session.new_folder(spark, name)
-    ingest.start_append(stream, f"{folder}/table", f"{folder}/checkpoint", partitioned_by).awaitTermination()
+    query = ingest.start_append(
+        stream, f"{folder}/table", f"{folder}/checkpoint", partitioned_by, idle_batches=idle_batches
+    )
+    query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{folder}/table")
 
 
@@ -54,7 +59,7 @@ def stream_silver(spark, sf_dir):
 
 
 def stream_velocity(spark, sf_dir):
-    df = drained(velocity.with_history(event_stream(spark, sf_dir)), "velocity")
+    df = drained(velocity.with_history(event_stream(spark, sf_dir)), "velocity", idle_batches=False)
     return df.select(
         "event_id",
         "tx_count_1h",
@@ -66,11 +71,11 @@ def stream_velocity(spark, sf_dir):
 
 def stream_alerts(spark, sf_dir):
     alerts = velocity.scored_alerts(event_stream(spark, sf_dir), V.known_ips(spark, sf_dir), V.model_column)
-    return drained(alerts, "alerts")
+    return drained(alerts, "alerts", idle_batches=False)
 
 
 def stream_late_routing(spark, sf_dir):
-    """Rows by day of arrival; the days come in reverse, so all but the first are late."""
+    """Every event with the route it takes; the table as one batch has nothing before it to be late to."""
     folder = session.new_folder(spark, "late")
     stream = event_stream(spark, sf_dir).select("event_id", "event_timestamp")
     windows.route_late(stream, folder, f"{folder}/checkpoint").awaitTermination()

@@ -1,9 +1,9 @@
 """Per-user history features on a stream, and the alerts made from them.
 
-State is kept per user and time slice as long as the window. Each event goes to its own slice
-and, as context, to the next one, so the two slices a window can touch meet in one state. A
-user with very many events is thus spread over as many groups as there are slices, and state
-is dropped slice by slice.
+State is kept per user and time slice. An event goes to its own slice and, if it can still be in
+a window of the next slice, as context to that one too, so a window finds all it needs in one
+state. A user with very many events is thus spread over as many groups as there are slices,
+and state is dropped slice by slice.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from txnspark import schemas as S
 from txnspark.operators.scoring import mark_unknown_ips, stateful_alerts
 
 WINDOW_SECONDS = 300
+SLICE_SECONDS = 3600
 STATE_TTL_MS = 3_600_000
 _ENTRY = S.struct("micros BIGINT, event_id STRING, cents BIGINT")
 
@@ -57,7 +58,9 @@ class RecentHistory(StatefulProcessor):
         counts[place] = (end - begin)[fresh]
         cents[place] = (summed[end] - summed[begin])[fresh]
 
-        self.history.appendList(list(added[["micros", "event_id", "cents"]].itertuples(index=False, name=None)))
+        # Plain Python values: the state server does not read numpy ones.
+        columns = (added[name].tolist() for name in ("micros", "event_id", "cents"))
+        self.history.appendList(list(zip(*columns)))
         new["history_count"], new["history_cents"] = counts, cents
         yield new.loc[new["is_own"].astype(bool), self.names]
 
@@ -70,21 +73,23 @@ def with_history(
     seconds: int = WINDOW_SECONDS,
     zero_average: float = 1.0,
     ttl_ms: int = STATE_TTL_MS,
+    slice_seconds: int = SLICE_SECONDS,
 ) -> DataFrame:
     """Adds ``tx_count_1h``, ``amount_avg_1h`` and ``amount_vs_avg`` over the last ``seconds``."""
-    own = F.floor(F.unix_micros("event_timestamp") / F.lit(seconds * 1_000_000))
+    if slice_seconds < seconds:
+        raise ValueError("a slice must not be shorter than the window")
+    micros = F.unix_micros("event_timestamp")
+    own = F.floor(micros / F.lit(slice_seconds * 1_000_000))
+    last_part = micros - own * slice_seconds * 1_000_000 >= (slice_seconds - seconds) * 1_000_000
+    here = F.struct(own.alias("slice"), F.lit(True).alias("own"))
+    next_one = F.struct((own + 1).alias("slice"), F.lit(False).alias("own"))
     spread = events.withColumns(
         {
-            "event_micros": F.unix_micros("event_timestamp"),
+            "event_micros": micros,
             "event_cents": (F.col("amount") * 100).cast("bigint"),
-            "__slot": F.explode(
-                F.array(
-                    F.struct(own.alias("slice"), F.lit(True).alias("own")),
-                    F.struct((own + 1).alias("slice"), F.lit(False).alias("own")),
-                )
-            ),
+            "slot": F.explode(F.when(last_part, F.array(here, next_one)).otherwise(F.array(here))),
         }
-    ).select("*", F.col("__slot.slice").alias("time_slice"), F.col("__slot.own").alias("is_own")).drop("__slot")
+    ).select("*", F.col("slot.slice").alias("time_slice"), F.col("slot.own").alias("is_own")).drop("slot")
 
     fields = [*events.schema.fields, T.StructField("history_count", T.LongType()), T.StructField("history_cents", T.LongType())]
     names = [field.name for field in fields]
