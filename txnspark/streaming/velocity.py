@@ -10,9 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -38,31 +36,23 @@ class RecentHistory(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.history = handle.getListState("history", _ENTRY, ttlDurationMs=self.ttl_ms)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
-        new = pd.concat(list(rows), ignore_index=True)
-        added = pd.DataFrame(
-            {"micros": new["event_micros"], "event_id": new["event_id"], "cents": new["event_cents"], "row": new.index}
-        )
-        known = pd.DataFrame([tuple(entry) for entry in self.history.get()], columns=["micros", "event_id", "cents"])
-        known["row"] = -1
-        whole = pd.concat([known, added], ignore_index=True) if len(known) else added
-        whole = whole.sort_values(["micros", "event_id"], kind="stable", ignore_index=True)
-
-        micros = whole["micros"].to_numpy(dtype=np.int64)
-        summed = np.concatenate([[0], np.cumsum(whole["cents"].to_numpy(dtype=np.int64))])
-        end = np.arange(1, len(whole) + 1)
-        begin = np.searchsorted(micros, micros - self.span, side="left")
-        fresh = whole["row"].to_numpy() >= 0
-        place = whole["row"].to_numpy()[fresh]
-        counts, cents = np.empty(len(new), dtype=np.int64), np.empty(len(new), dtype=np.int64)
-        counts[place] = (end - begin)[fresh]
-        cents[place] = (summed[end] - summed[begin])[fresh]
-
-        # Plain Python values: the state server does not read numpy ones.
-        columns = (added[name].tolist() for name in ("micros", "event_id", "cents"))
-        self.history.appendList(list(zip(*columns)))
-        new["history_count"], new["history_cents"] = counts, cents
-        yield new.loc[new["is_own"].astype(bool), self.names]
+    def handleInputRows(self, key, rows: Iterator[Row], timer_values) -> Iterator[Row]:
+        new = list(rows)
+        added = [(row.event_micros, row.event_id, row.event_cents) for row in new]
+        known = list(self.history.get())
+        ordered = sorted([*((tuple(entry), None) for entry in known), *zip(added, new)], key=lambda pair: pair[0])
+        self.history.appendList(added)
+
+        begin, total = 0, 0
+        for end, ((micros, _, cents), row) in enumerate(ordered, start=1):
+            total += cents
+            while ordered[begin][0][0] < micros - self.span:
+                total -= ordered[begin][0][2]
+                begin += 1
+            if row is not None and row.is_own:
+                values = row.asDict()
+                values["history_count"], values["history_cents"] = end - begin, total
+                yield Row(**{name: values[name] for name in self.names})
 
     def close(self) -> None:
         pass
@@ -93,7 +83,7 @@ def with_history(
 
     fields = [*events.schema.fields, T.StructField("history_count", T.LongType()), T.StructField("history_cents", T.LongType())]
     names = [field.name for field in fields]
-    counted = spread.groupBy("user_id", "time_slice").transformWithStateInPandas(
+    counted = spread.groupBy("user_id", "time_slice").transformWithState(
         RecentHistory(seconds, ttl_ms, names), T.StructType(fields), "Append", "ProcessingTime"
     )
     mean = F.col("history_cents").cast("double") / 100 / F.col("history_count")
