@@ -74,7 +74,7 @@ def precision_recall_curve(df: DataFrame, label: str, score: str, ranges: int =
     )
     shares = [i / ranges for i in range(1, ranges)]
     cuts = sorted(set(groups.approxQuantile("threshold", shares, 1.0 / (2 * ranges))))
-    splits = [float("-inf"), *cuts, float("inf")]
+    splits = [float("-inf"), *(cuts or [0.0]), float("inf")]
     ranged = Bucketizer(splits=splits, inputCol="threshold", outputCol="__range").transform(groups)
     higher = Window.orderBy(F.col("__range").desc()).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy()
@@ -109,7 +109,7 @@ def precision_recall_curve(df: DataFrame, label: str, score: str, ranges: int =
 def average_precision(df: DataFrame, label: str, score: str, ranges: int = SCORE_RANGES) -> DataFrame:
     """Area under the precision-recall curve as a sum of steps, not interpolated."""
     curve = precision_recall_curve(df, label, score, ranges)
-    step = F.col("precision") * F.col("positives_here") / F.col("positives")
+    step = F.try_divide(F.col("precision") * F.col("positives_here"), F.col("positives"))
     return curve.agg(F.coalesce(F.sum(step), F.lit(0.0)).alias("average_precision"))
 
 

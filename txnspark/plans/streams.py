@@ -44,7 +44,7 @@ def stream_bronze_ingest(spark, sf_dir):
     lines.write.text(f"{folder}/messages")
     messages = files.message_files(spark, f"{folder}/messages", "banking_events")
     ingest.ingest(messages, f"{folder}/bronze", f"{folder}/bad", f"{folder}/checkpoint").awaitTermination()
-    bronze = spark.read.schema(S.BRONZE_EVENTS).parquet(f"{folder}/bronze/batch=*")
+    bronze = spark.read.schema(S.BRONZE_EVENTS).parquet(f"{folder}/bronze")
     return bronze.select("event_id", "event_timestamp", "user_id", "event_type", "amount", "ip_address", "event_date")
 
 
@@ -80,7 +80,7 @@ def stream_late_routing(spark, sf_dir):
     stream = event_stream(spark, sf_dir).select("event_id", "event_timestamp")
     windows.route_late(stream, folder, f"{folder}/checkpoint").awaitTermination()
     parts = [
-        spark.read.schema(stream.schema).parquet(f"{folder}/{part}/batch=*").withColumn("route", F.lit(part))
+        spark.read.schema(stream.schema).parquet(f"{folder}/{part}").select("event_id", "event_timestamp", F.lit(part).alias("route"))
         for part in ("on_time", "late")
     ]
     return parts[0].unionByName(parts[1])
