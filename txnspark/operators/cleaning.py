@@ -35,14 +35,14 @@ def parse_messages(messages: DataFrame, ingested_at: Column | None = None) -> Da
     """
     schema = T.StructType([*S.EVENT_MESSAGE.fields, T.StructField(_BROKEN, T.StringType())])
     text = F.col("value").cast("string")
-    parsed = messages.select(
+    # As a generator the parser runs once per message; as an expression, once per use.
+    flat = messages.select(
         text.alias("raw_message"),
-        F.from_json(text, schema, {"columnNameOfCorruptRecord": _BROKEN}).alias("data"),
         F.col("topic").alias("kafka_topic"),
         F.col("partition").cast("int").alias("kafka_partition"),
         F.col("offset").cast("bigint").alias("kafka_offset"),
+        F.inline(F.array(F.from_json(text, schema, {"columnNameOfCorruptRecord": _BROKEN}))),
     )
-    flat = parsed.select("raw_message", "data.*", "kafka_topic", "kafka_partition", "kafka_offset")
     when = F.try_to_timestamp(F.col("timestamp"))
     complete = F.lit(True)
     for key in REQUIRED_KEYS:

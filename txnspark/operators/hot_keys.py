@@ -63,12 +63,15 @@ def lookup_join(
     keys: Sequence[str],
     hot_rows: int | None = HOT_ROWS,
     hot: DataFrame | None = None,
+    spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Left join to a table with unique keys.
 
     Rows of hot keys get the few lookup rows they need by broadcast. They still pass through
     the ordinary join, where Spark broadcasts the lookup if its size allows and shuffles if
-    not, but under a salt that spreads them over all tasks and matches nothing there.
+    not, but under a salt that spreads them over all tasks and matches nothing there. The salt
+    is a hash of ``spread_by``: the event id where there is one, else of all columns. A hash
+    sends a row of a repeated task where it went before, which a random number would not.
     """
     keys = list(keys)
     values = [name for name in lookup.columns if name not in keys]
@@ -79,7 +82,8 @@ def lookup_join(
     needed = lookup.join(F.broadcast(hot), keys, "left_semi")
     renamed = needed.select(*keys, *(F.col(name).alias(f"__hot_{name}") for name in values))
     tagged = tag_hot(df, keys, hot.join(renamed, keys, "left"))
-    salt = F.when(F.col("__hot"), F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)) + 1).otherwise(F.lit(0))
+    spread_by = spread_by or (["event_id"] if "event_id" in df.columns else df.columns)
+    salt = F.when(F.col("__hot"), F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)) + 1).otherwise(F.lit(0))
     # Always zero, but not a constant: as one it would leave the keys of the join.
     zero = F.pmod(F.xxhash64(*keys), F.lit(1).cast("bigint"))
     joined = tagged.withColumn("__salt", salt.cast("bigint")).join(

@@ -110,9 +110,11 @@ def stateless_alerts(events: DataFrame, probability: str, **options) -> DataFram
     return alert_rows(flagged, "champion_score", "challenger_score", F.lit(S.RULE_STATELESS))
 
 
-def mark_unknown_ips(events: DataFrame, known_ips: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+def mark_unknown_ips(
+    events: DataFrame, known_ips: DataFrame, hot_rows: int | None = HOT_ROWS, hot: DataFrame | None = None
+) -> DataFrame:
     """Adds ``is_unknown_ip``."""
-    marked = mark_members(events, known_ips, "ip_address", "__known", hot_rows)
+    marked = mark_members(events, known_ips, "ip_address", "__known", hot_rows, hot)
     return marked.withColumn("is_unknown_ip", ~F.col("__known")).drop("__known")
 
 

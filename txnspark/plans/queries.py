@@ -24,6 +24,7 @@ from txnspark.operators import (
     scoring,
     serving,
 )
+from txnspark.operators.hot_keys import hot_keys
 from txnspark.plans import views as V
 
 # Low enough to send test-sized tables through the code for hot keys.
@@ -255,8 +256,10 @@ def stateless_alerts(spark, sf):
 
 
 def _recent(spark, sf):
-    rolled = features.rolling_features(V.bank_events(spark, sf), seconds=300, zero_average=1.0)
-    return V.model_column(scoring.mark_unknown_ips(rolled, V.known_ips(spark, sf)))
+    events = V.bank_events(spark, sf)
+    rolled = features.rolling_features(events, seconds=300, zero_average=1.0)
+    frequent = hot_keys(events, ["ip_address"])
+    return V.model_column(scoring.mark_unknown_ips(rolled, V.known_ips(spark, sf), hot=frequent))
 
 
 def stateful_alerts(spark, sf):

@@ -29,7 +29,8 @@ def as_bank_events(rows: DataFrame) -> DataFrame:
         .when(F.col("event_type") == "view", "VIEW_BALANCE")
         .otherwise("LOGIN_FAILED")
     )
-    k = F.get_json_object("props", "$.k").cast("int")
+    rows = rows.withColumns({"kind": kind, "k": F.get_json_object("props", "$.k").cast("int")})
+    kind, k = F.col("kind"), F.col("k")
     ip = (
         F.when(k == 97, S.RISKY_IPS[0])
         .when(k == 98, S.RISKY_IPS[1])
