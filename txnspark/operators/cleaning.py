@@ -128,5 +128,5 @@ def last_period(df: DataFrame, interval: str, time_col: str = "event_timestamp")
     )
     recent = df.where(F.col(time_col) >= anchor.scalar())
     if "event_date" in df.columns and time_col == "event_timestamp":
-        recent = recent.where(F.col("event_date") >= anchor.select(F.to_date("since")).scalar())
+        recent = recent.where(F.col("event_date") >= F.to_date(anchor.scalar()))
     return recent

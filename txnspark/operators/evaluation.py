@@ -72,6 +72,7 @@ def precision_recall_curve(df: DataFrame, label: str, score: str, ranges: int =
     groups = df.groupBy(F.col(score).cast("double").alias("threshold")).agg(
         F.count_if(F.col(label) == 1).alias("__pos"), F.count(F.lit(1)).alias("__all")
     )
+    ranges = max(ranges, 2)
     shares = [i / ranges for i in range(1, ranges)]
     cuts = sorted(set(groups.approxQuantile("threshold", shares, 1.0 / (2 * ranges))))
     splits = [float("-inf"), *(cuts or [0.0]), float("inf")]

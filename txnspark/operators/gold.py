@@ -36,22 +36,25 @@ def protected_assets(
 ) -> DataFrame:
     """Daily amounts that passed and that were blocked by an alert or a risky address.
 
-    ``dedup=False`` counts a transaction once per alert on it.
+    ``dedup=False`` counts a transaction once per alert on it. Alerts are counted per
+    transaction before the join either way, so many alerts on one do not multiply rows.
     """
-    flagged = alerts.where(F.col("risk_level").isin("HIGH", "CRITICAL")).select(
-        F.col("source_event_id").alias("transaction_id"), F.lit(True).alias("has_alert")
+    flagged = (
+        alerts.where(F.col("risk_level").isin("HIGH", "CRITICAL"))
+        .groupBy(F.col("source_event_id").alias("transaction_id"))
+        .agg(F.count(F.lit(1)).alias("__alerts"))
     )
-    if dedup:
-        flagged = flagged.distinct()
-    blocked = F.coalesce(F.col("has_alert"), F.lit(False)) | X.is_risky_ip()
+    blocked = F.col("__alerts").isNotNull() | X.is_risky_ip()
+    times = F.lit(1) if dedup else F.coalesce("__alerts", F.lit(1))
+    amount = (F.col("amount") * times.cast("decimal(10,0)")).cast("decimal(28,2)")
     nothing = F.lit(0).cast(S.MONEY)
     return (
         last_period(transactions, period)
         .join(flagged, "transaction_id", "left")
         .groupBy(F.to_date("event_timestamp").alias("day_bucket"))
         .agg(
-            F.sum(F.when(~blocked, F.col("amount")).otherwise(nothing)).cast(S.MONEY).alias("valid_amount"),
-            F.sum(F.when(blocked, F.col("amount")).otherwise(nothing)).cast(S.MONEY).alias("blocked_amount"),
+            F.sum(F.when(~blocked, amount).otherwise(nothing)).cast(S.MONEY).alias("valid_amount"),
+            F.sum(F.when(blocked, amount).otherwise(nothing)).cast(S.MONEY).alias("blocked_amount"),
         )
     )
 
