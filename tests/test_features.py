@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from txnspark import schemas as S
 from txnspark.operators import encoding, features
-from txnspark.operators.hot_keys import lookup_join, running_total, time_slice
+from txnspark.operators.hot_keys import lookup_join, running_total
 
 
 def brute_rolling(rows, seconds):
@@ -34,7 +34,7 @@ def random_events(seed, n, users=("u", "v", "w", None), span=9000, step=0.25):
 
 
 @pytest.mark.parametrize("hot_rows", [None, 1_000_000, 25])
-@pytest.mark.parametrize("seconds,slice_seconds", [(3600, 60), (300, 60), (120, 60), (3600, 1800)])
+@pytest.mark.parametrize("seconds,slice_seconds", [(3600, 3600), (300, 3600), (120, 50), (3600, 1000)])
 def test_rolling_features_against_brute_force(spark, hot_rows, seconds, slice_seconds):
     rows = random_events(3, 220)
     found = features.rolling_features(
@@ -63,12 +63,13 @@ def test_zero_average(spark, fallback):
     assert {r.amount_vs_avg for r in found} == {fallback}
 
 
-@pytest.mark.parametrize("hot_rows", [None, 1_000_000, 30])
-def test_running_total_against_brute_force(spark, hot_rows):
-    rows = random_events(5, 300)
+@pytest.mark.parametrize("hot_rows", [None, 1_000_000, 30, 3])
+@pytest.mark.parametrize("span", [9000, 20])
+def test_running_total_against_brute_force(spark, hot_rows, span):
+    """In the short span single slices are too large as well and are cut into seconds."""
+    rows = random_events(5, 300, span=span)
     df = running_total(
-        frame(spark, rows), ["user_id"], [F.col("event_timestamp"), F.col("event_id")], "amount", "total",
-        time_slice("event_timestamp", 600), hot_rows,
+        frame(spark, rows), ["user_id"], "event_timestamp", "event_id", "amount", "total", hot_rows, slice_seconds=600
     )
     for r in df.collect():
         assert r.total == sum(o[3] for o in rows if o[1] == r.user_id and (o[5], o[0]) <= (r.event_timestamp, r.event_id))

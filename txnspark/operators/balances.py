@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from txnspark import schemas as S
 from txnspark.functions import scalars as X
 from txnspark.operators.cleaning import of_types
-from txnspark.operators.hot_keys import HOT_ROWS, running_total, time_slice
+from txnspark.operators.hot_keys import HOT_ROWS, running_total
 
 
 def flagged_users(alerts: DataFrame) -> DataFrame:
@@ -38,11 +38,12 @@ def balance_audit(
     summed = running_total(
         moves,
         ["user_id"],
-        [F.col("event_timestamp").asc(), F.col("event_id").asc()],
+        "event_timestamp",
+        "event_id",
         "balance_delta",
         "moved",
-        time_slice("event_timestamp", slice_seconds),
         hot_rows,
+        slice_seconds=slice_seconds,
     )
     return summed.select(
         "user_id",

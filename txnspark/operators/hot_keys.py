@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
-NO_SLICE = -(1 << 60)
+NO_SECOND = -(1 << 40)
 SALTS = 4096
 
 
@@ -46,9 +46,14 @@ def tag_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
     return tagged.withColumn("__hot", F.coalesce("__hot", F.lit(False)))
 
 
-def time_slice(time_col: str, seconds: int) -> Column:
-    """Number of the time slice a row falls in; rows without a time share one slice."""
-    return F.coalesce(F.floor(F.unix_seconds(time_col) / F.lit(seconds)), F.lit(NO_SLICE))
+def whole_second(time_col: str) -> Column:
+    """Seconds since the epoch; rows without a time share one value before all others."""
+    return F.coalesce(F.unix_seconds(time_col), F.lit(NO_SECOND))
+
+
+def start_of(second: Column, width: int) -> Column:
+    """First second of the slice of ``width`` seconds that holds ``second``."""
+    return second - F.pmod(second, F.lit(width))
 
 
 def slices_of(df: DataFrame, keys: Sequence[str], slice_by: Column, hot: DataFrame) -> DataFrame:
@@ -57,6 +62,21 @@ def slices_of(df: DataFrame, keys: Sequence[str], slice_by: Column, hot: DataFra
     return tagged.withColumn("__slice", F.when(F.col("__hot"), slice_by.cast("bigint")).otherwise(F.lit(0)))
 
 
+def refined_slices(
+    df: DataFrame, keys: Sequence[str], time_col: str, width: int, hot: DataFrame, hot_rows: int
+) -> DataFrame:
+    """Slices of ``width`` seconds, and of one second where such a slice is itself too large."""
+    rows = slices_of(df, keys, start_of(whole_second(time_col), width), hot)
+    sliced = [*keys, "__slice"]
+    crowded = hot_keys(rows.where("__hot"), sliced, hot_rows).withColumn("__crowded", F.lit(True))
+    named = crowded.select(*(F.col(n).alias(f"__at_{n}") for n in sliced), "__crowded")
+    matches = F.lit(True)
+    for name in sliced:
+        matches = matches & F.col(name).eqNullSafe(F.col(f"__at_{name}"))
+    fine = F.when(F.col("__crowded"), whole_second(time_col)).otherwise(F.col("__slice"))
+    return rows.join(F.broadcast(named), matches, "left").withColumn("__slice", fine).drop(*named.columns)
+
+
 def lookup_join(
     df: DataFrame,
     lookup: DataFrame,
@@ -98,27 +118,25 @@ def lookup_join(
 def running_total(
     df: DataFrame,
     keys: Sequence[str],
-    order: Sequence[Column],
+    time_col: str,
+    tie: str,
     value: str,
     out: str,
-    slice_by: Column,
     hot_rows: int | None = HOT_ROWS,
     hot: DataFrame | None = None,
+    slice_seconds: int = 3600,
 ) -> DataFrame:
-    """Sum of ``value`` over the rows of the same key up to and including the current one.
-
-    ``slice_by`` must not decrease along ``order``.
-    """
+    """Sum of ``value`` over the rows of the same key up to the current one, by time and ``tie``."""
 
     def total(partition: Sequence[str]) -> Column:
-        window = Window.partitionBy(*partition).orderBy(*order)
+        window = Window.partitionBy(*partition).orderBy(F.col(time_col).asc(), F.col(tie).asc())
         return F.sum(value).over(window.rowsBetween(Window.unboundedPreceding, Window.currentRow))
 
     hot = hot_keys(df, keys, hot_rows) if hot is None else hot
     if hot is None:
         return df.withColumn(out, total(keys))
 
-    rows = slices_of(df, keys, slice_by, hot)
+    rows = refined_slices(df, keys, time_col, slice_seconds, hot, hot_rows or HOT_ROWS)
     sliced = [*keys, "__slice"]
     earlier = Window.partitionBy(*keys).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
     carried = (
@@ -143,54 +161,46 @@ def rolling_count_and_sum(
     sum_out: str,
     hot_rows: int | None = HOT_ROWS,
     hot: DataFrame | None = None,
-    slice_seconds: int = 60,
+    slice_seconds: int = 3600,
 ) -> DataFrame:
     """Rows and sum of ``value`` of the same key in the last ``seconds``, current second included.
 
-    For hot keys the window of a row in slice m covers slices m-k+1 .. m-1 whole, which are
-    read from slice totals, and slices m-k and m in part: slice m gets a narrow copy of the
-    rows of slice m-k, so a task holds two slices at most.
+    All rows of one key and second have the same result, so hot keys shrink to one row per
+    second before anything is shuffled. The seconds are worked on in slices; each slice gets a
+    copy of the seconds before it that its windows reach, and its rows look the result up.
     """
+    window = Window.orderBy("__second").rangeBetween(-seconds, Window.currentRow)
 
-    def rolled(frame: DataFrame, partition: Sequence[str]) -> DataFrame:
-        window = Window.partitionBy(*partition).orderBy("__second").rangeBetween(-seconds, Window.currentRow)
-        return frame.withColumns(
-            {count_out: F.count(F.lit(1)).over(window), sum_out: F.sum(value).over(window)}
-        )
+    def rolled(partition: Sequence[str]) -> dict[str, Column]:
+        near = window.partitionBy(*partition)
+        return {count_out: F.count(F.lit(1)).over(near), sum_out: F.sum(value).over(near)}
 
     timed = df.withColumn("__second", F.unix_seconds(time_col))
     hot = hot_keys(df, keys, hot_rows) if hot is None else hot
     if hot is None:
-        return rolled(timed, keys).drop("__second")
-
-    span, rest = divmod(seconds, slice_seconds)
-    if rest or span < 2:
-        raise ValueError("seconds must be a multiple, at least twice, of slice_seconds")
+        return timed.withColumns(rolled(keys)).drop("__second")
 
-    rows = slices_of(timed, keys, time_slice(time_col, slice_seconds), hot)
+    rows = slices_of(timed, keys, whole_second(time_col), hot)
     sliced = [*keys, "__slice"]
-    middle = Window.partitionBy(*keys).orderBy("__slice").rangeBetween(-(span - 1), -1)
-    totals = (
+    block = F.floor(F.col("__slice") / F.lit(slice_seconds))
+    reach = -(-seconds // slice_seconds)
+    near = Window.partitionBy(*keys, "__block").orderBy("__slice").rangeBetween(-seconds, Window.currentRow)
+    facts = (
         rows.where("__hot")
         .groupBy(*sliced)
         .agg(F.count(F.lit(1)).alias("__n"), F.sum(value).alias("__v"))
+        .withColumn("__block", F.explode(F.sequence(block, block + reach)))
         .select(
-            *sliced, F.sum("__n").over(middle).alias("__middle_n"), F.sum("__v").over(middle).alias("__middle_v")
+            *sliced, "__block", F.sum("__n").over(near).alias("__near_n"), F.sum("__v").over(near).alias("__near_v")
         )
+        .where(F.col("__block") == block)
+        .drop("__block")
     )
-    edges = rows.where("__hot").select(
-        *keys, (F.col("__slice") + span).alias("__slice"), "__second", value, F.lit(False).alias("__own")
-    )
-    both = rows.withColumn("__own", F.lit(True)).unionByName(edges, allowMissingColumns=True)
-    found = with_slice_facts(rolled(both, sliced).where("__own"), totals, keys)
-    whole = F.when(
-        F.col(sum_out).isNotNull() | F.col("__middle_v").isNotNull(),
-        F.coalesce(F.col(sum_out), F.lit(0)) + F.coalesce("__middle_v", F.lit(0)),
-    )
+    found = with_slice_facts(rows.withColumns(rolled(sliced)), facts, keys)
     return found.select(
         *df.columns,
-        (F.col(count_out) + F.coalesce("__middle_n", F.lit(0))).alias(count_out),
-        whole.alias(sum_out),
+        F.when(F.col("__hot"), F.col("__near_n")).otherwise(F.col(count_out)).alias(count_out),
+        F.when(F.col("__hot"), F.col("__near_v")).otherwise(F.col(sum_out)).alias(sum_out),
     )
 
 
