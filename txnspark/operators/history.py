@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from txnspark import schemas as S
 from txnspark.operators.cleaning import require_columns, with_optional
-from txnspark.operators.hot_keys import HOT_ROWS, hot_keys, slices_of, with_slice_facts
+from txnspark.operators.hot_keys import HOT_ROWS, hot_keys, slice_keys, slices_of
 
 SNAPSHOT_COLUMNS = ("account_id", "user_id", "balance", "account_status")
 
@@ -122,29 +122,26 @@ def versions_from_history(
         end = F.lead(time).over(order)
     else:
         rows = slices_of(rows, [key], F.floor(F.col(time) / 100) if slice_by is None else slice_by, hot)
-        order = Window.partitionBy(key, "__slice").orderBy(time)
-        slices = Window.partitionBy(key).orderBy("__slice")
+        sliced = slice_keys([key])
+        order = Window.partitionBy(*sliced).orderBy(time)
+        slices = Window.partitionBy(*sliced[:-1]).orderBy("__slice")
         last_values = (
             rows.where("__hot")
-            .groupBy(key, "__slice")
+            .groupBy(*sliced)
             .agg(F.max_by(F.struct(tracked), time).alias("__last"))
-            .select(key, "__slice", F.lag(f"__last.{tracked}").over(slices).alias("__before"))
-        )
-        known = with_slice_facts(
-            rows.withColumns({"__previous": F.lag(tracked).over(order), "__place": F.row_number().over(order)}),
-            last_values,
-            [key],
+            .select(*sliced, F.lag(f"__last.{tracked}").over(slices).alias("__before"))
         )
+        within = {"__previous": F.lag(tracked).over(order), "__place": F.row_number().over(order)}
+        known = rows.withColumns(within).join(last_values, sliced, "left")
         previous = F.when(F.col("__place") == 1, F.col("__before")).otherwise(F.col("__previous"))
         begun = known.withColumn("__previous", previous).where(differs).select(*rows.columns)
         next_starts = (
             begun.where("__hot")
-            .groupBy(key, "__slice")
+            .groupBy(*sliced)
             .agg(F.min(time).alias("__first"))
-            .select(key, "__slice", F.lead("__first").over(slices).alias("__next_start"))
+            .select(*sliced, F.lead("__first").over(slices).alias("__next_start"))
         )
-        ended = begun.withColumn("__within", F.lead(time).over(order))
-        begun = with_slice_facts(ended, next_starts, [key])
+        begun = begun.withColumn("__within", F.lead(time).over(order)).join(next_starts, sliced, "left")
         end = F.coalesce("__within", "__next_start")
 
     return begun.withColumn("end_date", end).select(

@@ -56,10 +56,28 @@ def start_of(second: Column, width: int) -> Column:
     return second - F.pmod(second, F.lit(width))
 
 
+def slice_keys(keys: Sequence[str]) -> list[str]:
+    """Names of the columns that ``slices_of`` adds to group by: never NULL, so that a window
+    and a later join on them share one shuffle even where a key is NULL."""
+    return [*(f"__{part}_{name}" for name in keys for part in ("value", "null")), "__slice"]
+
+
 def slices_of(df: DataFrame, keys: Sequence[str], slice_by: Column, hot: DataFrame) -> DataFrame:
-    """Adds ``__hot`` and ``__slice``, which is the same for all rows of an ordinary key."""
-    tagged = tag_hot(df, keys, hot)
-    return tagged.withColumn("__slice", F.when(F.col("__hot"), slice_by.cast("bigint")).otherwise(F.lit(0)))
+    """Adds ``__hot`` and the columns of ``slice_keys``; an ordinary key has one slice."""
+    kinds = {field.name: field.dataType for field in df.schema.fields}
+    added = {"__slice": F.when(F.col("__hot"), slice_by.cast("bigint")).otherwise(F.lit(0))}
+    for name in keys:
+        added[f"__value_{name}"] = F.coalesce(F.col(name), F.lit("0").cast(kinds[name]))
+        added[f"__null_{name}"] = F.col(name).isNull()
+    return tag_hot(df, keys, hot).withColumns(added)
+
+
+def restored(columns: Sequence[str], keys: Sequence[str]) -> list[Column]:
+    """The original columns; keys come from their slice columns and need no copy in the shuffle."""
+    return [
+        F.when(~F.col(f"__null_{name}"), F.col(f"__value_{name}")).alias(name) if name in keys else F.col(name)
+        for name in columns
+    ]
 
 
 def refined_slices(
@@ -67,14 +85,9 @@ def refined_slices(
 ) -> DataFrame:
     """Slices of ``width`` seconds, and of one second where such a slice is itself too large."""
     rows = slices_of(df, keys, start_of(whole_second(time_col), width), hot)
-    sliced = [*keys, "__slice"]
-    crowded = hot_keys(rows.where("__hot"), sliced, hot_rows).withColumn("__crowded", F.lit(True))
-    named = crowded.select(*(F.col(n).alias(f"__at_{n}") for n in sliced), "__crowded")
-    matches = F.lit(True)
-    for name in sliced:
-        matches = matches & F.col(name).eqNullSafe(F.col(f"__at_{name}"))
+    crowded = hot_keys(rows.where("__hot"), slice_keys(keys), hot_rows).withColumn("__crowded", F.lit(True))
     fine = F.when(F.col("__crowded"), whole_second(time_col)).otherwise(F.col("__slice"))
-    return rows.join(F.broadcast(named), matches, "left").withColumn("__slice", fine).drop(*named.columns)
+    return rows.join(F.broadcast(crowded), slice_keys(keys), "left").withColumn("__slice", fine).drop("__crowded")
 
 
 def lookup_join(
@@ -137,17 +150,17 @@ def running_total(
         return df.withColumn(out, total(keys))
 
     rows = refined_slices(df, keys, time_col, slice_seconds, hot, hot_rows or HOT_ROWS)
-    sliced = [*keys, "__slice"]
-    earlier = Window.partitionBy(*keys).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
+    sliced = slice_keys(keys)
+    earlier = Window.partitionBy(*sliced[:-1]).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
     carried = (
         rows.where("__hot")
         .groupBy(*sliced)
         .agg(F.sum(value).alias("__total"))
         .select(*sliced, F.sum("__total").over(earlier).alias("__carried"))
     )
-    summed = rows.withColumn(out, total(sliced))
-    return with_slice_facts(summed, carried, keys).select(
-        *df.columns, (F.col(out) + F.coalesce("__carried", F.lit(0))).alias(out)
+    summed = rows.withColumn(out, total(sliced)).join(carried, sliced, "left")
+    return summed.select(
+        *restored(df.columns, keys), (F.col(out) + F.coalesce("__carried", F.lit(0))).alias(out)
     )
 
 
@@ -181,10 +194,11 @@ def rolling_count_and_sum(
         return timed.withColumns(rolled(keys)).drop("__second")
 
     rows = slices_of(timed, keys, whole_second(time_col), hot)
-    sliced = [*keys, "__slice"]
+    sliced = slice_keys(keys)
     block = F.floor(F.col("__slice") / F.lit(slice_seconds))
     reach = -(-seconds // slice_seconds)
-    near = Window.partitionBy(*keys, "__block").orderBy("__slice").rangeBetween(-seconds, Window.currentRow)
+    in_block = Window.partitionBy(*sliced[:-1], "__block").orderBy("__slice")
+    near = in_block.rangeBetween(-seconds, Window.currentRow)
     facts = (
         rows.where("__hot")
         .groupBy(*sliced)
@@ -196,22 +210,9 @@ def rolling_count_and_sum(
         .where(F.col("__block") == block)
         .drop("__block")
     )
-    found = with_slice_facts(rows.withColumns(rolled(sliced)), facts, keys)
+    found = rows.withColumns(rolled(sliced)).join(facts, sliced, "left")
     return found.select(
-        *df.columns,
+        *restored(df.columns, keys),
         F.when(F.col("__hot"), F.col("__near_n")).otherwise(F.col(count_out)).alias(count_out),
         F.when(F.col("__hot"), F.col("__near_v")).otherwise(F.col(sum_out)).alias(sum_out),
     )
-
-
-def with_slice_facts(rows: DataFrame, facts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left join of one row per key and slice, NULL keys included."""
-    sliced = [*keys, "__slice"]
-    renamed = facts.select(
-        *(F.col(name).alias(f"__at_{name}") if name in sliced else F.col(name) for name in facts.columns)
-    )
-    matches = F.lit(True)
-    for name in sliced:
-        matches = matches & F.col(name).eqNullSafe(F.col(f"__at_{name}"))
-    return rows.join(renamed, matches, "left")
-
