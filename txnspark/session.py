@@ -33,9 +33,11 @@ def apply_settings(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a local one only where none is named."""
+    """The cluster's shared checkpoint folder; a local one only where driver and executors are one."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="txnspark-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
@@ -45,8 +47,8 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` once and read it back, so that several readers share one evaluation."""
     path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
