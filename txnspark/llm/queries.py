@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from txnspark.llm import exact_dedup, link_rank, secret_scan
+from txnspark.llm import bpe, exact_dedup, link_rank, secret_scan
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +25,16 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scanned(_table(spark, sf_dir, "documents"))
 
 
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """Where the installed package of public vocabularies keeps a file."""
+    return import_module("public_tokenizers").path(name)
+
+
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trips = bpe.round_trips(_table(spark, sf_dir, "documents"), tokenizer_path())
+    return trips.select("doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
 
@@ -44,6 +56,7 @@ def llm_queries() -> dict[str, Query]:
     return {
         "op1_link_rank": op1_link_rank,
         "op5_secret_scan": op5_secret_scan,
+        "op6_bpe": op6_bpe,
         "op8_exact_dedup": op8_exact_dedup,
     }
 
