@@ -16,15 +16,13 @@ an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txnspark.session import written
 
 HEAD_CHARS = 256
 BLOCK_CHARS = 4096
-#: Bits below which monotonically_increasing_id counts the rows of one partition.
-ROW_BITS = 33
 
 
 def normalised(text: F.Column) -> F.Column:
@@ -32,20 +30,13 @@ def normalised(text: F.Column) -> F.Column:
 
 
 def named(values: DataFrame, columns: list[str]) -> DataFrame:
-    """Distinct ``columns`` with ``name``, their rank in sorted order from 0 without gaps."""
-    in_order = values.select(*columns).distinct().orderBy(*columns)
-    # written, so that the numbering is one and the same for all that read it
-    placed = written(in_order.withColumn("_at", F.monotonically_increasing_id()), "block-names")
-    run, row = F.shiftright("_at", ROW_BITS), F.col("_at").bitwiseAND((1 << ROW_BITS) - 1)
-    # one row for each partition of the sort
-    runs = placed.groupBy(run.alias("_run")).agg(F.count("*").alias("_rows"))
-    before = Window.orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
-    runs = runs.select("_run", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_first"))
-    return (
-        placed.withColumn("_run", run)
-        .join(F.broadcast(runs), "_run")
-        .select(*columns, (F.col("_first") + row).alias("name"))
-    )
+    """Distinct ``columns`` with an integer ``name``: partition and rank in its sorted order.
+
+    Equal values meet in one partition, so no sample of the values is needed to range them. The
+    names are written, so that they are the same for all that read them.
+    """
+    in_order = values.select(*columns).distinct().sortWithinPartitions(*columns)
+    return written(in_order.withColumn("name", F.monotonically_increasing_id()), "block-names", "zstd")
 
 
 def _identities(prepared: DataFrame, head_chars: int, block_chars: int) -> DataFrame:
@@ -64,7 +55,8 @@ def _identities(prepared: DataFrame, head_chars: int, block_chars: int) -> DataF
     blocks = (
         prepared.filter(F.col("n_chars") > head_chars)
         .select("row", "text")
-        .join(rows.select("row", "head"), "row")
+        # merged at every size: what is shared grows with the input
+        .join(rows.select("row", "head").hint("merge"), "row")
         .select("row", "head", F.posexplode(pieces).alias("at", "block"))
     )
     blocks = written(blocks, "blocks", "zstd")
@@ -115,6 +107,8 @@ def exact_groups(
     ids = ids.join(prepared.select("row", "doc_id"), "row")
     first = F.min(F.struct(F.isnull("doc_id").alias("none"), F.col("doc_id"), F.col("row")))
     groups = ids.groupBy("head", "name").agg(first.alias("first"), F.count("*").alias("group_size"))
+    # written, so that the join below is between plain shuffles, which large groups can be split in
+    groups = written(groups, "copy-groups")
     copies = ids.join(groups, ["head", "name"]).select(
         "row",
         F.col("first.doc_id").alias("keep_id"),
