@@ -8,7 +8,7 @@ from importlib import import_module
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnspark.llm import bpe, exact_dedup, link_rank, secret_scan
+from txnspark.llm import bpe, exact_dedup, link_rank, secret_scan, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,10 @@ def op1_link_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_rank.judged_pages(_table(spark, sf_dir, "pages"))
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived_pages(_table(spark, sf_dir, "pages"))
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scanned(_table(spark, sf_dir, "documents"))
 
@@ -39,6 +43,20 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
 
 
+OP2_SQL = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), q AS (
+  SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first_id
+  FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first_id THEN first_id END AS refers_to,
+  TRUE AS intact
+FROM q
+"""
+
 OP8_SQL = r"""
 WITH n AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents
@@ -55,6 +73,7 @@ FROM n
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_link_rank": op1_link_rank,
+        "op2_warc": op2_warc,
         "op5_secret_scan": op5_secret_scan,
         "op6_bpe": op6_bpe,
         "op8_exact_dedup": op8_exact_dedup,
@@ -62,4 +81,4 @@ def llm_queries() -> dict[str, Query]:
 
 
 def llm_sql() -> dict[str, str]:
-    return {"op8_exact_dedup": OP8_SQL}
+    return {"op2_warc": OP2_SQL, "op8_exact_dedup": OP8_SQL}
