@@ -8,7 +8,7 @@ from importlib import import_module
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnspark.llm import bpe, exact_dedup, link_rank, secret_scan, warc
+from txnspark.llm import bpe, exact_dedup, link_rank, secret_scan, simhash, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +25,10 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived_pages(_table(spark, sf_dir, "pages"))
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scanned(_table(spark, sf_dir, "documents"))
 
@@ -74,6 +78,7 @@ def llm_queries() -> dict[str, Query]:
     return {
         "op1_link_rank": op1_link_rank,
         "op2_warc": op2_warc,
+        "op4_simhash": op4_simhash,
         "op5_secret_scan": op5_secret_scan,
         "op6_bpe": op6_bpe,
         "op8_exact_dedup": op8_exact_dedup,
