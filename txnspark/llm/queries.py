@@ -8,7 +8,7 @@ from importlib import import_module
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnspark.llm import bpe, exact_dedup, link_rank, secret_scan, simhash, warc
+from txnspark.llm import bpe, decontamination, exact_dedup, link_rank, secret_scan, simhash, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,6 +47,11 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = (_table(spark, sf_dir, t) for t in ("documents", "benchmark"))
+    return decontamination.contaminated(docs, benchmark)
+
+
 OP2_SQL = """
 WITH p AS (
   SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
@@ -82,6 +87,7 @@ def llm_queries() -> dict[str, Query]:
         "op5_secret_scan": op5_secret_scan,
         "op6_bpe": op6_bpe,
         "op8_exact_dedup": op8_exact_dedup,
+        "op9_decontamination": op9_decontamination,
     }
 
 
