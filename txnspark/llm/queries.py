@@ -8,7 +8,7 @@ from importlib import import_module
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnspark.llm import bpe, decontamination, exact_dedup, link_rank, secret_scan, simhash, warc
+from txnspark.llm import bpe, decontamination, exact_dedup, line_templates, link_rank, secret_scan, simhash, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,6 +52,12 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(docs, benchmark)
 
 
+def op10_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    left = line_templates.without_templates(docs)
+    return left.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 OP2_SQL = """
 WITH p AS (
   SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
@@ -78,6 +84,52 @@ SELECT doc_id,
 FROM n
 """
 
+OP10_SQL = r"""
+WITH masked AS (
+  SELECT doc_id, text, regexp_replace(trim(regexp_replace(regexp_replace(
+    text, '[\x20\x09\x0B-\x0D]+', ' ', 'g'), ' ?\n ?', chr(10), 'g')), '[^ \n]*[0-9][^ \n]*', '<*>', 'g') AS forms
+  FROM documents
+), lines AS (
+  SELECT DISTINCT doc_id, unnest(string_split(forms, chr(10))) AS form
+  FROM masked WHERE doc_id IS NOT NULL AND text IS NOT NULL
+), tokens AS (
+  SELECT doc_id, form, string_split(form, ' ') AS t FROM lines WHERE form <> ''
+), leaves AS (
+  SELECT doc_id, form, t, len(t) || ' ' || array_to_string(t[1:3], ' ') AS leaf FROM tokens
+), busy AS (
+  SELECT leaf, count(*) AS lines FROM leaves GROUP BY leaf HAVING count(*) >= 6
+), forms AS (
+  SELECT leaf, form, any_value(t) AS t, count(*) AS lines FROM leaves SEMI JOIN busy USING (leaf) GROUP BY leaf, form
+), places AS (
+  SELECT leaf, lines, t, unnest(range(4, len(t) + 1)) AS at FROM forms
+), constant AS (
+  SELECT p.leaf, p.at, p.t[p.at] AS token FROM places p JOIN busy b USING (leaf)
+  GROUP BY p.leaf, p.at, p.t[p.at], b.lines HAVING sum(p.lines) >= 0.9 * b.lines
+), trees AS (
+  SELECT leaf FROM constant GROUP BY leaf HAVING count(*) >= 0.6 * (CAST(split_part(leaf, ' ', 1) AS INT) - 3)
+), disagree AS (
+  SELECT DISTINCT f.leaf, f.form FROM forms f JOIN constant c USING (leaf) WHERE f.t[c.at] <> c.token
+), keyed AS (
+  SELECT f.leaf, f.form, CASE WHEN t.leaf IS NOT NULL AND d.form IS NULL THEN 'leaf ' || f.leaf ELSE 'form ' || f.form END AS template
+  FROM forms f LEFT JOIN trees t USING (leaf) LEFT JOIN disagree d ON d.leaf = f.leaf AND d.form = f.form
+), placed AS (
+  SELECT l.doc_id, l.form, k.template FROM leaves l JOIN keyed k USING (leaf, form)
+), common AS (
+  SELECT template, min(doc_id) AS first FROM placed GROUP BY template HAVING count(DISTINCT doc_id) >= 6
+), gone AS (
+  SELECT doc_id, list(DISTINCT form) AS gone FROM placed JOIN common USING (template) WHERE doc_id <> first GROUP BY doc_id
+), kept AS (
+  SELECT m.doc_id, m.text, string_split(m.text, chr(10)) AS lines, string_split(m.forms, chr(10)) AS forms, g.gone
+  FROM masked m LEFT JOIN gone g ON g.doc_id = m.doc_id
+), shortened AS (
+  SELECT *, CASE WHEN gone IS NULL THEN lines ELSE list_filter(lines, lambda x, i: NOT list_contains(gone, forms[i])) END AS rest
+  FROM kept
+)
+SELECT doc_id, coalesce(len(lines), 0) AS n_lines, coalesce(len(lines) - len(rest), 0) AS n_dropped,
+  sha256(array_to_string(rest, chr(10))) AS kept_sha256
+FROM shortened
+"""
+
 
 def llm_queries() -> dict[str, Query]:
     return {
@@ -88,8 +140,9 @@ def llm_queries() -> dict[str, Query]:
         "op6_bpe": op6_bpe,
         "op8_exact_dedup": op8_exact_dedup,
         "op9_decontamination": op9_decontamination,
+        "op10_line_templates": op10_line_templates,
     }
 
 
 def llm_sql() -> dict[str, str]:
-    return {"op2_warc": OP2_SQL, "op8_exact_dedup": OP8_SQL}
+    return {"op2_warc": OP2_SQL, "op8_exact_dedup": OP8_SQL, "op10_line_templates": OP10_SQL}
