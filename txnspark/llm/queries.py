@@ -8,7 +8,7 @@ from importlib import import_module
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnspark.llm import bpe, decontamination, exact_dedup, line_templates, link_rank, secret_scan, simhash, warc
+from txnspark.llm import bpe, cotraining, decontamination, exact_dedup, line_templates, link_rank, secret_scan, simhash, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +25,11 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived_pages(_table(spark, sf_dir, "pages"))
 
 
+def op3_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (_table(spark, sf_dir, t) for t in ("documents", "labels"))
+    return cotraining.scored(docs, labels)
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -135,6 +140,7 @@ def llm_queries() -> dict[str, Query]:
     return {
         "op1_link_rank": op1_link_rank,
         "op2_warc": op2_warc,
+        "op3_cotraining": op3_cotraining,
         "op4_simhash": op4_simhash,
         "op5_secret_scan": op5_secret_scan,
         "op6_bpe": op6_bpe,
