@@ -8,7 +8,7 @@ from importlib import import_module
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnspark.llm import bpe, cotraining, decontamination, exact_dedup, line_templates, link_rank, secret_scan, simhash, warc
+from txnspark.llm import bpe, cotraining, decontamination, exact_dedup, line_templates, link_rank, prefix_free_parsing, secret_scan, simhash, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -48,6 +48,10 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trips.select("doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256"))
 
 
+def op7_prefix_free_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_free_parsing.without_repeats(_table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
 
@@ -144,6 +148,7 @@ def llm_queries() -> dict[str, Query]:
         "op4_simhash": op4_simhash,
         "op5_secret_scan": op5_secret_scan,
         "op6_bpe": op6_bpe,
+        "op7_prefix_free_parsing": op7_prefix_free_parsing,
         "op8_exact_dedup": op8_exact_dedup,
         "op9_decontamination": op9_decontamination,
         "op10_line_templates": op10_line_templates,
