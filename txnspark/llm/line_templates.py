@@ -106,8 +106,8 @@ def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     return placed.join(common.hint("merge"), "template").filter("doc_id <> first").select("doc_id", "hash")
 
 
-def without_templates(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """``docs`` with the text that is left, and ``n_lines`` and ``n_dropped`` in front of it all."""
+def without_templates(docs: DataFrame, min_docs: int = MIN_DOCS, counts: bool = True) -> DataFrame:
+    """``docs`` with the text that is left; with ``counts``, n_lines and n_dropped in front of it all."""
     lists = (
         dropped_lines(docs, min_docs)
         .groupBy("doc_id", F.pmod("hash", F.lit(LISTS)).alias("list"))
@@ -134,8 +134,9 @@ def without_templates(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
         }
     ).withColumn("_left", F.when(F.col("_drop").isNotNull(), left).otherwise(F.col("_lines")))
     kept = F.when(F.col("_drop").isNotNull(), F.array_join("_left", "\n")).otherwise(text)
-    return joined.select(
+    sizes = (
         F.coalesce(F.size("_lines"), F.lit(0)).cast("long").alias("n_lines"),
         F.coalesce(F.size("_lines") - F.size("_left"), F.lit(0)).cast("long").alias("n_dropped"),
-        *(kept.alias(c) if c == "text" else F.col(f"_row.`{c}`") for c in names),
     )
+    rest = (kept.alias(c) if c == "text" else F.col(f"_row.`{c}`") for c in names)
+    return joined.select(*(sizes if counts else ()), *rest)

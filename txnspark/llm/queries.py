@@ -3,66 +3,69 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnspark.llm import bpe, cotraining, decontamination, exact_dedup, line_templates, link_rank, prefix_free_parsing, secret_scan, simhash, warc
+import corpus_pipeline
+from txnspark.llm import (
+    bpe,
+    cotraining,
+    decontamination,
+    exact_dedup,
+    line_templates,
+    link_rank,
+    prefix_free_parsing,
+    secret_scan,
+    simhash,
+    warc,
+)
+from txnspark.llm.tables import table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def op1_link_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return link_rank.judged_pages(_table(spark, sf_dir, "pages"))
+    return link_rank.judged_pages(table(spark, sf_dir, "pages"))
 
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.archived_pages(_table(spark, sf_dir, "pages"))
+    return warc.archived_pages(table(spark, sf_dir, "pages"))
 
 
 def op3_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, labels = (_table(spark, sf_dir, t) for t in ("documents", "labels"))
+    docs, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
     return cotraining.scored(docs, labels)
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secret_scan.scanned(_table(spark, sf_dir, "documents"))
-
-
-def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
-    """Where the installed package of public vocabularies keeps a file."""
-    return import_module("public_tokenizers").path(name)
+    return secret_scan.scanned(table(spark, sf_dir, "documents"))
 
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    trips = bpe.round_trips(_table(spark, sf_dir, "documents"), tokenizer_path())
+    trips = bpe.round_trips(table(spark, sf_dir, "documents"), tokenizer_path())
     return trips.select("doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256"))
 
 
 def op7_prefix_free_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prefix_free_parsing.without_repeats(_table(spark, sf_dir, "documents")).drop("kept")
+    return prefix_free_parsing.without_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
+    return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, benchmark = (_table(spark, sf_dir, t) for t in ("documents", "benchmark"))
+    docs, benchmark = (table(spark, sf_dir, t) for t in ("documents", "benchmark"))
     return decontamination.contaminated(docs, benchmark)
 
 
 def op10_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     left = line_templates.without_templates(docs)
     return left.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
@@ -152,6 +155,7 @@ def llm_queries() -> dict[str, Query]:
         "op8_exact_dedup": op8_exact_dedup,
         "op9_decontamination": op9_decontamination,
         "op10_line_templates": op10_line_templates,
+        "pipeline": corpus_pipeline.run,
     }
 
 

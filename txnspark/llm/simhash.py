@@ -41,7 +41,7 @@ BUCKET_VARIANTS = 4_000_000
 #: Bits of a variant's hash beyond those that number all variants: one in 2^7 meets by hash only.
 SPARE_BITS = 7
 
-FINGERPRINTS = "doc_id long, fp long"
+FINGERPRINTS = "doc_id long, text_hash long, fp long"
 
 
 def fingerprint(text: str | None, size: int = SHINGLE_WORDS) -> int:
@@ -68,12 +68,17 @@ def fingerprint(text: str | None, size: int = SHINGLE_WORDS) -> int:
 def _fingerprint_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = pa.array(map(fingerprint, batch.column("text").to_pylist()), pa.int64())
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), found], ["doc_id", "fp"])
+        own = [batch.column("doc_id"), batch.column("text_hash"), found]
+        yield pa.RecordBatch.from_arrays(own, ["doc_id", "text_hash", "fp"])
+
+
+def _row_key() -> list[F.Column]:
+    return [F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash")]
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id, fp."""
-    rows = docs.select(F.col("doc_id").cast("long"), "text")
+    """doc_id, text_hash, fp."""
+    rows = docs.select(*_row_key(), "text")
     return rows.mapInArrow(_fingerprint_batches, FINGERPRINTS)
 
 
@@ -271,15 +276,38 @@ def links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
     return whole.groupBy("bucket").applyInArrow(_verify(plan), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """One row per document: doc_id, fingerprint, component_id."""
-    found = written(fingerprints(docs), "fingerprints")
+def _components(found: DataFrame, radius: int) -> DataFrame:
+    """fp, root, component_id of all fingerprints of ``found``."""
     nodes = written(found.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
     roots = components(links(nodes, radius)).withColumnRenamed("node", "fp")
     placed = nodes.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     placed = written(placed, "placed-fingerprints")
     least = placed.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = written(placed.join(least, "root").select("fp", "component_id"), "fingerprint-components")
-    return found.join(named, "fp").select(
+    named = placed.join(least, "root").select("fp", "root", "component_id")
+    return written(named, "fingerprint-components")
+
+
+def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """One row per document: doc_id, fingerprint, component_id."""
+    found = written(fingerprints(docs), "fingerprints")
+    return found.join(_components(found, radius), "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def one_of_each(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """Of each component the row of ``docs`` with the smallest doc_id, with all its columns.
+
+    Ids that are null come last; of rows that repeat an id, one stays.
+    """
+    found = written(fingerprints(docs), "fingerprints")
+    order = F.struct(F.isnull("doc_id").alias("none"), "doc_id", "text_hash")
+    kept = found.join(_components(found, radius).select("fp", "root"), "fp").groupBy("root")
+    kept = written(kept.agg(F.min(order).alias("row")).select("row.doc_id", "row.text_hash"), "kept-rows")
+    # plain keys, so that the join's partitions serve for the repeated rows too
+    key = {"_none": F.isnull("doc_id"), "_id": F.coalesce("doc_id", F.lit(0)), "_hash": F.col("text_hash")}
+    kept = kept.select(*(v.alias(k) for k, v in key.items()))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), *_row_key())
+    rows = rows.select("row", *(v.alias(k) for k, v in key.items()))
+    # merged at every size: what is kept grows with the input
+    return rows.join(kept.hint("merge"), list(key)).dropDuplicates(list(key)).select("row.*")
