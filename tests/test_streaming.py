@@ -39,10 +39,10 @@ def by_time(rows, parts):
     return [ordered[i : i + size] for i in range(0, len(ordered), size)]
 
 
-@pytest.mark.parametrize("parts,slice_seconds", [(1, 3600), (3, 300)])
-def test_history_in_batches_equals_brute_force(spark, tmp_path, parts, slice_seconds):
+@pytest.mark.parametrize("parts", [1, 6])
+def test_history_in_batches_equals_brute_force(spark, tmp_path, parts):
     stream = stream_of(spark, tmp_path, [frame(spark, b) for b in by_time(ROWS, parts)])
-    found = drain(velocity.with_history(stream, slice_seconds=slice_seconds), tmp_path, "v", idle_batches=False).collect()
+    found = drain(velocity.with_history(stream, lateness_seconds=0), tmp_path, "v", idle_batches=False).collect()
     assert len(found) == len(ROWS)
     for r in found:
         near = [o for o in ROWS if o[1] == r.user_id and 0 <= (r.event_timestamp - o[5]).total_seconds() <= 300
@@ -111,17 +111,47 @@ def test_late_rows_take_the_other_route(spark, tmp_path, rows_of):
         assert on_time.count() == 5
 
 
+def once(stream, tmp_path, checkpoint="cp", **kwargs):
+    windows.append_once(stream, str(tmp_path / "once"), str(tmp_path / checkpoint), **kwargs).awaitTermination()
+    return stream.sparkSession.read.schema(stream.schema).parquet(str(tmp_path / "once"))
+
+
 def test_feed_shows_each_high_alert_once(spark, tmp_path):
     rows = [alert("a", "u", "1"), alert("b", "u", "2", risk="0.8000")]
-    stream = stream_of(spark, tmp_path, [alert_frame(spark, rows), alert_frame(spark, rows[:1] + [alert("c", "u", "3", second=3)])])
-    found = drain(windows.new_alerts(stream), tmp_path, "feed")
-    assert sorted(r.alert_id for r in found.collect()) == ["a", "c"]
+    batches = [rows, [*rows[:1], alert("c", "u", "3", second=90_000)], [alert("d", "u", "4", second=1), rows[0]]]
+    stream = windows.high_alerts(stream_of(spark, tmp_path, [alert_frame(spark, b) for b in batches]))
+    found = once(stream, tmp_path, key="alert_id", day="detected_on")
+    assert sorted(r.alert_id for r in found.collect()) == ["a", "c", "d"]
+
+
+def test_late_rows_and_copies_are_kept_and_dropped(spark, tmp_path):
+    days = [0, 86_400, 2 * 86_400]
+    batches = [[event(str(k), "u", second=s)] for k, s in enumerate(days)]
+    batches += [[event("1", "u", second=days[1], delay=9)], [event("late", "u", second=5), event("late", "u", second=5)]]
+    batches += [[event("0", "u", second=0)]]
+    stream = stream_of(spark, tmp_path, [frame(spark, b) for b in batches])
+    for checkpoint in ("cp1", "cp2"):  # the second run replays every batch
+        found = once(stream, tmp_path, checkpoint)
+        assert sorted(r.event_id for r in found.collect()) == ["0", "1", "2", "late"]
 
 
-def test_copies_within_the_delay_are_dropped(spark, tmp_path):
-    batches = [[event("1", "u")], [event("1", "u", delay=9), event("2", "u", second=1)]]
+def test_counts_take_late_rows(spark, tmp_path):
+    batches = [[event("1", "u", second=0), event("2", "u", second=1000)], [event("3", "u", "LOGIN_FAILED", "0", second=10)]]
     stream = stream_of(spark, tmp_path, [frame(spark, b) for b in batches])
-    assert drain(windows.first_deliveries(stream), tmp_path, "d").count() == 2
+    for checkpoint in ("cp1", "cp2"):
+        windows.keep_counts(stream, str(tmp_path / "k"), str(tmp_path / checkpoint)).awaitTermination()
+        found = windows.counts(spark, str(tmp_path / "k")).orderBy("window_start").collect()
+        assert [(r.events, r.failed_logins, r.late_events) for r in found] == [(2, 1, 1), (1, 0, 0)]
+        late = spark.read.schema(stream.schema).parquet(str(tmp_path / "k" / "late"))
+        assert [r.event_id for r in late.collect()] == ["3"]
+
+
+def test_history_without_amount_or_time(spark, tmp_path):
+    rows = frame(spark, [event("1", "u"), event("2", "u", second=1), event("3", "u", second=2)])
+    rows = rows.withColumn("amount", F.when(F.col("event_id") != "2", F.col("amount")))
+    rows = rows.withColumn("event_timestamp", F.when(F.col("event_id") != "3", F.col("event_timestamp")))
+    found = drain(velocity.with_history(stream_of(spark, tmp_path, [rows])), tmp_path, "v", idle_batches=False).collect()
+    assert {r.event_id: r.tx_count_1h for r in found} == {"1": 1.0, "2": 2.0, "3": 0.0}
 
 
 def test_batches_are_inserted_once_and_retried(spark, tmp_path):

@@ -7,20 +7,45 @@ from pyspark.sql import functions as F
 
 from txnspark import schemas as S
 from txnspark import session
-from txnspark.operators import cleaning
+from txnspark.operators import cleaning, scoring
 from txnspark.plans import views as V
 from txnspark.plans.queries import messages_from_events, plain_times
 from txnspark.sources import files
 from txnspark.streaming import ingest, velocity, windows
 
-
-def event_stream(spark: SparkSession, sf_dir: str, files_per_trigger: int | None = None) -> DataFrame:
-    """The ``events`` table as a stream of bank events."""
+TIME_PARTS = 5
+LATE_PART = TIME_PARTS
+FILES = 4
+
+
+def delivered(df: DataFrame, time: str, name: str, late: bool = False, again: bool = False) -> DataFrame:
+    """``df`` as a stream of several deliveries, a batch each.
+
+    Deliveries follow each other in time. With ``late``, one event in 97 comes with the last one;
+    with ``again``, one in 50 is delivered a second time after its own.
+    """
+    spark = df.sparkSession
+    second = F.unix_seconds(time)
+    ends = df.agg(F.min(second).alias("first"), F.max(second).alias("last")).first()
+    span = (ends["last"] or 0) - (ends["first"] or 0) + 1
+    part = F.expr(f"cast(({TIME_PARTS} * (unix_seconds({time}) - {ends['first'] or 0})) div {span} as int)")
+    number = F.col("__n")
+    part = F.when((number % 97 == 0) & F.lit(late), F.lit(LATE_PART)).otherwise(part)
+    parts = F.when((number % 50 == 0) & F.lit(again), F.array(part, part + 1)).otherwise(F.array(part))
+    dealt = session.written(df.select("*", F.explode(parts).alias("__part")).drop("__n"), f"{name}-parts")
+    folder = session.new_folder(spark, f"{name}-input")
+    for k in range(TIME_PARTS + 2):
+        rows = dealt.where(F.col("__part") == k).drop("__part")
+        # files are read in order of their age, so one delivery is written after the other
+        rows.repartition(FILES).write.parquet(f"{folder}/part{k}")
+    schema = dealt.drop("__part").schema
+    return files.event_files(spark, f"{folder}/part*", schema, FILES)
+
+
+def delivered_events(spark: SparkSession, sf_dir: str, late: bool = False, again: bool = False) -> DataFrame:
     session.apply_settings(spark)
-    rows = V.load(spark, sf_dir, "events")
-    # As a pattern the path may be one file or a folder of files.
-    path = f"{sf_dir}/events.parque[t]"
-    return V.as_bank_events(files.event_files(spark, path, rows.schema, files_per_trigger))
+    events = V.bank_events(spark, sf_dir).withColumn("__n", F.col("event_id").cast("bigint"))
+    return delivered(events, "event_timestamp", "events", late, again)
 
 
 def drained(
@@ -49,17 +74,24 @@ def stream_bronze_ingest(spark, sf_dir):
 
 
 def stream_tumbling_counts(spark, sf_dir):
-    return drained(windows.tumbling_counts(event_stream(spark, sf_dir)), "windows")
+    """All windows with their late rows, from several deliveries of which the last is late."""
+    folder = session.new_folder(spark, "windows")
+    stream = delivered_events(spark, sf_dir, late=True)
+    windows.keep_counts(stream, folder, f"{folder}/checkpoint").awaitTermination()
+    return windows.counts(spark, folder)
 
 
 def stream_silver(spark, sf_dir):
-    """Money movements without repeated deliveries, appended by day."""
-    moves = cleaning.of_types(windows.first_deliveries(event_stream(spark, sf_dir)))
-    return drained(moves, "silver", ("event_date",)).select("event_id", "user_id", "event_type", "amount", "event_date")
+    """Money movements, once each though some are delivered twice and some late, appended by day."""
+    folder = session.new_folder(spark, "silver")
+    moves = cleaning.of_types(delivered_events(spark, sf_dir, late=True, again=True))
+    windows.append_once(moves, f"{folder}/table", f"{folder}/checkpoint").awaitTermination()
+    table = spark.read.schema(moves.schema).parquet(f"{folder}/table")
+    return table.select("event_id", "user_id", "event_type", "amount", "event_date")
 
 
 def stream_velocity(spark, sf_dir):
-    df = drained(velocity.with_history(event_stream(spark, sf_dir)), "velocity", idle_batches=False)
+    df = drained(velocity.with_history(delivered_events(spark, sf_dir)), "velocity", idle_batches=False)
     return df.select(
         "event_id",
         "tx_count_1h",
@@ -70,14 +102,21 @@ def stream_velocity(spark, sf_dir):
 
 
 def stream_alerts(spark, sf_dir):
-    alerts = velocity.scored_alerts(event_stream(spark, sf_dir), V.known_ips(spark, sf_dir), V.model_column)
+    known = session.written(V.known_ips(spark, sf_dir), "known-addresses")
+    alerts = velocity.scored_alerts(delivered_events(spark, sf_dir), known, V.model_column)
     return drained(alerts, "alerts", idle_batches=False)
 
 
+def stream_stateless_alerts(spark, sf_dir):
+    """Alerts of the model that keeps no history, scored as events arrive."""
+    scored = V.model_column(scoring.stateless_features(delivered_events(spark, sf_dir, late=True)))
+    return drained(scoring.stateless_alerts(scored, "probability", flag_above=0.5), "stateless")
+
+
 def stream_late_routing(spark, sf_dir):
-    """Every event with the route it takes; the table as one batch has nothing before it to be late to."""
+    """Every event with the route it takes; the last delivery is late."""
     folder = session.new_folder(spark, "late")
-    stream = event_stream(spark, sf_dir).select("event_id", "event_timestamp")
+    stream = delivered_events(spark, sf_dir, late=True).select("event_id", "event_timestamp")
     windows.route_late(stream, folder, f"{folder}/checkpoint").awaitTermination()
     parts = [
         spark.read.schema(stream.schema).parquet(f"{folder}/{part}").select("event_id", "event_timestamp", F.lit(part).alias("route"))
@@ -87,12 +126,13 @@ def stream_late_routing(spark, sf_dir):
 
 
 def stream_alert_feed(spark, sf_dir):
-    """Alerts written as a table, streamed from it to the feed."""
+    """Alerts as they are delivered, some twice and some late, each once in the feed."""
     session.apply_settings(spark)
-    stored = session.written(V.alerts(spark, sf_dir), "alert-table")
-    path = stored.inputFiles()[0].rpartition("/")[0]
-    stream = files.event_files(spark, path, stored.schema)
-    return drained(windows.new_alerts(stream), "feed")
+    stored = V.alerts(spark, sf_dir).withColumn("__n", F.col("source_event_id").cast("bigint"))
+    stream = windows.high_alerts(delivered(stored, "detected_at", "alerts", late=True, again=True))
+    folder = session.new_folder(spark, "feed")
+    windows.append_once(stream, f"{folder}/table", f"{folder}/checkpoint", "alert_id", "detected_on").awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{folder}/table").select(stream.columns[:-1])
 
 
 STREAMS = [
@@ -101,6 +141,7 @@ STREAMS = [
     stream_silver,
     stream_velocity,
     stream_alerts,
+    stream_stateless_alerts,
     stream_late_routing,
     stream_alert_feed,
 ]

@@ -19,29 +19,39 @@ from txnspark import schemas as S
 from txnspark.operators.scoring import mark_unknown_ips, stateful_alerts
 
 WINDOW_SECONDS = 300
-SLICE_SECONDS = 3600
-STATE_TTL_MS = 3_600_000
+LATENESS_SECONDS = 3600
 _ENTRY = S.struct("micros BIGINT, event_id STRING, cents BIGINT")
 
 
 class RecentHistory(StatefulProcessor):
     """Adds to each event the count and sum of its user's events in the window before it.
 
-    Events count in order of time and id; a late event sees only what lies before it.
+    Events count in order of time and id; a late event sees only what lies before it. The state of
+    a user ends ``lateness`` and the window behind the user's own newest event, so it depends on the
+    events alone and not on when they are processed. Events without a time have no history.
     """
 
-    def __init__(self, seconds: int, ttl_ms: int, names: list[str]):
-        self.span, self.ttl_ms, self.names = seconds * 1_000_000, ttl_ms, names
+    def __init__(self, seconds: int, lateness: int, names: list[str]):
+        self.span, self.keep, self.names = seconds * 1_000_000, (seconds + lateness) * 1_000_000, names
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.history = handle.getListState("history", _ENTRY, ttlDurationMs=self.ttl_ms)
+        self.history = handle.getListState("history", _ENTRY)
 
     def handleInputRows(self, key, rows: Iterator[Row], timer_values) -> Iterator[Row]:
-        new = list(rows)
-        added = [(row.event_micros, row.event_id, row.event_cents) for row in new]
+        new = []
+        for row in rows:
+            if row.event_micros is not None:
+                new.append(row)
+                continue
+            values = row.asDict() | {"history_count": 0, "history_cents": 0}
+            yield Row(**{name: values[name] for name in self.names})
+        if not new:
+            return
+        added = [(row.event_micros, row.event_id or "", row.event_cents) for row in new]
         known = list(self.history.get())
         ordered = sorted([*((tuple(entry), None) for entry in known), *zip(added, new)], key=lambda pair: pair[0])
-        self.history.appendList(added)
+        oldest = ordered[-1][0][0] - self.keep
+        self.history.put([entry for entry, _ in ordered if entry[0] >= oldest])
 
         begin, total = 0, 0
         for end, ((micros, _, cents), row) in enumerate(ordered, start=1):
@@ -49,7 +59,7 @@ class RecentHistory(StatefulProcessor):
             while ordered[begin][0][0] < micros - self.span:
                 total -= ordered[begin][0][2]
                 begin += 1
-            if row is not None and row.is_own:
+            if row is not None:
                 values = row.asDict()
                 values["history_count"], values["history_cents"] = end - begin, total
                 yield Row(**{name: values[name] for name in self.names})
@@ -62,31 +72,25 @@ def with_history(
     events: DataFrame,
     seconds: int = WINDOW_SECONDS,
     zero_average: float = 1.0,
-    ttl_ms: int = STATE_TTL_MS,
-    slice_seconds: int = SLICE_SECONDS,
+    lateness_seconds: int = LATENESS_SECONDS,
 ) -> DataFrame:
-    """Adds ``tx_count_1h``, ``amount_avg_1h`` and ``amount_vs_avg`` over the last ``seconds``."""
-    if slice_seconds < seconds:
-        raise ValueError("a slice must not be shorter than the window")
-    micros = F.unix_micros("event_timestamp")
-    own = F.floor(micros / F.lit(slice_seconds * 1_000_000))
-    last_part = micros - own * slice_seconds * 1_000_000 >= (slice_seconds - seconds) * 1_000_000
-    here = F.struct(own.alias("slice"), F.lit(True).alias("own"))
-    next_one = F.struct((own + 1).alias("slice"), F.lit(False).alias("own"))
-    spread = events.withColumns(
+    """Adds ``tx_count_1h``, ``amount_avg_1h`` and ``amount_vs_avg`` over the last ``seconds``.
+
+    A missing amount counts as zero.
+    """
+    timed = events.withColumns(
         {
-            "event_micros": micros,
-            "event_cents": (F.col("amount") * 100).cast("bigint"),
-            "slot": F.explode(F.when(last_part, F.array(here, next_one)).otherwise(F.array(here))),
+            "event_micros": F.unix_micros("event_timestamp"),
+            "event_cents": F.coalesce((F.col("amount") * 100).cast("bigint"), F.lit(0)),
         }
-    ).select("*", F.col("slot.slice").alias("time_slice"), F.col("slot.own").alias("is_own")).drop("slot")
+    )
 
     fields = [*events.schema.fields, T.StructField("history_count", T.LongType()), T.StructField("history_cents", T.LongType())]
     names = [field.name for field in fields]
-    counted = spread.groupBy("user_id", "time_slice").transformWithState(
-        RecentHistory(seconds, ttl_ms, names), T.StructType(fields), "Append", "ProcessingTime"
+    counted = timed.groupBy("user_id").transformWithState(
+        RecentHistory(seconds, lateness_seconds, names), T.StructType(fields), "Append", "None"
     )
-    mean = F.col("history_cents").cast("double") / 100 / F.col("history_count")
+    mean = F.try_divide(F.col("history_cents").cast("double") / 100, F.col("history_count"))
     return counted.withColumns(
         {
             "tx_count_1h": F.col("history_count").cast("double"),
@@ -111,5 +115,5 @@ def scored_alerts(
     ``add_probability`` adds the column ``probability``, for example the transform of a saved
     model. The history counts events from unknown addresses as well.
     """
-    featured = mark_unknown_ips(with_history(events, seconds), known_ips, hot_rows=None)
+    featured = mark_unknown_ips(with_history(events, seconds), known_ips)
     return stateful_alerts(add_probability(featured), "probability", threshold)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from txnspark.operators.cleaning import first_delivery
+
 OUT_OF_ORDER = "30 seconds"
 
 
@@ -15,7 +17,10 @@ def watermarked(events: DataFrame, delay: str = OUT_OF_ORDER, time_col: str = "e
 
 
 def tumbling_counts(events: DataFrame, size: str = "5 minutes", delay: str = "60 seconds") -> DataFrame:
-    """Events, debited users' total and failed logins per window."""
+    """Events, debited users' total and failed logins per window, emitted once when it closes.
+
+    Rows behind the watermark are not in it; ``keep_counts`` has them too.
+    """
     return (
         watermarked(events, delay)
         .groupBy(F.window("event_timestamp", size).alias("w"))
@@ -34,16 +39,105 @@ def tumbling_counts(events: DataFrame, size: str = "5 minutes", delay: str = "60
     )
 
 
-def first_deliveries(events: DataFrame, delay: str = OUT_OF_ORDER, key: str = "event_id") -> DataFrame:
-    """Drop copies of an event that arrive within the delay; state is freed behind the watermark."""
-    return watermarked(events, delay).dropDuplicatesWithinWatermark([key])
+def append_once(
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    key: str = "event_id",
+    day: str = "event_date",
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Append rows whose key the table does not hold yet, however late they or their copies come.
+
+    Copies of a row share its day, so a batch reads only the keys of the days that it brings. Each
+    batch has a folder of its own and looks at earlier ones, so a replay writes what it wrote before.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        fresh = first_delivery(batch, key)
+        if batch_id:
+            stored = batch.sparkSession.read.schema(f"{key} STRING").parquet(path)
+            stored = stored.where(F.col("batch") < batch_id).select(key, F.col(day).cast("date").alias(day))
+            stored = stored.join(batch.select(day).distinct(), day, "left_semi")
+            fresh = fresh.join(stored, [key, day], "left_anti")
+        fresh.write.mode("overwrite").partitionBy(day).parquet(f"{path}/batch={batch_id}")
+
+    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
-def new_alerts(alerts: DataFrame, above: str = "0.8", within: str = "10 seconds") -> DataFrame:
-    """Each alert once, if its score exceeds the limit."""
+def high_alerts(alerts: DataFrame, above: str = "0.8") -> DataFrame:
+    """Alerts whose score exceeds the limit, with their day."""
     high = alerts.where(F.col("risk_score") > F.lit(above).cast("decimal(5,4)"))
-    fresh = high.withWatermark("detected_at", within).dropDuplicatesWithinWatermark(["alert_id"])
-    return fresh.select("alert_id", "user_id", "risk_score", "rule_name", "alert_message", "detected_at")
+    return high.select(
+        "alert_id",
+        "user_id",
+        "risk_score",
+        "rule_name",
+        "alert_message",
+        "detected_at",
+        F.to_date("detected_at").alias("detected_on"),
+    )
+
+
+def _late_and_mark(batch: DataFrame, batch_id: int, path: str, delay_seconds: int):
+    """Which rows of a batch are late, and the newest time up to it as a one-row table."""
+    late, mark = F.lit(False), batch.agg(F.max("event_timestamp").alias("newest"))
+    if batch_id > 0:
+        before = batch.sparkSession.read.schema("newest TIMESTAMP").parquet(f"{path}/marks/batch={batch_id - 1}")
+        limit = before.select(F.col("newest") - F.expr(f"INTERVAL {delay_seconds} SECONDS")).scalar()
+        late = F.coalesce(F.col("event_timestamp") < limit, F.lit(False))
+        mark = mark.unionByName(before).agg(F.max("newest").alias("newest"))
+    return late, mark
+
+
+def keep_counts(
+    events: DataFrame,
+    path: str,
+    checkpoint: str,
+    size: str = "5 minutes",
+    delay_seconds: int = 60,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Counts per tumbling window that late rows correct, and a table of the late rows.
+
+    Each batch writes what it adds to its windows below ``path/counts``; ``counts`` adds that up.
+    Rows more than the delay behind the newest event of earlier batches also go to ``path/late``.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            late, mark = _late_and_mark(batch, batch_id, path, delay_seconds)
+            added = batch.groupBy(F.window("event_timestamp", size).alias("w")).agg(
+                F.count(F.lit(1)).alias("events"),
+                F.sum("amount").cast("decimal(28,2)").alias("amount"),
+                F.count_if(F.col("event_type") == "LOGIN_FAILED").alias("failed_logins"),
+                F.count_if(late).alias("late_events"),
+            )
+            added = added.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *added.columns[1:])
+            added.write.mode("overwrite").parquet(f"{path}/counts/batch={batch_id}")
+            batch.where(late).write.mode("overwrite").parquet(f"{path}/late/batch={batch_id}")
+            mark.write.mode("overwrite").parquet(f"{path}/marks/batch={batch_id}")
+        finally:
+            batch.unpersist()
+
+    writer = events.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or {"availableNow": True})).start()
+
+
+def counts(spark: SparkSession, path: str) -> DataFrame:
+    """The windows that ``keep_counts`` has written, each once."""
+    added = spark.read.schema(
+        "window_start TIMESTAMP, window_end TIMESTAMP, events BIGINT, amount DECIMAL(28,2), "
+        "failed_logins BIGINT, late_events BIGINT"
+    ).parquet(f"{path}/counts")
+    return added.groupBy("window_start", "window_end").agg(
+        F.sum("events").alias("events"),
+        F.sum("amount").cast("decimal(18,2)").alias("amount"),
+        F.sum("failed_logins").alias("failed_logins"),
+        F.sum("late_events").alias("late_events"),
+    )
 
 
 def route_late(
@@ -61,16 +155,9 @@ def route_late(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        marks = [f"{path}/marks/batch={b}" for b in (batch_id - 1,) if b >= 0]
         batch.persist()
         try:
-            late, mark = F.lit(False), batch.agg(F.max("event_timestamp").alias("newest"))
-            if marks:
-                before = spark.read.schema("newest TIMESTAMP").parquet(*marks)
-                limit = before.select(F.col("newest") - F.expr(f"INTERVAL {delay_seconds} SECONDS")).scalar()
-                late = F.coalesce(F.col("event_timestamp") < limit, F.lit(False))
-                mark = mark.unionByName(before).agg(F.max("newest").alias("newest"))
+            late, mark = _late_and_mark(batch, batch_id, path, delay_seconds)
             batch.where(~late).write.mode("overwrite").parquet(f"{path}/on_time/batch={batch_id}")
             batch.where(late).write.mode("overwrite").parquet(f"{path}/late/batch={batch_id}")
             mark.write.mode("overwrite").parquet(f"{path}/marks/batch={batch_id}")
