@@ -59,16 +59,12 @@ def test_partitions_are_replaced_one_by_one(spark, tmp_path):
     assert sorted(r.event_id for r in spark.read.parquet(path).collect()) == ["a", "c"]
 
 
-def test_csv(spark, tmp_path, monkeypatch):
+def test_csv(spark, tmp_path):
     path = str(tmp_path / "csv")
     df = spark.createDataFrame([("a", 1), ("b", 2), ("a", 3)], "user_id STRING, n INT").repartition(3)
-    tables.export_csv(df, path, single_file=True)
-    assert len(list((tmp_path / "csv").glob("part-*"))) == 1
+    tables.export_csv(df, path)
     assert files.csv(spark, path, df.schema).count() == 3
     assert sorted(r.user_id for r in files.id_list(spark, path).collect()) == ["a", "b"]
-    monkeypatch.setattr(tables, "SINGLE_FILE_ROWS", 2)
-    with pytest.raises(ValueError):
-        tables.export_csv(df, path, single_file=True)
 
 
 def test_contracts_agree_with_operators(spark):

@@ -135,3 +135,28 @@ def test_journeys_extend(spark):
     assert sorted(map(repr, whole.collect())) == sorted(map(repr, extended.collect()))
     steps = {r.user_id: [(s.event_type, s.steps) for s in r.journey] for r in whole.collect()}
     assert steps == {"u": [("LOGIN", 2), ("TRANSFER", 1), ("LOGOUT", 1)], "v": [("LOGIN", 1)]}
+
+
+def test_rows_without_label_or_id_stay(spark):
+    df = spark.createDataFrame([("a", 1), ("b", None), (None, 0), (None, None), ("c", None)], "id STRING, label INT")
+    assert sampling.stratified_split(df, "label", "id").count() == 5
+    folds = sampling.stratified_folds(df, "label", "id").collect()
+    assert sorted(r.fold for r in folds if r.label is None) == [0, 1, 2]
+    assert sampling.random_subset(df, 3, "id").count() == 3
+
+
+def test_rows_without_score_are_never_flagged(spark):
+    df = spark.createDataFrame([(1, 0.9), (1, None), (0, None), (0, 0.2)], "label INT, score DOUBLE")
+    cells = evaluation.confusion(df, "label", F.col("score") > 0.5).first()
+    assert (cells.tp, cells.fp, cells.fn, cells.tn) == (1, 0, 1, 2)
+    sweep = {r.threshold: r for r in evaluation.threshold_sweep(df, "label", "score").collect()}
+    assert (sweep[0].tp, sweep[0].fp, sweep[0].fn) == (1, 1, 1)
+    curve = evaluation.precision_recall_curve(df, "label", "score").where("threshold IS NOT NULL")
+    assert max(r.recall for r in curve.collect()) == 0.5
+
+
+def test_deviation_of_large_values(spark):
+    df = spark.range(2).select((F.col("id") * 0.5 + 1e9).alias("x"), F.lit("a").alias("s"))
+    found = {r.column_name: r for r in evaluation.profile(df).collect()}
+    assert abs(found["x"].deviation - 0.35355339) < 1e-6 and found["s"].deviation is None
+    assert found["s"].top_value == "a"

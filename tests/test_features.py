@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from txnspark import schemas as S
 from txnspark.operators import encoding, features
-from txnspark.operators.hot_keys import lookup_join, running_total
+from txnspark.operators.hot_keys import running_total
 
 
 def brute_rolling(rows, seconds):
@@ -75,29 +75,27 @@ def test_running_total_against_brute_force(spark, hot_rows, span):
         assert r.total == sum(o[3] for o in rows if o[1] == r.user_id and (o[5], o[0]) <= (r.event_timestamp, r.event_id))
 
 
-@pytest.mark.parametrize("hot_rows", [None, 1_000_000, 10])
-def test_lookup_join_keeps_all_rows(spark, hot_rows):
-    df = frame(spark, random_events(8, 200))
-    lookup = spark.createDataFrame([("u", 1, "x"), ("w", None, "z"), ("other", 3, "y")], "user_id STRING, n INT, s STRING")
-    found = {r.event_id: (r.user_id, r.n, r.s) for r in lookup_join(df, lookup, ["user_id"], hot_rows).collect()}
-    assert len(found) == 200
-    wanted = {"u": (1, "x"), "w": (None, "z")}
-    assert all((n, s) == wanted.get(user, (None, None)) for user, n, s in found.values())
-
-
 def test_hot_rows_spread_in_a_shuffled_lookup(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    lowered = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    for name, value in lowered.items():
+        spark.conf.set(name, value)
     try:
-        df = spark.range(4000).select(F.lit("hot").alias("k"), "id")
-        lookup = spark.createDataFrame([("hot", 1)], "k STRING, n INT")
-        joined = lookup_join(df, lookup, ["k"], 100)
-        sizes = joined.groupBy(F.spark_partition_id()).count().collect()
-        assert joined.where("n = 1").count() == 4000
-        assert max(r["count"] for r in sizes) < 2000
+        key = F.when(F.col("id") % 5 == 0, F.col("id").cast("string")).otherwise("hot")
+        df = spark.range(0, 40_000, 1, 8).select(key.alias("k"), F.md5(F.col("id").cast("string")).alias("v"))
+        members = spark.createDataFrame([("hot",), ("hot",), ("5",)], "k STRING")
+        marked = features.mark_members(df, members, "k", "listed")
+        assert marked.where("listed").count() == 32_001 and marked.count() == 40_000
+        sizes = marked.groupBy(F.spark_partition_id()).count().collect()
+        assert max(r["count"] for r in sizes) < 16_000
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        for name in lowered:
+            spark.conf.unset(name)
 
 
 def test_labels(spark):

@@ -154,3 +154,18 @@ def test_last_event_snapshot_breaks_ties_by_id(spark):
     scored = frame(spark, rows).withColumn("is_fraud", F.col("event_id") == "2")
     row = balances.last_event_snapshot(scored).collect()[0]
     assert (str(row.balance), row.account_status, row.source_event_id) == ("2.00", "LOCKED", "2")
+
+
+def test_repeated_snapshot_rows_open_one_version(spark):
+    seed = spark.createDataFrame([("a", "u", "1.00", "ACTIVE")], "account_id STRING, user_id STRING, balance STRING, account_status STRING")
+    first = history.first_history(seed, "b1", F.lit("2024-01-01").cast("timestamp"))
+    again = seed.withColumn("balance", F.lit("2.00"))
+    merged = history.merge_snapshot(first, again.unionByName(again), "b2", F.lit("2024-01-02").cast("timestamp"))
+    assert sorted((float(r.balance), r.is_current) for r in merged.collect()) == [(1.0, False), (2.0, True)]
+
+
+def test_hot_histories_by_date(spark):
+    rows = [("u", f"2024-01-{d:02d}", "A" if d < 9 else "B") for d in range(1, 20)]
+    df = spark.createDataFrame(rows, "user_id STRING, d STRING, membership_tier STRING")
+    df = df.select("user_id", F.to_date("d").alias("event_date"), "membership_tier")
+    assert history.versions_from_history(df, hot_rows=3).count() == 2

@@ -9,7 +9,6 @@ from txnspark import schemas as S
 from txnspark.functions import scalars as X
 from txnspark.operators.cleaning import of_types
 from txnspark.operators.features import mark_members
-from txnspark.operators.hot_keys import HOT_ROWS
 
 
 def users_from_events(events: DataFrame) -> DataFrame:
@@ -41,16 +40,16 @@ def accounts_for_users(users: DataFrame, balance: str = S.ACCOUNT_SEED_BALANCE)
     )
 
 
-def suspicious_movements(events: DataFrame, bots: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+def suspicious_movements(events: DataFrame, bots: DataFrame) -> DataFrame:
     """Debits of listed users or from risky addresses, with ``is_bot``."""
-    marked = mark_members(of_types(events, S.DEBIT_EVENT_TYPES), bots, "user_id", "is_bot", hot_rows)
+    marked = mark_members(of_types(events, S.DEBIT_EVENT_TYPES), bots, "user_id", "is_bot")
     return marked.where(F.col("is_bot") | X.is_risky_ip())
 
 
-def backfilled_alerts(events: DataFrame, bots: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+def backfilled_alerts(events: DataFrame, bots: DataFrame) -> DataFrame:
     """One alert per suspicious movement, with repeatable scores."""
     risk = X.hash_uniform("event_id", "risk", 0.82, 0.9999).cast("decimal(5,4)")
-    return suspicious_movements(events, bots, hot_rows).select(
+    return suspicious_movements(events, bots).select(
         X.uuid5(F.concat(F.lit("alert|"), F.col("event_id"))).alias("alert_id"),
         "user_id",
         X.uuid5("user_id").alias("account_id"),
@@ -66,9 +65,9 @@ def backfilled_alerts(events: DataFrame, bots: DataFrame, hot_rows: int | None =
     )
 
 
-def acknowledge(alerts: DataFrame, users: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+def acknowledge(alerts: DataFrame, users: DataFrame) -> DataFrame:
     """The alert table after all alerts of the listed users are acknowledged."""
-    marked = mark_members(alerts, users, "user_id", "__listed", hot_rows)
+    marked = mark_members(alerts, users, "user_id", "__listed")
     done = F.col("is_acknowledged") | F.col("__listed")
     return marked.withColumn("is_acknowledged", done).select(*alerts.columns)
 

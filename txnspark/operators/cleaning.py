@@ -85,7 +85,7 @@ def first_delivery(events: DataFrame, key: str = "event_id") -> DataFrame:
     """
     order = [
         F.col(name).asc()
-        for name in ("event_timestamp", "ingested_at", "kafka_partition", "kafka_offset")
+        for name in ("event_timestamp", "ingested_at", "kafka_partition", "kafka_offset", key)
         if name in events.columns
     ]
     window = Window.partitionBy(key).orderBy(*order)
@@ -96,13 +96,15 @@ def of_types(events: DataFrame, types: Iterable[str] = S.BALANCE_EVENT_TYPES) ->
     return events.where(F.col("event_type").isin(*types))
 
 
-def silver_transactions(bronze: DataFrame, currency: str = S.CURRENCY) -> DataFrame:
-    """Deduplicated money movements; each user is taken as one account.
+def silver_transactions(bronze: DataFrame, currency: str = S.CURRENCY, period: str | None = None) -> DataFrame:
+    """Deduplicated money movements, of the newest ``period`` if one is given; each user is taken as
+    one account.
 
-    The type filter goes below the deduplication, which is safe because copies of an event
-    have one type, and leaves less to shuffle.
+    The filters on type and time go below the deduplication, which is safe because copies of an
+    event have one type and time, and leaves less to read and to shuffle.
     """
-    return first_delivery(of_types(bronze)).select(
+    moves = of_types(bronze)
+    return first_delivery(moves if period is None else last_period(moves, period)).select(
         F.col("event_id").alias("transaction_id"),
         F.col("user_id").alias("account_id"),
         "user_id",
@@ -121,7 +123,7 @@ def last_period(df: DataFrame, interval: str, time_col: str = "event_timestamp")
     """Rows of the last ``interval`` before the newest row, the wall clock if there is none.
 
     The anchor is a scalar subquery, so nothing passes through the driver. A date column
-    next to the time prunes the partitions of older days.
+    next to the time prunes the partitions of older days where the table is partitioned by it.
     """
     anchor = df.agg(
         (F.coalesce(F.max(time_col), F.current_timestamp()) - F.expr(f"INTERVAL {interval}")).alias("since")

@@ -11,9 +11,6 @@ from pyspark.sql import functions as F
 from txnspark import schemas as S
 from txnspark.functions import scalars as X
 from txnspark.operators.cleaning import require_columns
-from txnspark.operators.hot_keys import HOT_ROWS, lookup_join
-
-MAX_CATEGORIES = 1000
 
 
 def value_counts(df: DataFrame, column: str, out: str = "frequency") -> DataFrame:
@@ -21,12 +18,9 @@ def value_counts(df: DataFrame, column: str, out: str = "frequency") -> DataFram
 
 
 def categories(df: DataFrame, column: str) -> list[str]:
-    """Sorted distinct values; they become columns, so more than ``MAX_CATEGORIES`` is an error."""
+    """Sorted distinct values; each becomes a column, so this is for types, not for ids."""
     found = df.select(F.col(column).cast("string").alias("c")).where("c IS NOT NULL").distinct()
-    values = sorted(row.c for row in found.limit(MAX_CATEGORIES + 1).collect())
-    if len(values) > MAX_CATEGORIES:
-        raise ValueError(f"{column} has more than {MAX_CATEGORIES} categories")
-    return values
+    return sorted(row.c for row in found.collect())
 
 
 def one_hot(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
@@ -39,19 +33,10 @@ def one_hot(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
 
 
 def frequency_encode(
-    df: DataFrame,
-    counts: DataFrame,
-    column: str,
-    out: str,
-    unknown: float = 0.0,
-    hot_rows: int | None = HOT_ROWS,
+    df: DataFrame, counts: DataFrame, column: str, out: str, unknown: float = 0.0
 ) -> DataFrame:
-    """How often the value occurred in the fitted table.
-
-    A value that is frequent there is taken to be frequent here, so nothing is counted again.
-    """
-    hot = None if hot_rows is None else counts.where(F.col("frequency") > hot_rows).select(column)
-    joined = lookup_join(df, counts.withColumnRenamed("frequency", out), [column], hot_rows, hot)
+    """How often the value occurred in the fitted table."""
+    joined = df.join(counts.withColumnRenamed("frequency", out), column, "left").select(*df.columns, out)
     return joined.withColumn(out, F.coalesce(F.col(out).cast("float"), F.lit(float(unknown)).cast("float")))
 
 
@@ -76,12 +61,10 @@ class FeatureEncoder:
     def feature_names(self) -> list[str]:
         return [*S.NUMERIC_FEATURES, "ip_address_freq", *(f"event_type_{c}" for c in self.event_types)]
 
-    def transform(self, frame: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+    def transform(self, frame: DataFrame) -> DataFrame:
         """Adds frequency and one-hot columns; numeric columns become finite floats."""
         require_columns(frame, (*S.NUMERIC_FEATURES, "event_type", "ip_address"), "feature table")
-        encoded = frequency_encode(
-            frame, self.ip_counts, "ip_address", "ip_address_freq", self.unknown_ip, hot_rows
-        )
+        encoded = frequency_encode(frame, self.ip_counts, "ip_address", "ip_address_freq", self.unknown_ip)
         numeric = {name: X.finite_or_zero(name).cast("float") for name in S.NUMERIC_FEATURES}
         return one_hot(encoded, "event_type", self.event_types).withColumns(numeric)
 

@@ -1,4 +1,8 @@
-"""Class balance, confusion counts, precision and recall over thresholds."""
+"""Class balance, confusion counts, precision and recall over thresholds.
+
+A row without a score is flagged at no threshold and counts as such everywhere: as a miss or as a
+true negative by its label.
+"""
 
 from __future__ import annotations
 
@@ -7,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txnspark.functions import scalars as X
+from txnspark.session import written
 
 SCORE_RANGES = 1000
 
@@ -33,8 +38,11 @@ def _ratios(tp: Column, fp: Column, fn: Column) -> dict[str, Column]:
 
 
 def confusion(df: DataFrame, label: str, predicted: Column) -> DataFrame:
-    """The four cells with precision, recall and F1; undefined ratios are zero."""
-    actual = F.col(label) == 1
+    """The four cells with precision, recall and F1; undefined ratios are zero.
+
+    A prediction that is NULL, as without a score, is not flagged.
+    """
+    actual, predicted = F.col(label) == 1, F.coalesce(predicted, F.lit(False))
     return df.agg(
         F.count_if(actual & predicted).alias("tp"),
         F.count_if(~actual & predicted).alias("fp"),
@@ -67,11 +75,14 @@ def precision_recall_curve(df: DataFrame, label: str, score: str, ranges: int =
 
     Rows shrink to one per distinct score first. Those are cut into ``ranges`` of about equal
     size (the cut points are a bounded list of quantiles), counted up within each range, and
-    shifted by the totals of the higher ranges; no window spans the whole table.
+    shifted by the totals of the higher ranges; no window spans the whole table. NULL scores are
+    no threshold, but their positives count as missed.
     """
     groups = df.groupBy(F.col(score).cast("double").alias("threshold")).agg(
         F.count_if(F.col(label) == 1).alias("__pos"), F.count(F.lit(1)).alias("__all")
     )
+    # the cut points need a job of their own; written, so that the groups are made once
+    groups = written(groups, "score-groups")
     ranges = max(ranges, 2)
     shares = [i / ranges for i in range(1, ranges)]
     cuts = sorted(set(groups.approxQuantile("threshold", shares, 1.0 / (2 * ranges))))
@@ -177,39 +188,47 @@ def profile(df: DataFrame) -> DataFrame:
         F.struct(
             F.lit(name).alias("column_name"),
             F.col(name).cast("string").alias("text"),
-            (F.col(name).cast("double") if name in numeric else F.lit(None).cast("double")).alias("number"),
         )
         for name in df.columns
     ]
     values = (
         df.select(F.explode(F.array(*cells)).alias("c"))
         .select("c.*")
-        .groupBy("column_name", "text", "number")
+        .groupBy("column_name", "text")
         .agg(F.count(F.lit(1)).alias("n"))
     )
     used = F.when(F.col("text").isNotNull(), F.col("n"))
-    counted = F.when(F.col("number").isNotNull(), F.col("n"))
     commonest = F.max(F.when(F.col("text").isNotNull(), F.struct(F.col("n"), F.col("text"))))
     sums = values.groupBy("column_name").agg(
         F.coalesce(F.sum(used), F.lit(0)).alias("non_null"),
         F.count("text").alias("distinct_values"),
         commonest.alias("__top"),
-        F.sum(counted).alias("__n"),
-        F.sum(F.col("number") * F.col("n")).alias("__sum"),
-        F.sum(F.col("number") * F.col("number") * F.col("n")).alias("__squares"),
-        F.min("number").alias("min_number"),
-        F.max("number").alias("max_number"),
     )
-    mean = F.col("__sum") / F.col("__n")
-    spread = F.col("__squares") - F.col("__sum") * F.col("__sum") / F.col("__n")
-    return sums.select(
+    names = [name for name in df.columns if name in numeric]
+    moments = df.agg(
+        *(
+            F.struct(
+                F.lit(name).alias("name"),
+                F.avg(value).alias("mean_value"),
+                F.stddev_samp(value).alias("deviation"),
+                F.min(value).alias("min_number"),
+                F.max(value).alias("max_number"),
+            ).alias(f"__{k}")
+            for k, name in enumerate(names)
+            for value in (F.col(name).cast("double"),)
+        )
+    )
+    kind = "array<struct<name:string,mean_value:double,deviation:double,min_number:double,max_number:double>>"
+    moments = moments.select(F.inline(F.array(*(f"__{k}" for k in range(len(names)))).cast(kind)))
+    # one row for each column of the profiled table
+    return sums.join(F.broadcast(moments), F.col("column_name") == F.col("name"), "left").select(
         "column_name",
         "non_null",
         "distinct_values",
         F.col("__top.text").alias("top_value"),
         F.col("__top.n").alias("top_rows"),
-        mean.alias("mean_value"),
-        F.sqrt(F.try_divide(F.when(spread > 0, spread).when(spread <= 0, 0.0), F.col("__n") - 1)).alias("deviation"),
+        "mean_value",
+        "deviation",
         "min_number",
         "max_number",
     )

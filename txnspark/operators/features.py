@@ -7,27 +7,22 @@ from pyspark.sql import functions as F
 
 from txnspark import schemas as S
 from txnspark.functions import scalars as X
-from txnspark.operators.hot_keys import HOT_ROWS, hot_keys, lookup_join, rolling_count_and_sum
+from txnspark.operators.hot_keys import HOT_ROWS, rolling_count_and_sum
 
 
-def mark_members(
-    df: DataFrame,
-    members: DataFrame,
-    key: str,
-    out: str,
-    hot_rows: int | None = HOT_ROWS,
-    hot: DataFrame | None = None,
-) -> DataFrame:
-    """True where ``key`` is in the single-column table ``members``."""
+def mark_members(df: DataFrame, members: DataFrame, key: str, out: str) -> DataFrame:
+    """True where ``key`` is in the single-column table ``members``.
+
+    A plain left join: Spark broadcasts the list by its size, and beyond that adaptive execution
+    splits the partitions of keys with many rows.
+    """
     listed = members.select(F.col(members.columns[0]).alias(key)).distinct().withColumn(out, F.lit(True))
-    return lookup_join(df, listed, [key], hot_rows, hot).withColumn(out, F.coalesce(F.col(out), F.lit(False)))
+    return df.join(listed, key, "left").select(*df.columns, out).withColumn(out, F.coalesce(F.col(out), F.lit(False)))
 
 
-def label_fraud(
-    events: DataFrame, bots: DataFrame, hot_rows: int | None = HOT_ROWS, hot: DataFrame | None = None
-) -> DataFrame:
+def label_fraud(events: DataFrame, bots: DataFrame) -> DataFrame:
     """``is_fraud`` = 1 for events of listed users and from risky addresses."""
-    marked = mark_members(events, bots, "user_id", "__bot", hot_rows, hot)
+    marked = mark_members(events, bots, "user_id", "__bot")
     return marked.withColumn("is_fraud", (F.col("__bot") | X.is_risky_ip()).cast("int")).drop("__bot")
 
 
@@ -88,6 +83,5 @@ def training_features(
 def labelled_features(
     events: DataFrame, bots: DataFrame, seconds: int = 3600, hot_rows: int | None = HOT_ROWS
 ) -> DataFrame:
-    """Rolling features and labels with identifiers kept; hot users are counted once."""
-    hot = hot_keys(events, ["user_id"], hot_rows)
-    return label_fraud(rolling_features(events, seconds, hot_rows=hot_rows, hot=hot), bots, hot_rows, hot)
+    """Rolling features and labels with identifiers kept."""
+    return label_fraud(rolling_features(events, seconds, hot_rows=hot_rows), bots)

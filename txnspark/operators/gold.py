@@ -8,13 +8,15 @@ from pyspark.sql import functions as F
 from txnspark import schemas as S
 from txnspark.functions import scalars as X
 from txnspark.operators.cleaning import last_period
+from txnspark.operators.sampling import below_threshold
 
 
-def throughput_per_minute(transactions: DataFrame, period: str = "1 HOUR") -> DataFrame:
-    """Events and mean ingest latency per minute over the newest ``period``."""
+def throughput_per_minute(transactions: DataFrame, period: str | None = "1 HOUR") -> DataFrame:
+    """Events and mean ingest latency per minute over the newest ``period``; all that there is for
+    None, as where the transactions were cut to it before."""
     micros = F.unix_micros("ingested_at") - F.unix_micros("event_timestamp")
     return (
-        last_period(transactions, period)
+        (transactions if period is None else last_period(transactions, period))
         .groupBy(F.date_trunc("minute", "event_timestamp").alias("minute_bucket"))
         .agg(
             F.count(F.lit(1)).alias("event_count"),
@@ -32,7 +34,7 @@ def weekly_heatmap(transactions: DataFrame) -> DataFrame:
 
 
 def protected_assets(
-    transactions: DataFrame, alerts: DataFrame, period: str = "7 DAY", dedup: bool = True
+    transactions: DataFrame, alerts: DataFrame, period: str | None = "7 DAY", dedup: bool = True
 ) -> DataFrame:
     """Daily amounts that passed and that were blocked by an alert or a risky address.
 
@@ -49,7 +51,7 @@ def protected_assets(
     amount = (F.col("amount") * times.cast("decimal(10,0)")).cast("decimal(28,2)")
     nothing = F.lit(0).cast(S.MONEY)
     return (
-        last_period(transactions, period)
+        (transactions if period is None else last_period(transactions, period))
         .join(flagged, "transaction_id", "left")
         .groupBy(F.to_date("event_timestamp").alias("day_bucket"))
         .agg(
@@ -62,9 +64,10 @@ def protected_assets(
 def divergence_points(events: DataFrame, points: int = 1000, high_amount: str = "80000") -> DataFrame:
     """Two model scores for a fixed-size random subset of events, by address and amount band.
 
-    The subset is the first ``points`` events by hash, which Spark takes per task before merging.
+    The subset is the first ``points`` events by hash.
     """
-    chosen = events.orderBy(F.md5("event_id"), "event_id").limit(points)
+    order = F.md5(F.coalesce("event_id", F.lit("")))
+    chosen = below_threshold(events, order, points).orderBy(order, "event_id").limit(points)
     risky = X.is_risky_ip()
     large = F.col("amount") > F.lit(high_amount).cast(S.MONEY)
 

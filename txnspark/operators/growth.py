@@ -40,12 +40,31 @@ def cumulative_journeys(events: DataFrame) -> DataFrame:
 
 
 def extend_journeys(journeys: DataFrame, today: DataFrame) -> DataFrame:
-    """Yesterday's journeys with the journeys of a later day's events appended."""
+    """Yesterday's journeys with the journeys of a later day's events.
+
+    A kind of step on a day that both have becomes one step: counts add up, the first time counts.
+    """
     added = cumulative_journeys(today).withColumnRenamed("journey", "__today")
     empty = F.array().cast(journeys.schema["journey"].dataType)
-    return journeys.join(added, "user_id", "full_outer").select(
-        "user_id", F.concat(F.coalesce("journey", empty), F.coalesce("__today", empty)).alias("journey")
+
+    def also_in(other: Column, step: Column) -> Column:
+        return F.filter(other, lambda o: (o["day"] == step["day"]) & o["event_type"].eqNullSafe(step["event_type"]))
+
+    def joined(step: Column) -> Column:
+        more = F.get(also_in(F.col("__new"), step), 0)
+        return F.struct(
+            step["day"].alias("day"),
+            F.least(step["first_at"], more["first_at"]).alias("first_at"),
+            step["event_type"].alias("event_type"),
+            (step["steps"] + F.coalesce(more["steps"], F.lit(0))).alias("steps"),
+        )
+
+    both = journeys.join(added, "user_id", "full_outer").select(
+        "user_id", F.coalesce("journey", empty).alias("__old"), F.coalesce("__today", empty).alias("__new")
     )
+    only_new = F.filter("__new", lambda step: F.size(also_in(F.col("__old"), step)) == 0)
+    merged = F.array_sort(F.concat(F.transform("__old", joined), only_new))
+    return both.select("user_id", merged.alias("journey"))
 
 
 def date_lists(events: DataFrame, reference_day: date | Column, user: str = "user_id") -> DataFrame:

@@ -47,40 +47,36 @@ def merge_versions(
 
     Only ``tracked`` columns open a version, compared null-safe. A closed version ends where
     its successor starts. Keys missing from the snapshot stay open, and an unchanged snapshot
-    changes nothing. ``incoming`` must have one row per key. Closed versions pass through
-    without a shuffle; with ``is_current`` as partition column a table writer may skip them.
+    changes nothing. Of several rows of one key in ``incoming`` the newest counts. Closed versions
+    pass through without a shuffle; with ``is_current`` as partition column a table writer may skip
+    them. Current versions and snapshot meet in one join, which gives both what is closed or kept
+    and what is opened.
     """
     key, tracked = list(key), list(tracked)
     columns = history.columns
-    incoming = incoming.select(*columns)
+    newest = Window.partitionBy(*key).orderBy(F.col(valid_from).desc(), *(F.col(c).desc() for c in tracked))
+    incoming = incoming.select(*columns).withColumn("__place", F.row_number().over(newest))
+    incoming = incoming.where("__place = 1").drop("__place")
     current = history.where(F.col(is_current))
     closed = history.where(~F.coalesce(F.col(is_current), F.lit(False)))
 
-    successor = incoming.select(
-        *key,
-        F.struct(*tracked).alias("__next"),
-        F.col(valid_from).alias("__next_from"),
-    )
+    old = current.select(F.struct(*columns).alias("__old"), *(F.col(c).alias(f"__{c}") for c in key))
+    new = incoming.select(F.struct(*columns).alias("__new"), *(F.col(c).alias(f"__{c}") for c in key))
+    both = old.join(new, [f"__{c}" for c in key], "full_outer")
     same = F.lit(True)
     for name in tracked:
-        same = same & F.col(name).eqNullSafe(F.col(f"__next.{name}"))
-    changed = F.col("__next_from").isNotNull() & ~same
-    kept = (
-        current.join(successor, key, "left")
-        .withColumn("__changed", changed)
-        .withColumn(valid_to, F.when(F.col("__changed"), F.col("__next_from")).otherwise(F.col(valid_to)))
-        .withColumn(is_current, F.when(F.col("__changed"), F.lit(False)).otherwise(F.col(is_current)))
-        .select(*columns)
+        same = same & F.col(f"__old.{name}").eqNullSafe(F.col(f"__new.{name}"))
+    there, arrives = F.col("__old").isNotNull(), F.col("__new").isNotNull()
+    changed = there & arrives & ~same
+    ended = {
+        valid_to: F.when(changed, F.col(f"__new.{valid_from}")).otherwise(F.col(f"__old.{valid_to}")),
+        is_current: F.when(changed, F.lit(False)).otherwise(F.col(f"__old.{is_current}")),
+    }
+    kept = F.struct(*(ended.get(c, F.col(f"__old.{c}")).alias(c) for c in columns))
+    versions = F.array_compact(
+        F.array(F.when(there, kept), F.when(arrives & ~(there & same), F.col("__new")))
     )
-
-    mine, theirs = incoming.alias("i"), current.select(*key, *tracked).alias("c")
-    identical = F.lit(True)
-    for name in key:
-        identical = identical & (F.col(f"i.{name}") == F.col(f"c.{name}"))
-    for name in tracked:
-        identical = identical & F.col(f"i.{name}").eqNullSafe(F.col(f"c.{name}"))
-    opened = mine.join(theirs, identical, "left_anti")
-    return closed.unionByName(kept).unionByName(opened)
+    return closed.unionByName(both.select(F.inline(versions)).select(*columns))
 
 
 def merge_snapshot(
@@ -105,9 +101,10 @@ def versions_from_history(
 ) -> DataFrame:
     """Versions of ``tracked`` from a full history with one row per key and time.
 
-    A version starts where the value differs from the row before; NULL never equals anything.
-    Intervals are half-open and gaps in time do not end them. ``slice_by`` (a value that does
-    not decrease with ``time``; by default its integer hundreds) cuts the rows of hot keys: a
+    A version starts where the value differs from the row before; NULL never equals anything, so
+    each row of a run of NULLs starts one. Intervals are half-open and gaps in time do not end them.
+    ``slice_by`` (a value that does not decrease with ``time``; by default the year of dates and
+    times and the integer hundreds of numbers) cuts the rows of hot keys: a
     slice learns from one summary row per slice which value preceded it and where the next
     version starts.
     """
@@ -121,7 +118,10 @@ def versions_from_history(
         begun = rows.withColumn("__previous", F.lag(tracked).over(order)).where(differs)
         end = F.lead(time).over(order)
     else:
-        rows = slices_of(rows, [key], F.floor(F.col(time) / 100) if slice_by is None else slice_by, hot)
+        if slice_by is None:
+            dated = rows.schema[time].dataType.typeName() in ("date", "timestamp", "timestamp_ntz")
+            slice_by = F.year(time) if dated else F.floor(F.col(time) / 100)
+        rows = slices_of(rows, [key], slice_by, hot)
         sliced = slice_keys([key])
         order = Window.partitionBy(*sliced).orderBy(time)
         slices = Window.partitionBy(*sliced[:-1]).orderBy("__slice")

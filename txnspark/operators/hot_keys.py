@@ -1,7 +1,7 @@
 """Per-key operators that stay parallel when single keys hold a large share of the rows.
 
-A plain ``partitionBy(user)`` window puts all rows of one user in one task, and a shuffled
-join does the same. The helpers here count rows per key first (a map-side combined
+A plain ``partitionBy(user)`` window puts all rows of one user in one task. (A join does not:
+adaptive execution splits its large partitions.) The helpers here count rows per key first (a map-side combined
 aggregate over the key columns alone) and treat keys above ``hot_rows`` apart: their rows
 are cut into time slices, every slice is worked on by itself, and what one slice must know
 about the others travels as one pre-aggregated row per slice.
@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
 NO_SECOND = -(1 << 40)
-SALTS = 4096
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None = HOT_ROWS) -> DataFrame | None:
@@ -90,44 +89,6 @@ def refined_slices(
     return rows.join(F.broadcast(crowded), slice_keys(keys), "left").withColumn("__slice", fine).drop("__crowded")
 
 
-def lookup_join(
-    df: DataFrame,
-    lookup: DataFrame,
-    keys: Sequence[str],
-    hot_rows: int | None = HOT_ROWS,
-    hot: DataFrame | None = None,
-    spread_by: Sequence[str] | None = None,
-) -> DataFrame:
-    """Left join to a table with unique keys.
-
-    Rows of hot keys get the few lookup rows they need by broadcast. They still pass through
-    the ordinary join, where Spark broadcasts the lookup if its size allows and shuffles if
-    not, but under a salt that spreads them over all tasks and matches nothing there. The salt
-    is a hash of ``spread_by``: the event id where there is one, else of all columns. A hash
-    sends a row of a repeated task where it went before, which a random number would not.
-    """
-    keys = list(keys)
-    values = [name for name in lookup.columns if name not in keys]
-    hot = hot_keys(df, keys, hot_rows) if hot is None else hot
-    if hot is None:
-        return df.join(lookup, keys, "left")
-
-    needed = lookup.join(F.broadcast(hot), keys, "left_semi")
-    renamed = needed.select(*keys, *(F.col(name).alias(f"__hot_{name}") for name in values))
-    tagged = tag_hot(df, keys, hot.join(renamed, keys, "left"))
-    spread_by = spread_by or (["event_id"] if "event_id" in df.columns else df.columns)
-    salt = F.when(F.col("__hot"), F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)) + 1).otherwise(F.lit(0))
-    # Always zero, but not a constant: as one it would leave the keys of the join.
-    zero = F.pmod(F.xxhash64(*keys), F.lit(1).cast("bigint"))
-    joined = tagged.withColumn("__salt", salt.cast("bigint")).join(
-        lookup.withColumn("__salt", zero), [*keys, "__salt"], "left"
-    )
-    return joined.select(
-        *df.columns,
-        *(F.when(F.col("__hot"), F.col(f"__hot_{name}")).otherwise(F.col(name)).alias(name) for name in values),
-    )
-
-
 def running_total(
     df: DataFrame,
     keys: Sequence[str],

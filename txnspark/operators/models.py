@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from txnspark import schemas as S
 from txnspark.functions import scalars as X
-from txnspark.operators.sampling import hash_of, stratified_folds
+from txnspark.operators.sampling import below_threshold, hash_of, stratified_folds
 
 SEED = 42
 
@@ -114,7 +114,8 @@ def tree_samples(df: DataFrame, id_col: str, trees: int, rows_per_tree: int) ->
     a stretch of it, wrapping around; in large tables the stretches do not overlap. The pool
     is of fixed size whatever the size of the table.
     """
-    pool = df.orderBy(hash_of(id_col, "forest"), id_col).limit(trees * rows_per_tree)
+    order, rows = hash_of(id_col, "forest"), trees * rows_per_tree
+    pool = below_threshold(df, order, rows).orderBy(order, id_col).limit(rows)
     spots = pool.withColumn("__spot", F.row_number().over(Window.orderBy(hash_of(id_col, "forest"), id_col)) - 1)
     spots = spots.withColumn("__rows", F.count(F.lit(1)).over(Window.partitionBy()))
     begin = lambda tree: F.floor(tree * F.col("__rows") / trees)

@@ -9,12 +9,28 @@ HASH_DIGITS = 4
 
 
 def hash_of(id_col: str, salt: str = "") -> Column:
-    return F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f"|{salt}")))
+    """Rows without an id share the hash of an empty one."""
+    return F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(f"|{salt}")))
 
 
 def random_subset(df: DataFrame, n: int, id_col: str, salt: str = "subset") -> DataFrame:
     """``n`` rows without replacement: the first by hash, cut per task before they meet."""
-    return df.orderBy(hash_of(id_col, salt), id_col).limit(n)
+    order = hash_of(id_col, salt)
+    return below_threshold(df, order, n).orderBy(order, id_col).limit(n)
+
+
+def below_threshold(df: DataFrame, order: Column, n: int) -> DataFrame:
+    """Rows whose hash ``order`` is low enough to be among the ``n`` lowest, and few others.
+
+    A top-n over many tasks keeps n rows of each, and all of them meet in one. Here the rows are
+    counted by hash prefix first (at most 65,536 rows), which gives a prefix that n rows lie below.
+    """
+    prefix = F.substring(order, 1, HASH_DIGITS)
+    counted = df.groupBy(prefix.alias("__prefix")).agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("__prefix").rowsBetween(Window.unboundedPreceding, -1)
+    needed = counted.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+    last = needed.where(F.col("__before") < n).agg(F.max("__prefix").alias("__last"))
+    return df.where(prefix <= last.scalar())
 
 
 def stratified_rank(
@@ -30,7 +46,8 @@ def stratified_rank(
     One window per label would be one task per label. Rows are ranked within label and hash
     prefix instead, and the prefix sizes (at most ``16 ** digits`` per label) add up to what
     comes before. Hashes of unique ids spread evenly, so no prefix is hot. ``counted`` may name
-    a table with the same ids and labels that is cheaper to read for the sizes.
+    a table with the same ids and labels that is cheaper to read for the sizes. Rows without a
+    label are a class of their own, and rows without an id stay.
     """
 
     def hashed(frame: DataFrame) -> DataFrame:
@@ -46,17 +63,19 @@ def stratified_rank(
         .groupBy(*parts)
         .agg(F.count(F.lit(1)).alias("__n"))
         .select(
-            *parts,
+            F.col(label).alias("__label"),
+            F.col("__part").alias("__of_part"),
             F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"),
             F.sum("__n").over(Window.partitionBy(label)).alias("label_rows"),
         )
     )
+    same = F.col(label).eqNullSafe(F.col("__label")) & (F.col("__part") == F.col("__of_part"))
     return (
         hashed(df)
         .withColumn("__rank", F.row_number().over(within))
-        .join(sizes, parts)
+        .join(sizes, same)
         .withColumn("rank", F.col("__before") + F.col("__rank"))
-        .drop("__hash", "__part", "__before", "__rank")
+        .drop("__hash", "__part", "__before", "__rank", "__label", "__of_part")
     )
 
 

@@ -13,7 +13,6 @@ from txnspark import schemas as S
 from txnspark.functions import scalars as X
 from txnspark.operators.alerts import alert_rows
 from txnspark.operators.features import mark_members
-from txnspark.operators.hot_keys import HOT_ROWS
 
 
 def _over(limit: int) -> Column:
@@ -110,11 +109,9 @@ def stateless_alerts(events: DataFrame, probability: str, **options) -> DataFram
     return alert_rows(flagged, "champion_score", "challenger_score", F.lit(S.RULE_STATELESS))
 
 
-def mark_unknown_ips(
-    events: DataFrame, known_ips: DataFrame, hot_rows: int | None = HOT_ROWS, hot: DataFrame | None = None
-) -> DataFrame:
+def mark_unknown_ips(events: DataFrame, known_ips: DataFrame) -> DataFrame:
     """Adds ``is_unknown_ip``."""
-    marked = mark_members(events, known_ips, "ip_address", "__known", hot_rows, hot)
+    marked = mark_members(events, known_ips, "ip_address", "__known")
     return marked.withColumn("is_unknown_ip", ~F.col("__known")).drop("__known")
 
 

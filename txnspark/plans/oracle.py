@@ -13,6 +13,8 @@ def _list(values) -> str:
 
 RISKY = _list(S.RISKY_IPS)
 MOVES = _list(S.BALANCE_EVENT_TYPES)
+# What the view over the events table knows; the encoder finds these in its training rows.
+VIEW_TYPES = ("TRANSFER", "WITHDRAW", "DEPOSIT", "VIEW_BALANCE", "LOGIN_FAILED")
 DEBITS = _list(S.DEBIT_EVENT_TYPES)
 
 
@@ -283,7 +285,7 @@ ROLLED = """SELECT event_id, user_id, tx_count_1h, amount_avg_1h, round(amount_v
 JOURNEYS = """SELECT user_id, string_agg(CAST(day AS VARCHAR) || ' ' || event_type || ' x' || steps, ' > '
       ORDER BY day, first_at, event_type, steps) AS journey FROM steps GROUP BY 1"""
 
-_BITS = "SELECT user_id, bit_or(CAST(1 AS BIGINT) << CAST(31 - age AS INT)) AS datelist_int FROM (SELECT user_id, date_diff('day', d, DATE '2024-01-30') AS age FROM days) WHERE age BETWEEN 0 AND 31 GROUP BY 1"
+_BITS = "SELECT user_id, bit_or(CAST(1 AS BIGINT) << CAST(31 - age AS INT)) AS datelist_int FROM (SELECT user_id, date_diff('day', d, (SELECT max(d) FROM days)) AS age FROM days) WHERE age BETWEEN 0 AND 31 GROUP BY 1"
 
 
 def _active(span: int) -> str:
@@ -299,7 +301,8 @@ SQL = {
         TIMESTAMP '2024-02-01 00:00:00' AS ingested_at, event_date
       FROM messages WHERE NOT is_cut AND NOT lacks_user""",
     "quarantined_messages": """SELECT CASE WHEN is_cut THEN substr(raw, 1, 40) ELSE raw END AS raw_message,
-        'banking_events' AS kafka_topic, CAST(n % 3 AS INT) AS kafka_partition, n // 3 AS kafka_offset
+        'banking_events' AS kafka_topic, CAST(n % 3 AS INT) AS kafka_partition, n // 3 AS kafka_offset,
+        TIMESTAMP '2024-02-01 00:00:00' AS ingested_at
       FROM (SELECT *, '{"event_id":"' || event_id || '","timestamp":"' ||
               strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S.%fZ') || '"' ||
               CASE WHEN lacks_user THEN '' ELSE ',"user_id":"' || user_id || '"' END ||
@@ -327,8 +330,9 @@ SQL = {
     "account_history_newest": "SELECT * FROM history ORDER BY created_at DESC, account_id, valid_from DESC LIMIT 5",
     "account_timelines": """SELECT account_id, balance, account_status, valid_from, valid_to, is_current, batch_id
       FROM history ORDER BY account_id, valid_from, created_at""",
-    "account_history_violations": """SELECT account_id, count(*) FILTER (is_current) AS current_versions
-      FROM history GROUP BY 1 HAVING count(*) FILTER (is_current) <> 1""",
+    "account_history_violations": """SELECT account_id, count(*) FILTER (open) AS current_versions
+      FROM (SELECT *, CAST(user_id AS BIGINT) % 7 <> 0 AND (is_current OR valid_to IS NOT NULL) AS open FROM history)
+      GROUP BY 1 HAVING count(*) FILTER (open) <> 1""",
     "tier_versions": TIERS,
     "tier_versions_split_keys": TIERS,
     "fraud_labels": "SELECT event_id, user_id, ip_address, is_fraud FROM labelled",
@@ -338,7 +342,9 @@ SQL = {
         round(amount_vs_avg, 6) AS amount_vs_avg, hour_of_day FROM featured""",
     "encoded_features": "SELECT event_id, CAST(tx_count_1h AS INT) AS tx_count_1h, hour_of_day, "
     "CAST(coalesce(freq, 0) AS INT) AS ip_address_freq, "
-    + ", ".join(f"CAST(event_type = '{t}' AS INT) AS event_type_{t.lower()}" for t in S.EVENT_TYPES)
+    + "round(CAST(amount AS FLOAT)::DOUBLE, 2) AS amount, round(CAST(amount_avg_1h AS FLOAT)::DOUBLE, 2) AS amount_avg_1h, "
+    "round(CAST(amount_vs_avg AS FLOAT)::DOUBLE, 2) AS amount_vs_avg, "
+    + ", ".join(f"CAST(event_type = '{t}' AS INT) AS event_type_{t.lower()}" for t in VIEW_TYPES)
     + """ FROM featured JOIN split s USING (event_id) LEFT JOIN (
           SELECT ip_address, count(*) AS freq FROM bank_events JOIN split USING (event_id)
           WHERE NOT is_test GROUP BY 1) f USING (ip_address) WHERE s.is_test""",
@@ -395,6 +401,8 @@ SQL = {
         CAST(challenger_score AS DECIMAL(5,2)) AS challenger_score,
         CASE WHEN greatest(champion_score, challenger_score) > 90 THEN 'CRITICAL' ELSE 'HIGH' END AS risk_level,
         CASE WHEN is_unknown_ip THEN '{S.RULE_UNKNOWN_IP}' ELSE '{S.RULE_CHAMPION}' END AS rule_name,
+        CASE WHEN is_unknown_ip THEN '{S.RULE_UNKNOWN_IP}' ELSE '{S.RULE_CHAMPION}' END || ' flagged ' || event_type
+          || ' amount=' || amount || ' ip=' || ip_address AS alert_message,
         FALSE AS is_acknowledged, event_timestamp AS detected_at
       FROM paired WHERE greatest(champion_score, challenger_score) > 80""",
     "open_alerts_per_user": """SELECT user_id, CAST(max(risk_score) * 100 AS DECIMAL(7,2)) AS risk_score,
@@ -408,12 +416,12 @@ SQL = {
     "recent_transactions": """SELECT user_id, CAST(position AS INT) AS position, transaction_id, event_type, amount,
         ip_address, strftime(event_timestamp, '%Y-%m-%d %H:%M:%S') AS event_timestamp
       FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_timestamp DESC, transaction_id) AS position
-            FROM silver) WHERE position <= 5""",
+            FROM silver) WHERE position <= 20""",
     "recent_open_alerts": f"""SELECT user_id, CAST(position AS INT) AS position,
         CAST(risk_score * 100 AS DECIMAL(7,2)) AS risk_score,
         CAST(challenger_score AS DECIMAL(7,2)) AS challenger_score, risk_level, rule_name, {LOCAL} AS detected_at
       FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY detected_at DESC, alert_id) AS position
-            FROM alerts WHERE NOT is_acknowledged) WHERE position <= 5""",
+            FROM alerts WHERE NOT is_acknowledged) WHERE position <= 20""",
     "blocked_users": """SELECT DISTINCT user_id, user_id IN
         (SELECT user_id FROM alerts WHERE risk_score > 0.8 AND NOT is_acknowledged) AS is_blocked FROM bank_events""",
     "alert_statistics": """SELECT *, coalesce(round(high_risk_alerts * 100.0::DOUBLE / nullif(total_alerts, 0), 2), 0)
@@ -443,7 +451,7 @@ SQL = {
         CASE WHEN xgboost_score < 50 AND iforest_score > 90 THEN 'zero_day'
              WHEN risk_level IN ('HIGH', 'CRITICAL') OR (xgboost_score >= 80 AND iforest_score >= 80) THEN 'classic'
              ELSE 'normal' END AS quadrant
-      FROM (SELECT * FROM points ORDER BY detected_at DESC, alert_id LIMIT 500)""",
+      FROM (SELECT * FROM points ORDER BY detected_at DESC, alert_id LIMIT 1000)""",
     "constraint_report": f"""
       SELECT 'bronze event_id unique' AS rule, count(*) - count(DISTINCT event_id) AS violations FROM bronze_events
       UNION ALL SELECT 'one alert per event', count(*) - count(DISTINCT source_event_id) FROM alerts
@@ -484,6 +492,7 @@ SQL = {
             FROM bank_events)""",
     "event_profile": "\n UNION ALL ".join(
         f"""SELECT '{c}' AS column_name, count({c}) AS non_null, count(DISTINCT {c}) AS distinct_values,
+          (SELECT CAST({c} AS VARCHAR) FROM bank_events GROUP BY {c} ORDER BY count(*) DESC, CAST({c} AS VARCHAR) DESC LIMIT 1) AS top_value,
           (SELECT max(n) FROM (SELECT count(*) AS n FROM bank_events GROUP BY {c})) AS top_rows,
           {"round(avg(amount::DOUBLE), 4)" if c == "amount" else "NULL::DOUBLE"} AS mean_value,
           {"round(stddev_samp(amount::DOUBLE), 4)" if c == "amount" else "NULL::DOUBLE"} AS deviation,
@@ -491,6 +500,8 @@ SQL = {
           {"max(amount)::DOUBLE" if c == "amount" else "NULL::DOUBLE"} AS max_number FROM bank_events"""
         for c in ("event_type", "amount", "ip_address", "user_id")
     ),
+    "event_quartiles": """SELECT 'amount' AS column_name, quantile_disc(amount, 0.25)::DOUBLE AS q25,
+        quantile_disc(amount, 0.5)::DOUBLE AS q50, quantile_disc(amount, 0.75)::DOUBLE AS q75 FROM bank_events""",
     "stratified_split": "SELECT * FROM split",
     "stratified_folds": """SELECT event_id, is_fraud, CAST((row_number() OVER (PARTITION BY is_fraud
         ORDER BY md5(event_id || '|fold'), event_id) - 1) % 3 AS INT) AS fold FROM labelled""",
@@ -541,6 +552,19 @@ CTES["stream_history"] = """
                 AND (b.event_timestamp, b.event_id) <= (a.event_timestamp, a.event_id)
               GROUP BY 1) h USING (event_id))"""
 
+# Deliveries: five stretches of time, and one event in 97 after them all; late is what lies more than
+# a minute behind the newest event of earlier deliveries.
+CTES["delivered"] = """
+      SELECT e.*, coalesce(event_timestamp < m.newest - INTERVAL 60 SECONDS, FALSE) AS is_late
+      FROM (SELECT *, CASE WHEN CAST(event_id AS BIGINT) % 97 = 0 THEN 5
+              ELSE 5 * (second - min(second) OVER ()) // (max(second) OVER () - min(second) OVER () + 1) END AS part
+            FROM (SELECT *, epoch_us(event_timestamp) // 1000000 AS second FROM bank_events)) e
+      LEFT JOIN (SELECT p.part, max(b.event_timestamp) AS newest FROM range(6) p(part)
+                 JOIN (SELECT event_timestamp, CASE WHEN CAST(event_id AS BIGINT) % 97 = 0 THEN 5
+                         ELSE 5 * (second - min(second) OVER ()) // (max(second) OVER () - min(second) OVER () + 1) END AS part
+                       FROM (SELECT *, epoch_us(event_timestamp) // 1000000 AS second FROM bank_events)) b
+                 ON b.part < p.part GROUP BY 1) m ON m.part = e.part"""
+
 STREAM_SQL = {
     "stream_bronze_ingest": """SELECT event_id, event_timestamp, user_id, event_type,
         CASE WHEN n % 11 = 0 THEN CAST(0 AS DECIMAL(18,2)) ELSE amount END AS amount,
@@ -549,15 +573,16 @@ STREAM_SQL = {
     "stream_tumbling_counts": """SELECT time_bucket(INTERVAL 5 MINUTES, event_timestamp) AS window_start,
         time_bucket(INTERVAL 5 MINUTES, event_timestamp) + INTERVAL 5 MINUTES AS window_end, count(*) AS events,
         CAST(sum(amount) AS DECIMAL(18,2)) AS amount,
-        count(*) FILTER (event_type = 'LOGIN_FAILED') AS failed_logins
-      FROM bank_events GROUP BY 1, 2
-      HAVING window_end <= (SELECT max(event_timestamp) - INTERVAL 60 SECONDS FROM bank_events)""",
+        count(*) FILTER (event_type = 'LOGIN_FAILED') AS failed_logins, count(*) FILTER (is_late) AS late_events
+      FROM delivered GROUP BY 1, 2""",
     "stream_silver": f"""SELECT event_id, user_id, event_type, amount, event_date
       FROM bank_events WHERE event_type IN ({MOVES})""",
     "stream_velocity": """SELECT event_id, n_rows::DOUBLE AS tx_count_1h, round(mean, 6) AS amount_avg_1h,
         round(ratio, 6) AS amount_vs_avg, CAST(hour(event_timestamp) AS INT) AS hour_of_day FROM stream_history""",
     "stream_alerts": SQL["stateful_alerts"],
-    "stream_late_routing": "SELECT event_id, event_timestamp, 'on_time' AS route FROM bank_events",
+    "stream_late_routing": """SELECT event_id, event_timestamp,
+        CASE WHEN is_late THEN 'late' ELSE 'on_time' END AS route FROM delivered""",
+    "stream_stateless_alerts": SQL["stateless_alerts"],
     "stream_alert_feed": """SELECT alert_id, user_id, risk_score, rule_name, alert_message, detected_at
       FROM alerts WHERE risk_score > 0.8""",
 }

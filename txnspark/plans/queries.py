@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from datetime import date
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnspark import schemas as S
+from txnspark import session
 from txnspark.functions import scalars as X
 from txnspark.operators import (
     alerts,
@@ -24,7 +23,6 @@ from txnspark.operators import (
     scoring,
     serving,
 )
-from txnspark.operators.hot_keys import hot_keys
 from txnspark.plans import views as V
 
 # Low enough to send test-sized tables through the code for hot keys.
@@ -42,8 +40,8 @@ def plain_times(df: DataFrame) -> DataFrame:
     )
 
 
-def silver(spark, sf):
-    return cleaning.silver_transactions(V.bronze_events(spark, sf))
+def silver(spark, sf, period=None):
+    return cleaning.silver_transactions(V.bronze_events(spark, sf), period=period)
 
 
 # Cleaning ---------------------------------------------------------------------------------
@@ -84,7 +82,7 @@ def bronze_from_json(spark, sf):
 
 
 def quarantined_messages(spark, sf):
-    return cleaning.quarantine(_parsed(spark, sf)).drop("ingested_at")
+    return cleaning.quarantine(_parsed(spark, sf))
 
 
 def silver_transactions(spark, sf):
@@ -95,7 +93,7 @@ def silver_transactions(spark, sf):
 
 
 def gold_throughput(spark, sf):
-    return gold.throughput_per_minute(silver(spark, sf))
+    return gold.throughput_per_minute(silver(spark, sf, "1 HOUR"), None)
 
 
 def gold_heatmap(spark, sf):
@@ -103,11 +101,11 @@ def gold_heatmap(spark, sf):
 
 
 def gold_protected_assets(spark, sf):
-    return gold.protected_assets(silver(spark, sf), V.alerts(spark, sf))
+    return gold.protected_assets(silver(spark, sf, "7 DAY"), V.alerts(spark, sf), None)
 
 
 def gold_protected_assets_per_alert(spark, sf):
-    return gold.protected_assets(silver(spark, sf), V.alerts(spark, sf), dedup=False)
+    return gold.protected_assets(silver(spark, sf, "7 DAY"), V.alerts(spark, sf), None, dedup=False)
 
 
 def gold_divergence(spark, sf):
@@ -154,7 +152,11 @@ def account_timelines(spark, sf):
 
 
 def account_history_violations(spark, sf):
-    return history.keys_without_single_current(merged_history(spark, sf))
+    """Of a history whose closed versions were opened again, and some current ones closed."""
+    merged = merged_history(spark, sf)
+    lost = F.col("user_id").cast("bigint") % 7 == 0
+    broken = F.when(lost, F.lit(False)).otherwise(F.col("is_current") | F.col("valid_to").isNotNull())
+    return history.keys_without_single_current(merged.withColumn("is_current", broken))
 
 
 def tier_versions(spark, sf):
@@ -196,16 +198,23 @@ def training_features(spark, sf):
 def _split(spark, sf):
     events, bots = V.bank_events(spark, sf), V.bot_users(spark, sf)
     featured = features.labelled_features(events, bots).withColumn("hour_of_day", F.hour("event_timestamp"))
-    return sampling.stratified_split(featured, "is_fraud", "event_id", counted=features.label_fraud(events, bots))
+    split = sampling.stratified_split(featured, "is_fraud", "event_id", counted=features.label_fraud(events, bots))
+    # written once for the fit and both parts
+    return session.written(split, "split-features")
 
 
 def encoded_features(spark, sf):
     """Fitted on the training rows, applied to the test rows."""
     split = _split(spark, sf)
-    encoder = encoding.FeatureEncoder.fit(split.where(~F.col("is_test")), event_types=S.EVENT_TYPES)
+    encoder = encoding.FeatureEncoder.fit(split.where(~F.col("is_test")))
     encoded = encoder.transform(split.where("is_test"))
     whole = ["tx_count_1h", "hour_of_day", *encoder.feature_names()[len(S.NUMERIC_FEATURES) :]]
-    return encoded.select("event_id", *(F.col(c).cast("int").alias(c.lower()) for c in whole))
+    money = ("amount", "amount_avg_1h", "amount_vs_avg")
+    return encoded.select(
+        "event_id",
+        *(F.col(c).cast("int").alias(c.lower()) for c in whole),
+        *(F.round(F.col(c).cast("double"), 2).alias(c) for c in money),
+    )
 
 
 def ip_frequencies(spark, sf):
@@ -258,8 +267,7 @@ def stateless_alerts(spark, sf):
 def _recent(spark, sf):
     events = V.bank_events(spark, sf)
     rolled = features.rolling_features(events, seconds=300, zero_average=1.0)
-    frequent = hot_keys(events, ["ip_address"])
-    return V.model_column(scoring.mark_unknown_ips(rolled, V.known_ips(spark, sf), hot=frequent))
+    return V.model_column(scoring.mark_unknown_ips(rolled, V.known_ips(spark, sf)))
 
 
 def stateful_alerts(spark, sf):
@@ -278,7 +286,7 @@ def paired_scores(spark, sf):
 
 
 def decision_alerts(spark, sf):
-    return scoring.decision_alerts(_paired(spark, sf)).drop("alert_message")
+    return scoring.decision_alerts(_paired(spark, sf))
 
 
 # Dashboard reads --------------------------------------------------------------------------
@@ -293,11 +301,11 @@ def alert_feed(spark, sf):
 
 
 def recent_transactions(spark, sf):
-    return serving.recent_transactions(silver(spark, sf), 5)
+    return serving.recent_transactions(silver(spark, sf))
 
 
 def recent_open_alerts(spark, sf):
-    return serving.recent_open_alerts(V.alerts(spark, sf), 5)
+    return serving.recent_open_alerts(V.alerts(spark, sf))
 
 
 def blocked_users(spark, sf):
@@ -317,15 +325,15 @@ def heatmap_grid(spark, sf):
 
 
 def performance_series(spark, sf):
-    return serving.performance_series(gold.throughput_per_minute(silver(spark, sf), "1 DAY"))
+    return serving.performance_series(gold.throughput_per_minute(silver(spark, sf, "1 DAY"), None))
 
 
 def assets_series(spark, sf):
-    return serving.assets_series(gold.protected_assets(silver(spark, sf), V.alerts(spark, sf), "14 DAY"))
+    return serving.assets_series(gold.protected_assets(silver(spark, sf, "14 DAY"), V.alerts(spark, sf), None))
 
 
 def divergence_quadrants(spark, sf):
-    return serving.divergence_quadrants(gold_divergence(spark, sf), 500)
+    return serving.divergence_quadrants(gold_divergence(spark, sf))
 
 
 # Quality ----------------------------------------------------------------------------------
@@ -425,8 +433,11 @@ def challenger_risk(spark, sf):
 
 def event_profile(spark, sf):
     df = evaluation.profile(V.bank_events(spark, sf).select("event_type", "amount", "ip_address", "user_id"))
-    exact = df.drop("top_value")
-    return exact.withColumns({n: F.round(n, 4) for n in ("mean_value", "deviation")})
+    return df.withColumns({n: F.round(n, 4) for n in ("mean_value", "deviation")})
+
+
+def event_quartiles(spark, sf):
+    return evaluation.quartiles(V.bank_events(spark, sf).select("amount"))
 
 
 def stratified_split(spark, sf):
@@ -465,7 +476,9 @@ def extended_journeys(spark, sf):
 
 
 def date_lists(spark, sf):
-    return growth.date_lists(V.bank_events(spark, sf), date(2024, 1, 30))
+    """The 32 days up to the newest event."""
+    events = V.bank_events(spark, sf)
+    return growth.date_lists(events, events.agg(F.to_date(F.max("event_timestamp"))).scalar())
 
 
 def growth_accounting(spark, sf):
@@ -532,6 +545,7 @@ BATCH = [
     best_threshold,
     challenger_risk,
     event_profile,
+    event_quartiles,
     stratified_split,
     stratified_folds,
     random_subset,

@@ -47,7 +47,7 @@ def champion_search(spark, sf_dir):
 def challenger_scores(spark, sf_dir):
     """Every event with the 0-100 risk and the outlier flag of an isolation forest."""
     table = training_table(spark, sf_dir)
-    encoder = encoding.FeatureEncoder.fit(table, event_types=S.EVENT_TYPES)
+    encoder = encoding.FeatureEncoder.fit(table)
     encoded = encoder.transform(table)
     forest = models.IsolationForest.fit(encoded, "event_id", encoder.feature_names())
     scored = session.written(forest.score(encoded).select("event_id", "is_fraud", "anomaly"), "anomaly")

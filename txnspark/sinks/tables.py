@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-SINGLE_FILE_ROWS = 1_000_000
-
 
 def create_table(
     spark: SparkSession,
@@ -67,10 +65,6 @@ def append_v2(df: DataFrame, name: str) -> None:
     df.writeTo(name).append()
 
 
-def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """CSV with header, one file per task; a single file only for results known to be small."""
-    if single_file:
-        if df.limit(SINGLE_FILE_ROWS + 1).count() > SINGLE_FILE_ROWS:
-            raise ValueError(f"more than {SINGLE_FILE_ROWS} rows do not go through one task")
-        df = df.coalesce(1)
+def export_csv(df: DataFrame, path: str) -> None:
+    """CSV with header, one file per task."""
     df.write.mode("overwrite").option("header", True).csv(path)
