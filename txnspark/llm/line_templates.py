@@ -34,18 +34,19 @@ LISTS = 256
 
 
 def forms_of(text: F.Column) -> F.Column:
-    """The forms of all lines, one below the other."""
-    text = F.regexp_replace(text, "[ \\t\\x0B-\\r]+", " ")
-    text = F.trim(F.regexp_replace(text, " ?\\n ?", "\n"))
-    return F.regexp_replace(text, "(?<![^ \\n])[^ \\n0-9]*+[0-9][^ \\n]*", "<*>")
+    """The forms of all lines of a text."""
+    single = F.regexp_replace(text, "[ \\t\\x0B-\\r]{2,}|[\\t\\x0B-\\r]", " ")
+    masked = F.regexp_replace(single, "(?<![^ \\n])[^ \\n0-9]*+[0-9][^ \\n]*", "<*>")
+    # most texts have neither digits nor other white space; one look spares them both passes
+    plain = F.when(text.rlike("[0-9\\t\\x0B-\\r]|  "), masked).otherwise(text)
+    return F.transform(F.split(plain, "\n"), F.trim)
 
 
 def _lines(docs: DataFrame) -> DataFrame:
     """doc_id, leaf, form: the distinct forms of each document that are not blank."""
-    forms = F.array_distinct(F.split(forms_of(F.col("text")), "\n"))
-    lines = docs.filter("doc_id IS NOT NULL AND text IS NOT NULL").select(
-        "doc_id", F.explode(forms).alias("form")
-    )
+    forms = F.array_distinct(forms_of(F.col("text"))).alias("forms")
+    texts = docs.filter("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", forms)
+    lines = texts.select("doc_id", F.explode("forms").alias("form"))
     size = F.length("form") - F.length(F.replace("form", F.lit(" "), F.lit(""))) + 1
     leaf = F.concat_ws(" ", size, F.substring_index("form", " ", DEPTH))
     return lines.filter("form <> ''").select("doc_id", leaf.alias("leaf"), "form")
@@ -120,7 +121,7 @@ def without_templates(docs: DataFrame, min_docs: int = MIN_DOCS, counts: bool =
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("_row"))
     joined = rows.join(lists.hint("merge"), F.col("_row.doc_id") == F.col("_of"), "left")
     text = F.col("_row.text")
-    forms = F.split(forms_of(text), "\n")
+    forms = forms_of(text)
     gone = lambda i: F.array_contains(
         F.try_element_at("_drop", F.pmod(F.xxhash64(F.get("_forms", i)), F.lit(LISTS))),
         F.xxhash64(F.get("_forms", i)),
