@@ -82,8 +82,8 @@ def divergence_points(events: DataFrame, points: int = 1000, high_amount: str =
     return chosen.select(
         F.col("event_id").alias("alert_id"),
         "user_id",
-        score("champion", (10, 45), (80, 99), (5, 70)).alias("xgboost_score"),
-        score("challenger", (91, 99), (80, 99), (5, 75)).alias("iforest_score"),
+        score("champion", *S.POINT_CHAMPION_BANDS).alias("xgboost_score"),
+        score("challenger", *S.POINT_CHALLENGER_BANDS).alias("iforest_score"),
         F.when(risky, "CRITICAL").when(large, "HIGH").otherwise("LOW").alias("risk_level"),
         F.col("event_timestamp").alias("detected_at"),
     )

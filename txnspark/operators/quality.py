@@ -30,6 +30,15 @@ def refers_to(child: DataFrame, column: str, parent: DataFrame, parent_key: str,
     return _report(orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("violations")), rule)
 
 
+def row_rules(df: DataFrame, broken: dict[str, Column]) -> DataFrame:
+    """Rows that break each rule, for all rules in one pass; ``broken`` says by rule when a row does."""
+    counted = df.agg(*(F.count_if(when).alias(f"rule_{k}") for k, when in enumerate(broken.values())))
+    rows = [
+        F.struct(F.lit(rule).alias("rule"), F.col(f"rule_{k}").alias("violations")) for k, rule in enumerate(broken)
+    ]
+    return counted.select(F.inline(F.array(*rows)))
+
+
 def holds(df: DataFrame, condition: Column, rule: str) -> DataFrame:
     """Rows for which the condition is false; NULL passes, as in a CHECK."""
     return _report(df.agg(F.count_if(~condition).alias("violations")), rule)

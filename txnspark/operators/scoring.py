@@ -22,17 +22,20 @@ def _over(limit: int) -> Column:
 def evaluate_models(events: DataFrame) -> DataFrame:
     """Verdicts of two rule-based models side by side."""
     champion = (
-        F.when(_over(100_000), F.lit(True))
-        .when((F.col("event_type") == "TRANSFER") & _over(50_000), X.hash_uniform("event_id", "champion") < 0.7)
-        .otherwise(X.hash_uniform("event_id", "champion") < 0.05)
+        F.when(_over(S.CHAMPION_SURE_AMOUNT), F.lit(True))
+        .when(
+            (F.col("event_type") == "TRANSFER") & _over(S.CHAMPION_TRANSFER_AMOUNT),
+            X.hash_uniform("event_id", "champion") < S.CHAMPION_TRANSFER_ODDS,
+        )
+        .otherwise(X.hash_uniform("event_id", "champion") < S.CHAMPION_BASE_ODDS)
     )
     challenger = (
         F.when(X.is_risky_ip(), F.lit(True))
         .when(
-            F.col("event_type").isin(*S.DEBIT_EVENT_TYPES) & _over(75_000),
-            X.hash_uniform("event_id", "challenger") < 0.6,
+            F.col("event_type").isin(*S.DEBIT_EVENT_TYPES) & _over(S.CHALLENGER_AMOUNT),
+            X.hash_uniform("event_id", "challenger") < S.CHALLENGER_AMOUNT_ODDS,
         )
-        .otherwise(X.hash_uniform("event_id", "challenger") < 0.08)
+        .otherwise(X.hash_uniform("event_id", "challenger") < S.CHALLENGER_BASE_ODDS)
     )
     return events.withColumn("champion_is_fraud", champion).withColumn("challenger_is_fraud", challenger)
 
@@ -82,17 +85,17 @@ def stateless_features(events: DataFrame, tx_count: float = 45.0, amount_vs_avg:
 def stateless_scores(
     events: DataFrame,
     probability: str,
-    blocked_ip: str = "10.0.0.88",
-    blocked_score: float = 99.0,
+    blocked_ip: str = S.BLOCKED_IP,
+    blocked_score: float = S.BLOCKED_SCORE,
     flag_above: float = 0.02,
 ) -> DataFrame:
     """Address rule first, model probability otherwise; adds the score, the flag and a challenger."""
     by_rule = F.coalesce(F.col("ip_address").contains(blocked_ip), F.lit(False))
     score = F.when(by_rule, F.lit(float(blocked_score))).otherwise(F.col(probability) * 100)
     challenger = (
-        F.when(X.is_risky_ip(), X.hash_uniform("event_id", "chal", 75.0, 99.9))
-        .when(_over(75_000), X.hash_uniform("event_id", "chal", 60.0, 85.0))
-        .otherwise(X.hash_uniform("event_id", "chal", 5.0, 45.0))
+        F.when(X.is_risky_ip(), X.hash_uniform("event_id", "chal", *S.CHALLENGER_RISKY_BAND))
+        .when(_over(S.CHALLENGER_AMOUNT), X.hash_uniform("event_id", "chal", *S.CHALLENGER_LARGE_BAND))
+        .otherwise(X.hash_uniform("event_id", "chal", *S.CHALLENGER_BASE_BAND))
     )
     return events.withColumns(
         {

@@ -350,10 +350,20 @@ def constraint_report(spark, sf):
             quality.unique(flags, ["alert_id"], "alert_id unique"),
             quality.refers_to(flags, "user_id", customers, "user_id", "alert user is a customer"),
             quality.holds(accounts, F.col("balance") >= 0, "balance not negative"),
-            quality.holds(flags, F.col("risk_score").between(0, 1), "risk between 0 and 1"),
-            quality.not_null(bronze, "user_id", "user_id not null"),
-            quality.one_of(bronze, "event_type", S.BALANCE_EVENT_TYPES, "known event type"),
-            quality.one_of(flags, "risk_level", S.RISK_LEVELS, "known risk level"),
+            quality.row_rules(
+                flags,
+                {
+                    "risk between 0 and 1": ~F.col("risk_score").between(0, 1),
+                    "known risk level": ~F.col("risk_level").isin(*S.RISK_LEVELS),
+                },
+            ),
+            quality.row_rules(
+                bronze,
+                {
+                    "user_id not null": F.col("user_id").isNull(),
+                    "known event type": ~F.col("event_type").isin(*S.BALANCE_EVENT_TYPES),
+                },
+            ),
         ]
     )
 

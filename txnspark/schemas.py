@@ -56,6 +56,14 @@ RULE_BOT = "XGBoost Bot Fraud Pattern"
 RULE_RISKY_IP = "High Risk IP Alert"
 RULE_STATELESS = "champion_model_v1"
 ALERT_MESSAGE_PREFIX = "Giao dịch bất thường phát hiện từ IP: "
+# Amount limits and odds of the rule models, the blocked address, and score bands.
+CHAMPION_SURE_AMOUNT, CHAMPION_TRANSFER_AMOUNT, CHALLENGER_AMOUNT = 100_000, 50_000, 75_000
+CHAMPION_TRANSFER_ODDS, CHAMPION_BASE_ODDS = 0.7, 0.05
+CHALLENGER_AMOUNT_ODDS, CHALLENGER_BASE_ODDS = 0.6, 0.08
+BLOCKED_IP, BLOCKED_SCORE = "10.0.0.88", 99.0
+CHALLENGER_RISKY_BAND, CHALLENGER_LARGE_BAND, CHALLENGER_BASE_BAND = (75.0, 99.9), (60.0, 85.0), (5.0, 45.0)
+POINT_CHAMPION_BANDS = ((10, 45), (80, 99), (5, 70))
+POINT_CHALLENGER_BANDS = ((91, 99), (80, 99), (5, 75))
 NUMERIC_FEATURES = ("amount", "tx_count_1h", "amount_avg_1h", "amount_vs_avg", "hour_of_day")
 METADATA_COLUMNS = (
     "kafka_topic",

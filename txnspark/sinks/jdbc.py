@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
@@ -12,15 +13,22 @@ from txnspark.sources.jdbc import Database
 
 BATCH_ROWS = 50
 ATTEMPTS = 3
+PAUSE_SECONDS = 1.0
+#: Writers at a time, whatever the number of partitions.
+CONNECTIONS = 16
 
 
-def overwrite_options(database: Database, table: str, batch_rows: int = 10_000) -> dict[str, str]:
+def overwrite_options(
+    database: Database, table: str, batch_rows: int = 10_000, connections: int = CONNECTIONS
+) -> dict[str, str]:
     """Empty the table and refill it, which keeps its keys and column types."""
-    return database.options(table, truncate="true", batchsize=str(batch_rows))
+    return database.options(table, truncate="true", batchsize=str(batch_rows), numPartitions=str(connections))
 
 
-def append_options(database: Database, table: str, batch_rows: int = 10_000) -> dict[str, str]:
-    return database.options(table, batchsize=str(batch_rows))
+def append_options(
+    database: Database, table: str, batch_rows: int = 10_000, connections: int = CONNECTIONS
+) -> dict[str, str]:
+    return database.options(table, batchsize=str(batch_rows), numPartitions=str(connections))
 
 
 def overwrite(df: DataFrame, database: Database, table: str) -> None:
@@ -52,6 +60,7 @@ def insert_batches(
             except Exception:
                 if attempt == attempts:
                     raise
+                time.sleep(PAUSE_SECONDS * attempt)
 
     return insert
 
