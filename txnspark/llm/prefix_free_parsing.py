@@ -7,17 +7,17 @@ one. Triggers cut texts into phrases that overlap by the hash's reach.
 
 1. Dictionary: trigger strings are counted over all documents. A window whose trigger string occurs
    once cannot repeat; what is left are segments, runs of windows with repeated triggers.
-2. Parse: the suffixes of a segment's phrase sequence, cut off where they reach LENGTH bytes, are
-   named by digests and counted, which puts equal ones side by side as a suffix array of the parse
-   cut off at that depth would. Where one repeats, all of its phrases are covered; the first segment
-   that has it stands for all.
-3. What starts or ends within a phrase remains: windows at the rims of covered runs. Their order in
-   the corpus combines the inner part of a phrase and the phrases behind it, so they are compared
-   whole, with each other and with the windows of one segment for each repeated suffix: batches of
-   segments send the sorted names of their windows to buckets, sorted runs are merged there, and
-   neighbours that are equal repeat.
-
-In steps 1 and 2 rows are counted with partial sums, in step 3 each batch sends a name once, so that
+2. Parse: within segments a finer trigger cuts phrases of some 16 bytes. The suffixes of a segment's
+   parse, cut off LENGTH bytes behind their first phrase, are named and sorted as in a suffix array
+   of the parse of that depth; equal neighbours cover all windows that start in that phrase. One
+   place of each stands for all.
+3. What starts within a phrase at the rim of a repeat remains. Its order combines the rest of a
+   phrase with the phrases behind it, so these windows are named whole, and sorted with each other
+   and with the windows of the places that stand for repeated suffixes.
+
+Steps 2 and 3 sort by buckets: batches of segments send the sorted names of what they have, each once,
+as gaps of a few bytes; buckets merge the sorted runs and tell each batch by a bit for each of its
+names whether a neighbour is equal, and whether it stands for it. Step 1 counts with partial sums. So
 no key holds up a task, however often it occurs. Trigger strings are only a filter and travel as a
 bitmap of fixed size while they fill at most an eighth of it, beyond that through a join.
 
@@ -44,6 +44,9 @@ from txnspark.session import written
 LENGTH = 400
 REACH = 96
 SLICE_BYTES = 1 << 20
+#: Phrases of step 2 have some 2^PHRASE_BITS bytes; their triggers read PHRASE_WIDTH.
+PHRASE_BITS = 4
+PHRASE_WIDTH = 16
 BITMAP_BITS = 26
 BATCH_BYTES = 3_000_000
 BUCKET_NAMES = 4_000_000
@@ -53,7 +56,7 @@ _BYTES = [_RANDOM.integers(0, 2**64, 256, dtype=np.uint64) for _ in range(2)]
 _FACTORS = [int(x) | 1 for x in _RANDOM.integers(0, 2**63, 2)]
 _POSITION_BITS = 24
 
-SEGMENTS = "segment long, doc_id long, text_hash long, begin long, data binary"
+SEGMENTS = "doc_id long, text_hash long, begin long, data binary"
 SPANS = "doc_id long, text_hash long, begin long, end long"
 
 
@@ -93,6 +96,12 @@ def triggers(raw: np.ndarray, length: int = LENGTH, reach: int = REACH) -> tuple
     return hashes, (n - np.uint64(1) - (least & low)).astype(np.int64)
 
 
+def trigger_names(hashes: np.ndarray) -> np.ndarray:
+    """Evenly spread names; the hashes themselves are small, being least ones."""
+    names = hashes * np.uint64(0x9FB21C651E98DF25)
+    return names ^ (names >> np.uint64(35))
+
+
 def slices(data: bytes, length: int) -> Iterator[tuple[int, np.ndarray]]:
     """Start and bytes of slices that have each window once."""
     raw = np.frombuffer(data, np.uint8)
@@ -120,7 +129,7 @@ def union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def trigger_strings(data: bytes, length: int, reach: int) -> np.ndarray:
-    """Hashes of a text's trigger strings, each twice at most."""
+    """Names of a text's trigger strings, each twice at most."""
     found = [(np.zeros(0, np.int64), np.zeros(0, np.uint64))]
     for at, raw in slices(data, length):
         hashes, trigger = triggers(raw, length, reach)
@@ -128,20 +137,20 @@ def trigger_strings(data: bytes, length: int, reach: int) -> np.ndarray:
         found.append((places + at, hashes[places]))
     places, hashes = (np.concatenate(x) for x in zip(*found))
     # neighbouring slices may share a trigger
-    hashes = np.sort(hashes[np.unique(places, return_index=True)[1]])
+    hashes = np.sort(trigger_names(hashes[np.unique(places, return_index=True)[1]]))
     third = np.zeros(len(hashes), bool)
     third[2:] = hashes[2:] == hashes[:-2]
     return hashes[~third].view(np.int64)
 
 
 def candidate_segments(data: bytes, known, length: int, reach: int) -> list[tuple[int, int]]:
-    """Spans of the runs of windows whose trigger string is ``known`` (hashes -> booleans)."""
+    """Spans of the runs of windows whose trigger string is ``known`` (names -> booleans)."""
     found = []
     for at, raw in slices(data, length):
         hashes, trigger = triggers(raw, length, reach)
         places = trigger[np.append(True, trigger[1:] != trigger[:-1])]
         repeated = np.zeros(len(hashes), bool)
-        repeated[places] = known(hashes[places])
+        repeated[places] = known(trigger_names(hashes[places]))
         found += [(at + a, at + b + length) for a, b in runs(np.flatnonzero(repeated[trigger]))]
     # windows that follow each other across slices make one run
     out: list[tuple[int, int]] = []
@@ -153,25 +162,17 @@ def candidate_segments(data: bytes, known, length: int, reach: int) -> list[tupl
     return out
 
 
-def parse_suffixes(data: bytes, length: int, reach: int) -> list[tuple[bytes, int, int]]:
-    """Digest, begin and end of the phrases from each trigger on that reach ``length`` bytes."""
-    places = [np.zeros(0, np.int64)]
-    for at, raw in slices(data, length):
-        places.append(np.unique(triggers(raw, length, reach)[1]) + at)
-    places = np.unique(np.concatenate(places))
-    last = np.searchsorted(places, places + (length - reach))
-    begins, ends = places[last < len(places)], places[last[last < len(places)]] + reach
-    return [(xxhash.xxh3_128_digest(data[a:b]), a, b) for a, b in zip(begins.tolist(), ends.tolist())]
+def phrase_starts(data: bytes, width: int) -> np.ndarray:
+    """Places where the hash of ``width`` bytes begins with as many zero bits as PHRASE_BITS."""
+    raw = np.frombuffer(data, np.uint8)
+    return np.flatnonzero(rolling(raw, width) >> np.uint64(64 - PHRASE_BITS) == 0)
 
 
-def compared(size: int, covered: list[tuple[int, int, bool]], length: int) -> list[tuple[int, int]]:
-    """Spans of the runs of windows that no suffix covers, or one that this segment stands for."""
-    windows = np.ones(size - length + 1, bool)
-    for own in (False, True):
-        for begin, end, stands in covered:
-            if stands == own:
-                windows[begin : end - length + 1] = own
-    return [(a, b + length) for a, b in runs(np.flatnonzero(windows))]
+def parse_suffixes(data: bytes, length: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """First and last window of each suffix: from a phrase to ``length`` bytes behind its end."""
+    starts = phrase_starts(data, width)
+    starts = starts[starts + length <= len(data)]
+    return starts[:-1], starts[1:]
 
 
 def _docs(docs: DataFrame) -> DataFrame:
@@ -217,7 +218,6 @@ def _segment_rows(length: int, reach: int, known_of):
 
 def _segments(rows: DataFrame, repeated: DataFrame, length: int, reach: int, bitmap_bits: int) -> DataFrame:
     """Written table of SEGMENTS."""
-    ddl = SEGMENTS.removeprefix("segment long, ")
     if repeated.count() <= (1 << bitmap_bits) // 8:
         slots = repeated.select(F.shiftrightunsigned("trigger", 64 - bitmap_bits).alias("slot"))
         words = slots.groupBy(F.shiftright("slot", 6).alias("word")).agg(
@@ -232,7 +232,7 @@ def _segments(rows: DataFrame, repeated: DataFrame, length: int, reach: int, bit
             at = hashes >> np.uint64(64 - bitmap_bits)
             return (shared.value[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)) == 1
 
-        found = rows.mapInArrow(_segment_rows(length, reach, lambda batch: lambda k: known), ddl)
+        found = rows.mapInArrow(_segment_rows(length, reach, lambda batch: lambda k: known), SEGMENTS)
     else:
 
         def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,130 +259,179 @@ def _segments(rows: DataFrame, repeated: DataFrame, length: int, reach: int, bit
             return lambda k: lambda hashes: np.isin(hashes.view(np.int64), lists[k].values.to_numpy())
 
         joined = rows.join(lists.hint("merge"), "text_hash")
-        found = joined.mapInArrow(_segment_rows(length, reach, by_row), ddl)
-    numbered = found.select(F.monotonically_increasing_id().alias("segment"), "*")
-    return written(numbered, "segments", "zstd")
-
-
-def _covered(segments: DataFrame, length: int, reach: int) -> DataFrame:
-    """segment, spans: what repeated suffixes of the parse cover; ``own`` in the first segment of each."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [
-                (name, number, a, b)
-                for number, data in zip(_column(batch, "segment"), _column(batch, "data"))
-                for name, a, b in parse_suffixes(data, length, reach)
-            ]
-            columns = list(zip(*rows)) or [[], [], [], []]
-            kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds)], ["name", "segment", "a", "b"]
-            )
-
-    suffixes = segments.select("segment", "data").mapInArrow(run, "name binary, segment long, a long, b long")
-    suffixes = written(suffixes, "parse-suffixes")
-    repeated = suffixes.groupBy("name").agg(F.count("*").alias("places"), F.min("segment").alias("first"))
-    repeated = written(repeated.filter("places > 1").select("name", "first"), "repeated-suffixes")
-    found = suffixes.join(repeated.hint("merge"), "name").withColumn("own", F.col("segment") == F.col("first"))
-    spans = found.groupBy("segment").agg(F.collect_list(F.struct("a", "b", "own")).alias("spans"))
-    return written(spans, "covered")
-
-
-def _rims(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        names = ("doc_id", "text_hash", "begin", "data", "spans")
-        rows = []
-        for i, h, begin, data, spans in zip(*(_column(batch, c) for c in names)):
-            covered = [(s["a"], s["b"], s["own"]) for s in spans or ()]
-            rows += [(i, h, begin + a, data[a:b]) for a, b in compared(len(data), covered, length)]
-        columns = list(zip(*rows)) or [[], [], [], []]
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names[:4])
+        found = joined.mapInArrow(_segment_rows(length, reach, by_row), SEGMENTS)
+    return written(found, "segments", "zstd")
 
 
 class _Names:
-    """Windows of a batch of rims, named by bucket and hash."""
-
-    def __init__(self, table: pa.Table, length: int, bucket_bits: int):
-        parts, buckets, self.rows = [], [], []
-        for data in table.column("data").to_pylist():
-            size = 0
-            for _, raw in slices(data, length):
-                parts.append(rolling(raw, length, 0))
-                buckets.append(rolling(raw, length, 1) >> np.uint64(64 - bucket_bits))
-                size += len(parts[-1])
-            self.rows.append(size)
-        values, bucket = np.concatenate(parts), np.concatenate(buckets)
+    """Distinct names of what a batch has, in the order of bucket and value."""
+
+    def __init__(self, values: np.ndarray, spread: np.ndarray, bits: int):
+        bucket = spread >> np.uint64(64 - bits)
         order = np.lexsort((values, bucket))
         values, bucket = values[order], bucket[order]
-        new = np.append(True, (values[1:] != values[:-1]) | (bucket[1:] != bucket[:-1]))
-        group = np.cumsum(new) - 1
-        self.values, self.buckets = values[new], bucket[new]
-        #: Of each window, its name's number; of each name, whether the batch has it more than once.
+        new = np.ones(len(order), bool)
+        new[1:] = (values[1:] != values[:-1]) | (bucket[1:] != bucket[:-1])
+        self.values = values[new]
+        self.cuts = np.searchsorted(bucket[new], np.arange((1 << bits) + 1, dtype=np.uint64))
+        #: Of each item its name's number; of each name whether it repeats here, and one of its items.
         self.of = np.empty(len(order), np.int64)
-        self.of[order] = group
-        self.again = np.bincount(group) > 1
-        self.cuts = np.searchsorted(self.buckets, np.arange((1 << bucket_bits) + 1, dtype=np.uint64))
+        self.of[order] = np.cumsum(new) - 1
+        self.again = np.bincount(self.of, minlength=len(self.values)) > 1
+        self.item = order[new]
+
+
+def _suffixes_of(table, length: int, width: int, bits: int):
+    """Names of the parse suffixes of a batch of segments, and first and last windows by segment."""
+    places, digests = [], []
+    for data in table.column("data").to_pylist():
+        first, last = parse_suffixes(data, length, width)
+        places.append((first, last))
+        digests += [xxhash.xxh3_128_digest(data[a : b + length]) for a, b in zip(first.tolist(), last.tolist())]
+    pairs = np.frombuffer(b"".join(digests), np.uint64).reshape(-1, 2)
+    return _Names(pairs[:, 0], pairs[:, 1], bits), places
+
+
+def _windows_of(table, length: int, bits: int):
+    """Names of the windows of a batch of rims, and their number by rim."""
+    values, spread, sizes = [], [], []
+    for data in table.column("data").to_pylist():
+        for _, raw in slices(data, length):
+            values.append(rolling(raw, length, 0))
+            spread.append(rolling(raw, length, 1))
+        sizes.append(len(data) - length + 1)
+    return _Names(np.concatenate(values), np.concatenate(spread), bits), sizes
+
+
+class _Exchange:
+    """Deals rows into batches and tells each batch which of its names repeat."""
+
+    def __init__(self, rows: DataFrame, names_of, n_bytes: int, n_names: int):
+        self.batches = max(1, math.ceil(n_bytes / BATCH_BYTES))
+        self.bits = max(1, math.ceil(math.log2(max(2, n_names / BUCKET_NAMES))))
+        gap_bits = 64 - math.log2(max(1, n_names / self.batches / 2**self.bits))
+        self.unit = min(8, math.ceil((gap_bits + 2) / 8))
+        self.names_of = names_of
+        batch = F.pmod(F.xxhash64("doc_id", "text_hash", "begin"), F.lit(self.batches)).cast("int")
+        self.dealt = rows.withColumn("batch", batch).repartition(self.batches, "batch")
+
+    def _emit(self):
+        names_of, bits, unit = self.names_of, self.bits, self.unit
+
+        def emit(table: pa.Table) -> pa.Table:
+            names, batch = names_of(table, bits)[0], table.column("batch")[0].as_py()
+            some = [b for b in range(1 << bits) if names.cuts[b] < names.cuts[b + 1]]
+            packed = [pack(names.values[names.cuts[b] : names.cuts[b + 1]], 0, unit) for b in some]
+            kinds = ((some, pa.int32()), ([batch] * len(some), pa.int32()), (packed, pa.binary()))
+            return pa.table([pa.array(c, k) for c, k in kinds], ["bucket", "batch", "gaps"])
+
+        return emit
+
+    def _meet(self):
+        unit = self.unit
+
+        def meet(table: pa.Table) -> pa.Table:
+            order = np.argsort(table.column("batch").to_numpy(), kind="stable")
+            table = table.take(pa.array(order))
+            parts = [unpack(g, 0, unit) for g in table.column("gaps").to_pylist()]
+            every = np.sort(np.concatenate(parts))
+            shared = np.unique(every[1:][every[1:] == every[:-1]])
+            free = np.ones(len(shared), bool)
+            flags, stands = [], []
+            for part in parts:
+                repeats, first = np.zeros(len(part), bool), np.zeros(len(part), bool)
+                at = np.minimum(np.searchsorted(part, shared), len(part) - 1)
+                own = part[at] == shared
+                repeats[at[own]] = True
+                first[at[own & free]] = True
+                free &= ~own
+                flags.append(np.packbits(repeats).tobytes())
+                stands.append(np.packbits(first).tobytes())
+            columns = [table.column("batch"), table.column("bucket")]
+            columns += [pa.array(flags, pa.binary()), pa.array(stands, pa.binary())]
+            return pa.table(columns, ["batch", "bucket", "flags", "stands"])
+
+        return meet
+
+    def told(self, rows_of, ddl: str) -> DataFrame:
+        """What ``rows_of`` (table, extra, repeats, stands) makes of each batch; flags are by item."""
+        names_of, bits = self.names_of, self.bits
+        sent = self.dealt.groupBy("batch").applyInArrow(self._emit(), "bucket int, batch int, gaps binary")
+        met = sent.groupBy("bucket").applyInArrow(
+            self._meet(), "batch int, bucket int, flags binary, stands binary"
+        )
+        columns = [c.split() for c in ddl.split(", ")]
+        kinds = {"long": pa.int64(), "binary": pa.binary()}
+
+        def tell(own: pa.Table, met: pa.Table) -> pa.Table:
+            rows = []
+            if own.num_rows:
+                names, extra = names_of(own, bits)
+                repeats, stands = names.again.copy(), names.again.copy()
+                for bucket, flags, first in zip(*(met.column(c).to_pylist() for c in ("bucket", "flags", "stands"))):
+                    part = slice(int(names.cuts[bucket]), int(names.cuts[bucket + 1]))
+                    size = part.stop - part.start
+                    bit = lambda x: np.unpackbits(np.frombuffer(x, np.uint8), count=size).view(bool)
+                    there = bit(flags)
+                    repeats[part] |= there
+                    stands[part] = np.where(there, bit(first), stands[part])
+                one = np.zeros(len(names.of), bool)
+                one[names.item] = True
+                rows = rows_of(own, extra, repeats[names.of], stands[names.of] & one)
+            data = list(zip(*rows)) or [[] for _ in columns]
+            return pa.table([pa.array(c, kinds[k]) for c, (_, k) in zip(data, columns)], [n for n, _ in columns])
+
+        met = met.repartition(self.batches, "batch").groupBy("batch")
+        return self.dealt.groupBy("batch").cogroup(met).applyInArrow(tell, ddl)
+
+
+PARSED = "doc_id long, text_hash long, begin long, end long, data binary"
+
+
+def _parsed(segments: DataFrame, length: int, width: int) -> DataFrame:
+    """Written table of PARSED: spans that repeated suffixes cover, and rims, which have data."""
+    size = segments.agg(F.coalesce(F.sum(F.octet_length("data")), F.lit(0))).first()[0]
+    names_of = lambda table, bits: _suffixes_of(table, length, width, bits)
+
+    def rows_of(table, places, repeats, stands):
+        rows, at = [], 0
+        columns = (table.column(c).to_pylist() for c in ("doc_id", "text_hash", "begin", "data"))
+        for i, h, begin, data, (first, last) in zip(*columns, places):
+            again, own = repeats[at : at + len(first)], stands[at : at + len(first)]
+            at += len(first)
+            compared = np.ones(len(data) - length + 1, bool)
+            covered = np.zeros(len(compared), bool)
+            for a, b in zip(first[again].tolist(), last[again].tolist()):
+                covered[a : b + 1] = True
+                compared[a : b + 1] = False
+            for a, b in zip(first[own].tolist(), last[own].tolist()):
+                compared[a : b + 1] = True
+            rows += [(i, h, begin + a, begin + b + length, None) for a, b in runs(np.flatnonzero(covered))]
+            rows += [(i, h, begin + a, None, data[a : b + length]) for a, b in runs(np.flatnonzero(compared))]
+        return rows
+
+    parsed = _Exchange(segments, names_of, size, size >> PHRASE_BITS).told(rows_of, PARSED)
+    return written(parsed, "parsed", "zstd")
 
 
 def _rim_spans(rims: DataFrame, length: int) -> DataFrame:
     """SPANS that repeated windows of the rims cover."""
-    size = rims.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("data") - (length - 1)), F.lit(0))).first()
-    batches = max(1, math.ceil((size[1] + size[0] * (length - 1)) / BATCH_BYTES))
-    bits = max(1, math.ceil(math.log2(max(2, size[1] / BUCKET_NAMES))))
-    unit = min(8, math.ceil((64 - math.log2(max(2, size[1] / batches / 2**bits)) + 2) / 8))
-    batch = F.pmod(F.xxhash64("doc_id", "text_hash", "begin"), F.lit(batches)).cast("int").alias("batch")
-    dealt = rims.select("*", batch).repartition(batches, "batch")
-
-    def emit(table: pa.Table) -> pa.Table:
-        names, batch = _Names(table, length, bits), table.column("batch")[0].as_py()
-        some = [b for b in range(1 << bits) if names.cuts[b] < names.cuts[b + 1]]
-        packed = [pack(names.values[names.cuts[b] : names.cuts[b + 1]], 0, unit) for b in some]
-        return pa.table(
-            {
-                "bucket": pa.array(some, pa.int32()),
-                "batch": pa.array([batch] * len(some), pa.int32()),
-                "gaps": pa.array(packed, pa.binary()),
-            }
-        )
+    size = rims.agg(
+        F.coalesce(F.sum(F.octet_length("data")), F.lit(0)),
+        F.coalesce(F.sum(F.octet_length("data") - (length - 1)), F.lit(0)),
+    ).first()
+    names_of = lambda table, bits: _windows_of(table, length, bits)
 
-    def meet(table: pa.Table) -> pa.Table:
-        parts = [unpack(g, 0, unit) for g in table.column("gaps").to_pylist()]
-        every = np.sort(np.concatenate(parts))
-        shared = np.unique(every[1:][every[1:] == every[:-1]])
-        flags = []
-        for part in parts:
-            own = np.zeros(len(part), bool)
-            at = np.minimum(np.searchsorted(part, shared), len(part) - 1)
-            own[at[part[at] == shared]] = True
-            flags.append(np.packbits(own).tobytes())
-        return pa.table(
-            {"batch": table.column("batch"), "bucket": table.column("bucket"), "flags": pa.array(flags, pa.binary())}
-        )
+    def rows_of(table, sizes, repeats, stands):
+        rows, at = [], 0
+        columns = (table.column(c).to_pylist() for c in ("doc_id", "text_hash", "begin"))
+        for i, h, begin, size in zip(*columns, sizes):
+            hit = np.flatnonzero(repeats[at : at + size])
+            at += size
+            rows += [(i, h, begin + a, begin + b + length) for a, b in runs(hit)]
+        return rows
 
-    def mark(own: pa.Table, met: pa.Table) -> pa.Table:
-        rows = []
-        if own.num_rows:
-            names = _Names(own, length, bits)
-            repeated = names.again
-            for bucket, flags in zip(met.column("bucket").to_pylist(), met.column("flags").to_pylist()):
-                a, b = names.cuts[bucket], names.cuts[bucket + 1]
-                repeated[a:b] |= np.unpackbits(np.frombuffer(flags, np.uint8), count=b - a).view(bool)
-            windows = repeated[names.of]
-            at = 0
-            columns = (own.column(c).to_pylist() for c in ("doc_id", "text_hash", "begin"))
-            for i, h, begin, size in zip(*columns, names.rows):
-                hit = np.flatnonzero(windows[at : at + size])
-                at += size
-                rows += [(i, h, begin + a, begin + b + length) for a, b in runs(hit)]
-        columns = list(zip(*rows)) or [[], [], [], []]
-        return pa.table({c.split()[0]: pa.array(v, pa.int64()) for c, v in zip(SPANS.split(", "), columns)})
-
-    sent = dealt.groupBy("batch").applyInArrow(emit, "bucket int, batch int, gaps binary")
-    met = sent.groupBy("bucket").applyInArrow(meet, "batch int, bucket int, flags binary")
-    met = met.repartition(batches, "batch")
-    return dealt.groupBy("batch").cogroup(met.groupBy("batch")).applyInArrow(mark, SPANS)
+    return _Exchange(rims, names_of, *size).told(rows_of, SPANS)
 
 
 def repeated_spans(
@@ -391,22 +440,9 @@ def repeated_spans(
     """doc_id, text_hash (of the text), spans: bytes that repeated strings cover, in no order."""
     rows = _docs(docs)
     segments = _segments(rows, _repeated_strings(rows, length, reach), length, reach, bitmap_bits)
-    covered = _covered(segments, length, reach)
-    # merged at every size: what repeats grows with the input
-    placed = segments.join(covered.hint("merge"), "segment", "left")
-    rims = written(
-        placed.select("doc_id", "text_hash", "begin", "data", "spans").mapInArrow(
-            lambda batches: _rims(batches, length), SEGMENTS.removeprefix("segment long, ")
-        ),
-        "rims",
-        "zstd",
-    )
-    by_parse = covered.select("segment", F.explode("spans").alias("s")).join(
-        segments.select("segment", "doc_id", "text_hash", F.col("begin").alias("at")).hint("merge"), "segment"
-    )
-    by_parse = by_parse.select(
-        "doc_id", "text_hash", (F.col("at") + F.col("s.a")).alias("begin"), (F.col("at") + F.col("s.b")).alias("end")
-    )
+    parsed = _parsed(segments, length, min(PHRASE_WIDTH, reach))
+    by_parse = parsed.filter("data IS NULL").select("doc_id", "text_hash", "begin", "end")
+    rims = parsed.filter("data IS NOT NULL").select("doc_id", "text_hash", "begin", "data")
     spans = by_parse.unionByName(_rim_spans(rims, length)).groupBy("doc_id", "text_hash")
     return written(spans.agg(F.collect_list(F.struct("begin", "end")).alias("spans")), "repeated-spans")
 
