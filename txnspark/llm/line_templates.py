@@ -20,6 +20,9 @@ names.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,16 +40,19 @@ def forms_of(text: F.Column) -> F.Column:
     """The forms of all lines of a text."""
     single = F.regexp_replace(text, "[ \\t\\x0B-\\r]{2,}|[\\t\\x0B-\\r]", " ")
     masked = F.regexp_replace(single, "(?<![^ \\n])[^ \\n0-9]*+[0-9][^ \\n]*", "<*>")
-    # most texts have neither digits nor other white space; one look spares them both passes
-    plain = F.when(text.rlike("[0-9\\t\\x0B-\\r]|  "), masked).otherwise(text)
-    return F.transform(F.split(plain, "\n"), F.trim)
+    # most texts have neither digits nor other white space; a look for these, which is much cheaper
+    # than a pattern, spares them both passes
+    marks = [*"0123456789", "\t", "\x0b", "\x0c", "\r", "  "]
+    plain = F.when(reduce(or_, (F.contains(text, F.lit(m)) for m in marks)), masked).otherwise(text)
+    return F.transform(F.split(plain, "\n"), lambda line: F.trim(line))
 
 
 def _lines(docs: DataFrame) -> DataFrame:
     """doc_id, leaf, form: the distinct forms of each document that are not blank."""
     forms = F.array_distinct(forms_of(F.col("text"))).alias("forms")
     texts = docs.filter("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", forms)
-    lines = texts.select("doc_id", F.explode("forms").alias("form"))
+    # the outer form, as for the other Spark infers a filter that makes the forms once more
+    lines = texts.select("doc_id", F.explode_outer("forms").alias("form"))
     size = F.length("form") - F.length(F.replace("form", F.lit(" "), F.lit(""))) + 1
     leaf = F.concat_ws(" ", size, F.substring_index("form", " ", DEPTH))
     return lines.filter("form <> ''").select("doc_id", leaf.alias("leaf"), "form")
@@ -76,7 +82,8 @@ def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
         .agg(F.collect_list(F.struct((F.col("at") + DEPTH).alias("at"), "token")).alias("constant"))
     )
     places = F.substring_index("leaf", " ", 1).cast("int") - DEPTH
-    trees = constant.filter(F.size("constant") >= SIMILAR * places)
+    # written, so that the join below is between plain shuffles, which large leaves can be split in
+    trees = written(constant.filter(F.size("constant") >= SIMILAR * places), "template-trees")
     agrees = F.forall("constant", lambda c: F.get("_tokens", c["at"]) == c["token"])
     keyed = (
         forms.join(trees, "leaf", "left")
