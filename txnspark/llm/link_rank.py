@@ -139,7 +139,9 @@ def judged_pages(
         "page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path")
     )
     hosts = placed.groupBy("host").agg(F.count("*").alias("n_pages"))
-    fitting = host_rules(hosts, rules)
+    # written, like the scores below, so that the joins are between plain shuffles, which large
+    # hosts can be split in
+    fitting = written(host_rules(hosts, rules), "rules-of-hosts")
     best = F.array_max(F.filter("rules", lambda r: F.col("path").startswith(r["rule_path"])))
     judged = (
         placed.join(fitting, "host", "left")
@@ -176,6 +178,7 @@ def judged_pages(
     scores = propagate(seeds, written(edges, "host-edges"))
     of = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("score"))), F.lit(0.0))
     by_host = scores.groupBy("host").agg(of("trust").alias("trust"), of("distrust").alias("distrust"))
+    by_host = written(by_host, "scores-of-hosts")
     suspect = F.col("distrust") >= threshold * (F.col("trust") + F.col("distrust"))
     by_method = F.when((F.col("distrust") > 0) & suspect, F.lit("block")).otherwise(F.lit("allow"))
     return judged.join(by_host, "host", "left").select(
