@@ -42,8 +42,8 @@ ASCII_WORDS = re.compile(
 #: Up to so many places of a pair are merged one by one, more as arrays.
 FEW = 8
 CACHE_WORDS = 500_000
-SLICE_WORDS = 1_000_000
-MERGE_WORDS = 250_000
+SLICE_WORDS = 500_000
+MERGE_WORDS = 100_000
 
 ENCODED = "doc_id long, ids array<int>, n_tokens long, ids_sha256 string"
 DECODED = "doc_id long, text string"

@@ -38,7 +38,7 @@ BLOCKS = 4
 BLOCK_BITS = 64 // BLOCKS
 PASS_ITEMS = 2000
 PASS_BYTES = 8_000_000
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 500_000
 SLICE_WINDOWS = 4096
 FILTER_BITS = 20
 
