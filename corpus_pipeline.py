@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnspark.llm import bpe, cotraining, decontamination, line_templates, simhash
+from txnspark.llm import bpe, cotraining, decontamination, line_templates, shingle_sets
 from txnspark.llm.tables import table, tokenizer_path
 from txnspark.session import written
 
@@ -29,7 +29,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
-    return simhash.one_of_each(docs)
+    return shingle_sets.one_of_each(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

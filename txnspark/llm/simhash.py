@@ -72,19 +72,19 @@ def _fingerprint_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
         yield pa.RecordBatch.from_arrays(own, ["doc_id", "text_hash", "fp"])
 
 
-def _row_key() -> list[F.Column]:
+def row_key() -> list[F.Column]:
     return [F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash")]
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, text_hash, fp."""
-    rows = docs.select(*_row_key(), "text")
+    rows = docs.select(*row_key(), "text")
     return rows.mapInArrow(_fingerprint_batches, FINGERPRINTS)
 
 
-def ball(radius: int) -> np.ndarray:
-    """What turns a fingerprint into each variant within ``radius`` bits."""
-    flips = (c for k in range(radius + 1) for c in combinations(range(64), k))
+def ball(radius: int, width: int = 64) -> np.ndarray:
+    """What turns a fingerprint into each variant within ``radius`` of its low ``width`` bits."""
+    flips = (c for k in range(radius + 1) for c in combinations(range(width), k))
     return np.array([sum(1 << i for i in c) for c in flips], np.uint64)
 
 
@@ -123,10 +123,10 @@ def unpack(data: bytes, base: int, unit: int) -> np.ndarray:
 class Plan:
     """Sizes that follow from the number of fingerprints."""
 
-    def __init__(self, fingerprints: int, radius: int):
+    def __init__(self, fingerprints: int, radius: int, width: int = 64):
         if radius % 2:
             raise ValueError("the radius must be even, so that both sides go half the way")
-        self.radius, self.masks = radius, ball(radius // 2)
+        self.radius, self.masks = radius, ball(radius // 2, width)
         variants = max(1, fingerprints) * len(self.masks)
         self.batches = math.ceil(max(1, fingerprints) / BATCH_FINGERPRINTS)
         self.bits = min(64, math.ceil(math.log2(variants)) + SPARE_BITS)
@@ -261,19 +261,43 @@ def _verify(plan: Plan):
     return run
 
 
-def links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """a, b: links between distinct fingerprints (``fp`` of ``nodes``) that connect all within the radius."""
-    plan = Plan(nodes.count(), radius)
+def _whole(nodes: DataFrame, plan: Plan) -> DataFrame:
+    """bucket, variants, fps: whole variants whose hash met another's."""
     batch = F.pmod(F.xxhash64("fp"), F.lit(plan.batches)).cast("int").alias("batch")
     dealt = nodes.select("fp", batch).repartition(plan.batches, "batch")
     sent = dealt.groupBy("batch").applyInArrow(_emit(plan), "bucket int, batch int, gaps binary")
     met = sent.groupBy("bucket").applyInArrow(_met(plan), "batch int, bucket int, gaps binary")
-    whole = (
+    return (
         dealt.groupBy("batch")
         .cogroup(met.repartition(plan.batches, "batch").groupBy("batch"))
         .applyInArrow(_send(plan), "bucket int, variants binary, fps binary")
     )
-    return whole.groupBy("bucket").applyInArrow(_verify(plan), "a long, b long")
+
+
+def links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """a, b: links between distinct fingerprints (``fp`` of ``nodes``) that connect all within the radius."""
+    plan = Plan(nodes.count(), radius)
+    return _whole(nodes, plan).groupBy("bucket").applyInArrow(_verify(plan), "a long, b long")
+
+
+def _meetings(table: pa.Table) -> pa.Table:
+    """Whole variants of a bucket -> those that several fingerprints have, with each of these."""
+    take = lambda name, kind: np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
+    variants, fps = take("variants", np.int64), take("fps", np.int64)
+    order = np.lexsort((fps, variants))
+    variants, fps = variants[order], fps[order]
+    same = variants[1:] == variants[:-1]
+    met = np.concatenate([same, [False]]) | np.concatenate([[False], same])
+    return _table(variant=pa.array(variants[met], pa.int64()), fp=pa.array(fps[met], pa.int64()))
+
+
+def meetings(nodes: DataFrame, radius: int, width: int) -> DataFrame:
+    """variant, fp: where distinct fingerprints meet that differ in the low ``width`` bits, by at most the radius.
+
+    Any two within the radius have a variant in common. Bits above ``width`` have to be equal.
+    """
+    plan = Plan(nodes.count(), radius, width)
+    return _whole(nodes, plan).groupBy("bucket").applyInArrow(_meetings, "variant long, fp long")
 
 
 def _components(found: DataFrame, radius: int) -> DataFrame:
@@ -301,13 +325,18 @@ def one_of_each(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     Ids that are null come last; of rows that repeat an id, one stays.
     """
     found = written(fingerprints(docs), "fingerprints")
+    return first_rows(docs, found.join(_components(found, radius).select("fp", "root"), "fp"))
+
+
+def first_rows(docs: DataFrame, placed: DataFrame) -> DataFrame:
+    """Of each root of ``placed`` (doc_id, text_hash, root) the row of ``docs`` with the smallest doc_id."""
     order = F.struct(F.isnull("doc_id").alias("none"), "doc_id", "text_hash")
-    kept = found.join(_components(found, radius).select("fp", "root"), "fp").groupBy("root")
+    kept = placed.groupBy("root")
     kept = written(kept.agg(F.min(order).alias("row")).select("row.doc_id", "row.text_hash"), "kept-rows")
     # plain keys, so that the join's partitions serve for the repeated rows too
     key = {"_none": F.isnull("doc_id"), "_id": F.coalesce("doc_id", F.lit(0)), "_hash": F.col("text_hash")}
     kept = kept.select(*(v.alias(k) for k, v in key.items()))
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), *_row_key())
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), *row_key())
     rows = rows.select("row", *(v.alias(k) for k, v in key.items()))
     # merged at every size: what is kept grows with the input
     return rows.join(kept.hint("merge"), list(key)).dropDuplicates(list(key)).select("row.*")
