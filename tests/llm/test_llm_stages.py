@@ -49,3 +49,20 @@ def test_near_dedup_of_awkward_rows(spark):
     empty = docs.filter("false")
     assert shingle_sets.one_of_each(empty).collect() == []
     assert shingle_sets.one_of_each(docs).columns == docs.columns
+
+
+def test_long_lines_shared_by_few_documents(spark):
+    draw = random.Random(6)
+    line = " ".join(fresh_words(draw, 60))
+    rows = [(i, "\n".join([" ".join(fresh_words(draw, 40)), line, " ".join(fresh_words(draw, 40))])) for i in range(3)]
+    whole = "\n".join(" ".join(fresh_words(draw, 30)) for _ in range(4))
+    rows += [(10, whole), (11, whole), (12, whole + " more"), (13, "a short line\n" + fresh_words(draw, 1)[0])]
+    rows += [(14, "a short line\n" + fresh_words(draw, 1)[0])]
+    docs = spark.createDataFrame([(i, t, "", "", 0) for i, t in rows], DOCS)
+    left = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, docs, "").collect()}
+    texts = dict(rows)
+    assert left[0] == texts[0]
+    for i in (1, 2):
+        assert left[i].split("\n") == [t for t in texts[i].split("\n") if t != line]
+    # copies are left to near dedup, short lines of two documents are no boilerplate
+    assert all(left[i] == texts[i] for i in (10, 11, 12, 13, 14))

@@ -9,7 +9,11 @@ agree with it in all constant places; a line that does not is a template of its
 A template that recurs in ``MIN_DOCS`` documents or more is dropped from all of them but the one
 with the smallest doc_id, so that nothing vanishes from the corpus.
 
-Only DataFrame operations are used. Lines of leaves with fewer lines than ``MIN_DOCS`` leave after
+With ``long_lines``, as in the pipeline, a line of ``LONG_WORDS`` words or more counts as recurring from
+two documents on. A document that as a whole is a near copy of the one with the smallest id keeps
+such lines, as near dedup takes it out whole; that comparison makes shingles in Python.
+
+Without it only DataFrame operations are used. Lines of leaves with fewer lines than ``MIN_DOCS`` leave after
 one count; what travels beyond it are recurring lines, counted before each shuffle.
 
 Defined results: blank lines are kept and not counted; a null text stays null; a text may become
@@ -26,12 +30,14 @@ from operator import or_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from txnspark.llm.shingle_sets import similar
 from txnspark.session import written
 
 DEPTH = 3
 MIN_DOCS = 6
 CONSTANT = 0.9
 SIMILAR = 0.6
+LONG_WORDS = 20
 #: Hashes of a document's dropped lines lie in so many lists, for quick look-up.
 LISTS = 256
 
@@ -114,11 +120,41 @@ def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     return placed.join(common.hint("merge"), "template").filter("doc_id <> first").select("doc_id", "hash")
 
 
-def without_templates(docs: DataFrame, min_docs: int = MIN_DOCS, counts: bool = True) -> DataFrame:
+def dropped_long_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+    """doc_id, form: long lines that a document loses as two documents or more, but under ``min_docs``, have them."""
+    lines = _lines(docs.select("doc_id", "text"))
+    words = F.substring_index("leaf", " ", 1).cast("int")
+    lines = lines.filter(words >= LONG_WORDS).select("doc_id", F.xxhash64("form").alias("hash"))
+    lines = written(lines, "long-lines", "zstd")
+    common = lines.groupBy("hash").agg(F.count_distinct("doc_id").alias("docs"), F.min("doc_id").alias("first"))
+    common = written(common.filter(F.col("docs").between(2, min_docs - 1)), "common-long-lines")
+    found = lines.join(common.hint("merge"), "hash").filter("doc_id <> first")
+    found = written(found.select("doc_id", "hash", "first").distinct(), "long-lines-found")
+
+    # texts are the nodes that are compared
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("node"))
+    rows = rows.withColumn("text_hash", F.col("node"))
+    ids = rows.select("doc_id", "node").distinct()
+    for name, side in (("doc_id", "a_text"), ("first", "b_text")):
+        own = ids.select(F.col("doc_id").alias(name), F.col("node").alias(side))
+        texts = (found.select("doc_id", "first").distinct() if side == "a_text" else texts).join(own.hint("merge"), name)
+    texts = written(texts, "long-line-pairs")
+    a, b = F.least("a_text", "b_text").alias("a"), F.greatest("a_text", "b_text").alias("b")
+    near = similar(texts.select(a, b).filter("a <> b").distinct(), docs, rows).withColumn("near", F.lit(True))
+    judged = texts.select("doc_id", "first", a, b).join(near.hint("merge"), ["a", "b"], "left")
+    copies = judged.filter("near OR a = b").select("doc_id", "first").distinct()
+    return found.join(copies.hint("merge"), ["doc_id", "first"], "left_anti").select("doc_id", "hash")
+
+
+def without_templates(
+    docs: DataFrame, min_docs: int = MIN_DOCS, counts: bool = True, long_lines: bool = False
+) -> DataFrame:
     """``docs`` with the text that is left; with ``counts``, n_lines and n_dropped in front of it all."""
+    dropped = dropped_lines(docs, min_docs)
+    if long_lines:
+        dropped = dropped.unionByName(dropped_long_lines(docs, min_docs))
     lists = (
-        dropped_lines(docs, min_docs)
-        .groupBy("doc_id", F.pmod("hash", F.lit(LISTS)).alias("list"))
+        dropped.groupBy("doc_id", F.pmod("hash", F.lit(LISTS)).alias("list"))
         .agg(F.collect_set("hash").alias("hashes"))
         .groupBy(F.col("doc_id").alias("_of"))
         .agg(F.map_from_entries(F.collect_list(F.struct("list", "hashes"))).alias("_drop"))
