@@ -6,8 +6,9 @@ import random
 
 import corpus_pipeline
 from llm_data import DOCS, awkward_docs, awkward_rows
+from pyspark.sql import functions as F
 
-from txnspark.llm import shingle_sets
+from txnspark.llm import cotraining, shingle_sets
 
 
 def fresh_words(draw, n):
@@ -51,6 +52,30 @@ def test_near_dedup_of_awkward_rows(spark):
     assert shingle_sets.one_of_each(docs).columns == docs.columns
 
 
+#: Words that only the toxic documents of the given tables hold; some toxic documents hold none.
+ABUSE = "moron|scum|loser|clown|stupid|worthless|disgusting|idiot|pathetic|trash"
+
+
+def test_toxic_documents_are_rejected_by_their_words(spark, sf):
+    """Held out documents, whose labels are good quality."""
+    docs, labels = (spark.read.parquet(f"{sf.replace('0.001', '0.01')}/{t}.parquet") for t in ("documents", "labels"))
+    held = labels.filter("doc_id % 3 = 0 AND quality = 1")
+    rows = cotraining.scored(docs, labels.filter("doc_id % 3 <> 0")).join(held, "doc_id")
+    rows = rows.join(docs.select("doc_id", "text"), "doc_id")
+    rows = rows.select("toxic", "toxic_score", F.col("text").rlike(f"(?i)\\b({ABUSE})\\b").alias("abuse")).collect()
+    caught = [r.toxic_score >= cotraining.TOXIC for r in rows if r.toxic and r.abuse]
+    assert len(caught) >= 5 and sum(caught) >= 0.9 * len(caught)
+    assert sum(r.toxic_score >= cotraining.TOXIC for r in rows if not r.toxic) <= 0.02 * len(rows)
+
+
+def test_labelled_toxic_documents_do_not_stay(spark):
+    docs = [(i, f"plain words about number{i} and lamps" + (" you vile fool" if i % 5 == 0 else "")) for i in range(200)]
+    labels = spark.createDataFrame([(i, 1, int(i % 5 == 0)) for i in range(150)], "doc_id long, quality int, toxic int")
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in docs], DOCS)
+    kept = {r.doc_id for r in cotraining.kept_documents(docs, labels).collect()}
+    assert kept == {i for i in range(200) if i % 5}
+
+
 def test_long_lines_shared_by_few_documents(spark):
     draw = random.Random(6)
     line = " ".join(fresh_words(draw, 60))

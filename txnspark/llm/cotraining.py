@@ -10,9 +10,14 @@ only the calibration uses a bounded sample, ``CALIBRATION_ROWS`` held-out rows.
 A document is kept where the combined probability of good quality is at least ``KEEP``. Scoring is
 a narrow pass over the documents.
 
+Toxicity is a second target: a logistic regression on hashed words, fitted to all labels. Documents
+whose probability of it is at least ``TOXIC`` are not kept by ``kept_documents``. ``scored`` judges
+quality in ``keep`` and reports toxicity beside it.
+
 Defined results: null or empty texts and null metadata have features of zero and are scored like
 any other. Of several labels of one document the worst counts; null labels and labels without
-document are ignored. Repeated rows and rows without doc_id are scored each for itself. Where the
+document are ignored. Without a column ``toxic``, or without both of its classes, nothing is toxic
+and its scores are null. Repeated rows and rows without doc_id are scored each for itself. Where the
 labels do not hold both classes in both parts, no model can be fitted: scores are null and all
 documents are kept. Other columns are not looked at, and kept by ``kept_documents``.
 """
@@ -20,6 +25,7 @@ documents are kept. Other columns are not looked at, and kept by ``kept_document
 from __future__ import annotations
 
 import math
+import re
 import zlib
 from collections.abc import Iterator
 from operator import eq
@@ -39,10 +45,15 @@ KEEP = 0.5
 HELD_OUT = 5
 CALIBRATION_ROWS = 20_000
 NAMES = 32
+TOXIC = 0.5
+WORD_BUCKETS = 1 << 18
+TELLING = 512
 VIEWS = ("text_view", "meta_view")
 
+_WORD = re.compile(r"\w+").findall
+
 FEATURES = "doc_id long, text_view array<float>, meta_view array<float>"
-SCORES = "doc_id long, text_score double, meta_score double, score double, keep boolean"
+SCORES = "doc_id long, text_score double, meta_score double, score double, keep boolean, toxic_score double"
 INPUTS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
@@ -74,6 +85,39 @@ def meta_view(lang: str | None, source: str | None, n_chars: int | None, n_lines
     return out
 
 
+def words_of(text: str | None) -> list[int]:
+    """Ascending buckets of a text's words, which are lower-cased runs of letters and digits."""
+    return sorted({zlib.crc32(w.encode("utf-8", "surrogatepass")) % WORD_BUCKETS for w in _WORD((text or "").lower())})
+
+
+def _word_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        words = pa.array(map(words_of, batch.column("text").to_pylist()), pa.list_(pa.int32()))
+        yield pa.RecordBatch.from_arrays([batch.column("label"), words], ["label", "words"])
+
+
+def _bucket_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """In how many documents of each label a bucket occurs."""
+    counts = np.zeros((2, WORD_BUCKETS), np.int64)
+    for batch in batches:
+        lists = batch.column("words")
+        labels = np.repeat(batch.column("label").to_numpy() > 0, lists.value_lengths().to_numpy())
+        np.add.at(counts, (labels.astype(int), lists.flatten().to_numpy()), 1)
+    some = np.flatnonzero(counts.any(axis=0))
+    if len(some):
+        columns = [pa.array(some), pa.array(counts[0, some]), pa.array(counts[1, some])]
+        yield pa.RecordBatch.from_arrays(columns, ["bucket", "clean", "toxic"])
+
+
+def telling_buckets(counts: np.ndarray, clean: int, toxic: int) -> np.ndarray:
+    """Ascending buckets that stand out most, by the chi-square of bucket, clean and toxic documents."""
+    total, has = clean + toxic, counts[:, 1] + counts[:, 2]
+    apart = counts[:, 2].astype(float) * clean - counts[:, 1].astype(float) * toxic
+    square = apart**2 / np.maximum(1.0, has.astype(float) * (total - has)) * (total / (clean * toxic))
+    best = np.lexsort((counts[:, 0], -square))[:TELLING]
+    return np.sort(counts[best, 0])
+
+
 def _views(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     texts, langs, sources, sizes = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in INPUTS[1:])
     text, meta = [], []
@@ -181,33 +225,85 @@ def fitted(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS, sure: float
     return Scorer(models, prior)
 
 
+class ToxicScorer:
+    """Telling buckets and their weights; small, and sent with the tasks."""
+
+    def __init__(self, buckets: np.ndarray, weights: np.ndarray, bias: float):
+        self.weights, self.bias = dict(zip(buckets.tolist(), weights.tolist())), bias
+
+    def scores(self, texts: list[str | None]) -> np.ndarray:
+        margins = [sum(self.weights.get(w, 0.0) for w in words_of(t)) + self.bias for t in texts]
+        return 1 / (1 + np.exp(-np.clip(np.array(margins, np.float64), -700, 700)))
+
+
+def fitted_toxic(docs: DataFrame, labels: DataFrame) -> ToxicScorer | None:
+    """The scorer of toxicity learnt from labels (doc_id, toxic); None without both classes."""
+    if "toxic" not in labels.columns:
+        return None
+    known = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id")
+    known = known.agg(F.max("toxic").cast("double").alias("label"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(known.hint("merge"), "doc_id")
+    rows = texts.select("label", "text").mapInArrow(_word_batches, "label double, words array<int>")
+    rows = written(rows, "toxic-words", "zstd")
+    clean, toxic = rows.agg(F.count_if(F.col("label") == 0), F.count_if(F.col("label") > 0)).first()
+    if not clean or not toxic:
+        return None
+    counts = rows.mapInArrow(_bucket_counts, "bucket long, clean long, toxic long")
+    counts = counts.groupBy("bucket").agg(F.sum("clean"), F.sum("toxic")).toArrow()
+    buckets = telling_buckets(np.array([c.to_numpy() for c in counts.columns]).T, clean, toxic)
+
+    def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("words")
+            row = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
+            words = lists.flatten().to_numpy()
+            at = np.minimum(np.searchsorted(buckets, words), len(buckets) - 1)
+            hit = buckets[at] == words
+            out = np.zeros((len(lists), len(buckets)), np.float32)
+            out[row[hit], at[hit]] = 1
+            yield pa.RecordBatch.from_arrays([batch.column("label"), _lists(out)], ["label", "view"])
+
+    vectors = rows.mapInArrow(present, "label double, view array<float>")
+    vectors = written(vectors, "toxic-view", "zstd").select("label", array_to_vector("view").alias("view"))
+    # on the plain scale of 0 and 1 a word of few documents cannot weigh as much as one of many
+    learner = LogisticRegression(featuresCol="view", maxIter=50, regParam=1e-4, standardization=False)
+    model = learner.fit(vectors)
+    return ToxicScorer(buckets, model.coefficients.toArray(), float(model.intercept))
+
+
 def scored(docs: DataFrame, labels: DataFrame, keep: float = KEEP) -> DataFrame:
-    """One row per document: doc_id, text_score, meta_score, score, keep."""
-    scorer = fitted(docs, labels)
-    if scorer is None:
+    """One row per document: doc_id, text_score, meta_score, score, keep, toxic_score."""
+    scorer, toxic = fitted(docs, labels), fitted_toxic(docs, labels)
+    if scorer is None and toxic is None:
         none = (F.lit(None).cast("double").alias(c) for c in ("text_score", "meta_score", "score"))
-        return docs.select(F.col("doc_id").cast("long"), *none, F.lit(True).alias("keep"))
+        return docs.select(F.col("doc_id").cast("long"), *none, F.lit(True).alias("keep"), F.lit(None).cast("double").alias("toxic_score"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            text, meta, both = (pa.array(c) for c in scorer.scores(batch).T)
-            keeps = pa.array(both.to_numpy() >= keep)
+            nothing = pa.nulls(len(batch), pa.float64())
+            quality = [nothing] * 3 if scorer is None else [pa.array(c) for c in scorer.scores(batch).T]
+            keeps = np.ones(len(batch), bool) if scorer is None else quality[2].to_numpy() >= keep
+            bad = nothing if toxic is None else pa.array(toxic.scores(batch.column("text").to_pylist()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), text, meta, both, keeps],
-                ["doc_id", "text_score", "meta_score", "score", "keep"],
+                [batch.column("doc_id"), *quality, pa.array(keeps), bad],
+                ["doc_id", "text_score", "meta_score", "score", "keep", "toxic_score"],
             )
 
     return _inputs(docs).mapInArrow(run, SCORES)
 
 
 def kept_documents(docs: DataFrame, labels: DataFrame, keep: float = KEEP) -> DataFrame:
-    """The rows of ``docs`` whose quality suffices, with all their columns."""
-    scorer = fitted(docs, labels)
-    if scorer is None:
+    """The rows of ``docs`` whose quality suffices and that are not toxic, with all their columns."""
+    scorer, toxic = fitted(docs, labels), fitted_toxic(docs, labels)
+    if scorer is None and toxic is None:
         return docs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(scorer.scores(batch)[:, 2] >= keep))
+            kept = np.ones(len(batch), bool) if scorer is None else scorer.scores(batch)[:, 2] >= keep
+            if toxic is not None:
+                texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
+                kept &= toxic.scores(texts) < TOXIC
+            yield batch.filter(pa.array(kept))
 
     return docs.mapInArrow(run, docs.schema)
