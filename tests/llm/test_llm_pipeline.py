@@ -15,7 +15,7 @@ from txnspark.llm.queries import llm_queries, llm_sql
 
 def test_all_are_registered():
     names = list(contract.queries())
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
     assert "pipeline" in names and set(llm_sql()) <= set(llm_queries())
     assert [name for name, _ in corpus_pipeline.STAGES] == [

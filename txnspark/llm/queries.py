@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from zlib import crc32
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,9 +16,12 @@ from txnspark.llm import (
     exact_dedup,
     line_templates,
     link_rank,
+    periodic_runs,
     prefix_free_parsing,
     secret_scan,
     simhash,
+    token_counts,
+    vector_codes,
     warc,
 )
 from txnspark.llm.tables import table, tokenizer_path
@@ -70,6 +74,51 @@ def op10_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every text; see ``token_counts`` for nulls and other awkward rows."""
+    return token_counts.counted(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes and errors of all vectors, the errors of their labels, and a digest of the codebooks."""
+    codes, books = vector_codes.compressed(table(spark, sf_dir, "embeddings"))
+    rows = vector_codes.with_label_errors(codes).drop("label")
+    return rows.withColumn("codebooks_sha256", F.lit(vector_codes.digest(books)))
+
+
+def looped_words(doc_id: int | None, text: str) -> list[bytes]:
+    """Words of a text; in one of ten, by its id, the last part repeats a passage to the end."""
+    words = periodic_runs.plain_words(doc_id, text)
+    h = 1 if doc_id is None else crc32(str(doc_id).encode())
+    if h % 10 or not words:
+        return words
+    n, g = len(words), h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The longest run of each document, and digests of all its runs and of what is left without them."""
+    found = periodic_runs.judged(table(spark, sf_dir, "documents"), looped_words)
+    # the longest, then the first, then the shortest period
+    order = F.transform("runs", lambda r: F.struct((-r["length"]).alias("l"), r["start"].alias("s"), r["period"].alias("p")))
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), "")
+    found = found.withColumn("best", F.array_min(order))
+    length, period = -F.col("best.l"), F.col("best.p")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.s").alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.expr("(-best.l * 1000) div best.p").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2("text", 256).alias("collapsed_sha256"),
+    )
+
+
 OP2_SQL = """
 WITH p AS (
   SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
@@ -143,6 +192,50 @@ FROM shortened
 """
 
 
+def _op12_sql() -> str:
+    """Every distance of every round, without any search."""
+    parts = f"""rows AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 4096) AS BIGINT)) AS x
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), cells AS MATERIALIZED (
+  SELECT vec_id, (i - 1) // (n // 8) AS part, (i - 1) % (n // 8) AS pos, x[i] AS v
+  FROM (SELECT vec_id, x, len(x) AS n, unnest(range(1, len(x) + 1)) AS i FROM rows)
+), book0 AS MATERIALIZED (
+  SELECT part, entry, pos, v FROM cells
+  JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM rows ORDER BY vec_id LIMIT 16) USING (vec_id)
+)"""
+    for k in range(vector_codes.ROUNDS + 1):
+        parts += f""", taken{k} AS MATERIALIZED (
+  SELECT vec_id, part, min(d) AS d, arg_min(entry, (d, entry)) AS entry
+  FROM (
+    SELECT c.vec_id, c.part, b.entry, CAST(sum((c.v - b.v) * (c.v - b.v)) AS BIGINT) AS d
+    FROM cells c JOIN book{k} b ON b.part = c.part AND b.pos = c.pos GROUP BY c.vec_id, c.part, b.entry
+  ) GROUP BY vec_id, part
+)"""
+        if k < vector_codes.ROUNDS:
+            parts += f""", mean{k} AS (
+  SELECT c.part, t.entry, c.pos, sum(c.v) AS s, count(*) AS n
+  FROM cells c JOIN taken{k} t ON t.vec_id = c.vec_id AND t.part = c.part GROUP BY c.part, t.entry, c.pos
+), book{k + 1} AS MATERIALIZED (
+  SELECT b.part, b.entry, b.pos, CAST(coalesce((m.s - ((m.s % m.n + m.n) % m.n)) // m.n, b.v) AS BIGINT) AS v
+  FROM book{k} b LEFT JOIN mean{k} m ON m.part = b.part AND m.entry = b.entry AND m.pos = b.pos
+)"""
+    last = vector_codes.ROUNDS
+    return f"""WITH {parts}, coded AS (
+  SELECT vec_id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error
+  FROM taken{last} GROUP BY vec_id
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(CAST(v AS VARCHAR), ',' ORDER BY part, entry, pos)) FROM book{last}) AS codebooks_sha256
+FROM coded JOIN rows USING (vec_id)
+"""
+
+
+OP12_SQL = _op12_sql()
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_link_rank": op1_link_rank,
@@ -155,9 +248,12 @@ def llm_queries() -> dict[str, Query]:
         "op8_exact_dedup": op8_exact_dedup,
         "op9_decontamination": op9_decontamination,
         "op10_line_templates": op10_line_templates,
+        "op11_token_counts": op11_token_counts,
+        "op12_vector_codes": op12_vector_codes,
+        "op13_periodic_runs": op13_periodic_runs,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def llm_sql() -> dict[str, str]:
-    return {"op2_warc": OP2_SQL, "op8_exact_dedup": OP8_SQL, "op10_line_templates": OP10_SQL}
+    return {"op2_warc": OP2_SQL, "op8_exact_dedup": OP8_SQL, "op10_line_templates": OP10_SQL, "op12_vector_codes": OP12_SQL}
