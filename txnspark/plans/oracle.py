@@ -541,17 +541,6 @@ SQL["gold_protected_assets"] = f"""SELECT CAST(event_timestamp AS DATE) AS day_b
       WHERE event_timestamp >= (SELECT max(event_timestamp) - INTERVAL 7 DAY FROM silver) GROUP BY 1"""
 
 
-# A stream's history counts in exact time and in order of time and id.
-CTES["stream_history"] = """
-      SELECT *, CASE WHEN mean > 0 THEN amount::DOUBLE / mean ELSE 1.0 END AS ratio
-      FROM (SELECT e.*, h.n_rows, h.total::DOUBLE / h.n_rows AS mean
-            FROM bank_events e JOIN (
-              SELECT a.event_id, count(*) AS n_rows, sum(b.amount) AS total
-              FROM bank_events a JOIN bank_events b ON b.user_id = a.user_id
-                AND b.event_timestamp >= a.event_timestamp - INTERVAL 300 SECONDS
-                AND (b.event_timestamp, b.event_id) <= (a.event_timestamp, a.event_id)
-              GROUP BY 1) h USING (event_id))"""
-
 # Deliveries: five stretches of time, and one event in 97 after them all; late is what lies more than
 # a minute behind the newest event of earlier deliveries.
 CTES["delivered"] = """
@@ -565,6 +554,24 @@ CTES["delivered"] = """
                        FROM (SELECT *, epoch_us(event_timestamp) // 1000000 AS second FROM bank_events)) b
                  ON b.part < p.part GROUP BY 1) m ON m.part = e.part"""
 
+# A stream's history counts in exact time and in order of time and id, what has been delivered by then.
+# Half-hour slices that lie an hour or more behind the newest event of all but the last delivery before
+# have been dropped.
+CTES["stream_history"] = """
+      SELECT *, CASE WHEN mean > 0 THEN amount::DOUBLE / mean ELSE 1.0 END AS ratio
+      FROM (SELECT e.*, h.n_rows, h.total::DOUBLE / h.n_rows AS mean
+            FROM bank_events e JOIN (
+              SELECT a.event_id, count(*) AS n_rows, sum(b.amount) AS total
+              FROM (SELECT d.*, m.newest - INTERVAL 3600 SECONDS AS dropped FROM delivered d LEFT JOIN (
+                      SELECT p.part, max(x.event_timestamp) AS newest
+                      FROM range(7) p(part) JOIN delivered x ON x.part < p.part - 1 GROUP BY 1) m ON m.part = d.part) a
+              JOIN delivered b ON b.user_id = a.user_id
+                AND b.event_timestamp >= a.event_timestamp - INTERVAL 300 SECONDS
+                AND (b.event_timestamp, b.event_id) <= (a.event_timestamp, a.event_id)
+                AND (b.part = a.part OR b.part < a.part AND (a.dropped IS NULL
+                  OR time_bucket(INTERVAL 30 MINUTES, a.event_timestamp) + INTERVAL 30 MINUTES > a.dropped))
+              GROUP BY 1) h USING (event_id))"""
+
 STREAM_SQL = {
     "stream_bronze_ingest": """SELECT event_id, event_timestamp, user_id, event_type,
         CASE WHEN n % 11 = 0 THEN CAST(0 AS DECIMAL(18,2)) ELSE amount END AS amount,

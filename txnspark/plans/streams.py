@@ -16,6 +16,8 @@ from txnspark.streaming import ingest, velocity, windows
 TIME_PARTS = 5
 LATE_PART = TIME_PARTS
 FILES = 4
+#: Buckets of a day's keys; the days of these tables are small.
+BUCKETS = 1
 
 
 def delivered(df: DataFrame, time: str, name: str, late: bool = False, again: bool = False) -> DataFrame:
@@ -61,6 +63,14 @@ def drained(
     return spark.read.schema(stream.schema).parquet(f"{folder}/table")
 
 
+def stored_once(stream: DataFrame, name: str, key: str, day: str) -> DataFrame:
+    """Run the stream over everything there is into a table that holds each key once, and read it."""
+    spark = stream.sparkSession
+    folder = session.new_folder(spark, name)
+    windows.append_once(stream, f"{folder}/table", f"{folder}/checkpoint", key, day, buckets=BUCKETS).awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{folder}/table").select(stream.columns)
+
+
 def stream_bronze_ingest(spark, sf_dir):
     """JSON lines of the ``events`` table, written out by Spark, ingested into the bronze table."""
     session.apply_settings(spark)
@@ -83,15 +93,15 @@ def stream_tumbling_counts(spark, sf_dir):
 
 def stream_silver(spark, sf_dir):
     """Money movements, once each though some are delivered twice and some late, appended by day."""
-    folder = session.new_folder(spark, "silver")
     moves = cleaning.of_types(delivered_events(spark, sf_dir, late=True, again=True))
-    windows.append_once(moves, f"{folder}/table", f"{folder}/checkpoint").awaitTermination()
-    table = spark.read.schema(moves.schema).parquet(f"{folder}/table")
+    table = stored_once(moves, "silver", "event_id", "event_date")
     return table.select("event_id", "user_id", "event_type", "amount", "event_date")
 
 
 def stream_velocity(spark, sf_dir):
-    df = drained(velocity.with_history(delivered_events(spark, sf_dir)), "velocity", idle_batches=False)
+    """Each event with its user's history, once, though some are delivered twice and some late."""
+    featured = velocity.with_history(delivered_events(spark, sf_dir, late=True, again=True))
+    df = stored_once(featured, "velocity", "event_id", "event_date")
     return df.select(
         "event_id",
         "tx_count_1h",
@@ -102,9 +112,11 @@ def stream_velocity(spark, sf_dir):
 
 
 def stream_alerts(spark, sf_dir):
+    """Alerts of the model that knows each user's history, once, as in ``stream_velocity``."""
     known = session.written(V.known_ips(spark, sf_dir), "known-addresses")
-    alerts = velocity.scored_alerts(delivered_events(spark, sf_dir), known, V.model_column)
-    return drained(alerts, "alerts", idle_batches=False)
+    alerts = velocity.scored_alerts(delivered_events(spark, sf_dir, late=True, again=True), known, V.model_column)
+    alerts = alerts.withColumn("detected_on", F.to_date("detected_at"))
+    return stored_once(alerts, "alerts", "alert_id", "detected_on").drop("detected_on")
 
 
 def stream_stateless_alerts(spark, sf_dir):
@@ -130,9 +142,7 @@ def stream_alert_feed(spark, sf_dir):
     session.apply_settings(spark)
     stored = V.alerts(spark, sf_dir).withColumn("__n", F.col("source_event_id").cast("bigint"))
     stream = windows.high_alerts(delivered(stored, "detected_at", "alerts", late=True, again=True))
-    folder = session.new_folder(spark, "feed")
-    windows.append_once(stream, f"{folder}/table", f"{folder}/checkpoint", "alert_id", "detected_on").awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{folder}/table").select(stream.columns[:-1])
+    return stored_once(stream, "feed", "alert_id", "detected_on").select(stream.columns[:-1])
 
 
 STREAMS = [

@@ -1,15 +1,17 @@
 """Per-user history features on a stream, and the alerts made from them.
 
-State is kept per user and time slice. An event goes to its own slice and, if it can still be in
-a window of the next slice, as context to that one too, so a window finds all it needs in one
-state. A user with very many events is thus spread over as many groups as there are slices,
-and state is dropped slice by slice.
+State is kept per user and time slice, by second. An event goes to its own slice and, if it can
+still be in a window of the next slice, as context to that one too, so a window finds all it needs
+in one state. A user with very many events is thus spread over as many groups as there are slices;
+a batch rewrites only the seconds that it brings events of, and an event-time timer drops a slice
+whole.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,75 +22,123 @@ from txnspark.operators.scoring import mark_unknown_ips, stateful_alerts
 
 WINDOW_SECONDS = 300
 LATENESS_SECONDS = 3600
-_ENTRY = S.struct("micros BIGINT, event_id STRING, cents BIGINT")
+SLICE_SECONDS = 1800
+
+_SECOND = S.struct("second BIGINT")
+_EVENTS = T.StructType(
+    [
+        T.StructField("micros", T.ArrayType(T.LongType())),
+        T.StructField("ids", T.ArrayType(T.StringType())),
+        T.StructField("cents", T.ArrayType(T.LongType())),
+    ]
+)
 
 
 class RecentHistory(StatefulProcessor):
     """Adds to each event the count and sum of its user's events in the window before it.
 
-    Events count in order of time and id; a late event sees only what lies before it. The state of
-    a user ends ``lateness`` and the window behind the user's own newest event, so it depends on the
-    events alone and not on when they are processed. Events without a time have no history.
+    The key is (user, slice). Events count in order of time and id; a late event sees what lies
+    before it and has been delivered. An event with an id that its second holds already is a copy
+    and gives no row. A slice ends when the watermark has passed it: events that come later still
+    get their row, but see, and know as copies, only what their own batch brings. Events without a
+    time have no history.
     """
 
-    def __init__(self, seconds: int, lateness: int, names: list[str]):
-        self.span, self.keep, self.names = seconds * 1_000_000, (seconds + lateness) * 1_000_000, names
+    def __init__(self, seconds: int, slice_seconds: int, names: list[str]):
+        self.span, self.slice_seconds, self.names = seconds * 1_000_000, slice_seconds, names
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.history = handle.getListState("history", _ENTRY)
+        self.handle = handle
+        self.seconds = handle.getMapState("seconds", _SECOND, _EVENTS)
 
-    def handleInputRows(self, key, rows: Iterator[Row], timer_values) -> Iterator[Row]:
-        new = []
-        for row in rows:
-            if row.event_micros is not None:
-                new.append(row)
-                continue
-            values = row.asDict() | {"history_count": 0, "history_cents": 0}
-            yield Row(**{name: values[name] for name in self.names})
-        if not new:
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        if key[1] is None:
+            for row in rows:
+                yield self._row(row, 0, 0)
             return
-        added = [(row.event_micros, row.event_id or "", row.event_cents) for row in new]
-        known = list(self.history.get())
-        ordered = sorted([*((tuple(entry), None) for entry in known), *zip(added, new)], key=lambda pair: pair[0])
-        oldest = ordered[-1][0][0] - self.keep
-        self.history.put([entry for entry, _ in ordered if entry[0] >= oldest])
-
-        begin, total = 0, 0
-        for end, ((micros, _, cents), row) in enumerate(ordered, start=1):
-            total += cents
-            while ordered[begin][0][0] < micros - self.span:
-                total -= ordered[begin][0][2]
-                begin += 1
+        known = {second[0]: list(zip(*entry)) for second, entry in self.seconds.iterator()}
+        if not known:
+            self.handle.registerTimer((key[1] + 1) * self.slice_seconds * 1000)
+        ids = {second: {(micros, name) for micros, name, _ in own if name is not None} for second, own in known.items()}
+        new, touched = {}, set()
+        for row in rows:
+            second = row.event_micros // 1_000_000
+            entry, met = (row.event_micros, row.event_id, row.event_cents), ids.setdefault(second, set())
+            if entry[1] is not None:
+                if entry[:2] in met:
+                    continue
+                met.add(entry[:2])
+            own = known.setdefault(second, [])
+            own.append(entry)
+            touched.add(second)
+            if not row.is_context:
+                new[second, len(own) - 1] = row
+        for second in touched:
+            self.seconds.updateValue((second,), tuple(map(list, zip(*known[second]))))
+        yield from self._counted(known, new)
+
+    def _counted(self, known: dict[int, list[tuple]], new: dict[tuple[int, int], Row]) -> Iterator[Row]:
+        """A row for each of the ``new`` events, by their second and place in it."""
+        entries = [(micros, name or "", second, k, cents) for second, own in known.items() for k, (micros, name, cents) in enumerate(own)]
+        entries.sort()
+        micros = np.array([e[0] for e in entries], np.int64)
+        sums = np.concatenate([[0], np.cumsum(np.array([e[4] for e in entries], np.int64))])
+        begins = np.searchsorted(micros, micros - self.span)
+        for end, (begin, entry) in enumerate(zip(begins.tolist(), entries), start=1):
+            row = new.get(entry[2:4])
             if row is not None:
-                values = row.asDict()
-                values["history_count"], values["history_cents"] = end - begin, total
-                yield Row(**{name: values[name] for name in self.names})
+                yield self._row(row, end - begin, int(sums[end] - sums[begin]))
+
+    def _row(self, row: Row, count: int, cents: int) -> Row:
+        values = row.asDict() | {"history_count": count, "history_cents": cents}
+        return Row(**{name: values[name] for name in self.names})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        self.seconds.clear()
+        return iter(())
 
     def close(self) -> None:
         pass
 
 
+def routed(events: DataFrame, seconds: int, slice_seconds: int) -> DataFrame:
+    """Each event with its slice, and once more as context of the next slice if windows there can hold it."""
+    width = slice_seconds * 1_000_000
+    timed = events.withColumns(
+        {
+            "event_micros": F.unix_micros("event_timestamp"),
+            "event_cents": F.coalesce((F.col("amount") * 100).cast("bigint"), F.lit(0)),
+        }
+    )
+    own = F.floor(F.col("event_micros") / width)
+    place = lambda number, context: F.struct(number.alias("slice"), F.lit(context).alias("is_context"))
+    near_end = F.col("event_micros") >= (own + 1) * width - seconds * 1_000_000
+    places = F.when(near_end, F.array(place(own, False), place(own + 1, True))).otherwise(F.array(place(own, False)))
+    return timed.withColumn("__place", F.explode(places)).select("*", "__place.*").drop("__place")
+
+
 def with_history(
     events: DataFrame,
     seconds: int = WINDOW_SECONDS,
     zero_average: float = 1.0,
     lateness_seconds: int = LATENESS_SECONDS,
+    slice_seconds: int = SLICE_SECONDS,
 ) -> DataFrame:
     """Adds ``tx_count_1h``, ``amount_avg_1h`` and ``amount_vs_avg`` over the last ``seconds``.
 
-    A missing amount counts as zero.
+    A missing amount counts as zero. A slice is kept until all events are ``lateness_seconds`` past it.
     """
-    timed = events.withColumns(
-        {
-            "event_micros": F.unix_micros("event_timestamp"),
-            "event_cents": F.coalesce((F.col("amount") * 100).cast("bigint"), F.lit(0)),
-        }
-    )
-
+    if slice_seconds < seconds:
+        raise ValueError("a slice must be as long as the window, so that one slice back is enough")
+    # the watermark stands on a copy of the time that does not reach the state, or late rows would be dropped
+    marked = events.withColumn("__mark", F.col("event_timestamp")).withWatermark("__mark", f"{lateness_seconds} seconds")
     fields = [*events.schema.fields, T.StructField("history_count", T.LongType()), T.StructField("history_cents", T.LongType())]
     names = [field.name for field in fields]
-    counted = timed.groupBy("user_id").transformWithState(
-        RecentHistory(seconds, lateness_seconds, names), T.StructType(fields), "Append", "None"
+    counted = (
+        routed(marked, seconds, slice_seconds)
+        .drop("__mark")
+        .groupBy("user_id", "slice")
+        .transformWithState(RecentHistory(seconds, slice_seconds, names), T.StructType(fields), "Append", "EventTime")
     )
     mean = F.try_divide(F.col("history_cents").cast("double") / 100, F.col("history_count"))
     return counted.withColumns(

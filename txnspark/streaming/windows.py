@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from txnspark.operators.cleaning import first_delivery
+from txnspark.streaming import key_index
 
 OUT_OF_ORDER = "30 seconds"
 
@@ -39,6 +42,58 @@ def tumbling_counts(events: DataFrame, size: str = "5 minutes", delay: str = "60
     )
 
 
+def once_writer(
+    spark: SparkSession,
+    path: str,
+    key: str = "event_id",
+    day: str = "event_date",
+    buckets: int = key_index.BUCKETS,
+    words: int = key_index.WORDS,
+) -> Callable[[DataFrame, int], None]:
+    """For ``foreachBatch``: append the rows of a batch whose key the table at ``path`` does not hold yet.
+
+    Copies of a row share its day. The table lies by day, bucket of the key, and batch. An index of
+    Bloom filters (``key_index``, in ``path``-keys) tells which keys may be stored; only the days and
+    buckets of these are read, most batches read none. ``buckets`` and ``words`` size the filters of a
+    day. Rows without a key are all kept. A batch looks at earlier ones only, so a replay writes what
+    it wrote before.
+    """
+    index = key_index.KeyIndex(spark, f"{path}-keys", key, day, buckets, words)
+    plain_day = F.coalesce(F.col(day).cast("string"), F.lit(key_index.NO_DAY))
+
+    def not_stored(fresh: DataFrame, batch_id: int) -> DataFrame:
+        maybe = index.maybe_stored(fresh, batch_id)
+        if maybe is None:
+            return fresh
+        maybe = maybe.select(key, "__day", "__bucket").persist()
+        try:
+            # at most the days that the batch brings times the buckets
+            places = [tuple(row) for row in maybe.select("__day", "__bucket").distinct().collect()]
+            if not places:
+                return fresh
+            stored = key_index.stored_rows(spark, path, places, key, day).where(F.col("batch") < batch_id)
+            known = stored.join(maybe.select(key, "__day").hint("merge"), [key, "__day"], "left_semi").select(key, "__day")
+            return fresh.withColumn("__day", plain_day).join(known, [key, "__day"], "left_anti").select(fresh.columns)
+        finally:
+            maybe.unpersist()
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        # kept for all that follows, as a stream with state must not run twice
+        batch = batch.persist()
+        try:
+            fresh = first_delivery(batch.where(F.col(key).isNotNull()), key).unionByName(batch.where(F.col(key).isNull()))
+            new = not_stored(fresh, batch_id)
+            placed = new.withColumns({"bucket": key_index.bucket_of(F.col(key), buckets), "batch": F.lit(batch_id).cast("bigint")})
+            # one file for a day and bucket, more where they are large
+            kept = placed.hint("rebalance", F.col(day), F.col("bucket")).write.mode("overwrite")
+            kept.option("partitionOverwriteMode", "dynamic").partitionBy(day, "bucket", "batch").parquet(path)
+            index.add(fresh, batch_id)
+        finally:
+            batch.unpersist()
+
+    return write
+
+
 def append_once(
     stream: DataFrame,
     path: str,
@@ -46,22 +101,10 @@ def append_once(
     key: str = "event_id",
     day: str = "event_date",
     trigger: dict | None = None,
+    **sizes,
 ) -> StreamingQuery:
-    """Append rows whose key the table does not hold yet, however late they or their copies come.
-
-    Copies of a row share its day, so a batch reads only the keys of the days that it brings. Each
-    batch has a folder of its own and looks at earlier ones, so a replay writes what it wrote before.
-    """
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        fresh = first_delivery(batch, key)
-        if batch_id:
-            stored = batch.sparkSession.read.schema(f"{key} STRING").parquet(path)
-            stored = stored.where(F.col("batch") < batch_id).select(key, F.col(day).cast("date").alias(day))
-            stored = stored.join(batch.select(day).distinct(), day, "left_semi")
-            fresh = fresh.join(stored, [key, day], "left_anti")
-        fresh.write.mode("overwrite").partitionBy(day).parquet(f"{path}/batch={batch_id}")
-
+    """Append rows whose key the table does not hold yet, however late they or their copies come; see ``once_writer``."""
+    write = once_writer(stream.sparkSession, path, key, day, **sizes)
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
@@ -101,8 +144,10 @@ def keep_counts(
 ) -> StreamingQuery:
     """Counts per tumbling window that late rows correct, and a table of the late rows.
 
-    Each batch writes what it adds to its windows below ``path/counts``; ``counts`` adds that up.
-    Rows more than the delay behind the newest event of earlier batches also go to ``path/late``.
+    Each batch writes the windows of a span of batches up to itself below ``path/counts``, in which
+    it takes in what the batches before it have written, as ``key_index`` does; so ``counts`` adds up
+    at most log2 of the batches' folders. Rows more than the delay behind the newest event of
+    earlier batches also go to ``path/late``; a batch without such rows writes no folder there.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -116,8 +161,12 @@ def keep_counts(
                 F.count_if(late).alias("late_events"),
             )
             added = added.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *added.columns[1:])
+            if earlier := key_index.merged_by(batch_id):
+                added = _summed(added.unionByName(_count_folders(batch.sparkSession, path, earlier)))
             added.write.mode("overwrite").parquet(f"{path}/counts/batch={batch_id}")
-            batch.where(late).write.mode("overwrite").parquet(f"{path}/late/batch={batch_id}")
+            behind = batch.where(late)
+            if not behind.isEmpty():
+                behind.write.mode("overwrite").parquet(f"{path}/late/batch={batch_id}")
             mark.write.mode("overwrite").parquet(f"{path}/marks/batch={batch_id}")
         finally:
             batch.unpersist()
@@ -126,20 +175,30 @@ def keep_counts(
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
-def counts(spark: SparkSession, path: str) -> DataFrame:
-    """The windows that ``keep_counts`` has written, each once."""
-    added = spark.read.schema(
+def _count_folders(spark: SparkSession, path: str, batches: list[int]) -> DataFrame:
+    return spark.read.schema(
         "window_start TIMESTAMP, window_end TIMESTAMP, events BIGINT, amount DECIMAL(28,2), "
         "failed_logins BIGINT, late_events BIGINT"
-    ).parquet(f"{path}/counts")
+    ).parquet(*(f"{path}/counts/batch={b}" for b in batches))
+
+
+def _summed(added: DataFrame, kind: str = "decimal(28,2)") -> DataFrame:
     return added.groupBy("window_start", "window_end").agg(
         F.sum("events").alias("events"),
-        F.sum("amount").cast("decimal(18,2)").alias("amount"),
+        F.sum("amount").cast(kind).alias("amount"),
         F.sum("failed_logins").alias("failed_logins"),
         F.sum("late_events").alias("late_events"),
     )
 
 
+def counts(spark: SparkSession, path: str) -> DataFrame:
+    """The windows that ``keep_counts`` has written, each once."""
+    # the last folder's number names all that are needed
+    files = spark.read.schema("events BIGINT").parquet(f"{path}/counts").inputFiles()
+    last = max(int(file.rsplit("/batch=", 1)[1].split("/", 1)[0]) for file in files)
+    return _summed(_count_folders(spark, path, key_index.spans(last + 1)), "decimal(18,2)")
+
+
 def route_late(
     events: DataFrame,
     path: str,
