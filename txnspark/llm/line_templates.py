@@ -11,9 +11,9 @@ with the smallest doc_id, so that nothing vanishes from the corpus.
 
 With ``long_lines``, as in the pipeline, a line of ``LONG_WORDS`` words or more counts as recurring from
 two documents on. A document that as a whole is a near copy of the one with the smallest id keeps
-such lines, as near dedup takes it out whole; that comparison makes shingles in Python.
+such lines, as near dedup takes it out whole.
 
-Without it only DataFrame operations are used. Lines of leaves with fewer lines than ``MIN_DOCS`` leave after
+Only DataFrame operations are used. Lines of leaves with fewer lines than ``MIN_DOCS`` leave after
 one count; what travels beyond it are recurring lines, counted before each shuffle.
 
 Defined results: blank lines are kept and not counted; a null text stays null; a text may become
@@ -30,7 +30,6 @@ from operator import or_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnspark.llm.shingle_sets import similar
 from txnspark.session import written
 
 DEPTH = 3
@@ -38,6 +37,9 @@ MIN_DOCS = 6
 CONSTANT = 0.9
 SIMILAR = 0.6
 LONG_WORDS = 20
+#: A near copy shares this part of its shingles of so many words.
+SIMILARITY = 0.8
+SHINGLE_WORDS = 5
 #: Hashes of a document's dropped lines lie in so many lists, for quick look-up.
 LISTS = 256
 
@@ -131,21 +133,41 @@ def dropped_long_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     found = lines.join(common.hint("merge"), "hash").filter("doc_id <> first")
     found = written(found.select("doc_id", "hash", "first").distinct(), "long-lines-found")
 
-    # texts are the nodes that are compared
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("node"))
-    rows = rows.withColumn("text_hash", F.col("node"))
-    ids = rows.select("doc_id", "node").distinct()
-    for name, side in (("doc_id", "a_text"), ("first", "b_text")):
-        own = ids.select(F.col("doc_id").alias(name), F.col("node").alias(side))
-        texts = (found.select("doc_id", "first").distinct() if side == "a_text" else texts).join(own.hint("merge"), name)
+    # texts are compared once, however many documents have them
+    ids = docs.select("doc_id", F.xxhash64("text").alias("text_hash")).distinct()
+    texts = found.select("doc_id", "first").distinct()
+    for name, side in (("doc_id", "a"), ("first", "b")):
+        own = ids.select(F.col("doc_id").alias(name), F.col("text_hash").alias(side))
+        texts = texts.join(own.hint("merge"), name)
     texts = written(texts, "long-line-pairs")
-    a, b = F.least("a_text", "b_text").alias("a"), F.greatest("a_text", "b_text").alias("b")
-    near = similar(texts.select(a, b).filter("a <> b").distinct(), docs, rows).withColumn("near", F.lit(True))
-    judged = texts.select("doc_id", "first", a, b).join(near.hint("merge"), ["a", "b"], "left")
+    near = _near_copies(texts.select("a", "b").filter("a <> b").distinct(), docs).withColumn("near", F.lit(True))
+    judged = texts.join(near.hint("merge"), ["a", "b"], "left")
     copies = judged.filter("near OR a = b").select("doc_id", "first").distinct()
     return found.join(copies.hint("merge"), ["doc_id", "first"], "left_anti").select("doc_id", "hash")
 
 
+def _near_copies(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs (a, b) of text hashes whose texts share 0.8 of their five-word shingles."""
+    ends = pairs.select(F.col("a").alias("text_hash")).union(pairs.select(F.col("b"))).distinct()
+    texts = docs.select(F.xxhash64("text").alias("text_hash"), "text").dropDuplicates(["text_hash"])
+    texts = texts.join(ends.hint("merge"), "text_hash")
+    capitals = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    lower = F.translate("text", capitals, capitals.lower())
+    words = F.filter(F.split(lower, "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    # a shorter text is one shingle
+    last = F.greatest(F.size("words") - SHINGLE_WORDS + 1, F.lit(1))
+    shingle = lambda i: F.xxhash64(F.array_join(F.slice("words", i, SHINGLE_WORDS), " "))
+    sets = texts.select("text_hash", words.alias("words"))
+    sets = sets.select("text_hash", F.array_distinct(F.transform(F.sequence(F.lit(1), last), shingle)).alias("shingles"))
+    sets = written(sets, "long-line-shingles")
+    for side in "ab":
+        own = sets.select(F.col("text_hash").alias(side), F.col("shingles").alias(f"{side}_set"))
+        pairs = pairs.join(own.hint("merge"), side)
+    common = F.size(F.array_intersect("a_set", "b_set"))
+    whole = F.size("a_set") + F.size("b_set") - common
+    return pairs.filter(common >= F.lit(SIMILARITY) * whole).select("a", "b")
+
+
 def without_templates(
     docs: DataFrame, min_docs: int = MIN_DOCS, counts: bool = True, long_lines: bool = False
 ) -> DataFrame:

@@ -7,14 +7,21 @@ permutation, so that bits differ for half the share by which two sets differ: at
 fingerprint stands above its bits, so all go through one shuffle and never mix.
 
 What meets is verified: first all bits of both texts, of which true pairs differ in some 16 of 160
-and others in 80, then the shingle sets themselves (as 64-bit hashes). No pair that meets is left
-out: first each fingerprint is compared with the least one that it meets, and then every pair that
-is not yet in one component. So a large group of near copies costs one comparison for each text
-and fingerprint.
+and others in 80, then the shingle sets themselves (as 64-bit hashes). At first each fingerprint is
+compared with the least one that it meets, so a large group of near copies costs one comparison for
+each text and fingerprint. Where texts of different components still meet, these texts are compared
+by prefixes: ordered from the rarest shingle on (among these texts) two sets of similarity 0.8 have
+a shingle in common within the first fifth of each, whatever the rest is. Texts that share such a
+shingle are first compared with a few of them, which unites most, and then all pairs of different
+components that share one are verified; texts that meet but are less alike, however many they are,
+differ in rare shingles and mostly make no pair. No pair of 0.8 or more that meets is lost. A group of texts is a
+component of these links, so two of one group may be less alike than 0.8; ties cannot occur, the
+smallest doc_id stays.
 
 Defined results: words are what white space separates, lower-cased; texts under five words are one
 shorter shingle; texts without words and null texts are alike. Rows of one shingle set are one
-node. Other columns are not looked at, and kept by ``one_of_each``.
+node. An empty table gives no rows; very long texts are read whole. Other columns are not looked at,
+and kept by ``one_of_each``.
 """
 
 from __future__ import annotations
@@ -26,7 +33,7 @@ from operator import add
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from txnspark.llm.components import components
@@ -34,7 +41,11 @@ from txnspark.llm.simhash import first_rows, meetings, row_key
 from txnspark.session import written
 
 SHINGLE_WORDS = 5
-SIMILARITY = 0.8
+TENTHS = 8
+SIMILARITY = TENTHS / 10
+#: Texts that all others with one rare shingle are compared with before the rest.
+PIVOTS = 32
+PARITY_WORDS = 8
 SEED = 5
 PRINTS = 4
 BITS = 40
@@ -42,6 +53,8 @@ RADIUS = 4
 #: More differing bits than any pair at the similarity has (16 on average, deviation 4).
 FAR = 48
 SLICE_SHINGLES = 512
+#: Fingerprints of a batch: with 821 variants each, gaps of two bytes up to some millions of texts.
+BATCH = 10_000
 
 _FACTORS = np.random.default_rng(SEED).integers(0, 2**31, PRINTS * BITS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _OFFSETS = np.random.default_rng(SEED + 1).integers(0, 2**32, PRINTS * BITS, dtype=np.uint32)
@@ -79,6 +92,12 @@ def prints(shingles: np.ndarray) -> np.ndarray:
     return (bits @ _PLACES | _NUMBERS).astype(np.int64)
 
 
+def parity(shingles: np.ndarray) -> np.ndarray:
+    """Whether an odd number of shingles falls on each of ``PARITY_WORDS`` x 64 places."""
+    counts = np.bincount((shingles & np.uint64(64 * PARITY_WORDS - 1)).astype(np.int64), minlength=64 * PARITY_WORDS)
+    return np.packbits((counts & 1).astype(bool)).view(np.int64)
+
+
 def _printed_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sets = [shingle_set(t) for t in batch.column("text").to_pylist()]
@@ -90,9 +109,10 @@ def _printed_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 def _set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sets = [shingle_set(t).view(np.int64) for t in batch.column("text").to_pylist()]
-        rows = pa.array(sets, pa.list_(pa.int64()))
-        yield pa.RecordBatch.from_arrays([batch.column("node"), rows], ["node", "shingles"])
+        sets = [shingle_set(t) for t in batch.column("text").to_pylist()]
+        rows = pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))
+        odd = pa.array([parity(s) for s in sets], pa.list_(pa.int64()))
+        yield pa.RecordBatch.from_arrays([batch.column("node"), rows, odd], ["node", "shingles", "parity"])
 
 
 def printed(docs: DataFrame) -> DataFrame:
@@ -100,14 +120,17 @@ def printed(docs: DataFrame) -> DataFrame:
     return docs.select(*row_key(), "text").mapInArrow(_printed_batches, PRINTED)
 
 
-def similar(pairs: DataFrame, docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """The pairs (a, b) of nodes whose shingle sets are similar; ``rows`` are those of ``printed``."""
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b"))).distinct()
+def sets_of(nodes: DataFrame, docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """node, shingles, parity of the nodes (``node``); ``rows`` are those of ``printed``."""
     one = rows.join(nodes.hint("merge"), "node").groupBy("node")
     one = one.agg(F.min(F.struct("text_hash", "doc_id")).alias("row")).select("node", "row.text_hash")
     texts = docs.select(F.xxhash64("text").alias("text_hash"), "text")
     texts = texts.join(one.hint("merge"), "text_hash").dropDuplicates(["node"]).select("node", "text")
-    sets = written(texts.mapInArrow(_set_batches, "node long, shingles array<long>"), "shingle-sets")
+    return written(texts.mapInArrow(_set_batches, "node long, shingles array<long>, parity array<long>"), "shingle-sets")
+
+
+def similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) of nodes whose shingle sets are similar."""
     for side in "ab":
         own = sets.select(F.col("node").alias(side), F.col("shingles").alias(f"{side}_set"))
         pairs = pairs.join(own.hint("merge"), side)
@@ -123,7 +146,71 @@ def _compared(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, rows: DataFra
         pairs = pairs.join(own.hint("merge"), side)
     apart = (F.bit_count(F.col("a_prints")[k].bitwiseXOR(F.col("b_prints")[k])) for k in range(PRINTS))
     near = written(pairs.filter(reduce(add, apart) <= FAR).select("a", "b"), "near-pairs")
-    return written(similar(near, docs, rows), "similar-pairs")
+    ends = near.select(F.col("a").alias("node")).union(near.select(F.col("b"))).distinct()
+    return written(similar(near, sets_of(ends, docs, rows)), "similar-pairs")
+
+
+def rare_shingles(sets: DataFrame) -> DataFrame:
+    """node, n, rest, parity, shingle: where sets (node, shingles, parity) of similarity t or more have to meet.
+
+    Two sets of sizes m and n share t (m + n) / (1 + t) shingles at least, hence one of the first
+    n - ceil(t n) + 1 of each in any order that both follow; here that of rising counts. ``rest`` is how
+    many shingles there are from this one on.
+    """
+    places = sets.select("node", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
+    counts = written(places.groupBy("shingle").agg(F.count("*").alias("of")), "shingle-counts")
+    own = places.join(counts.hint("merge"), "shingle").groupBy("node", "n")
+    own = own.agg(F.array_sort(F.collect_list(F.struct("of", "shingle"))).alias("ordered"))
+    # whole tenths, so that no pair is lost to a rounded product
+    first = F.expr(f"slice(ordered, 1, cast(n - (n * {TENTHS} + 9) div 10 + 1 as int))")
+    heads = own.select("node", "n", F.posexplode(first).alias("front", "head")).filter("head.of > 1")
+    heads = heads.select("node", "n", (F.col("n") - F.col("front")).alias("rest"), "head.shingle")
+    return written(heads.join(sets.select("node", "parity").hint("merge"), "node"), "rare-shingles")
+
+
+def _met(left: DataFrame, right: DataFrame) -> DataFrame:
+    """a, b: nodes of different roots that share a rare shingle and can be similar.
+
+    What is in front of the first common shingle is not shared, so too much in front rules a pair
+    out. So does parity: two sets differ in as many shingles at least as their parities differ in places,
+    and may differ in (1 - t) / (1 + t) of m + n. For sets of up to some hundred shingles that leaves hardly
+    more than the similar pairs.
+    """
+    names = {"node": "b", "root": "other", "n": "m", "rest": "other_rest", "parity": "other_parity"}
+    apart = (F.bit_count(F.col("parity")[k].bitwiseXOR(F.col("other_parity")[k])) for k in range(PARITY_WORDS))
+    right = right.select("shingle", *(F.col(k).alias(v) for k, v in names.items()))
+    met = left.alias("l").join(
+        right.alias("r").hint("merge"),
+        (F.col("l.shingle") == F.col("r.shingle"))
+        & (F.col("root") != F.col("other"))
+        & (F.least("rest", "other_rest") * (10 + TENTHS) >= (F.col("n") + F.col("m")) * TENTHS)
+        & (reduce(add, apart) * (10 + TENTHS) <= (F.col("n") + F.col("m")) * (10 - TENTHS)),
+    )
+    return met.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
+
+
+def _mixed(heads: DataFrame, roots: DataFrame) -> DataFrame:
+    """``heads`` with their root, of shingles that nodes of several roots share; ``most`` is the commonest of these."""
+    heads = heads.join(roots.hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    heads = written(heads.select("node", "root", "n", "rest", "parity", "shingle"), "rooted-shingles")
+    of_root = heads.groupBy("shingle", "root").agg(F.count("*").alias("of"))
+    mixed = of_root.groupBy("shingle").agg(F.max_by("root", F.struct("of", "root")).alias("most"), F.count("*").alias("roots"))
+    mixed = written(mixed.filter("roots > 1").select("shingle", "most"), "mixed-shingles")
+    return written(heads.join(mixed.hint("merge"), "shingle"), "mixed-heads")
+
+
+def pivot_pairs(heads: DataFrame) -> DataFrame:
+    """a, b: each node with some nodes that share a rare shingle, as many as there are pivots."""
+    # the filter on the row number lets Spark keep so few rows of a shingle before the shuffle too
+    order = Window.partitionBy("shingle").orderBy(F.xxhash64("node"))
+    pivots = heads.withColumn("number", F.row_number().over(order)).filter(F.col("number") <= PIVOTS)
+    return _met(heads, pivots)
+
+
+def other_pairs(heads: DataFrame) -> DataFrame:
+    """a, b: all nodes of different roots that share a rare shingle and can be similar."""
+    # where one root has most of the nodes, the others are compared with all, and not all with all
+    return _met(heads.filter("root <> most"), heads)
 
 
 def similar_roots(docs: DataFrame, rows: DataFrame) -> DataFrame:
@@ -131,7 +218,7 @@ def similar_roots(docs: DataFrame, rows: DataFrame) -> DataFrame:
     nodes = written(rows.groupBy("node").agg(F.first("prints").alias("prints")), "shingle-nodes")
     of_print = written(nodes.select("node", F.explode("prints").alias("fp")), "node-prints")
     fps = written(of_print.select("fp").distinct(), "distinct-prints")
-    met = written(meetings(fps, RADIUS, BITS), "print-meetings")
+    met = written(meetings(fps, RADIUS, BITS, BATCH), "print-meetings")
 
     # nodes of one fingerprint meet at the fingerprint itself, whether or not others do
     shared = of_print.groupBy("fp").agg(F.count("*").alias("n")).filter("n > 1").select("fp")
@@ -141,19 +228,20 @@ def similar_roots(docs: DataFrame, rows: DataFrame) -> DataFrame:
     first = places.join(least.hint("merge"), "variant").filter("node <> least")
     first = first.groupBy("node", "fp").agg(F.min("least").alias("b")).select(F.col("node").alias("a"), "b")
     pair = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
-    first = written(first.select(*pair).distinct(), "first-pairs")
-    found = _compared(first, nodes, docs, rows)
+    found = _compared(first.select(*pair).distinct(), nodes, docs, rows)
     roots = written(components(found), "roots-of-first")
 
     at = places.select("variant", "node").distinct().join(roots.hint("merge"), "node", "left")
     at = written(at.select("variant", "node", F.coalesce("root", "node").alias("root")), "meeting-roots")
-    mixed = at.groupBy("variant").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    at = written(at.join(mixed.filter("low < high").select("variant").hint("merge"), "variant"), "open-meetings")
-    other = at.select("variant", F.col("node").alias("b"), F.col("root").alias("other"))
-    rest = at.withColumnRenamed("node", "a").join(other.hint("merge"), "variant").filter("root < other")
-    rest = rest.select(*pair).distinct().join(first.hint("merge"), ["a", "b"], "left_anti")
-    more = _compared(rest, nodes, docs, rows)
-    return written(components(found.unionByName(more)), "similar-roots")
+    mixed = at.groupBy("variant").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
+    open_nodes = written(at.join(mixed.select("variant").hint("merge"), "variant").select("node").distinct(), "open-nodes")
+    sets = sets_of(open_nodes, docs, rows)
+    heads = rare_shingles(sets)
+    for pairs in (pivot_pairs, other_pairs):
+        tried = written(pairs(_mixed(heads, roots)), "rare-pairs")
+        found = found.unionByName(written(similar(tried, sets), "similar-rare"))
+        roots = written(components(found), "similar-roots")
+    return roots
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:

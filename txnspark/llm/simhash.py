@@ -123,15 +123,15 @@ def unpack(data: bytes, base: int, unit: int) -> np.ndarray:
 class Plan:
     """Sizes that follow from the number of fingerprints."""
 
-    def __init__(self, fingerprints: int, radius: int, width: int = 64):
+    def __init__(self, fingerprints: int, radius: int, width: int = 64, batch: int = BATCH_FINGERPRINTS):
         if radius % 2:
             raise ValueError("the radius must be even, so that both sides go half the way")
         self.radius, self.masks = radius, ball(radius // 2, width)
         variants = max(1, fingerprints) * len(self.masks)
-        self.batches = math.ceil(max(1, fingerprints) / BATCH_FINGERPRINTS)
+        self.batches = math.ceil(max(1, fingerprints) / batch)
         self.bits = min(64, math.ceil(math.log2(variants)) + SPARE_BITS)
         self.bucket_bits = max(1, math.ceil(math.log2(variants / BUCKET_VARIANTS)))
-        gap = 2**self.bits / (len(self.masks) * min(fingerprints + 1, BATCH_FINGERPRINTS))
+        gap = 2**self.bits / (len(self.masks) * min(fingerprints + 1, batch))
         self.unit = 2 if gap < 20_000 else 3 if gap < 5_000_000 else 4
 
     def base(self, bucket: int) -> int:
@@ -291,12 +291,13 @@ def _meetings(table: pa.Table) -> pa.Table:
     return _table(variant=pa.array(variants[met], pa.int64()), fp=pa.array(fps[met], pa.int64()))
 
 
-def meetings(nodes: DataFrame, radius: int, width: int) -> DataFrame:
+def meetings(nodes: DataFrame, radius: int, width: int, batch: int = BATCH_FINGERPRINTS) -> DataFrame:
     """variant, fp: where distinct fingerprints meet that differ in the low ``width`` bits, by at most the radius.
 
-    Any two within the radius have a variant in common. Bits above ``width`` have to be equal.
+    Any two within the radius have a variant in common. Bits above ``width`` have to be equal. A larger
+    ``batch`` has smaller gaps to send and takes more memory.
     """
-    plan = Plan(nodes.count(), radius, width)
+    plan = Plan(nodes.count(), radius, width, batch)
     return _whole(nodes, plan).groupBy("bucket").applyInArrow(_meetings, "variant long, fp long")
 
 
