@@ -8,7 +8,8 @@ blocked where distrust makes up at least ``threshold`` of the two scores.
 Seeds are hosts of which at least half the pages are allowed (trusted) or blocked by a rule.
 
 Defined results: a null url, or one without "://", has empty host and path, fits no rule and is
-allowed by the method; hosts that no seed reaches are allowed. Null pages have no links. Links of a
+allowed by the method; hosts that no seed reaches are allowed. Null pages have no links; very long ones
+are read whole; an empty table gives no rows. Links of a
 host to itself carry no judgement and are left out; repeated rows weigh as often as they occur.
 Between rules of one length the greater rule string wins. Other columns are not looked at.
 """
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 
 from txnspark.session import written
 
-#: Rule string, verdict.
+#: The dealt rules (rule string, verdict).
 RULES = (
     ("net/", "block"),
     ("example.net/en/", "allow"),
@@ -28,12 +29,12 @@ RULES = (
     ("org/fr/", "allow"),
 )
 DAMPING = 0.85
-ROUNDS = 20
 ROUNDS_PER_WRITE = 5
 TOLERANCE = 1e-6
 THRESHOLD = 0.5
 SEED_SHARE = 0.5
-LINK = r"""(?i)<a\s[^>]*?href\s*=\s*["']?([a-z][a-z0-9+.-]*://[^"'\s>]+)"""
+#: Links with a scheme, or none of their own but a host.
+LINK = r"""(?i)<a\s[^>]*?href\s*=\s*["']?((?:[a-z][a-z0-9+.-]*:)?//[^"'\s>]+)"""
 
 
 def lower_ascii(text: F.Column) -> F.Column:
@@ -90,7 +91,8 @@ def host_edges(pages: DataFrame) -> DataFrame:
     links = F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(LINK), F.lit(1))
     return (
         pages.select(host_of(F.col("url")).alias("src"), F.explode(links).alias("link"))
-        .select("src", host_of(F.col("link")).alias("dst"))
+        # a link without a scheme has that of its page; the host is found behind any
+        .select("src", host_of(F.concat(F.when(F.col("link").startswith("//"), ":").otherwise(""), "link")).alias("dst"))
         .filter("src <> '' AND dst <> '' AND src <> dst")
         .groupBy("src", "dst")
         .agg(F.count("*").alias("links"))
@@ -98,36 +100,33 @@ def host_edges(pages: DataFrame) -> DataFrame:
 
 
 def propagate(
-    seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS
+    seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE
 ) -> DataFrame:
     """kind, host, score from seeds (kind, host, seed) over edges (kind, src, dst, share).
 
     Shares of one source sum to one. Mass of hosts without links is lost, which scales the scores
-    only. Rounds stop early when no score moves by more than the tolerance.
+    only. Rounds go on until no score moves by more than the tolerance, which the damping brings about:
+    what moves in all shrinks by it each round.
     """
     start = seeds.select("kind", "host", ((1 - damping) * F.col("seed")).alias("base"))
     scores = start.select("kind", "host", F.col("base").alias("score"))
-    for done in range(1, rounds + 1):
-        flow = scores.withColumnRenamed("host", "src").join(edges, ["kind", "src"]).select(
-            "kind", F.col("dst").alias("host"), (damping * F.col("score") * F.col("share")).alias("score")
-        )
-        new = (
-            flow.unionByName(start.withColumnRenamed("base", "score"))
-            .groupBy("kind", "host")
-            .agg(F.sum("score").alias("score"))
-        )
-        if done % ROUNDS_PER_WRITE and done < rounds:
-            scores = new
-            continue
-        new = written(new, "host-scores")
-        old = scores.select("kind", "host", F.col("score").alias("old"))
-        moved = new.join(old, ["kind", "host"], "left").agg(
-            F.max(F.abs(F.col("score") - F.coalesce("old", F.lit(0.0))))
-        )
-        scores = new
-        if (moved.first()[0] or 0.0) <= TOLERANCE:
-            break
-    return scores
+    while True:
+        for _ in range(ROUNDS_PER_WRITE):
+            old = scores
+            flow = old.withColumnRenamed("host", "src").join(edges, ["kind", "src"]).select(
+                "kind", F.col("dst").alias("host"), (damping * F.col("score") * F.col("share")).alias("score")
+            )
+            scores = (
+                flow.unionByName(start.withColumnRenamed("base", "score"))
+                .groupBy("kind", "host")
+                .agg(F.sum("score").alias("score"))
+            )
+        # the last two rounds go into one table, so that they are compared without being made again
+        both = scores.join(old.withColumnRenamed("score", "old"), ["kind", "host"], "left")
+        both = written(both.withColumn("moved", F.abs(F.col("score") - F.coalesce("old", F.lit(0.0)))), "host-scores")
+        scores = both.select("kind", "host", "score")
+        if (both.agg(F.max("moved")).first()[0] or 0.0) <= tolerance:
+            return scores
 
 
 def judged_pages(

@@ -56,7 +56,8 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_prefix_free_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prefix_free_parsing.without_repeats(table(spark, sf_dir, "documents")).drop("kept")
+    found = prefix_free_parsing.without_repeats(table(spark, sf_dir, "documents")).drop("kept")
+    return found.withColumn("has_repeats", F.col("n_removed") > 0)
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
