@@ -228,13 +228,21 @@ def similar_roots(docs: DataFrame, rows: DataFrame) -> DataFrame:
     first = places.join(least.hint("merge"), "variant").filter("node <> least")
     first = first.groupBy("node", "fp").agg(F.min("least").alias("b")).select(F.col("node").alias("a"), "b")
     pair = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
-    found = _compared(first.select(*pair).distinct(), nodes, docs, rows)
+    first = written(first.select(*pair).distinct(), "first-pairs")
+    found = _compared(first, nodes, docs, rows)
     roots = written(components(found), "roots-of-first")
 
     at = places.select("variant", "node").distinct().join(roots.hint("merge"), "node", "left")
     at = written(at.select("variant", "node", F.coalesce("root", "node").alias("root")), "meeting-roots")
-    mixed = at.groupBy("variant").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
-    open_nodes = written(at.join(mixed.select("variant").hint("merge"), "variant").select("node").distinct(), "open-nodes")
+    met = at.groupBy("variant").agg(
+        F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n"),
+        F.min("node").alias("a"), F.max("node").alias("b"),
+    )
+    met = written(met.filter("low < high").drop("low", "high"), "mixed-meetings")
+    # two that meet nobody else there have been compared, if not where the lesser met a still lesser one
+    two = met.filter("n = 2").join(first.hint("merge"), ["a", "b"], "left_anti")
+    still = met.filter("n > 2").select("variant").unionByName(two.select("variant"))
+    open_nodes = written(at.join(still.hint("merge"), "variant").select("node").distinct(), "open-nodes")
     sets = sets_of(open_nodes, docs, rows)
     heads = rare_shingles(sets)
     for pairs in (pivot_pairs, other_pairs):
