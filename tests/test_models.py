@@ -72,3 +72,38 @@ def test_isolation_forest_ranks_outliers(table):
 def test_mean_path():
     assert list(models.mean_path(np.array([1, 2]))) == [0.0, 1.0]
     assert models.mean_path(256) == pytest.approx(10.2448, abs=1e-3)
+
+
+def test_kth_score_is_exact(spark):
+    rng = np.random.default_rng(3)
+    values = [*rng.normal(size=700), *[0.25] * 90, *(-1e300, 1e-300, 5.0, 5.0), *np.exp(rng.normal(size=300) * 40)]
+    df = spark.createDataFrame([(float(v),) for v in values] + [(None,), (float("nan"),)], "s DOUBLE")
+    for k in (1, 2, 350, 640, len(values) - 1, len(values)):
+        for bins in (2, 1024):
+            assert models.kth_score(df, "s", k, bins) == sorted(values)[k - 1]
+    assert models.kth_score(df.where("s IS NULL"), "s", 1) is None
+
+
+def test_offset_cuts_off_the_share(table):
+    scored = table.withColumn("anomaly", F.rand(5))
+    offset = models.decision_offset(scored, 0.1)
+    assert scored.where(F.col("anomaly") < offset).count() == 120
+
+
+def test_importance_is_what_a_feature_is_worth(table):
+    score = lambda df: df.withColumn("probability", F.col("amount") / 1000.0)
+    found = {r.feature: r for r in models.permuted_importance(table, "event_id", score).collect()}
+    assert set(found) == set(S.NUMERIC_FEATURES)
+    assert found["amount"].importance > 0.7 and found["amount"].spread < 0.2
+    assert all(found[f].importance == 0 for f in found if f != "amount")
+
+
+def test_copies_are_a_permutation(table):
+    copies = models.shuffled_copies(table, "event_id", ["amount", "tx_count_1h"], 2, 1)
+    assert copies.count() == 1200 * 5
+    own = sorted(r.amount for r in table.collect())
+    moved = copies.where("feature = 'amount' AND repeat = 1").collect()
+    assert sorted(r.amount for r in moved) == own
+    by_id = {r.event_id: r for r in table.collect()}
+    assert all(r.tx_count_1h == by_id[r.event_id].tx_count_1h for r in moved)
+    assert sum(r.amount != by_id[r.event_id].amount for r in moved) > 1100

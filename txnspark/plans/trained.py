@@ -57,7 +57,58 @@ def challenger_scores(spark, sf_dir):
     return risk.withColumn("is_outlier", F.col("anomaly") < offset)
 
 
-TRAINED = [champion_scores, champion_importance, champion_search, challenger_scores]
+def champion_holdout(spark, sf_dir):
+    """Held-out events and whether the trained model gives each a probability."""
+    scored = champion_scores(spark, sf_dir)
+    return scored.select("event_id", "is_fraud", F.col("probability").between(0.0, 1.0).alias("is_probability"))
+
+
+def challenger_outliers(spark, sf_dir):
+    """Whether as many events are outliers as there are frauds, to within those that tie at the threshold."""
+    scored = challenger_scores(spark, sf_dir)
+    scored = session.written(scored.select("is_fraud", "is_outlier", "anomaly"), "outliers")
+    limit = scored.where("NOT is_outlier").agg(F.min("anomaly")).scalar()
+    rows = scored.agg(
+        F.count("*").alias("events"),
+        F.sum("is_fraud").cast("bigint").alias("frauds"),
+        F.count_if("is_outlier").alias("outliers"),
+        F.count_if(F.col("anomaly") <= limit).alias("with_ties"),
+    )
+    holds = (F.col("outliers") <= F.col("frauds")) & (F.col("with_ties") > F.col("frauds"))
+    return rows.select("events", "frauds", holds.alias("share_holds"))
+
+
+def champion_effects(spark, sf_dir):
+    """What each feature of the trained model is worth on the held-out events."""
+    table = training_table(spark, sf_dir)
+    model = models.train_champion(table.where(~F.col("is_test")), maxIter=10, maxDepth=4)
+    return models.permuted_importance(table.where("is_test"), "event_id", lambda df: models.champion_scores(model, df))
+
+
+def _plain_score(df):
+    """A fixed score in place of a model, which SQL can repeat."""
+    score = F.col("amount") / 1000000.0 * 0.5 + F.least(F.col("tx_count_1h"), F.lit(5.0)) * 0.05 + F.col("hour_of_day") * 0.01
+    return df.withColumn("probability", score)
+
+
+def permuted_importance(spark, sf_dir):
+    """Importance of three features for a fixed score."""
+    table = training_table(spark, sf_dir).where("is_test").withColumn("amount", F.col("amount").cast("double"))
+    names = ["amount", "tx_count_1h", "hour_of_day"]
+    found = models.permuted_importance(table, "event_id", _plain_score, names)
+    return found.select("feature", F.round("importance", 9).alias("importance"), F.round("spread", 9).alias("spread"))
+
+
+TRAINED = [
+    champion_scores,
+    champion_holdout,
+    champion_importance,
+    champion_effects,
+    champion_search,
+    challenger_scores,
+    challenger_outliers,
+    permuted_importance,
+]
 
 
 def trained_queries():
