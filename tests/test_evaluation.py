@@ -137,6 +137,48 @@ def test_journeys_extend(spark):
     assert steps == {"u": [("LOGIN", 2), ("TRANSFER", 1), ("LOGOUT", 1)], "v": [("LOGIN", 1)]}
 
 
+def listed(pages):
+    rows = sorted(pages.collect(), key=lambda r: (r.user_id or "", r.page))
+    assert all(r.events == len(r.steps) for r in rows)
+    return [(r.user_id, r.page, [s.event_id for s in r.steps]) for r in rows]
+
+
+def test_journey_pages_extend(spark):
+    days = [
+        [event(f"{d}{k}", u, "LOGIN", second=d * DAY + k // 2) for u, n in sizes for k in range(n)]
+        for d, sizes in enumerate([[("u", 5), ("v", 3), (None, 1)], [("u", 1), ("w", 7), (None, 4)], [("v", 4)]])
+    ]
+    pages = growth.journey_pages(frame(spark, days[0]), 3, hot_rows=2)
+    for day in days[1:]:
+        pages = growth.extend_journey_pages(pages, frame(spark, day), 3, hot_rows=2)
+    whole = [row for day in days for row in day]
+    expected = []
+    for user in [None, "u", "v", "w"]:
+        ids = [r[0] for r in sorted((r for r in whole if r[1] == user), key=lambda r: (r[5], r[0]))]
+        expected += [(user, at // 3, ids[at : at + 3]) for at in range(0, len(ids), 3)]
+    assert listed(pages) == expected
+    assert listed(growth.journey_pages(frame(spark, whole), 3)) == expected
+    empty = frame(spark, [])
+    assert listed(growth.extend_journey_pages(pages, empty, 3)) == expected
+    assert listed(growth.extend_journey_pages(growth.journey_pages(empty, 3), frame(spark, days[0]), 3)) == listed(
+        growth.journey_pages(frame(spark, days[0]), 3)
+    )
+
+
+def test_journey_of_a_user_with_many_events(spark):
+    second = F.timestamp_seconds(F.floor(F.col("id") / 30_000) + 1_700_000_000)
+    events = spark.range(100_000).select(
+        F.lit("u").alias("user_id"), second.alias("event_timestamp"),
+        F.md5(F.col("id").cast("string")).alias("event_id"), F.lit("LOGIN").alias("event_type"),
+    )
+    pages = growth.journey_pages(events, 1000, hot_rows=5000)
+    rows = pages.select("page", "events", F.col("steps")[0].alias("first"), F.col("steps")[999].alias("last")).collect()
+    rows = sorted(rows, key=lambda r: r.page)
+    assert [r.page for r in rows] == list(range(100)) and {r.events for r in rows} == {1000}
+    edges = [(s.event_timestamp, s.event_id) for r in rows for s in (r.first, r.last)]
+    assert edges == sorted(edges)
+
+
 def test_rows_without_label_or_id_stay(spark):
     df = spark.createDataFrame([("a", 1), ("b", None), (None, 0), (None, None), ("c", None)], "id STRING, label INT")
     assert sampling.stratified_split(df, "label", "id").count() == 5

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from txnspark import schemas as S
 from txnspark.operators import encoding, features
-from txnspark.operators.hot_keys import running_total
+from txnspark.operators.hot_keys import hot_keys, ranges_of, refined_slices, running_total, slice_keys
 
 
 def brute_rolling(rows, seconds):
@@ -75,6 +75,35 @@ def test_running_total_against_brute_force(spark, hot_rows, span):
         assert r.total == sum(o[3] for o in rows if o[1] == r.user_id and (o[5], o[0]) <= (r.event_timestamp, r.event_id))
 
 
+@pytest.mark.parametrize("hot_rows", [4, 25])
+def test_running_total_splits_a_second(spark, hot_rows):
+    """All events of a user in a few seconds; ids are unique, some have no time."""
+    rows = random_events(9, 300, span=3, step=1.0)
+    timed = F.when(F.col("event_id") % 17 > 0, F.col("event_timestamp")).alias("event_timestamp")
+    df = frame(spark, rows).select("event_id", "user_id", "amount", timed)
+    args = ["user_id"], "event_timestamp", "event_id", "amount", "total"
+    split, plain = running_total(df, *args, hot_rows), running_total(df, *args, None)
+    assert sorted(split.collect(), key=repr) == sorted(plain.collect(), key=repr)
+
+
+def test_a_million_rows_of_one_second(spark):
+    events = spark.range(1_000_000).select(
+        F.when(F.col("id") % 100_000 > 0, F.lit("hot")).otherwise("cold").alias("user_id"),
+        F.lit("2024-03-04 10:00:00").cast("timestamp").alias("at"),
+        F.md5(F.col("id").cast("string")).alias("event_id"),
+        (F.col("id") % 13).alias("amount"),
+    )
+    few = 20_000
+    rows = refined_slices(events, ["user_id"], "at", 3600, hot_keys(events, ["user_id"], few), few)
+    blocks = ranges_of(rows, ["user_id"], "at", "event_id", few).groupBy(*slice_keys(["user_id"]), "__range").count()
+    assert blocks.agg(F.max("count")).first()[0] < 4 * few
+    args = ["user_id"], "at", "event_id", "amount", "total"
+    split, plain = running_total(events, *args, few), running_total(events, *args, None)
+    both = split.join(plain.select("event_id", F.col("total").alias("plain")), "event_id")
+    seen = both.agg(F.count("*"), F.count_if(F.col("total") == F.col("plain"))).first()
+    assert tuple(seen) == (1_000_000, 1_000_000)
+
+
 def test_hot_rows_spread_in_a_shuffled_lookup(spark):
     lowered = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",

@@ -10,7 +10,11 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from txnspark.operators.hot_keys import HOT_ROWS, running_total
+
 DATE_LIST_DAYS = 32
+#: Events on a page of a journey.
+PAGE_EVENTS = 1000
 
 
 def active_days(events: DataFrame, user: str = "user_id", time: str = "event_timestamp") -> DataFrame:
@@ -67,6 +71,67 @@ def extend_journeys(journeys: DataFrame, today: DataFrame) -> DataFrame:
     return both.select("user_id", merged.alias("journey"))
 
 
+def _numbered(events: DataFrame, hot_rows: int | None) -> DataFrame:
+    """Events with their number from 0 within the user, by time and id."""
+    counted = running_total(
+        events.select("user_id", "event_timestamp", "event_id", "event_type", F.lit(1).cast("bigint").alias("__one")),
+        ["user_id"], "event_timestamp", "event_id", "__one", "__number", hot_rows,
+    )
+    return counted.withColumn("__number", F.col("__number") - 1).drop("__one")
+
+
+def _pages(numbered: DataFrame, page_events: int) -> DataFrame:
+    step = F.struct("event_timestamp", "event_id", "event_type")
+    page = F.floor(F.col("__number") / F.lit(page_events)).alias("page")
+    return numbered.groupBy("user_id", page).agg(F.array_sort(F.collect_list(step)).alias("steps"))
+
+
+def _with_size(pages: DataFrame) -> DataFrame:
+    return pages.select("user_id", "page", F.size("steps").cast("bigint").alias("events"), "steps")
+
+
+def journey_pages(
+    events: DataFrame, page_events: int = PAGE_EVENTS, hot_rows: int | None = HOT_ROWS
+) -> DataFrame:
+    """Each user's single events in order of time and id, on pages of ``page_events`` events.
+
+    All pages of a user but the last are full. Events are numbered by a running count that splits
+    hot users, and then grouped by page, so that no array and no group holds a whole user. A NULL user is a
+    user; NULL times come first. Rows: user_id, page (from 0), events, steps (time, id and kind of each event).
+    """
+    return _with_size(_pages(_numbered(events, hot_rows), page_events))
+
+
+def extend_journey_pages(
+    pages: DataFrame, today: DataFrame, page_events: int = PAGE_EVENTS, hot_rows: int | None = HOT_ROWS
+) -> DataFrame:
+    """Pages of earlier days with a later day's events behind them.
+
+    Today's numbers go on where the user's events end, which the column ``events`` tells without
+    reading a page. Only a last page that is not full is opened again; full pages pass through
+    without a shuffle. Give the same ``page_events`` as before. Today's events count as later than all before.
+    """
+    ends = pages.groupBy(F.col("user_id").alias("__user")).agg(F.sum("events").alias("__held"))
+    placed = _numbered(today, hot_rows).join(ends, F.col("user_id").eqNullSafe(F.col("__user")), "left")
+    number = F.col("__number") + F.coalesce("__held", F.lit(0))
+    added = _pages(placed.withColumn("__number", number), page_events).select(
+        F.col("user_id").alias("__user"), F.col("page").alias("__page"), F.col("steps").alias("__steps")
+    )
+    full = F.col("events") >= page_events
+    same = F.col("user_id").eqNullSafe(F.col("__user")) & (F.col("page") == F.col("__page"))
+    none = F.array().cast(pages.schema["steps"].dataType)
+    opened = (
+        pages.where(~full)
+        .join(added, same, "full_outer")
+        .select(
+            F.when(F.col("__page").isNull(), F.col("user_id")).otherwise(F.col("__user")).alias("user_id"),
+            F.coalesce("page", "__page").alias("page"),
+            F.concat(F.coalesce("steps", none), F.coalesce("__steps", none)).alias("steps"),
+        )
+    )
+    return pages.where(full).unionByName(_with_size(opened))
+
+
 def date_lists(events: DataFrame, reference_day: date | Column, user: str = "user_id") -> DataFrame:
     """Activity of the 32 days up to ``reference_day`` as bits; bit 31 is the reference day.
 

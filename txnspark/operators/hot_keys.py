@@ -89,6 +89,48 @@ def refined_slices(
     return rows.join(F.broadcast(crowded), slice_keys(keys), "left").withColumn("__slice", fine).drop("__crowded")
 
 
+def place_among(splitters: Column, value: Column) -> Column:
+    """How many of the ascending ``splitters`` are not above ``value``, by halving."""
+    size = F.size(splitters)
+    rounds = F.sequence(F.lit(0), F.ceil(F.log2(size + F.lit(1))).cast("int"))
+
+    def halve(held: Column, _: Column) -> Column:
+        low, high = held["low"], held["high"]
+        middle = F.shiftright(low + high, 1)
+        above = F.get(splitters, middle) <= value
+        return F.struct(
+            F.when((low < high) & above, middle + 1).otherwise(low).alias("low"),
+            F.when((low < high) & ~above, middle).otherwise(high).alias("high"),
+        )
+
+    return F.aggregate(rounds, F.struct(F.lit(0).alias("low"), size.alias("high")), halve, lambda held: held["low"])
+
+
+def ranges_of(
+    rows: DataFrame, keys: Sequence[str], time_col: str, tie: str, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Adds ``__range``, which cuts slices that are still above ``hot_rows`` (single seconds).
+
+    A hash of time and tie picks about four splitters for every ``hot_rows`` rows of such a slice; a
+    row's range is the number of splitters that are not above it in the order of time and tie. The
+    splitters depend on the rows alone, so a lost task computes them again alike. All tables
+    together have some ``4 N / hot_rows`` splitters, one array a slice. Rows of equal time and tie
+    stay together, so only copies of one row can fill a range.
+    """
+    sliced = slice_keys(keys)
+    place = F.struct(F.col(time_col).alias("at"), F.col(tie).alias("tie"))
+    crowded = hot_keys(rows.where("__hot"), sliced, hot_rows)
+    picked = F.pmod(F.xxhash64(time_col, tie), F.lit(max(1, hot_rows // 4))) == 0
+    splitters = (
+        rows.where(F.col("__hot") & picked)
+        .join(F.broadcast(crowded), sliced, "left_semi")
+        .groupBy(*sliced)
+        .agg(F.array_sort(F.collect_set(place)).alias("__splitters"))
+    )
+    at = F.when(F.col("__splitters").isNull(), F.lit(0)).otherwise(place_among(F.col("__splitters"), place))
+    return rows.join(splitters, sliced, "left").withColumn("__range", at).drop("__splitters")
+
+
 def running_total(
     df: DataFrame,
     keys: Sequence[str],
@@ -100,7 +142,11 @@ def running_total(
     hot: DataFrame | None = None,
     slice_seconds: int = 3600,
 ) -> DataFrame:
-    """Sum of ``value`` over the rows of the same key up to the current one, by time and ``tie``."""
+    """Sum of ``value`` over the rows of the same key up to the current one, by time and ``tie``.
+
+    Hot keys are cut into slices of time, then into seconds, then into ranges within a second; a
+    block learns from one summary row per block what came before it.
+    """
 
     def total(partition: Sequence[str]) -> Column:
         window = Window.partitionBy(*partition).orderBy(F.col(time_col).asc(), F.col(tie).asc())
@@ -110,16 +156,18 @@ def running_total(
     if hot is None:
         return df.withColumn(out, total(keys))
 
-    rows = refined_slices(df, keys, time_col, slice_seconds, hot, hot_rows or HOT_ROWS)
-    sliced = slice_keys(keys)
-    earlier = Window.partitionBy(*sliced[:-1]).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
+    hot_rows = hot_rows or HOT_ROWS
+    rows = refined_slices(df, keys, time_col, slice_seconds, hot, hot_rows)
+    rows = ranges_of(rows, keys, time_col, tie, hot_rows)
+    blocks = [*slice_keys(keys), "__range"]
+    earlier = Window.partitionBy(*blocks[:-2]).orderBy("__slice", "__range")
     carried = (
         rows.where("__hot")
-        .groupBy(*sliced)
+        .groupBy(*blocks)
         .agg(F.sum(value).alias("__total"))
-        .select(*sliced, F.sum("__total").over(earlier).alias("__carried"))
+        .select(*blocks, F.sum("__total").over(earlier.rowsBetween(Window.unboundedPreceding, -1)).alias("__carried"))
     )
-    summed = rows.withColumn(out, total(sliced)).join(carried, sliced, "left")
+    summed = rows.withColumn(out, total(blocks)).join(carried, blocks, "left")
     return summed.select(
         *restored(df.columns, keys), (F.col(out) + F.coalesce("__carried", F.lit(0))).alias(out)
     )

@@ -285,6 +285,11 @@ ROLLED = """SELECT event_id, user_id, tx_count_1h, amount_avg_1h, round(amount_v
 JOURNEYS = """SELECT user_id, string_agg(CAST(day AS VARCHAR) || ' ' || event_type || ' x' || steps, ' > '
       ORDER BY day, first_at, event_type, steps) AS journey FROM steps GROUP BY 1"""
 
+JOURNEY_PAGES = """SELECT user_id, page, count(*) AS events,
+      string_agg(event_id || ' ' || event_type, ' > ' ORDER BY event_timestamp, event_id) AS steps
+    FROM (SELECT *, (row_number() OVER (PARTITION BY user_id ORDER BY event_timestamp, event_id) - 1) // 50 AS page
+          FROM bank_events) GROUP BY 1, 2"""
+
 _BITS = "SELECT user_id, bit_or(CAST(1 AS BIGINT) << CAST(31 - age AS INT)) AS datelist_int FROM (SELECT user_id, date_diff('day', d, (SELECT max(d) FROM days)) AS age FROM days) WHERE age BETWEEN 0 AND 31 GROUP BY 1"
 
 
@@ -508,6 +513,8 @@ SQL = {
     "random_subset": """SELECT event_id, amount FROM bank_events
       ORDER BY md5(event_id || '|subset'), event_id LIMIT 2000""",
     "cumulative_journeys": JOURNEYS,
+    "journey_pages": JOURNEY_PAGES,
+    "extended_journey_pages": JOURNEY_PAGES,
     "extended_journeys": f"""SELECT user_id, string_agg(CAST(day AS VARCHAR) || ' ' || event_type || ' x' || steps, ' > '
         ORDER BY late, day, first_at, event_type, steps) AS journey
       FROM (SELECT user_id, event_timestamp >= TIMESTAMP '{SEED_DAY}' AS late, CAST(event_timestamp AS DATE) AS day,

@@ -485,6 +485,27 @@ def extended_journeys(spark, sf):
     return _journey_text(growth.extend_journeys(before, events.where(F.col("event_timestamp") >= until)))
 
 
+JOURNEY_PAGE = 50
+
+
+def _page_text(df: DataFrame) -> DataFrame:
+    step = lambda s: F.concat_ws(" ", s["event_id"], s["event_type"])
+    return df.select("user_id", "page", "events", F.array_join(F.transform("steps", step), " > ").alias("steps"))
+
+
+def journey_pages(spark, sf):
+    return _page_text(growth.journey_pages(V.bank_events(spark, sf), JOURNEY_PAGE))
+
+
+def extended_journey_pages(spark, sf):
+    """Two days' loads, the users with most events split."""
+    until = F.lit(V.SEED_DAY).cast("timestamp")
+    events = V.bank_events(spark, sf)
+    before = growth.journey_pages(events.where(F.col("event_timestamp") < until), JOURNEY_PAGE, SPLIT_ROWS)
+    today = events.where(F.col("event_timestamp") >= until)
+    return _page_text(growth.extend_journey_pages(before, today, JOURNEY_PAGE, SPLIT_ROWS))
+
+
 def date_lists(spark, sf):
     """The 32 days up to the newest event."""
     events = V.bank_events(spark, sf)
@@ -561,6 +582,8 @@ BATCH = [
     random_subset,
     cumulative_journeys,
     extended_journeys,
+    journey_pages,
+    extended_journey_pages,
     date_lists,
     growth_accounting,
 ]
