@@ -3,12 +3,14 @@ from __future__ import annotations
 import random
 from datetime import datetime
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from events import alert, alert_frame, event, frame
 from pyspark.sql import functions as F
 
 from txnspark.operators import balances, history
+from txnspark.sinks.history_store import HistoryStore
 
 
 
@@ -169,3 +171,49 @@ def test_hot_histories_by_date(spark):
     df = spark.createDataFrame(rows, "user_id STRING, d STRING, membership_tier STRING")
     df = df.select("user_id", F.to_date("d").alias("event_date"), "membership_tier")
     assert history.versions_from_history(df, hot_rows=3).count() == 2
+
+
+def folders(path, load):
+    found = (Path(path) / "data" / f"load={load}").rglob("*.parquet")
+    return {int(f.parent.name.split("=")[1]) for f in found if f.parent.parent.name == "part_open=true"}
+
+
+def test_store_writes_only_touched_buckets(spark, tmp_path, rows_of):
+    accounts = [(f"a{k}", k, "ACTIVE") for k in range(300)]
+    changed = [(k, b + 1 if k in ("a7", "a200") else b, s) for k, b, s in accounts[:-1]] + [("new", 1, "ACTIVE")]
+    seed = history.first_history(snapshot(spark, *accounts), "b1", day(1))
+    store = HistoryStore(spark, str(tmp_path), buckets=64)
+    store.create(seed)
+    assert store.newest_load() == 0 and rows_of(store.read()) == rows_of(seed)
+
+    incoming = history.incoming_versions(snapshot(spark, *changed), "b2", day(2))
+    touched = store.merge(incoming, 1)
+    bucket = F.pmod(F.hash("account_id"), F.lit(64))
+    expected = incoming.where("account_id IN ('a7', 'a200', 'new')").select(bucket).distinct().collect()
+    assert touched == sorted(r[0] for r in expected) and folders(tmp_path, 1) == set(touched)
+    merged = history.merge_versions(seed, incoming)
+    assert rows_of(store.read()) == rows_of(merged)
+
+    # the same load again, an older one, and one that changes nothing
+    assert store.merge(incoming, 1) == [] and store.merge(incoming, 0) == []
+    assert store.merge(history.incoming_versions(snapshot(spark, *changed), "b3", day(3)), 2) == []
+    assert store.newest_load() == 2 and rows_of(store.read()) == rows_of(merged)
+    again = history.incoming_versions(snapshot(spark, *accounts), "b4", day(4))
+    store.merge(again, 3)
+    assert rows_of(store.read()) == rows_of(history.merge_versions(merged, again))
+
+
+def test_store_hides_a_load_that_was_cut_off(spark, tmp_path, rows_of, monkeypatch):
+    seed = history.first_history(snapshot(spark, *BEFORE), "b1", day(1))
+    store = HistoryStore(spark, str(tmp_path), buckets=4)
+    empty = store.read()
+    assert empty.columns == seed.columns and empty.count() == 0
+    store.create(seed)
+    incoming = history.incoming_versions(snapshot(spark, *AFTER), "b2", day(2))
+    with monkeypatch.context() as broken:
+        broken.setattr(spark, "createDataFrame", None)
+        with pytest.raises(TypeError):
+            store.merge(incoming, 1)
+    assert folders(tmp_path, 1) and rows_of(store.read()) == rows_of(seed)
+    store.merge(incoming, 2)
+    assert rows_of(store.read()) == rows_of(history.merge_versions(seed, incoming))

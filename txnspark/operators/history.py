@@ -34,6 +34,40 @@ def incoming_versions(snapshot: DataFrame, batch_id: str, effective_time: Column
     )
 
 
+def newest_rows(
+    incoming: DataFrame, key: Sequence[str], tracked: Sequence[str], valid_from: str = "valid_from"
+) -> DataFrame:
+    """Of several rows of one key the newest, of equal times the one with the greatest tracked values."""
+    newest = Window.partitionBy(*key).orderBy(F.col(valid_from).desc(), *(F.col(c).desc() for c in tracked))
+    return incoming.withColumn("__place", F.row_number().over(newest)).where("__place = 1").drop("__place")
+
+
+def _same(tracked: Sequence[str]) -> Column:
+    same = F.lit(True)
+    for name in tracked:
+        same = same & F.col(f"__old.{name}").eqNullSafe(F.col(f"__new.{name}"))
+    return same
+
+
+def changed_keys(
+    current: DataFrame,
+    incoming: DataFrame,
+    key: Sequence[str] = ("account_id",),
+    tracked: Sequence[str] = ("balance", "account_status"),
+    valid_from: str = "valid_from",
+) -> DataFrame:
+    """Keys for which ``merge_versions`` opens a version: new ones, and those whose tracked columns differ."""
+    key, tracked = list(key), list(tracked)
+    new = newest_rows(incoming.select(*dict.fromkeys([*key, *tracked, valid_from])), key, tracked, valid_from)
+    old = current.select(*(F.col(c).alias(f"__{c}") for c in key), F.struct(*tracked).alias("__old"))
+    new = new.select(*key, F.struct(*tracked).alias("__new"))
+    matches = F.lit(True)
+    for name in key:
+        matches = matches & (F.col(name) == F.col(f"__{name}"))
+    both = new.join(old, matches, "left")
+    return both.where(F.col("__old").isNull() | ~_same(tracked)).select(*key)
+
+
 def merge_versions(
     history: DataFrame,
     incoming: DataFrame,
@@ -54,18 +88,14 @@ def merge_versions(
     """
     key, tracked = list(key), list(tracked)
     columns = history.columns
-    newest = Window.partitionBy(*key).orderBy(F.col(valid_from).desc(), *(F.col(c).desc() for c in tracked))
-    incoming = incoming.select(*columns).withColumn("__place", F.row_number().over(newest))
-    incoming = incoming.where("__place = 1").drop("__place")
+    incoming = newest_rows(incoming.select(*columns), key, tracked, valid_from)
     current = history.where(F.col(is_current))
     closed = history.where(~F.coalesce(F.col(is_current), F.lit(False)))
 
     old = current.select(F.struct(*columns).alias("__old"), *(F.col(c).alias(f"__{c}") for c in key))
     new = incoming.select(F.struct(*columns).alias("__new"), *(F.col(c).alias(f"__{c}") for c in key))
     both = old.join(new, [f"__{c}" for c in key], "full_outer")
-    same = F.lit(True)
-    for name in tracked:
-        same = same & F.col(f"__old.{name}").eqNullSafe(F.col(f"__new.{name}"))
+    same = _same(tracked)
     there, arrives = F.col("__old").isNotNull(), F.col("__new").isNotNull()
     changed = there & arrives & ~same
     ended = {

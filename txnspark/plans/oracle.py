@@ -331,6 +331,7 @@ SQL = {
       FROM bank_events
       QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_timestamp DESC, event_id DESC) = 1""",
     "merged_history": "SELECT * FROM history",
+    "stored_history": "SELECT * FROM history",
     "account_history_current": "SELECT * FROM history WHERE is_current",
     "account_history_newest": "SELECT * FROM history ORDER BY created_at DESC, account_id, valid_from DESC LIMIT 5",
     "account_timelines": """SELECT account_id, balance, account_status, valid_from, valid_to, is_current, batch_id

@@ -24,6 +24,7 @@ from txnspark.operators import (
     serving,
 )
 from txnspark.plans import views as V
+from txnspark.sinks.history_store import HistoryStore
 
 # Low enough to send test-sized tables through the code for hot keys.
 SPLIT_ROWS = 60
@@ -137,6 +138,15 @@ def merged_history(spark, sf):
     )
 
 
+def stored_history(spark, sf):
+    """The same history from a store that writes only the buckets a load touches."""
+    store = HistoryStore(spark, session.new_folder(spark, "history"), buckets=16)
+    store.create(V.history_seed(spark, sf))
+    incoming = history.incoming_versions(V.snapshot_before(spark, sf), "next", F.lit(V.NEXT_DAY).cast("timestamp"))
+    store.merge(incoming, 1)
+    return store.read()
+
+
 def account_history_current(spark, sf):
     return history.current_versions(merged_history(spark, sf))
 
@@ -530,6 +540,7 @@ BATCH = [
     account_snapshot,
     last_event_snapshot,
     merged_history,
+    stored_history,
     account_history_current,
     account_history_newest,
     account_timelines,
