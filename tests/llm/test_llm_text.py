@@ -183,9 +183,7 @@ def leaks_by_hand(rows, items):
             for s in range(max(1, len(w) - len(v) + 1)):
                 a = shingles(w[s : s + len(v)])
                 common = (a & b).total()
-                # a window of a longer text has no shingle shorter than five words
-                whole = len(v) >= 5 or len(w) <= len(v)
-                if whole and common / (a.total() + b.total() - common) >= 0.8:
+                if common / (a.total() + b.total() - common) >= 0.8:
                     out.add((doc_id, item_id))
     return out
 
@@ -193,6 +191,7 @@ def leaks_by_hand(rows, items):
 def test_benchmark_passages(spark):
     items = [(i, prose(700 + i, 12 + 9 * i)) for i in range(12)]
     items += [(50, None), (51, ""), (52, "one two"), (53, items[0][1]), (None, items[4][1]), (54, "in in in in in in in in")]
+    items += [(55, "Changed"), (56, "in, in in"), (57, " ".join(items[7][1].split()[3:7])), (52, "one two")]
     draw = random.Random(2)
     rows = [r[:2] for r in awkward_rows() if len(r[1] or "") < 20_000]
     for i in range(40):
@@ -207,7 +206,8 @@ def test_benchmark_passages(spark):
     bench = spark.createDataFrame(items, "item_id long, text string")
     found = decontamination.contaminated(docs, bench).collect()
     want = leaks_by_hand(rows, items)
-    assert {(r.doc_id, r.item_id) for r in found} == want
+    assert {(r.doc_id, r.item_id) for r in found} == want and len(found) == len(want)
+    assert {55, 56, 57} <= {i for _, i in want}
     assert len(want) > 15
     assert min(r.similarity for r in found) >= 0.8
     clean = decontamination.decontaminated(docs, bench)
@@ -237,6 +237,41 @@ def test_long_texts_hash_alike(monkeypatch):
     assert [w.tolist() for w in decontamination.word_hashes(texts)] == want
 
 
+def edited(words, draw, kind, times):
+    words = list(words)
+    for _ in range(times):
+        at = draw.randrange(len(words) - 1)
+        if kind == "replaced":
+            words[at] = f"new{draw.randrange(10**6)}"
+        elif kind == "inserted":
+            words.insert(at, f"new{draw.randrange(10**6)}")
+        elif kind == "deleted":
+            del words[at]
+        else:
+            words[at], words[at + 1] = words[at + 1], words[at]
+    return words
+
+
+@pytest.mark.parametrize("kind", ["replaced", "inserted", "deleted", "swapped"])
+def test_recall_of_edited_passages(kind):
+    """Of edited passages with a window at 0.8 or more by exact similarity, the index finds all but a few."""
+    draw = random.Random(kind)
+    items = [(i, prose(1000 + i, draw.randrange(40, 120))) for i in range(150)]
+    index = decontamination.Index(tuple(items))
+    reached = found = 0
+    for i, text in items:
+        for times in (1, 2, 3):
+            passage = edited(text.split(), draw, kind, times)
+            row = (i, prose(2000 + i, 15) + " " + " ".join(passage) + " " + prose(3000 + i, 15))
+            if (i, i) in leaks_by_hand([row], [(i, text)]):
+                reached += 1
+                words = next(decontamination.word_hashes([row[1]]))
+                found += i in {match[0] for match in index.matches(words)}
+    assert reached >= 100
+    print(f"{kind}: {found} of {reached}")
+    assert found >= 0.99 * reached
+
+
 def test_fingerprints_within_the_radius_are_found():
     draw = np.random.default_rng(4)
     items = tuple((i, prose(i, 40)) for i in range(60))

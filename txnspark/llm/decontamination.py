@@ -1,7 +1,7 @@
 """Benchmark decontamination by SimHash of item-sized windows.
 
 Words are runs of letters, digits and non-ASCII characters, lower-cased; shingles are five words in
-a row (all words of a shorter text). A document's windows have as many words as an item. Of the
+a row, or all n words of an item of n < 5 words, for which documents have n-word shingles too. A document's windows have as many words as an item. Of the
 windows that hold enough shingles of the items of their size to reach the similarity at all, each
 gets a SimHash. A multi-index of Hamming blocks finds all items within ``RADIUS`` of it: two
 fingerprints within 19 bits agree to 4 bits in one of four blocks, and the index has every item
@@ -9,12 +9,14 @@ under each block value within 4 bits. What it finds is verified by the exact sim
 weighted shingles (the sum of the lesser counts over that of the greater), at least 0.8. At that
 similarity fingerprints are some 10 bits apart, so the radius costs next to nothing.
 
-Items travel to the tasks in passes of at most ``PASS_ITEMS`` items and some ``PASS_BYTES`` of text,
+Equal rows of the benchmark count once. Items travel to the tasks in passes of at most ``PASS_ITEMS`` items and some ``PASS_BYTES`` of text,
 each a scan of the documents; the documents never travel. Words are compared by 64-bit hashes.
 
 Defined results: null texts, and texts without words, match nothing. A document of fewer words than
-an item is one window. An item of fewer than five words matches only documents of the same words. Repeated rows and null ids are judged each for itself; a pair of document
-and item is reported once for each row, at its most similar and first window. Other columns are not
+an item is one window. A window of an item of fewer than five words is one shingle, so it matches
+where its words stand in a row, in texts of any length. Repeated documents and null ids are judged
+each for itself; a pair of document and item is reported once for each row of documents, at its most
+similar window, and of equally similar ones at the first. Empty documents give no row. Other columns are not
 looked at, and kept by ``decontaminated``. Without items nothing matches.
 """
 
@@ -112,8 +114,8 @@ def word_hashes(texts: list[str | None]) -> Iterator[np.ndarray]:
     yield from flush()
 
 
-def shingle_hashes(words: np.ndarray) -> np.ndarray:
-    n = min(len(words), SHINGLE_WORDS)
+def shingle_hashes(words: np.ndarray, size: int = SHINGLE_WORDS) -> np.ndarray:
+    n = min(len(words), size)
     if not n:
         return words
     count = len(words) - n + 1
@@ -147,7 +149,13 @@ class Index:
 
     def __init__(self, items: tuple[tuple[int | None, str], ...]):
         words = list(word_hashes([text for _, text in items]))
-        some = [k for k, w in enumerate(words) if len(w)]
+        some = [k for k, w in enumerate(words) if len(w) >= SHINGLE_WORDS]
+        short = [k for k, w in enumerate(words) if 0 < len(w) < SHINGLE_WORDS]
+        # size -> shingle -> (id, words) of the items below five words
+        self.short: dict[int, dict[int, list[tuple]]] = {}
+        for k in short:
+            same = self.short.setdefault(len(words[k]), {}).setdefault(int(shingle_hashes(words[k])[0]), [])
+            same.append((items[k][0], words[k]))
         self.ids = [items[k][0] for k in some]
         words = [words[k] for k in some]
         self.n_words = np.array([len(w) for w in words], np.int64)
@@ -227,6 +235,21 @@ class Index:
                 for s in range(a, b + 1, SLICE_WINDOWS):
                     yield n, width, np.arange(s, min(b + 1, s + SLICE_WINDOWS))
 
+    def short_matches(self, words: np.ndarray) -> Iterator[tuple[int | None, int, int, int, float]]:
+        """Matches of items below five words: the first place where all their words stand in a row."""
+        for n, items in self.short.items():
+            if len(words) < n:
+                continue
+            shingles = shingle_hashes(words, n)
+            at = np.flatnonzero(np.isin(shingles, np.array(list(items), np.uint64)))
+            for shingle in np.unique(shingles[at]).tolist():
+                places = at[shingles[at] == np.uint64(shingle)]
+                windows = words[places[:, None] + np.arange(n)]
+                for item_id, wanted in items[shingle]:
+                    equal = np.flatnonzero((windows == wanted).all(axis=1))
+                    if len(equal):
+                        yield item_id, int(places[equal[0]]), n, 0, 1.0
+
     def matches(self, words: np.ndarray) -> list[tuple[int | None, int, int, int, float]]:
         """(item_id, start_word, n_words, distance, similarity) of one text."""
         best: dict[int, tuple] = {}
@@ -242,7 +265,7 @@ class Index:
                 alike = similarity(counted[window], self.counts[item])
                 if alike >= SIMILARITY and (item not in best or alike > best[item][4]):
                     best[item] = (self.ids[item], start, long, int(distance), alike)
-        return [best[k] for k in sorted(best)]
+        return [*(best[k] for k in sorted(best)), *self.short_matches(words)]
 
 
 @lru_cache(1)
@@ -252,7 +275,7 @@ def _index(items: tuple[tuple[int | None, str], ...]) -> Index:
 
 def _passes(benchmark: DataFrame):
     """Broadcasts of the items, so many at a time as a task may hold."""
-    items = benchmark.select(F.col("item_id").cast("long"), "text").filter("text IS NOT NULL")
+    items = benchmark.select(F.col("item_id").cast("long"), "text").filter("text IS NOT NULL").distinct()
     size = items.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     passes = max(1, math.ceil(size[0] / PASS_ITEMS), math.ceil(size[1] / PASS_BYTES))
     dealt = items.withColumn("_pass", F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)))
