@@ -6,7 +6,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from txnspark import schemas as S
-from txnspark.operators import evaluation, models
+from txnspark.operators import evaluation, models, search
 
 
 @pytest.fixture(scope="module")
@@ -49,6 +49,37 @@ def test_search_uses_stratified_folds(table):
     assert len(found.avgMetrics) == 2 and max(found.avgMetrics) > 0.9
 
 
+def test_search_by_density_and_halving(table):
+    space = {"maxDepth": search.Span(1, 3, whole=True), "stepSize": search.Span(0.01, 0.3, log=True)}
+    rows = search.search_trials(table, "event_id", 5, (1, 2), folds=2, wave=3, space=space).collect()
+    assert sorted((r.trees, r.trial) for r in rows if r.trees == 1) == [(1, k) for k in range(5)]
+    assert len([r for r in rows if r.trees == 2]) == 2
+    for r in rows:
+        assert 1 <= r.maxDepth <= 3 and 0.01 <= r.stepSize <= 0.3 and 0 <= r.mean_score <= 1
+    best = [r for r in rows if r.is_best]
+    assert len(best) == 1 and best[0].mean_score == max(r.mean_score for r in rows if r.trees == 2) > 0.9
+
+
+def test_proposals_move_to_where_good_trials_are():
+    rng = np.random.default_rng(1)
+    score = lambda p: -abs(p[0] - 0.8) - abs(p[1] - 0.2)
+    past = []
+    for _ in range(6):
+        past += [(p, (0, score(p))) for p in search.proposals(rng, past, 2, 10)]
+    first, last = ([s for _, (_, s) in past[a:b]] for a, b in ((0, 10), (50, 60)))
+    assert np.mean(last) > np.mean(first) + 0.15
+    # a trial that got further ranks before one that was stopped with a better score
+    far = [(np.array([0.9, 0.9]), (1, 0.1))] * 4 + [(np.array([0.1, 0.1]), (0, 0.9))] * 12
+    assert search.proposals(rng, far, 2, 20).mean() > 0.6
+    assert all(((0 <= p) & (p <= 1)).all() for p, _ in past)
+
+
+def test_spans():
+    depth, step = search.SPACE["maxDepth"], search.SPACE["stepSize"]
+    assert [depth.value(u) for u in (0.0, 0.5, 1.0)] == [3, 7, 10]
+    assert step.value(0.0) == 0.01 and abs(step.value(1.0) - 0.3) < 1e-12 and 0.05 < step.value(0.5) < 0.06
+
+
 def test_tree_samples_have_the_right_size(table, spark):
     numeric = table.select("event_id", "amount")
     sizes = models.tree_samples(numeric, "event_id", 10, 64).groupBy("tree").count().collect()

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from txnspark import schemas as S
 from txnspark import session
-from txnspark.operators import encoding, evaluation, features, models, sampling
+from txnspark.operators import encoding, evaluation, features, models, sampling, search
 from txnspark.plans import views as V
 
 
@@ -44,6 +44,21 @@ def champion_search(spark, sf_dir):
     return spark.createDataFrame(rows, "max_depth INT, area_under_pr DOUBLE")
 
 
+#: Trees of the three rungs of the registered search; the library's own are 50, 150 and 450.
+SEARCH_RUNGS = (1, 2, 4)
+
+
+def champion_trials(spark, sf_dir):
+    """Forty trials by density ratio and successive halving: how many reached each rung, with sound scores."""
+    table = training_table(spark, sf_dir).where(~F.col("is_test"))
+    tried = search.search_trials(table, "event_id", rungs=SEARCH_RUNGS, folds=3, parallel=8)
+    return tried.groupBy("trees").agg(
+        F.count("*").alias("trials"),
+        F.bool_and(F.col("mean_score").between(0.0, 1.0) & (F.col("score_deviation") <= 0.5)).alias("scores_hold"),
+        F.count_if("is_best").alias("best_trials"),
+    )
+
+
 def challenger_scores(spark, sf_dir):
     """Every event with the 0-100 risk and the outlier flag of an isolation forest."""
     table = training_table(spark, sf_dir)
@@ -105,6 +120,7 @@ TRAINED = [
     champion_importance,
     champion_effects,
     champion_search,
+    champion_trials,
     challenger_scores,
     challenger_outliers,
     permuted_importance,
