@@ -116,22 +116,22 @@ def lines_by_hand(rows, min_docs):
     own = {(i, form(x)) for i, t in docs for x in t.split("\n") if form(x)}
     leaf = lambda f: (len(f.split(" ")), *f.split(" ")[:3])
     size = Counter(leaf(f) for _, f in own)
-    own = {(i, f) for i, f in own if size[leaf(f)] >= min_docs}
-    tokens = Counter((leaf(f), k, t) for _, f in own for k, t in enumerate(f.split(" ")) if k >= 3)
-    constant = {}
-    for (of, k, t), n in tokens.items():
-        if n >= 0.9 * size[of]:
-            constant.setdefault(of, {})[k] = t
-    constant = {of: c for of, c in constant.items() if len(c) >= 0.6 * (of[0] - 3)}
+    forms = {f for _, f in own if size[leaf(f)] >= min_docs}
+    later = lambda f: list(enumerate(f.split(" ")))[3:]
+    weight = Counter((leaf(f), p) for f in forms for p in later(f))
 
     def template(f):
-        c = constant.get(leaf(f))
-        return leaf(f) if c and all(f.split(" ")[k] == t for k, t in c.items()) else f
+        weights = sorted((weight[leaf(f), p] for p in later(f)), reverse=True)
+        support = weights[-(-3 * len(weights) // 5) - 1] if weights else 1
+        return (leaf(f), *(p for p in later(f) if weight[leaf(f), p] * 2 >= support)) if support > 1 else f
 
-    found = {}
+    found, holders = {}, {}
     for i, f in own:
         found.setdefault(template(f), set()).add(i)
-    gone = {(i, f) for i, f in own if len(found[template(f)]) >= min_docs and i != min(found[template(f)])}
+        holders.setdefault(f, set()).add(i)
+    recurs = lambda i, f: len(found[template(f)]) >= min_docs and i != min(found[template(f)])
+    long = lambda i, f: leaf(f)[0] >= 20 and len(holders[f]) >= 2 and i != min(holders[f])
+    gone = {(i, f) for i, f in own if recurs(i, f) or long(i, f)}
     return [
         None if t is None else "\n".join(x for x in t.split("\n") if (i, form(x)) not in gone) for i, t in rows
     ]
@@ -163,6 +163,40 @@ def test_templates(spark):
     assert line_templates.without_templates(spark.createDataFrame([], DOCS)).collect() == []
 
 
+def lines_left(spark, rows):
+    docs = spark.createDataFrame([(i, "\n".join(lines)) for i, lines in enumerate(rows)], "doc_id long, text string")
+    left = line_templates.without_templates(docs, counts=False).collect()
+    want = lines_by_hand([(i, "\n".join(lines)) for i, lines in enumerate(rows)], line_templates.MIN_DOCS)
+    assert {r.doc_id: r.text for r in left} == dict(enumerate(want))
+    return [r.text.split("\n") if r.text else [] for r in sorted(left, key=lambda r: r.doc_id)]
+
+
+def names(n):
+    """n words without digits, all different."""
+    return ["".join(chr(97 + (k // 26**d) % 26) for d in range(4)) + "x" for k in range(n)]
+
+
+def test_several_templates_in_one_leaf(spark):
+    # seven in ten lines of the leaf follow one template, three in ten another
+    a = [[f"Read more about {x} in our weekly letter now"] for x in names(14)]
+    b = [[f"Read more about the works of painter {x} here"] for x in names(6)]
+    left = lines_left(spark, a + b)
+    assert [k for k, lines in enumerate(left) if lines] == [0, 14]
+
+
+def test_hot_line_in_a_leaf_changes_nothing_for_others(spark):
+    a = [[f"Read more about {x} in our weekly letter now"] for x in names(8)]
+    hot = [["Read more about us and the rest of it"]] * 60
+    assert [len(lines) for lines in lines_left(spark, a + hot)][:8] == [1] + [0] * 7
+    assert [len(lines) for lines in lines_left(spark, a)] == [1] + [0] * 7
+
+
+def test_long_lines_recur_from_two_documents_on(spark):
+    passage, short, *own = (" ".join(prose(901 + k, 60).split()[: 12 if k else 60]) for k in range(7))
+    rows = [[line, passage, short] for line in own[:2]] + [[line] for line in own[2:]]
+    assert [len(lines) for lines in lines_left(spark, rows)] == [3, 2, 1, 1, 1]
+
+
 WORDS_OF_PLACES = ["Genoa", "Porto", "Gdansk", "Split", "Malmo", "Bergen"]
 
 

@@ -1,25 +1,27 @@
 """Line dedup by a log-template tree of fixed depth.
 
 A line's form has its white space collapsed and every token with a digit replaced by ``<*>``. Forms
-are parsed down a tree: first by their number of tokens, then by their first ``DEPTH`` tokens. In a
-leaf, a later place is constant if one token stands there in nearly all lines; other places are
-variable fields. If enough places are constant, the leaf is a template and takes the lines that
-agree with it in all constant places; a line that does not is a template of its own form.
+are parsed down a tree: first by their number of tokens, then by their first ``DEPTH`` tokens. A leaf
+holds any number of templates. Each token after the first ``DEPTH`` is weighed by how many distinct forms of the
+leaf have it at its place. A form's support is the weight that 3 of 5 of these places reach; places of
+half the support or more are constant, the others variable fields. Forms with the same constant
+tokens at the same places are one template; a form with a support of one is a template of its own. Since distinct
+forms are weighed, copies of a line, however many, change nothing for the others.
 
 A template that recurs in ``MIN_DOCS`` documents or more is dropped from all of them but the one
-with the smallest doc_id, so that nothing vanishes from the corpus.
+with the smallest doc_id, so that nothing vanishes from the corpus. A line of ``LONG_WORDS`` words or
+more also recurs if ``LONG_DOCS`` documents have its form.
 
-With ``long_lines``, as in the pipeline, a line of ``LONG_WORDS`` words or more counts as recurring from
-two documents on. A document that as a whole is a near copy of the one with the smallest id keeps
-such lines, as near dedup takes it out whole.
+With ``spare_near_copies``, as in the pipeline, a document that as a whole is a near copy of the one with
+the smallest id keeps long lines that recur in fewer than ``MIN_DOCS``, as near dedup takes it out whole.
 
-Only DataFrame operations are used. Lines of leaves with fewer lines than ``MIN_DOCS`` leave after
+Only DataFrame operations are used. Lines of leaves with too few lines leave after
 one count; what travels beyond it are recurring lines, counted before each shuffle.
 
 Defined results: blank lines are kept and not counted; a null text stays null; a text may become
 empty, its row stays. Rows with one doc_id are one document; rows without doc_id are left alone and
-do not count. Repeated lines of a document count once. Other columns pass through, whatever their
-names.
+do not count. Repeated lines of a document count once. A text or line of any length is read whole. An empty
+table gives an empty one. Other columns pass through, whatever their names.
 """
 
 from __future__ import annotations
@@ -34,9 +36,8 @@ from txnspark.session import written
 
 DEPTH = 3
 MIN_DOCS = 6
-CONSTANT = 0.9
-SIMILAR = 0.6
 LONG_WORDS = 20
+LONG_DOCS = 2
 #: A near copy shares this part of its shingles of so many words.
 SIMILARITY = 0.8
 SHINGLE_WORDS = 5
@@ -66,70 +67,72 @@ def _lines(docs: DataFrame) -> DataFrame:
     return lines.filter("form <> ''").select("doc_id", leaf.alias("leaf"), "form")
 
 
-def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """doc_id, form: the lines that a document loses."""
-    lines = _lines(docs.select("doc_id", "text"))
-    busy = lines.groupBy("leaf").agg(F.count("*").alias("lines")).filter(F.col("lines") >= min_docs)
-    busy = written(busy, "busy-leaves")
-    # merged at every size: busy leaves grow with the input
-    recurring = written(
-        lines.join(busy.select("leaf").hint("merge"), "leaf"), "recurring-lines", "zstd"
-    )
-    forms = recurring.groupBy("leaf", "form").agg(F.count("*").alias("lines"))
-    forms = written(forms, "recurring-forms", "zstd")
-
+def _templates(forms: DataFrame) -> DataFrame:
+    """key, template: the template of every form (leaf, form, key) that shares one with other forms."""
     tokens = F.split("form", " ")
     later = F.when(F.size(tokens) > DEPTH, F.slice(tokens, DEPTH + 1, F.size(tokens)))
-    constant = (
-        forms.select("leaf", "lines", F.posexplode(later).alias("at", "token"))
-        .groupBy("leaf", "at", "token")
-        .agg(F.sum("lines").alias("of_token"))
-        .join(busy, "leaf")
-        .filter(F.col("of_token") >= CONSTANT * F.col("lines"))
-        .groupBy("leaf")
-        .agg(F.collect_list(F.struct((F.col("at") + DEPTH).alias("at"), "token")).alias("constant"))
-    )
-    places = F.substring_index("leaf", " ", 1).cast("int") - DEPTH
-    # written, so that the join below is between plain shuffles, which large leaves can be split in
-    trees = written(constant.filter(F.size("constant") >= SIMILAR * places), "template-trees")
-    agrees = F.forall("constant", lambda c: F.get("_tokens", c["at"]) == c["token"])
-    keyed = (
-        forms.join(trees, "leaf", "left")
-        .withColumn("_tokens", tokens)
-        .select(
-            "leaf",
-            "form",
-            F.md5(
-                F.when(F.col("constant").isNotNull() & agrees, F.concat(F.lit("leaf "), "leaf")).otherwise(
-                    F.concat(F.lit("form "), "form")
-                )
-            ).alias("template"),
-        )
+    places = forms.select("key", "leaf", F.posexplode(later).alias("at", "token"))
+    places = places.select("key", F.unhex(F.md5(F.concat_ws(" ", "leaf", "at", "token"))).alias("place"))
+    weights = places.groupBy("place").agg(F.count("*").alias("weight")).filter("weight > 1")
+    weights = written(weights, "place-weights")
+    # plain shuffles on both sides, so that places which many forms share can be split
+    weighed = places.join(weights.hint("merge"), "place", "left").select(
+        "key", F.struct(F.coalesce("weight", F.lit(1)).alias("weight"), "place").alias("mark")
     )
-    keyed = written(keyed, "form-templates", "zstd")
-    placed = recurring.join(keyed.hint("merge"), ["leaf", "form"]).select(
-        "doc_id", "template", F.xxhash64("form").alias("hash")
+    marks = weighed.groupBy("key").agg(F.collect_list("mark").alias("marks"))
+    heaviest = F.sort_array("marks.weight", asc=False)
+    marks = marks.withColumn("support", F.get(heaviest, F.expr("int((3 * size(marks) + 4) div 5) - 1")))
+    constant = F.filter("marks", lambda m: 2 * m["weight"] >= F.col("support"))
+    names = F.array_sort(F.transform(constant, lambda m: F.hex(m["place"])))
+    template = F.unhex(F.md5(F.array_join(names, " ")))
+    return marks.filter("support > 1").select("key", template.alias("template"))
+
+
+def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, long_docs: int = LONG_DOCS) -> DataFrame:
+    """doc_id, hash: the lines that a document loses, by the hash of their form."""
+    lines = _lines(docs.select("doc_id", "text"))
+    long = F.substring_index("leaf", " ", 1).cast("int") >= LONG_WORDS
+    busy = lines.groupBy("leaf").agg(F.count("*").alias("lines"))
+    busy = busy.filter(F.col("lines") >= F.when(long, min(min_docs, long_docs)).otherwise(min_docs))
+    busy = written(busy, "busy-leaves")
+    # merged at every size: busy leaves grow with the input
+    recurring = lines.join(busy.hint("merge"), "leaf").withColumn("key", F.unhex(F.md5("form")))
+    recurring = written(recurring, "recurring-lines", "zstd")
+    forms = recurring.filter(F.col("lines") >= min_docs).select("leaf", "form", "key").distinct()
+    templates = written(_templates(written(forms, "recurring-forms", "zstd")), "form-templates", "zstd")
+
+    placed = recurring.join(templates.hint("merge"), "key", "left").select(
+        "doc_id",
+        F.xxhash64("form").alias("hash"),
+        long.alias("long"),
+        "key",
+        F.coalesce("template", "key").alias("template"),
     )
-    placed = written(placed, "placed-lines", "zstd")
+    # a long line counts by its template and by its own form
+    marks = F.when(F.col("long"), F.array_distinct(F.array("template", "key"))).otherwise(F.array("template"))
+    placed = placed.select("doc_id", "hash", "long", "key", F.explode(marks).alias("mark"))
+    needed = F.when(F.col("long") & (F.col("mark") == F.col("key")), min(min_docs, long_docs)).otherwise(min_docs)
+    placed = written(placed.select("doc_id", "hash", "mark", needed.alias("needed")), "placed-lines", "zstd")
     common = (
-        placed.select("template", "doc_id")
+        placed.select("mark", "needed", "doc_id")
         .distinct()
-        .groupBy("template")
+        .groupBy("mark", "needed")
         .agg(F.count("*").alias("docs"), F.min("doc_id").alias("first"))
-        .filter(F.col("docs") >= min_docs)
+        .filter("docs >= needed")
+        .select("mark", "first")
     )
     common = written(common, "common-templates")
-    return placed.join(common.hint("merge"), "template").filter("doc_id <> first").select("doc_id", "hash")
+    return placed.join(common.hint("merge"), "mark").filter("doc_id <> first").select("doc_id", "hash")
 
 
 def dropped_long_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """doc_id, form: long lines that a document loses as two documents or more, but under ``min_docs``, have them."""
+    """doc_id, hash: long lines that a document loses as two documents or more, but under ``min_docs``, have them."""
     lines = _lines(docs.select("doc_id", "text"))
     words = F.substring_index("leaf", " ", 1).cast("int")
     lines = lines.filter(words >= LONG_WORDS).select("doc_id", F.xxhash64("form").alias("hash"))
     lines = written(lines, "long-lines", "zstd")
     common = lines.groupBy("hash").agg(F.count_distinct("doc_id").alias("docs"), F.min("doc_id").alias("first"))
-    common = written(common.filter(F.col("docs").between(2, min_docs - 1)), "common-long-lines")
+    common = written(common.filter(F.col("docs").between(LONG_DOCS, min_docs - 1)), "common-long-lines")
     found = lines.join(common.hint("merge"), "hash").filter("doc_id <> first")
     found = written(found.select("doc_id", "hash", "first").distinct(), "long-lines-found")
 
@@ -169,11 +172,11 @@ def _near_copies(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def without_templates(
-    docs: DataFrame, min_docs: int = MIN_DOCS, counts: bool = True, long_lines: bool = False
+    docs: DataFrame, min_docs: int = MIN_DOCS, counts: bool = True, spare_near_copies: bool = False
 ) -> DataFrame:
     """``docs`` with the text that is left; with ``counts``, n_lines and n_dropped in front of it all."""
-    dropped = dropped_lines(docs, min_docs)
-    if long_lines:
+    dropped = dropped_lines(docs, min_docs, min_docs if spare_near_copies else LONG_DOCS)
+    if spare_near_copies:
         dropped = dropped.unionByName(dropped_long_lines(docs, min_docs))
     lists = (
         dropped.groupBy("doc_id", F.pmod("hash", F.lit(LISTS)).alias("list"))

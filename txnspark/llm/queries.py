@@ -70,6 +70,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines, dropped lines and what is left of every text; see ``line_templates`` for awkward rows."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     left = line_templates.without_templates(docs)
     return left.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -159,27 +160,33 @@ WITH masked AS (
 ), leaves AS (
   SELECT doc_id, form, t, len(t) || ' ' || array_to_string(t[1:3], ' ') AS leaf FROM tokens
 ), busy AS (
-  SELECT leaf, count(*) AS lines FROM leaves GROUP BY leaf HAVING count(*) >= 6
+  SELECT leaf, count(*) AS lines FROM leaves GROUP BY leaf
+  HAVING count(*) >= CASE WHEN CAST(split_part(leaf, ' ', 1) AS INT) >= 20 THEN 2 ELSE 6 END
 ), forms AS (
-  SELECT leaf, form, any_value(t) AS t, count(*) AS lines FROM leaves SEMI JOIN busy USING (leaf) GROUP BY leaf, form
+  SELECT leaf, form, any_value(t) AS t FROM leaves JOIN busy USING (leaf) WHERE lines >= 6 GROUP BY leaf, form
 ), places AS (
-  SELECT leaf, lines, t, unnest(range(4, len(t) + 1)) AS at FROM forms
-), constant AS (
-  SELECT p.leaf, p.at, p.t[p.at] AS token FROM places p JOIN busy b USING (leaf)
-  GROUP BY p.leaf, p.at, p.t[p.at], b.lines HAVING sum(p.lines) >= 0.9 * b.lines
-), trees AS (
-  SELECT leaf FROM constant GROUP BY leaf HAVING count(*) >= 0.6 * (CAST(split_part(leaf, ' ', 1) AS INT) - 3)
-), disagree AS (
-  SELECT DISTINCT f.leaf, f.form FROM forms f JOIN constant c USING (leaf) WHERE f.t[c.at] <> c.token
+  SELECT leaf, form, t, unnest(range(4, len(t) + 1)) AS pos FROM forms
+), weighed AS (
+  SELECT leaf, form, pos, t[pos] AS token, count(*) OVER (PARTITION BY leaf, pos, t[pos]) AS weight FROM places
+), supported AS (
+  SELECT *, list(weight) OVER (PARTITION BY leaf, form) AS weights FROM weighed
+), marked AS (
+  SELECT *, list_reverse_sort(weights)[(3 * len(weights) + 4) // 5] AS support FROM supported
 ), keyed AS (
-  SELECT f.leaf, f.form, CASE WHEN t.leaf IS NOT NULL AND d.form IS NULL THEN 'leaf ' || f.leaf ELSE 'form ' || f.form END AS template
-  FROM forms f LEFT JOIN trees t USING (leaf) LEFT JOIN disagree d ON d.leaf = f.leaf AND d.form = f.form
+  SELECT form, 'leaf ' || leaf || string_agg(concat(' ', pos, ' ', token), '' ORDER BY pos) AS template
+  FROM marked WHERE support > 1 AND 2 * weight >= support GROUP BY leaf, form
 ), placed AS (
-  SELECT l.doc_id, l.form, k.template FROM leaves l JOIN keyed k USING (leaf, form)
+  SELECT l.doc_id, l.form, len(l.t) >= 20 AS long, coalesce(k.template, 'form ' || l.form) AS template
+  FROM leaves l SEMI JOIN busy USING (leaf) LEFT JOIN keyed k USING (form)
 ), common AS (
   SELECT template, min(doc_id) AS first FROM placed GROUP BY template HAVING count(DISTINCT doc_id) >= 6
+), common_long AS (
+  SELECT form, min(doc_id) AS first FROM placed WHERE long GROUP BY form HAVING count(DISTINCT doc_id) >= 2
+), lost AS (
+  SELECT doc_id, form FROM placed JOIN common USING (template) WHERE doc_id <> first
+  UNION SELECT doc_id, form FROM placed JOIN common_long USING (form) WHERE doc_id <> first
 ), gone AS (
-  SELECT doc_id, list(DISTINCT form) AS gone FROM placed JOIN common USING (template) WHERE doc_id <> first GROUP BY doc_id
+  SELECT doc_id, list(form) AS gone FROM lost GROUP BY doc_id
 ), kept AS (
   SELECT m.doc_id, m.text, string_split(m.text, chr(10)) AS lines, string_split(m.forms, chr(10)) AS forms, g.gone
   FROM masked m LEFT JOIN gone g ON g.doc_id = m.doc_id
