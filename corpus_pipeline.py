@@ -23,7 +23,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without recurring lines; n_chars follows the text."""
-    left = line_templates.without_templates(docs, counts=False, long_lines=True)
+    left = line_templates.without_templates(docs, counts=False, spare_near_copies=True)
     return left.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), "n_chars"))
 
 
