@@ -634,6 +634,7 @@ STREAM_SQL = {
     "stream_alert_feed": """SELECT alert_id, user_id, risk_score, rule_name, alert_message, detected_at
       FROM alerts WHERE risk_score > 0.8""",
 }
+STREAM_SQL["stream_committed_alerts"] = STREAM_SQL["stream_alert_feed"]
 
 
 def batch_sql() -> dict[str, str]:

@@ -10,6 +10,7 @@ from txnspark import session
 from txnspark.operators import cleaning, scoring
 from txnspark.plans import views as V
 from txnspark.plans.queries import messages_from_events, plain_times
+from txnspark.sinks.ledger import FolderTable, exactly_once
 from txnspark.sources import files
 from txnspark.streaming import ingest, velocity, windows
 
@@ -145,6 +146,24 @@ def stream_alert_feed(spark, sf_dir):
     return stored_once(stream, "feed", "alert_id", "detected_on").select(stream.columns[:-1])
 
 
+def stream_committed_alerts(spark, sf_dir):
+    """The feed by way of a ledger; every batch comes twice, as after a crash that follows its commit."""
+    session.apply_settings(spark)
+    stored = V.alerts(spark, sf_dir).withColumn("__n", F.col("source_event_id").cast("bigint"))
+    stream = windows.high_alerts(delivered(stored, "detected_at", "alerts", late=True))
+    folder = session.new_folder(spark, "committed")
+    table = FolderTable(spark, f"{folder}/table", stream.schema)
+    write = exactly_once(table, "alerts", ["alert_id"])
+
+    def write_twice(batch, batch_id):
+        write(batch, batch_id)
+        write(batch, batch_id)
+
+    writer = stream.writeStream.foreachBatch(write_twice).option("checkpointLocation", f"{folder}/checkpoint")
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return table.rows().select(stream.columns[:-1])
+
+
 STREAMS = [
     stream_bronze_ingest,
     stream_tumbling_counts,
@@ -154,6 +173,7 @@ STREAMS = [
     stream_stateless_alerts,
     stream_late_routing,
     stream_alert_feed,
+    stream_committed_alerts,
 ]
 
 
