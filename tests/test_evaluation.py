@@ -75,6 +75,33 @@ def test_profile_and_quartiles(spark):
     assert (q.q25, q.q50, q.q75) == (26, 51, 76)
 
 
+@pytest.mark.parametrize(("candidates", "tracked"), [(64, 10_000), (4, 16), (1, 64)])
+def test_commonest_values_by_sketches_are_exact(spark, candidates, tracked):
+    n = F.col("id")
+    df = spark.range(20_000).select(
+        n.alias("id"),
+        (n % 7000).alias("even"),
+        F.when(n % 3 == 0, "hot").when(n % 5 == 0, None).otherwise(n.cast("string")).alias("hot text"),
+        F.when(n % 2 == 0, "b").otherwise("c").alias("tie"),
+        # one value stands out by a single row from many
+        F.when(n == 0, 5).otherwise(n % 500).alias("close"),
+        F.lit(None).cast("string").alias("nothing"),
+        (n % 10).cast("decimal(18,2)").alias("money"),
+    )
+    found = {r.column_name: r for r in evaluation.profile_by_sketches(df, candidates, tracked).collect()}
+    want = {r.column_name: r for r in evaluation.profile(df.withColumnRenamed("hot text", "hot_text")).collect()}
+    want["hot text"] = want.pop("hot_text")
+    assert set(found) == set(df.columns)
+    for name, r in found.items():
+        w = want[name]
+        assert (r.non_null, r.top_value, r.top_rows) == (w.non_null, w.top_value, w.top_rows), name
+        assert abs(r.distinct_estimate - w.distinct_values) <= 0.1 * w.distinct_values
+        assert (r.min_number, r.max_number) == (w.min_number, w.max_number)
+    assert found["tie"].top_value == "c" and found["close"].top_value == "5" and found["nothing"].top_value is None
+    empty = evaluation.profile_by_sketches(df.where("false")).collect()
+    assert [(r.column_name, r.non_null, r.top_value) for r in empty] == [(c, 0, None) for c in df.columns]
+
+
 def labelled(spark, n=1000):
     return spark.range(n).select(F.col("id").cast("string").alias("id"), (F.col("id") % 10 == 0).cast("int").alias("y"))
 

@@ -171,6 +171,21 @@ def test_batches_are_inserted_once_and_retried(spark, tmp_path):
     assert sorted(r.alert_id for r in spark.read.parquet(target).collect()) == ["a", "b"]
 
 
+def test_only_passing_faults_are_tried_again(spark):
+    tries = []
+
+    def write(rows):
+        tries.append(rows)
+        raise RuntimeError('column "scor" of relation "alerts" does not exist')
+
+    batch = alert_frame(spark, [alert("a", "u", "1")])
+    with pytest.raises(RuntimeError):
+        jdbc.insert_batches(lambda: batch.where("false"), write, ["alert_id"])(batch, 0)
+    assert len(tries) == 1
+    assert jdbc.passes_by(RuntimeError("org.postgresql.util.PSQLException: Connection refused"))
+    assert jdbc.passes_by(TimeoutError()) and jdbc.passes_by(ConnectionResetError())
+
+
 def test_stream_and_batch_share_the_scoring(spark, tmp_path):
     """Without events of one second the batch window gives what the stream gives."""
     rng = random.Random(9)

@@ -177,6 +177,17 @@ def _numeric_columns(df: DataFrame) -> list[str]:
     return [name for name, kind in df.dtypes if kind.split("(")[0] in NUMERIC_TYPES]
 
 
+def _value_counts(df: DataFrame) -> DataFrame:
+    """column_name, text, n: rows by column and value."""
+    cells = [F.struct(F.lit(name).alias("column_name"), F.col(f"`{name}`").cast("string").alias("text")) for name in df.columns]
+    return (
+        df.select(F.explode(F.array(*cells)).alias("c"))
+        .select("c.*")
+        .groupBy("column_name", "text")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
 def profile(df: DataFrame) -> DataFrame:
     """Per column: non-null rows, distinct values, commonest value, mean, deviation, smallest, largest.
 
@@ -184,19 +195,7 @@ def profile(df: DataFrame) -> DataFrame:
     holds the set of distinct values of a column.
     """
     numeric = set(_numeric_columns(df))
-    cells = [
-        F.struct(
-            F.lit(name).alias("column_name"),
-            F.col(name).cast("string").alias("text"),
-        )
-        for name in df.columns
-    ]
-    values = (
-        df.select(F.explode(F.array(*cells)).alias("c"))
-        .select("c.*")
-        .groupBy("column_name", "text")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    values = _value_counts(df)
     used = F.when(F.col("text").isNotNull(), F.col("n"))
     commonest = F.max(F.when(F.col("text").isNotNull(), F.struct(F.col("n"), F.col("text"))))
     sums = values.groupBy("column_name").agg(
@@ -234,6 +233,93 @@ def profile(df: DataFrame) -> DataFrame:
     )
 
 
+CANDIDATES = 64
+TRACKED = 10_000
+
+
+def _common_values(df: DataFrame, candidates: dict[str, list[str]]) -> DataFrame:
+    """column_name, text, n: rows by column and value, of the listed values alone."""
+    cells = []
+    for name, values in candidates.items():
+        text = F.col(f"`{name}`").cast("string")
+        cells.append(F.struct(F.lit(name).alias("column_name"), F.when(text.isin(values), text).alias("text")))
+    listed = F.filter(F.array(*cells), lambda c: c["text"].isNotNull())
+    counted = df.select(F.explode(listed).alias("c")).select("c.*").groupBy("column_name", "text")
+    return counted.agg(F.count(F.lit(1)).alias("n"))
+
+
+def profile_by_sketches(
+    df: DataFrame, candidates: int = CANDIDATES, tracked: int = TRACKED, error: float = 0.02
+) -> DataFrame:
+    """``profile`` for tables whose distinct values are too many to shuffle; the distinct count is an estimate.
+
+    One scan gives, per column, mergeable sketches of the distinct count (relative deviation ``error``)
+    and of the commonest values; a second one counts at most ``candidates`` values of a column. The best of
+    these is the commonest value for certain if it has more rows than any value that the sketch left out can have.
+    Columns where it has not, such as ids, are counted value by value. So the commonest value, of several the
+    largest text, is exact for every column. Both scans run when this is called; the driver gets ``candidates`` values of each
+    column. A column without a value has nulls; an empty table gives its columns with zero rows.
+    """
+    numeric = set(_numeric_columns(df))
+    sketches = []
+    for name in df.columns:
+        col = F.col(f"`{name}`")
+        number = col.cast("double") if name in numeric else F.lit(None).cast("double")
+        sketches.append(
+            F.struct(
+                F.count(col).alias("non_null"),
+                F.approx_count_distinct(col, error).alias("distinct_estimate"),
+                F.expr(f"approx_top_k(CAST(`{name}` AS STRING), {candidates}, {tracked})").alias("top"),
+                F.avg(number).alias("mean_value"),
+                F.stddev_samp(number).alias("deviation"),
+                F.min(number).alias("min_number"),
+                F.max(number).alias("max_number"),
+            )
+        )
+    all_rows = F.count(F.lit(1)).alias("rows")
+    scan = df.agg(all_rows, F.array(*(s.alias("s") for s in sketches)).alias("columns")).first()
+    found = dict(zip(df.columns, scan["columns"]))
+    listed = {name: [t["item"] for t in s["top"] if t["item"] is not None] for name, s in found.items()}
+    listed = {name: values for name, values in listed.items() if values}
+    best: dict[str, tuple[int, str]] = {}
+    if listed:
+        for r in _common_values(df, listed).collect():
+            best[r["column_name"]] = max(best.get(r["column_name"], (0, "")), (r["n"], r["text"]))
+
+    # the sketch loses no value of more than twice its error, which is 3.5 / (tracked / 0.75) of the rows at most
+    lost = 2 * 3.5 * 0.75 * scan["rows"] / tracked
+    flat, rows = [], []
+    for name, s in found.items():
+        # a value beyond the last place of a full list has at most the estimate of that place
+        beyond = min(t["count"] for t in s["top"]) if len(s["top"]) >= candidates else 0
+        n, text = best.get(name, (None, None))
+        if s["non_null"] and (n is None or n <= max(lost, beyond)):
+            flat.append(name)
+            n = text = None
+        numbers = (s["mean_value"], s["deviation"], s["min_number"], s["max_number"])
+        rows.append((name, s["non_null"], s["distinct_estimate"], text, n, *numbers))
+    columns = (
+        "column_name string, non_null long, distinct_estimate long, top_value string, top_rows long, "
+        "mean_value double, deviation double, min_number double, max_number double"
+    )
+    result = df.sparkSession.createDataFrame(rows, columns)
+    if not flat:
+        return result
+    counts = _value_counts(df.select(*(f"`{name}`" for name in flat))).where(F.col("text").isNotNull())
+    tops = counts.groupBy("column_name").agg(F.max(F.struct("n", "text")).alias("__top"))
+    return result.join(tops, "column_name", "left").select(
+        "column_name",
+        "non_null",
+        "distinct_estimate",
+        F.coalesce("top_value", "__top.text").alias("top_value"),
+        F.coalesce("top_rows", "__top.n").alias("top_rows"),
+        "mean_value",
+        "deviation",
+        "min_number",
+        "max_number",
+    )
+
+
 def quartiles(df: DataFrame, accuracy: int = 100_000) -> DataFrame:
     """Quartiles of every numeric column from mergeable sketches, within 1/accuracy of the rank."""
     names = _numeric_columns(df)

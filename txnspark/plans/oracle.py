@@ -541,6 +541,7 @@ SQL = {
             FROM silver t LEFT JOIN alerts a ON a.source_event_id = t.transaction_id)
       WHERE event_timestamp >= (SELECT max(event_timestamp) - INTERVAL 7 DAY FROM silver) GROUP BY 1""",
 }
+SQL["event_profile_by_sketches"] = f"SELECT * EXCLUDE (distinct_values) FROM ({SQL['event_profile']})"
 SQL["gold_protected_assets"] = f"""SELECT CAST(event_timestamp AS DATE) AS day_bucket,
         CAST(sum(CASE WHEN blocked THEN 0 ELSE amount END) AS DECIMAL(18,2)) AS valid_amount,
         CAST(sum(CASE WHEN blocked THEN amount ELSE 0 END) AS DECIMAL(18,2)) AS blocked_amount

@@ -39,6 +39,15 @@ def append(df: DataFrame, database: Database, table: str, batch_rows: int = 10_0
     df.write.format("jdbc").mode("append").options(**append_options(database, table, batch_rows)).save()
 
 
+#: What drivers and the JDBC classes of passing faults call these in their messages.
+PASSING = ("connection", "timeout", "timed out", "sqltransient", "sqlrecoverable", "deadlock", "socketexception")
+
+
+def passes_by(error: Exception) -> bool:
+    """Whether a later attempt may succeed: a lost or refused connection, a time limit, a deadlock."""
+    return isinstance(error, (ConnectionError, TimeoutError)) or any(word in str(error).lower() for word in PASSING)
+
+
 def insert_batches(
     read_existing: Callable[[], DataFrame],
     write: Callable[[DataFrame], None],
@@ -48,7 +57,8 @@ def insert_batches(
     """A ``foreachBatch`` function that inserts each row once.
 
     A batch that is replayed after a failure finds its rows in the target and leaves them out,
-    so keys must not depend on the attempt.
+    so keys must not depend on the attempt. Only faults that pass by are tried again; others, such as a
+    wrong column name, end the batch at once.
     """
 
     def insert(batch: DataFrame, batch_id: int) -> None:
@@ -57,8 +67,8 @@ def insert_batches(
             try:
                 write(fresh)
                 return
-            except Exception:
-                if attempt == attempts:
+            except Exception as error:
+                if attempt == attempts or not passes_by(error):
                     raise
                 time.sleep(PAUSE_SECONDS * attempt)
 
