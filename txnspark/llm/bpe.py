@@ -11,7 +11,8 @@ passed in and sent to the tasks as a broadcast.
 
 Defined results: a null text counts as empty and has no tokens; ids and repeated rows are passed
 through, one result for each row; other columns are not looked at. Strings of added tokens in a
-text become their id. Unknown ids are an error when decoding.
+text become their id. Unknown ids are an error when decoding. An empty table gives no rows; texts of any
+length are encoded whole.
 """
 
 from __future__ import annotations

@@ -19,7 +19,8 @@ any other. Of several labels of one document the worst counts; null labels and l
 document are ignored. Without a column ``toxic``, or without both of its classes, nothing is toxic
 and its scores are null. Repeated rows and rows without doc_id are scored each for itself. Where the
 labels do not hold both classes in both parts, no model can be fitted: scores are null and all
-documents are kept. Other columns are not looked at, and kept by ``kept_documents``.
+documents are kept. An empty table of documents gives no rows; texts of any length are read whole. Other
+columns are not looked at, and kept by ``kept_documents``.
 """
 
 from __future__ import annotations

@@ -30,41 +30,50 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def op1_link_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page; see ``link_rank`` for nulls and other awkward rows."""
     return link_rank.judged_pages(table(spark, sf_dir, "pages"))
 
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a record written to archives and read back; see ``warc`` for awkward rows."""
     return warc.archived_pages(table(spark, sf_dir, "pages"))
 
 
 def op3_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality and toxicity of every document; see ``cotraining`` for awkward rows."""
     docs, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
     return cotraining.scored(docs, labels)
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document; see ``simhash`` for awkward rows."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every whole text; see ``secret_scan`` for awkward rows."""
     return secret_scan.scanned(table(spark, sf_dir, "documents"))
 
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every whole text and what they decode to; see ``bpe`` for awkward rows."""
     trips = bpe.round_trips(table(spark, sf_dir, "documents"), tokenizer_path())
     return trips.select("doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256"))
 
 
 def op7_prefix_free_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text without its repeated strings of 400 bytes; see ``prefix_free_parsing`` for awkward rows."""
     found = prefix_free_parsing.without_repeats(table(spark, sf_dir, "documents")).drop("kept")
     return found.withColumn("has_repeats", F.col("n_removed") > 0)
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The group of equal texts of every document; see ``exact_dedup`` for awkward rows."""
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold benchmark passages; see ``decontamination`` for awkward rows."""
     docs, benchmark = (table(spark, sf_dir, t) for t in ("documents", "benchmark"))
     return decontamination.contaminated(docs, benchmark)
 

@@ -7,7 +7,8 @@ that carry a checksum (the base-62 CRC-32 of their body in the last six characte
 only when it holds.
 
 Spans count code points, the end exclusive. Defined results: a null text counts as empty; a null
-id and repeated rows are passed through, one result for each row; other columns are not looked at.
+id and repeated rows are passed through, one result for each row; an empty table gives no rows; texts of any length are scanned whole; other
+columns are not looked at.
 """
 
 from __future__ import annotations

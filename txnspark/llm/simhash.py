@@ -14,7 +14,8 @@ copies. Forests are joined by large and small stars over the shared folder.
 
 Defined results: a null text counts as empty; texts without words have fingerprint zero, which is
 linked like any other. Repeated rows share a fingerprint, hence a component. The component of rows
-without doc_id is null only if none of its rows has one. Other columns are not looked at.
+without doc_id is null only if none of its rows has one. An empty table gives no rows; texts of any length
+are read whole. Other columns are not looked at.
 """
 
 from __future__ import annotations
