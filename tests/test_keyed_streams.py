@@ -9,7 +9,7 @@ from events import event, frame
 from pyspark.sql import functions as F
 from test_streaming import drain, once, stream_of
 
-from txnspark.streaming import key_index, velocity, windows
+from txnspark.streaming import ingest, key_index, velocity, windows
 
 
 def seen(rows_of_batches, slice_seconds, lateness):
@@ -90,6 +90,34 @@ def test_a_hot_user_is_spread(spark):
         velocity.with_history(rows, seconds=300, slice_seconds=200)
 
 
+def test_many_users_of_a_slice_share_few_groups(spark, tmp_path):
+    rows = [event(str(k), f"u{k % 300}", second=k) for k in range(600)]
+    stream = stream_of(spark, tmp_path, [frame(spark, rows)])
+    history = velocity.with_history(stream)
+    query = ingest.start_append(history, str(tmp_path / "v"), str(tmp_path / "cp"), (), idle_batches=False)
+    query.awaitTermination()
+    held = max(s["numRowsTotal"] for p in query.recentProgress for s in p["stateOperators"])
+    assert 1 <= held <= velocity.BUCKETS
+    found = spark.read.schema(history.schema).parquet(str(tmp_path / "v")).collect()
+    assert {(int(r.event_id), int(r.tx_count_1h)) for r in found} == {(k, 1 + (k >= 300)) for k in range(600)}
+
+
+def test_rows_without_user_id_or_time(spark, tmp_path):
+    rows = frame(spark, [event(str(k), "u" if k < 4 else None, second=k % 4) for k in range(8)])
+    missing = rows.withColumn("event_id", F.when(F.col("event_id") != "1", F.col("event_id")))
+    missing = missing.withColumn("amount", F.when(F.col("event_id") != "2", F.col("amount")))
+    missing = missing.withColumn("event_timestamp", F.when(~F.col("event_id").isin("3", "7") | F.col("event_id").isNull(), F.col("event_timestamp")))
+    again = missing.unionByName(missing)
+    stream = stream_of(spark, tmp_path, [again, missing])
+    found = drain(velocity.with_history(stream), tmp_path, "v", idle_batches=False).collect()
+    counts = sorted((r.event_id or "", r.tx_count_1h) for r in found)
+    # copies without an id all count, in the batch that brings them and for what comes after
+    assert [c for c in counts if c[0] == ""] == [("", 2.0), ("", 3.0), ("", 4.0)]
+    assert [c for c in counts if c[0] in "0246" and c[0]] == [("0", 1.0), ("2", 4.0), ("4", 1.0), ("6", 3.0)]
+    assert [c for c in counts if c[0] == "5"] == [("5", 2.0)]
+    assert [c for c in counts if c[0] in ("3", "7")] == [("3", 0.0)] * 3 + [("7", 0.0)] * 3
+
+
 def test_spans_cover_each_batch_once():
     held = {}
     for batch in range(200):
