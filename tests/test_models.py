@@ -49,6 +49,39 @@ def test_search_uses_stratified_folds(table):
     assert len(found.avgMetrics) == 2 and max(found.avgMetrics) > 0.9
 
 
+def test_a_search_fits_points_and_loses_no_row(table, spark):
+    """Thirty times the rows are hardly more points, and all of their weight."""
+    copies = table.join(spark.range(30).withColumnRenamed("id", "copy"))
+    copies = copies.withColumn("event_id", F.concat_ws("-", "event_id", "copy"))
+    few, many = (models.binned_points(df, "event_id") for df in (table, copies))
+    assert few.agg(F.sum("rows")).first()[0] == 1200 and many.agg(F.sum("rows")).first()[0] == 36_000
+    assert few.agg(F.max("rows")).first()[0] <= 3 and many.count() < 0.7 * copies.count()
+    weights = {r.is_fraud: r.w for r in many.groupBy("is_fraud").agg(F.sum("weight").alias("w")).collect()}
+    assert weights[0.0] == pytest.approx(33_000) and weights[1.0] == pytest.approx(33_000)
+    assert {r.fold for r in many.select("fold").distinct().collect()} == {0, 1, 2}
+
+
+def test_points_score_as_rows_do(table):
+    """The settings of a search get the score that fits to the rows themselves get."""
+    grid = {"maxDepth": [1, 3], "maxIter": [2]}
+    found = models.search_champion(table, "event_id", grid).avgMetrics
+    folded = models.stratified_folds(models.weighted(models._numeric(table, models.S.NUMERIC_FEATURES)), "is_fraud", "event_id")
+    for depth, score in zip((1, 3), found):
+        plain = []
+        for fold in range(3):
+            model = models._boosted_trees(models.S.NUMERIC_FEATURES, "is_fraud", maxDepth=depth, maxIter=2).fit(folded.where(F.col("fold") != fold))
+            judged = model.transform(folded.where(F.col("fold") == fold))
+            plain.append(models.BinaryClassificationEvaluator(labelCol="is_fraud", metricName="areaUnderPR").evaluate(judged))
+        assert score == pytest.approx(np.mean(plain), abs=0.02)
+
+
+def test_edges_keep_few_values_and_cut_many(spark):
+    df = spark.range(10_000).select((F.col("id") % 24).cast("double").alias("few"), F.col("id").cast("double").alias("many"), F.lit(1.0).alias("one"))
+    few, many, one = models.bin_edges(df, ["few", "many", "one"])
+    assert few == [float(k) for k in range(1, 24)] and one == []
+    assert len(many) == models.BINS - 1 and all(200 < b - a < 430 for a, b in zip(many, many[1:]))
+
+
 def test_search_by_density_and_halving(table):
     space = {"maxDepth": search.Span(1, 3, whole=True), "stepSize": search.Span(0.01, 0.3, log=True)}
     rows = search.search_trials(table, "event_id", 5, (1, 2), folds=2, wave=3, space=space).collect()

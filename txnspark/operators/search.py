@@ -3,8 +3,8 @@
 Trials come in waves. The first waves are drawn evenly from the space; later ones from where good trials
 are dense and others are not (a tree-structured Parzen estimator, each parameter by itself). All
 trials of a wave are fitted with few trees on stratified folds; the best part goes on with more
-trees, rung by rung. Every fit is a Spark job on the written folds, several at a time; the driver
-holds one number for each fit.
+trees, rung by rung. Every fit is a Spark job on the folds, written once as weighted points of bounded number
+(``models.binned_points``), several at a time; the driver holds one number for each fit.
 """
 
 from __future__ import annotations
@@ -18,15 +18,11 @@ import numpy as np
 from pyspark import inheritable_thread_target
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txnspark import schemas as S
-from txnspark.functions import scalars as X
-from txnspark.operators.models import SEED, weighted
-from txnspark.operators.sampling import stratified_folds
-from txnspark.session import written
+from txnspark.operators.models import SEED, binned_points
 
 
 @dataclass(frozen=True)
@@ -92,13 +88,6 @@ def proposals(rng: np.random.Generator, past: Sequence[tuple[np.ndarray, tuple]]
     return np.array(out)
 
 
-def _folded(train: DataFrame, id_col: str, features: Sequence[str], label: str, folds: int) -> DataFrame:
-    finite = train.withColumns({name: X.finite_or_zero(name) for name in features})
-    parts = stratified_folds(weighted(finite, label), label, id_col, folds)
-    vectors = VectorAssembler(inputCols=list(features), outputCol="features").transform(parts)
-    return written(vectors.select("features", F.col(label).cast("double").alias(label), "weight", "fold"), "folds")
-
-
 def fold_score(folded: DataFrame, label: str, params: dict, trees: int, fold: int) -> float:
     """Area under the precision-recall curve on ``fold`` of trees fitted to the other folds."""
     given = dict(params)
@@ -110,7 +99,7 @@ def fold_score(folded: DataFrame, label: str, params: dict, trees: int, fold: in
         labelCol=label, featuresCol="features", weightCol="weight", seed=SEED, maxIter=trees, **given
     ).fit(folded.where(F.col("fold") != fold).withColumn("weight", weight))
     judged = model.transform(folded.where(F.col("fold") == fold))
-    return BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderPR").evaluate(judged)
+    return BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderPR", weightCol="rows").evaluate(judged)
 
 
 def search_trials(
@@ -132,7 +121,7 @@ def search_trials(
     arguments give the same trials.
     """
     space = SPACE if space is None else space
-    folded = _folded(train, id_col, features, label, folds)
+    folded = binned_points(train, id_col, features, label, folds)
     rng = np.random.default_rng(SEED)
     past: list[tuple[np.ndarray, tuple]] = []
     rows: list[tuple] = []
