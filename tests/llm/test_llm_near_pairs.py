@@ -53,6 +53,29 @@ def test_pairs_of_rare_shingles_are_all_pairs(spark):
     assert shingle_sets.similar(left, df).count() == 0
 
 
+def test_open_nodes_shrink_before_a_join(spark, monkeypatch):
+    """Nodes that meet at many variants are told once, and none that meets another root is lost."""
+    rows = [(v, n, 1 if n < 4 else n) for v in range(300) for n in range(1, 8)]
+    rows += [(1000 + v, n, n) for v in range(300) for n in (20, 21)]
+    rows += [(2000 + v, n, n) for v in range(300) for n in (30, 31)]
+    rows += [(3000 + v, n, 40) for v in range(300) for n in (40, 41, 42)]
+    rows += [(4000, n, n) for n in (1, 20, 50)]
+    at = spark.createDataFrame(rows, "variant long, node long, root long")
+    first = spark.createDataFrame([(20, 21), (40, 41)], "a long, b long")
+    sizes, plain = {}, shingle_sets.written
+
+    def counted(df, name):
+        found = plain(df, name)
+        sizes[name] = found.count()
+        return found
+
+    monkeypatch.setattr(shingle_sets, "written", counted)
+    found = {r.node for r in shingle_sets.open_nodes(at, first).collect()}
+    assert found == {*range(1, 8), 20, 30, 31, 50}
+    # 9 nodes where three or more meet and two pairs, of 4,503 rows
+    assert sizes == {"mixed-meetings": 11}
+
+
 def test_one_of_each_by_all_pairs(spark):
     texts = families(9)
     rows = [(i, t, "", "", 0) for i, t in enumerate(texts)]

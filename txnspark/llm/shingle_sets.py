@@ -213,6 +213,25 @@ def other_pairs(heads: DataFrame) -> DataFrame:
     return _met(heads.filter("root <> most"), heads)
 
 
+def open_nodes(at: DataFrame, first: DataFrame) -> DataFrame:
+    """node: those of ``at`` (variant, node, root) that meet others of another root, but for pairs of ``first`` alone.
+
+    Near copies meet at hundreds of variants each. A row of ``at`` learns in place whether its variant is mixed, and the rows
+    shrink to one for each node, or pair, before anything is joined.
+    """
+    here = Window.partitionBy("variant")
+    met = at.select(
+        "node", F.min("root").over(here).alias("low"), F.max("root").over(here).alias("high"), F.count("*").over(here).alias("n"),
+        F.min("node").over(here).alias("a"), F.max("node").over(here).alias("b"),
+    ).filter("low < high")
+    pair = [F.when(F.col("n") == 2, F.col(end)).alias(end) for end in "ab"]
+    met = written(met.select(*pair, F.when(F.col("n") > 2, F.col("node")).alias("node")).distinct(), "mixed-meetings")
+    # two that meet nobody else there have been compared, if not where the lesser met a still lesser one
+    two = met.filter("node IS NULL").select("a", "b").join(first.hint("merge"), ["a", "b"], "left_anti")
+    two = two.select(F.explode(F.array("a", "b")).alias("node"))
+    return met.filter("node IS NOT NULL").select("node").unionByName(two).distinct()
+
+
 def similar_roots(docs: DataFrame, rows: DataFrame) -> DataFrame:
     """node, root of the nodes that are linked with others."""
     nodes = written(rows.groupBy("node").agg(F.first("prints").alias("prints")), "shingle-nodes")
@@ -224,8 +243,8 @@ def similar_roots(docs: DataFrame, rows: DataFrame) -> DataFrame:
     shared = of_print.groupBy("fp").agg(F.count("*").alias("n")).filter("n > 1").select("fp")
     places = met.unionByName(shared.select(F.col("fp").alias("variant"), "fp")).distinct()
     places = written(places.join(of_print.hint("merge"), "fp").select("variant", "fp", "node"), "meeting-nodes")
-    least = places.groupBy("variant").agg(F.min("node").alias("least"))
-    first = places.join(least.hint("merge"), "variant").filter("node <> least")
+    least = F.min("node").over(Window.partitionBy("variant"))
+    first = places.withColumn("least", least).filter("node <> least")
     first = first.groupBy("node", "fp").agg(F.min("least").alias("b")).select(F.col("node").alias("a"), "b")
     pair = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
     first = written(first.select(*pair).distinct(), "first-pairs")
@@ -234,16 +253,7 @@ def similar_roots(docs: DataFrame, rows: DataFrame) -> DataFrame:
 
     at = places.select("variant", "node").distinct().join(roots.hint("merge"), "node", "left")
     at = written(at.select("variant", "node", F.coalesce("root", "node").alias("root")), "meeting-roots")
-    met = at.groupBy("variant").agg(
-        F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n"),
-        F.min("node").alias("a"), F.max("node").alias("b"),
-    )
-    met = written(met.filter("low < high").drop("low", "high"), "mixed-meetings")
-    # two that meet nobody else there have been compared, if not where the lesser met a still lesser one
-    two = met.filter("n = 2").join(first.hint("merge"), ["a", "b"], "left_anti")
-    still = met.filter("n > 2").select("variant").unionByName(two.select("variant"))
-    open_nodes = written(at.join(still.hint("merge"), "variant").select("node").distinct(), "open-nodes")
-    sets = sets_of(open_nodes, docs, rows)
+    sets = sets_of(written(open_nodes(at, first), "open-nodes"), docs, rows)
     heads = rare_shingles(sets)
     for pairs in (pivot_pairs, other_pairs):
         tried = written(pairs(_mixed(heads, roots)), "rare-pairs")
