@@ -183,3 +183,23 @@ def test_history_then_table(spark, tmp_path, path):
     found = once(velocity.with_history(stream, lateness_seconds=0, slice_seconds=300), tmp_path, path)
     want = seen(batches, 300, 0)
     assert {r.event_id for r in found.collect()} == set(want) and found.count() == 90
+
+
+def test_state_stores_and_files_do_not_follow_the_shuffle_partitions(spark, tmp_path):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        rows = [[event(f"{b}-{k}", f"u{k % 30}", second=b * 600 + k) for k in range(200)] for b in range(2)]
+        rows[1] += rows[0][:20]
+        history = velocity.with_history(stream_of(spark, tmp_path, [frame(spark, b) for b in rows]))
+        table = tmp_path / "table"
+        windows.append_once(history, str(table), str(tmp_path / "checkpoint"), buckets=1).awaitTermination()
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "40"
+        found = spark.read.parquet(str(table))
+        assert (found.count(), found.select("event_id").distinct().count()) == (400, 400)
+        stores = [p for p in (tmp_path / "checkpoint" / "state" / "0").iterdir() if p.name.isdigit()]
+        assert len(stores) == windows.LEAST_STORES
+        # small days are one file a batch
+        assert len(list(table.rglob("*.parquet"))) == found.select("event_date", "batch").distinct().count()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

@@ -9,10 +9,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from txnspark.operators.cleaning import first_delivery
+from txnspark.session import holding
 from txnspark.streaming import key_index
 
 OUT_OF_ORDER = "30 seconds"
 
+#: State stores of a stream for each core, and the least number of them, unless the session asks for fewer.
+STORES_A_CORE = 2
+LEAST_STORES = 16
+
 
 def watermarked(events: DataFrame, delay: str = OUT_OF_ORDER, time_col: str = "event_timestamp") -> DataFrame:
     """Bounded out-of-orderness on the event's own time."""
@@ -78,6 +83,12 @@ def once_writer(
             maybe.unpersist()
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        # Spark turns adaptive plans off for a stream; what follows the stream's own plan may have them, and needs them to
+        # join and write in as many tasks as there are rows for
+        with holding(batch.sparkSession, {"spark.sql.adaptive.enabled": "true"}):
+            write_new(batch, batch_id)
+
+    def write_new(batch: DataFrame, batch_id: int) -> None:
         # kept for all that follows, as a stream with state must not run twice
         batch = batch.persist()
         try:
@@ -101,12 +112,23 @@ def append_once(
     key: str = "event_id",
     day: str = "event_date",
     trigger: dict | None = None,
+    stores: int | None = None,
     **sizes,
 ) -> StreamingQuery:
-    """Append rows whose key the table does not hold yet, however late they or their copies come; see ``once_writer``."""
-    write = once_writer(stream.sparkSession, path, key, day, **sizes)
+    """Append rows whose key the table does not hold yet, however late they or their copies come; see ``once_writer``.
+
+    Every batch opens, commits and uploads each state store, and starts a Python worker for it, however few rows there
+    are; so there are ``stores`` of them, by default some for each core, instead of one for each shuffle partition of the
+    session. A stream keeps the number that it was first started with.
+    """
+    spark = stream.sparkSession
+    write = once_writer(spark, path, key, day, **sizes)
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    return writer.trigger(**(trigger or {"availableNow": True})).start()
+    by_cores = max(LEAST_STORES, STORES_A_CORE * spark.sparkContext.defaultParallelism)
+    stores = stores or min(by_cores, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # a stream copies the session's settings as it starts
+    with holding(spark, {"spark.sql.shuffle.partitions": str(stores)}):
+        return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
 def high_alerts(alerts: DataFrame, above: str = "0.8") -> DataFrame:
