@@ -8,7 +8,7 @@ import numpy as np
 from llm_data import DOCS, awkward_docs, prose
 from pyspark.sql import functions as F
 
-from txnspark.llm import line_templates, shingle_sets
+from txnspark.llm import line_templates, shingle_sets, simhash
 from txnspark.llm.components import components
 
 
@@ -114,3 +114,36 @@ def test_long_lines_of_near_copies_stay(spark):
     sets = {hashes[t]: shingle_sets.shingle_set(t) for t in texts}
     want = {(a, b) for a, b in map(tuple, df.collect()) if len(sets[a]) and len(sets[b]) and alike(sets[a], sets[b])}
     assert {p for p in found if len(sets[p[0]]) and len(sets[p[1]])} == want and want
+
+
+def test_a_batch_of_variants_takes_little_more_than_its_hashes():
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    fps = np.unique(np.random.default_rng(1).integers(0, 2**40, 10_000).astype(np.int64))
+    plan = simhash.Plan(157_000, 4, 40, 10_000)
+    own = pa.table({"fp": fps, "batch": pa.array(np.zeros(len(fps), np.int32))})
+    whole = 8 * len(fps) * len(plan.masks)
+
+    def peak(run, *tables):
+        tracemalloc.start()
+        try:
+            return run(*tables), tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+
+    sent, most = peak(simhash._emit(plan), own)
+    assert most < 1.6 * whole
+    gaps = [
+        simhash.pack(simhash.unpack(g, plan.base(b), plan.unit)[::7], plan.base(b), plan.unit)
+        for b, g in zip(sent["bucket"].to_pylist(), sent["gaps"].to_pylist())
+    ]
+    met = pa.table({"batch": sent["batch"], "bucket": sent["bucket"], "gaps": pa.array(gaps, pa.binary())})
+    found, most = peak(simhash._send(plan), own, met)
+    assert most < 2 * whole
+    variants = np.frombuffer(b"".join(found["variants"].to_pylist()), np.uint64)
+    links = np.frombuffer(b"".join(found["fps"].to_pylist()), np.uint64)
+    assert len(variants) >= sum(map(len, gaps)) // plan.unit * 0.9
+    assert (np.bitwise_count(variants ^ links) <= 2).all()
