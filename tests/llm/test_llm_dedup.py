@@ -10,8 +10,10 @@ import numpy as np
 import pytest
 import xxhash
 from llm_data import DOCS, awkward_docs, awkward_rows, prose
+from pyspark.sql import functions as F
 
 from txnspark.llm import components, exact_dedup, prefix_free_parsing, simhash
+from txnspark.session import written
 
 
 def key(row):
@@ -152,6 +154,24 @@ def test_components_of_a_chain(spark):
     assert got == {**dict.fromkeys(range(61), 0), 90: 90, 100: 90}
 
 
+def test_components_plan_each_star_once_and_none_for_stars(spark, monkeypatch):
+    plans = []
+
+    def seen(df, name):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return written(df, name)
+
+    monkeypatch.setattr(components, "written", seen)
+    chain = components.components(spark.createDataFrame([(i, i + 1) for i in range(9)], "a long, b long"))
+    rounds = [plan for name, plan in plans[1:]]
+    assert rounds and max(plan.count("Exchange") - plan.count("ReusedExchange") for plan in rounds) <= 5
+    assert not any("Broadcast" in plan for plan in rounds)
+    plans.clear()
+    again = components.components(chain.select(F.col("root").alias("a"), F.col("node").alias("b")))
+    assert [name for name, _ in plans] == ["edges"]
+    assert {tuple(r) for r in again.collect()} == {(i, 0) for i in range(10)}
+
+
 def repeats_by_hand(rows, length):
     seen = defaultdict(list)
     texts = [(t or "").encode() for _, t in rows]

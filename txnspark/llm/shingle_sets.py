@@ -248,8 +248,7 @@ def similar_roots(docs: DataFrame, rows: DataFrame) -> DataFrame:
     first = first.groupBy("node", "fp").agg(F.min("least").alias("b")).select(F.col("node").alias("a"), "b")
     pair = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
     first = written(first.select(*pair).distinct(), "first-pairs")
-    found = _compared(first, nodes, docs, rows)
-    roots = written(components(found), "roots-of-first")
+    roots = written(components(_compared(first, nodes, docs, rows)), "roots-of-first")
 
     at = places.select("variant", "node").distinct().join(roots.hint("merge"), "node", "left")
     at = written(at.select("variant", "node", F.coalesce("root", "node").alias("root")), "meeting-roots")
@@ -257,8 +256,9 @@ def similar_roots(docs: DataFrame, rows: DataFrame) -> DataFrame:
     heads = rare_shingles(sets)
     for pairs in (pivot_pairs, other_pairs):
         tried = written(pairs(_mixed(heads, roots)), "rare-pairs")
-        found = found.unionByName(written(similar(tried, sets), "similar-rare"))
-        roots = written(components(found), "similar-roots")
+        # the roots so far stand for all links found before
+        found = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+        roots = written(components(found.unionByName(similar(tried, sets))), "similar-roots")
     return roots
 
 
