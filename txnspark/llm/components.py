@@ -1,7 +1,7 @@
 """Connected components by alternating large and small stars, joins and minima only.
 
-Each round is two plans, the large stars and the small ones, since in one plan the large stars would stand
-several times. Rounds end as soon as the edges are stars, which one aggregation tells: what already is one
+Each round is four small plans, the minima and the stars they make, large and small, since in one plan the
+large stars would stand several times. Rounds end as soon as the edges are stars, which one aggregation tells: what already is one
 needs no round. The joins are merged at every size, as edges grow with the input, so nothing is broadcast.
 """
 
@@ -18,14 +18,15 @@ def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select(F.col("high").alias("u"), F.col("low").alias("v")).unionByName(
         edges.select(F.col("low").alias("u"), F.col("high").alias("v"))
     )
-    least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
+    # plain shuffles on both sides of the join, so that a node with many neighbours can be split
+    least = written(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m")), "least")
     moved = both.filter("v > u").join(least.hint("merge"), "u")
     return moved.select(F.col("v").alias("high"), F.col("m").alias("low"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Lesser neighbours of each node, and the node, move to the least of them."""
-    least = edges.groupBy("high").agg(F.min("low").alias("m"))
+    least = written(edges.groupBy("high").agg(F.min("low").alias("m")), "least")
     moved = edges.join(least.hint("merge"), "high").filter("low <> m")
     return moved.select(F.col("low").alias("high"), F.col("m").alias("low")).unionByName(
         least.select("high", F.col("m").alias("low"))
