@@ -13,6 +13,8 @@ from llm_data import DOCS, awkward_docs, awkward_rows, prose
 from pyspark.sql import functions as F
 
 from txnspark.llm import components, exact_dedup, prefix_free_parsing, simhash
+from txnspark.llm.queries import llm_queries
+from txnspark.llm.tables import table
 from txnspark.session import written
 
 
@@ -223,3 +225,29 @@ def test_passages_of_nothing(spark):
     assert prefix_free_parsing.without_repeats(empty).collect() == []
     short = spark.createDataFrame([(1, "short")], "doc_id long, text string")
     assert prefix_free_parsing.without_repeats(short).first()[1:4] == (5, 0, 0)
+
+
+def test_passages_of_the_query(spark, sf):
+    rows = [tuple(r) for r in table(spark, sf, "documents").select("doc_id", "text").collect()]
+    found = llm_queries()["op7_prefix_free_parsing"](spark, sf).collect()
+    want = repeats_by_hand(rows, 400)
+    assert sorted(key(r[:5]) for r in found) == sorted(map(key, want))
+    assert all(r.has_repeats == (r.n_removed > 0) for r in found)
+    lines = defaultdict(set)
+    for doc_id, text in rows:
+        for line in (text or "").split("\n"):
+            if len(line.split()) > 50 and len(line.encode()) >= 400:
+                lines[line].add(doc_id)
+    planted = {doc_id for ids in lines.values() if len(ids) > 1 for doc_id in ids}
+    assert planted and planted <= {r.doc_id for r in found if r.has_repeats}
+
+
+# over 50 words, in two documents whose other bytes differ around them
+@pytest.mark.parametrize("size,removed", [(399, 0), (400, 400), (401, 401)])
+def test_passages_of_over_50_words(spark, size, removed):
+    passage = prose(700, 150).encode("ascii", "ignore").decode().replace("\n", " ")[:size]
+    assert len(passage) == size and len(passage.split()) > 50
+    rows = [(1, f"a<{passage}>b"), (2, f"c({passage})d"), (3, prose(701, 400))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: (r.n_bytes, r.n_removed) for r in prefix_free_parsing.without_repeats(docs).collect()}
+    assert found == {1: (size + 4, removed), 2: (size + 4, removed), 3: (len(rows[2][1].encode()), 0)}
