@@ -6,7 +6,8 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from txnspark import schemas as S
-from txnspark.operators import evaluation, models, search
+from txnspark.operators import evaluation, models, search, trees
+from txnspark.plans import trained
 
 
 @pytest.fixture(scope="module")
@@ -93,6 +94,91 @@ def test_search_by_density_and_halving(table):
     assert len(best) == 1 and best[0].mean_score == max(r.mean_score for r in rows if r.trees == 2) > 0.9
 
 
+def test_the_registered_search_fits_every_tree_of_the_library(spark, sf, monkeypatch):
+    fitted = []
+
+    def scores_in_tasks(*_):
+        return lambda fits: [fitted.append(fit) or fit[0]["stepSize"] for fit in fits]
+
+    monkeypatch.setattr(search, "scores_in_tasks", scores_in_tasks)
+    rows = {r.trees: r.trials for r in trained.champion_trials(spark, sf).collect()}
+    assert rows == {50: 40, 150: 16, 450: 8}
+    assert sum(fit[1] for fit in fitted) == 5 * (50 * 40 + 150 * 16 + 450 * 8)
+    assert all(set(fit[0]) == set(search.SPACE) for fit in fitted) and {fit[2] for fit in fitted} == set(range(5))
+
+
+@pytest.fixture(scope="module")
+def folded(table):
+    """Points whose label follows the features by half."""
+    u = F.pmod(F.xxhash64("event_id"), F.lit(1000)) / 1000
+    noisy = table.withColumns({"amount": u * 90, "tx_count_1h": F.floor(F.rand(7) * 4), "amount_avg_1h": F.rand(8)})
+    odds = 0.05 + 0.5 * (u > 0.6).cast("int") * (F.col("hour_of_day") < 9).cast("int") + 0.1 * F.col("tx_count_1h")
+    noisy = noisy.withColumn("is_fraud", (F.rand(9) < odds).cast("int")).checkpoint()
+    return models.binned_points(noisy, "event_id", folds=3).withMetadata("features", {})
+
+
+@pytest.mark.parametrize(
+    "params",
+    [
+        {"maxDepth": 4, "stepSize": 0.2},
+        {"maxDepth": 6, "stepSize": 0.1, "positiveWeight": 3.0, "minInstancesPerNode": 7},
+        {"maxDepth": 3, "stepSize": 0.3, "minInfoGain": 0.03},
+    ],
+)
+def test_trees_of_a_task_are_those_of_spark(folded, params):
+    """Points that were fitted have the same margins; of cuts that part them alike either may be taken, so judged ones may not."""
+    cells = search.shared_cells(folded, len(S.NUMERIC_FEATURES), "is_fraud")
+    assert cells.rows.sum() == 1200 and cells.weight.sum() == pytest.approx(folded.agg(F.sum("weight")).first()[0])
+    given = {name: value for name, value in params.items() if name != "positiveWeight"}
+    factor = F.when(F.col("is_fraud") == 1, params.get("positiveWeight", 1.0)).otherwise(1.0)
+    train = folded.where("fold != 1").withColumn("weight", F.col("weight") * factor)
+    learner = models.GBTClassifier(labelCol="is_fraud", weightCol="weight", seed=models.SEED, maxIter=6, **given)
+    raw = models.vector_to_array("rawPrediction")[1]
+    rows = learner.fit(train).transform(train).select(models.vector_to_array("features"), "is_fraud", raw).collect()
+    margins = trees.boosted_margins(cells, 1, params, 6, models.SEED)
+    mine = {(*bins, label): margin for bins, label, margin in zip(cells.bins.T.tolist(), cells.label.tolist(), margins)}
+    assert len(rows) > 700 and len({row[2] for row in rows}) > 8
+    assert [mine[(*row[0], row[1])] for row in rows] == pytest.approx([row[2] for row in rows], abs=1e-9)
+    score = trees.fold_score(cells, 1, params, 6, models.SEED)
+    assert score == pytest.approx(search.fold_score(folded, "is_fraud", params, 6, 1), abs=0.01) and score < 0.95
+
+
+def test_a_search_in_tasks_finds_what_one_over_the_cluster_finds(table):
+    space = {"maxDepth": search.Span(1, 3, whole=True), "minInfoGain": search.Span(0.0, 0.05)}
+    mixed = table.withColumn("is_fraud", F.when(F.col("hour_of_day") == 5, 1).otherwise(F.col("is_fraud")))
+    found = [
+        sorted(search.search_trials(mixed, "event_id", 2, (1, 2), folds=2, space=space, task_points=most).collect())
+        for most in (0, search.TASK_POINTS)
+    ]
+    for far, near in zip(*found):
+        assert near[:4] == far[:4] and near[4:6] == pytest.approx(far[4:6], abs=1e-6) and near[6] == far[6]
+
+
+def test_trees_take_the_parts_they_are_told_to(folded):
+    cells = search.shared_cells(folded, len(S.NUMERIC_FEATURES), "is_fraud")
+    given = {"maxDepth": 5, "subsamplingRate": 0.7, "featureSubset": 0.6}
+    few, more, whole = (trees.boosted_margins(cells, 0, p, k, 1) for p, k in ((given, 3), (given, 4), ({"maxDepth": 5}, 3)))
+    assert not np.allclose(few, whole) and np.corrcoef(few, whole)[0, 1] > 0.3
+    assert np.abs(more - few).max() < 0.1 * 4  # one more tree, the first ones as before
+    # what is judged has no say
+    fold = np.where(cells.fold == 0, 5, cells.fold)
+    moved = trees.Cells(cells.bins, cells.label, cells.starts, np.where(fold == 5, 99.0, cells.weight), cells.rows, fold)
+    assert (trees.boosted_margins(moved, 5, given, 3, 1) == few).all()
+    # a tree without cuts says the mean of the points taken
+    side, kept = np.repeat(2.0 * cells.label - 1, np.diff([*cells.starts, len(cells.fold)])), cells.fold != 0
+    mean = (side * cells.weight)[kept].sum() / cells.weight[kept].sum()
+    assert trees.boosted_margins(cells, 0, {"maxDepth": 0}, 1, 1) == pytest.approx(mean)
+    thin = trees.boosted_margins(cells, 0, {"maxDepth": 0, "subsamplingRate": 0.7}, 1, 1)
+    assert 0 < abs(thin[0] - mean) < 0.2
+
+
+def test_area_under_pr_counts_rows():
+    area = trees.area_under_pr(np.array([3.0, 2.0, 2.0, 1.0, 9.0]), np.array([1, 1, 0, 1, 1]), np.array([2.0, 1.0, 3.0, 4.0, 0.0]))
+    # thresholds: 2 of 2, 3 of 6, 7 of 10
+    assert area == pytest.approx(2 / 7 + 1 / 7 * (1 + 0.5) / 2 + 4 / 7 * (0.5 + 0.7) / 2)
+    assert trees.area_under_pr(np.zeros(2), np.zeros(2), np.ones(2)) == 0.0
+
+
 def test_proposals_move_to_where_good_trials_are():
     rng = np.random.default_rng(1)
     score = lambda p: -abs(p[0] - 0.8) - abs(p[1] - 0.2)

@@ -3,25 +3,29 @@
 Trials come in waves. The first waves are drawn evenly from the space; later ones from where good trials
 are dense and others are not (a tree-structured Parzen estimator, each parameter by itself). All
 trials of a wave are fitted with few trees on stratified folds; the best part goes on with more
-trees, rung by rung. Every fit is a Spark job on the folds, written once as weighted points of bounded number
-(``models.binned_points``), several at a time; the driver holds one number for each fit.
+trees, rung by rung. All fits read the folds as weighted points of bounded number, written once
+(``models.binned_points``). Where one task can hold the points, a rung is one Spark job with a task for each fit
+(``trees``) on points that all tasks share; else every fit is a series of jobs of Spark's boosted trees, several at a time.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark import inheritable_thread_target
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txnspark import schemas as S
+from txnspark.operators import trees as T
 from txnspark.operators.models import SEED, binned_points
 
 
@@ -60,6 +64,10 @@ RUNGS = (50, 150, 450)
 GO_ON = 1 / 3
 GOOD = 0.25
 CANDIDATES = 64
+#: Points and cells of points that one task holds; some 24 bytes a point go through the driver, and a fit takes
+#: some 40 bytes a point and 200 a cell.
+TASK_POINTS = 4_000_000
+TASK_CELLS = 1_000_000
 
 TRIAL_SCHEMA = "trial INT, trees INT, {params}, mean_score DOUBLE, score_deviation DOUBLE, is_best BOOLEAN"
 
@@ -102,6 +110,55 @@ def fold_score(folded: DataFrame, label: str, params: dict, trees: int, fold: in
     return BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderPR", weightCol="rows").evaluate(judged)
 
 
+def scores_by_jobs(folded: DataFrame, label: str, parallel: int) -> Callable[[list[tuple]], list[float]]:
+    """Scores of fits (params, trees, fold), each by itself over the cluster."""
+
+    def scores(fits: list[tuple]) -> list[float]:
+        score = inheritable_thread_target(folded.sparkSession)(fold_score)
+        with ThreadPoolExecutor(parallel) as pool:
+            return list(pool.map(lambda fit: score(folded, label, *fit), fits))
+
+    return scores
+
+
+def shared_cells(folded: DataFrame, features: int, label: str) -> T.Cells:
+    """The points of all folds, gathered; the caller has made sure that they are few enough."""
+    bins, side = vector_to_array("features"), F.when(F.col(label).isin(0, 1), F.col(label).cast("tinyint")).otherwise(-1)
+    columns = [bins[k].cast("tinyint").alias(f"bin{k}") for k in range(features)]
+    columns += [side.cast("tinyint").alias("label"), F.col("fold").cast("smallint")]
+    points = folded.select(*columns, "weight", "rows").toArrow()
+    taken = lambda name: points[name].to_numpy()
+    if (taken("label") < 0).any():
+        raise ValueError(f"{label} is 0 or 1")
+    parts = np.array([taken(f"bin{k}") for k in range(features)])
+    return T.Cells.of(parts, taken("label"), taken("weight"), taken("rows"), taken("fold"))
+
+
+def fits_a_task(folded: DataFrame, label: str, task_points: int) -> bool:
+    cells = folded.groupBy(vector_to_array("features"), label).agg(F.count("*").alias("n"))
+    found = cells.agg(F.sum("n").alias("points"), F.count("*").alias("cells")).first()
+    return (found.points or 0) <= task_points and found.cells <= TASK_CELLS
+
+
+def scores_in_tasks(folded: DataFrame, features: int, label: str) -> Callable[[list[tuple]], list[float]]:
+    """Scores of fits (params, trees, fold), each in a task of its own."""
+    spark = folded.sparkSession
+    cells = spark.sparkContext.broadcast(shared_cells(folded, features, label))
+
+    def scores(fits: list[tuple]) -> list[float]:
+        def fitted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                for k in batch["id"]:
+                    params, trees, fold = fits[k]
+                    score = T.fold_score(cells.value, fold, params, trees, SEED)
+                    yield pd.DataFrame({"fit": [k], "score": [score]})
+
+        rows = spark.range(0, len(fits), 1, len(fits)).mapInPandas(fitted, "fit BIGINT, score DOUBLE").collect()
+        return [row.score for row in sorted(rows, key=lambda row: row.fit)]
+
+    return scores
+
+
 def search_trials(
     train: DataFrame,
     id_col: str,
@@ -113,39 +170,36 @@ def search_trials(
     features: Sequence[str] = S.NUMERIC_FEATURES,
     label: str = "is_fraud",
     parallel: int = 4,
+    task_points: int = TASK_POINTS,
 ) -> DataFrame:
     """One row per trial and rung: parameters, mean and deviation of the score over the folds.
 
     ``is_best`` marks the row with the greatest mean among those of the last rung. From each rung of a
     wave the best third goes on, at least one. The waves' results decide what is tried next, so the same table and
-    arguments give the same trials.
+    arguments give the same trials. Points up to ``task_points`` are fitted in single tasks, more of them by
+    ``parallel`` fits at a time over the cluster, as are parameters of Spark's that ``trees`` does not know.
     """
     space = SPACE if space is None else space
-    folded = binned_points(train, id_col, features, label, folds)
+    # without the names of the bins, which would make them categories without order
+    folded = binned_points(train, id_col, features, label, folds).withMetadata("features", {})
+    in_tasks = set(space) <= set(T.DEFAULTS) and fits_a_task(folded, label, task_points)
+    scores_of = scores_in_tasks(folded, len(features), label) if in_tasks else scores_by_jobs(folded, label, parallel)
     rng = np.random.default_rng(SEED)
     past: list[tuple[np.ndarray, tuple]] = []
     rows: list[tuple] = []
-    with ThreadPoolExecutor(parallel) as pool:
-        while len(past) < trials:
-            points = proposals(rng, past, len(space), min(wave, trials - len(past)))
-            params = [{n: span.value(u) for (n, span), u in zip(space.items(), point)} for point in points]
-            ranks: dict[int, tuple] = {}
-            alive = list(range(len(points)))
-            for rung, trees in enumerate(rungs):
-                jobs = {
-                    (k, fold): pool.submit(
-                        inheritable_thread_target(folded.sparkSession)(fold_score), folded, label, params[k], trees, fold
-                    )
-                    for k in alive
-                    for fold in range(folds)
-                }
-                for k in alive:
-                    scores = [jobs[k, fold].result() for fold in range(folds)]
-                    ranks[k] = (rung, float(np.mean(scores)))
-                    values = [params[k][name] for name in space]
-                    rows.append((len(past) + k, trees, *values, ranks[k][1], float(np.std(scores))))
-                alive = sorted(alive, key=lambda k: (-ranks[k][1], k))[: max(1, math.ceil(len(alive) * GO_ON))]
-            past += [(point, ranks[k]) for k, point in enumerate(points)]
+    while len(past) < trials:
+        points = proposals(rng, past, len(space), min(wave, trials - len(past)))
+        params = [{n: span.value(u) for (n, span), u in zip(space.items(), point)} for point in points]
+        ranks: dict[int, tuple] = {}
+        alive = list(range(len(points)))
+        for rung, trees in enumerate(rungs):
+            found = scores_of([(params[k], trees, fold) for k in alive for fold in range(folds)])
+            for k, scores in zip(alive, np.reshape(found, (len(alive), folds))):
+                ranks[k] = (rung, float(np.mean(scores)))
+                values = [params[k][name] for name in space]
+                rows.append((len(past) + k, trees, *values, ranks[k][1], float(np.std(scores))))
+            alive = sorted(alive, key=lambda k: (-ranks[k][1], k))[: max(1, math.ceil(len(alive) * GO_ON))]
+        past += [(point, ranks[k]) for k, point in enumerate(points)]
     best = max((row for row in rows if row[1] == rungs[-1]), key=lambda row: row[-2])
     kinds = ", ".join(f"{name} {'INT' if span.whole else 'DOUBLE'}" for name, span in space.items())
     table = [(*row, row is best) for row in rows]

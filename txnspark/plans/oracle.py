@@ -573,8 +573,8 @@ CTES["importance_quality"] = """
 TRAINED_SQL = {
     "champion_holdout": "SELECT event_id, is_fraud, TRUE AS is_probability FROM split WHERE is_test",
     "champion_trials": """SELECT trees, trials, bool_and(is_fraud IN (0, 1)) AS scores_hold,
-        CAST(trees = 4 AS BIGINT) AS best_trials
-      FROM split, (VALUES (1, 40::BIGINT), (2, 16::BIGINT), (4, 8::BIGINT)) AS rungs(trees, trials)
+        CAST(trees = 450 AS BIGINT) AS best_trials
+      FROM split, (VALUES (50, 40::BIGINT), (150, 16::BIGINT), (450, 8::BIGINT)) AS rungs(trees, trials)
       WHERE NOT is_test GROUP BY trees, trials""",
     "challenger_outliers": """SELECT count(*) AS events, CAST(sum(is_fraud) AS BIGINT) AS frauds, TRUE AS share_holds
       FROM split""",

@@ -44,14 +44,10 @@ def champion_search(spark, sf_dir):
     return spark.createDataFrame(rows, "max_depth INT, area_under_pr DOUBLE")
 
 
-#: Trees of the three rungs of the registered search; the library's own are 50, 150 and 450.
-SEARCH_RUNGS = (1, 2, 4)
-
-
 def champion_trials(spark, sf_dir):
     """Forty trials by density ratio and successive halving: how many reached each rung, with sound scores."""
     table = training_table(spark, sf_dir).where(~F.col("is_test"))
-    tried = search.search_trials(table, "event_id", rungs=SEARCH_RUNGS, folds=3, parallel=8)
+    tried = search.search_trials(table, "event_id", parallel=8)
     return tried.groupBy("trees").agg(
         F.count("*").alias("trials"),
         F.bool_and(F.col("mean_score").between(0.0, 1.0) & (F.col("score_deviation") <= 0.5)).alias("scores_hold"),
